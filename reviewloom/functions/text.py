@@ -84,13 +84,18 @@ def clean_tokens(text: Column) -> Column:
     return F.array_remove(F.split(folded, " "), "")
 
 
-def is_content_word(word: Column, stop_words: Iterable[str] = RUSSIAN_STOP_WORDS) -> Column:
-    return ~F.lower(word).isin(*stop_words)
+def is_content_word(
+    word: Column, stop_words: Iterable[str] = RUSSIAN_STOP_WORDS, lowered: bool = False
+) -> Column:
+    return ~(word if lowered else F.lower(word)).isin(*stop_words)
 
 
-def drop_stop_words(words: Column, stop_words: Iterable[str] = RUSSIAN_STOP_WORDS) -> Column:
+def drop_stop_words(
+    words: Column, stop_words: Iterable[str] = RUSSIAN_STOP_WORDS, lowered: bool = False
+) -> Column:
+    """Content words of a token array; ``lowered`` says that the tokens are lower-case already."""
     stop = list(stop_words)
-    return F.filter(words, lambda word: is_content_word(word, stop))
+    return F.filter(words, lambda word: is_content_word(word, stop, lowered))
 
 
 def join_tokens(words: Column) -> Column:
