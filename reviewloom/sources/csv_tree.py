@@ -1,7 +1,8 @@
 """CSV exchange trees: one file per catalogue, one folder of review files per catalogue.
 
 The file name carries the key. Review files have quoted cells with line breaks, so one file is one
-task; load a tree into the Parquet store once and work from there.
+task; load a tree into the Parquet store once and work from there. An empty cell reads as NULL,
+whether an empty text or NULL was written.
 """
 
 from __future__ import annotations
