@@ -50,4 +50,4 @@ def review_set_groups(
 
 
 def drop_keys(df: DataFrame, dropped: DataFrame, key: Sequence[str]) -> DataFrame:
-    return df.join(dropped, list(key), "left_anti")
+    return df.join(dropped, list(key), "left_anti").select(*df.columns)

@@ -127,14 +127,18 @@ def collect_catalogs(
     listings: DataFrame,
     products: DataFrame,
     feedbacks: DataFrame,
+    links: DataFrame,
     patterns: pages.PagePatterns = pages.SHOP_PAGES,
     max_products: int = MAX_PRODUCTS,
     max_reviews: int = MAX_REVIEWS,
 ) -> DataFrame:
-    """Collect all catalogues of the captured pages; returns their progress."""
+    """Collect the catalogues in ``links`` (catalog_link, link_order) from captured pages.
+
+    Catalogues get their ids, and with them their precedence, in link order. Returns the progress.
+    """
     store.create()
-    links = listings.groupBy("catalog_link").agg(F.min("page").alias("link_order"))
     store.register_catalogs(links)
+    listings = listings.join(links.select("catalog_link").distinct(), "catalog_link", "left_semi")
     catalogs = store.read("catalogs").groupBy("catalog_link").agg(F.min("catalog_id").alias("catalog_id"))
     listed = listings.join(catalogs, "catalog_link")
     found = candidates(listed_links(listed, "catalog_id", "page", patterns.link), "catalog_id")
