@@ -1,8 +1,9 @@
 """Joins, counts, quotas, keys and integrity checks over catalogues, products and reviews.
 
-No join carries a broadcast hint: Spark broadcasts a side only when its size is known to be below
-``spark.sql.autoBroadcastJoinThreshold``, and otherwise shuffles both sides, splitting hot keys with
-adaptive skew joins.
+Only :func:`catalog_reviews` hints at a join strategy, after counting the smaller side. The other
+joins leave it to Spark: a side is broadcast when its size is known to be below
+``spark.sql.autoBroadcastJoinThreshold``; otherwise both sides are shuffled and adaptive skew joins
+split hot keys.
 """
 
 from __future__ import annotations
@@ -16,24 +17,38 @@ from reviewloom.constants import MAX_PRODUCTS, MAX_REVIEWS
 from reviewloom.operators.ordering import number_rows, top_k
 
 LANES = 64
+# Three bigints a row: some 120 MB as a hash table.
+BROADCAST_PRODUCTS = 2_000_000
 
 
 # -- loading ------------------------------------------------------------------------------------
 
 def catalog_reviews(catalogs: DataFrame, products: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Reviews of all given catalogues with catalogue link, product order and the analysis columns.
+    """Reviews of all given catalogues with catalogue id, product order and the analysis columns.
 
-    Products without reviews add no rows. The order of a catalogue is (product_id, review_id).
+    Products without reviews add no rows. The order of a catalogue is (product_id, review_id). The
+    products are counted first: up to ``BROADCAST_PRODUCTS`` of them are broadcast, so the review
+    texts stay where they are; more are hashed partition by partition, so the texts are shuffled but
+    not sorted.
     """
-    owned = products.select("product_id", "product_article", "catalog_id").join(
-        catalogs.select("catalog_id", F.col("catalog_link").alias("catalog")), "catalog_id"
+    owned = products.select("product_article", "product_id", "catalog_id").join(
+        catalogs.select("catalog_id"), "catalog_id", "left_semi"
     )
-    return reviews.join(owned, "product_article").select(
-        "catalog", "product_id", "product_article", "rating", "text_plus", "text_comment", "text_all",
+    few = products.count() <= BROADCAST_PRODUCTS
+    side = F.broadcast(owned) if few else owned.hint("shuffle_hash")
+    return reviews.join(side, "product_article").select(
+        "catalog_id", "product_id", "product_article", "rating", "text_plus", "text_comment", "text_all",
         "review_id", "text_minus",
     )
 
 
+def with_catalog_link(results: DataFrame, catalogs: DataFrame) -> DataFrame:
+    """Replace ``catalog_id`` by the link, ``catalog``."""
+    links = catalogs.select("catalog_id", F.col("catalog_link").alias("catalog"))
+    rest = [c for c in results.columns if c != "catalog_id"]
+    return results.join(links, "catalog_id").select("catalog", *rest)
+
+
 # -- counts -------------------------------------------------------------------------------------
 
 def product_counts(catalogs: DataFrame, products: DataFrame) -> DataFrame:

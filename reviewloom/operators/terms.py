@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from reviewloom.constants import CATEGORIES, PARTS, RATINGS, RUSSIAN_STOP_WORDS, TOP_CLOUD, TOP_REPORT
 from reviewloom.functions import text as tx
 from reviewloom.operators.ordering import next_in_order, top_k
+from reviewloom.session import ready_checkpoints
 
 CELL = ("catalog", "rating")
 # Decimal digits of a place: part 1, product 13, review 14, position 10.
@@ -97,6 +98,9 @@ def bigram_rows(
     Pairs inside a part come from its array. With ``cross_review`` the last word of a part also pairs
     with the first word of the next part in order; ``crosses`` marks the pairs that lead from one kind
     of part into the next and therefore count for the whole review only.
+
+    First and last words are checkpointed: linking them samples its input for range slices, which
+    would otherwise tokenise all text once more.
     """
     inner = (
         tokens.select(*cell, "part", "place", "words", F.posexplode("words").alias("pos", "left"))
@@ -112,6 +116,7 @@ def bigram_rows(
     )
     if not cross_review:
         return inner
+    ready_checkpoints(tokens.sparkSession)
     last = F.size("words") - 1
     ends = tokens.select(
         *cell,
@@ -120,7 +125,7 @@ def bigram_rows(
         F.get("words", F.lit(0)).alias("first_word"),
         F.get("words", last).alias("last_word"),
         last.alias("last_pos"),
-    )
+    ).checkpoint()
     border = (
         next_in_order(ends, cell, ["place"], ["part", "first_word"], "following", slices)
         .filter(F.col("following").isNotNull())
@@ -178,7 +183,7 @@ def top_terms(counts: DataFrame, cell: Sequence[str] = (*CELL, "category"), k: i
 
 
 def cloud_terms(counts: DataFrame, cell: Sequence[str] = (*CELL, "category"), k: int = TOP_CLOUD) -> DataFrame:
-    """Top terms with ``weight``: the count relative to the largest one of the cell."""
+    """Top terms with ``weight``: the count relative to the largest one of the cell (at most ``k`` rows)."""
     top = top_terms(counts, cell, k)
     largest = F.max("n").over(Window.partitionBy(*cell))
     return top.withColumn("weight", F.col("n") / largest)

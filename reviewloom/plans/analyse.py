@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from reviewloom.constants import RUSSIAN_STOP_WORDS, TOP_CLOUD, TOP_REPORT
 from reviewloom.operators import terms
@@ -15,14 +16,24 @@ from reviewloom.operators.relate import catalog_reviews
 
 class Analysis(NamedTuple):
     counts_by_rating: DataFrame
-    top_words: DataFrame
     word_cloud: DataFrame
-    top_bigrams: DataFrame
     bigram_cloud: DataFrame
 
+    def top_words(self, k: int = TOP_REPORT) -> DataFrame:
+        return report_of(self.word_cloud, k)
+
+    def top_bigrams(self, k: int = TOP_REPORT) -> DataFrame:
+        return report_of(self.bigram_cloud, k)
+
+
+def report_of(cloud: DataFrame, k: int = TOP_REPORT) -> DataFrame:
+    """The report is the head of the cloud, so texts are counted once for both."""
+    return cloud.filter(F.col("rank") <= k).drop("weight")
+
 
 def load_reviews(catalogs: DataFrame, products: DataFrame, reviews: DataFrame) -> DataFrame:
-    return catalog_reviews(catalogs, products, reviews)
+    """Reviews of the given catalogues; ``catalog`` is the catalogue id."""
+    return catalog_reviews(catalogs, products, reviews).withColumnRenamed("catalog_id", "catalog")
 
 
 def word_counts(reviews: DataFrame, stop_words: Iterable[str] = RUSSIAN_STOP_WORDS) -> DataFrame:
@@ -38,18 +49,11 @@ def bigram_counts(
 
 
 def analyse(
-    reviews: DataFrame,
-    stop_words: Iterable[str] = RUSSIAN_STOP_WORDS,
-    top: int = TOP_REPORT,
-    cloud: int = TOP_CLOUD,
+    reviews: DataFrame, stop_words: Iterable[str] = RUSSIAN_STOP_WORDS, cloud: int = TOP_CLOUD
 ) -> Analysis:
     """All report tables of loaded reviews (``load_reviews``)."""
-    words = word_counts(reviews, stop_words)
-    bigrams = bigram_counts(reviews, stop_words)
     return Analysis(
         terms.rating_counts(reviews),
-        terms.top_terms(words, k=top),
-        terms.cloud_terms(words, k=cloud),
-        terms.top_terms(bigrams, k=top),
-        terms.cloud_terms(bigrams, k=cloud),
+        terms.cloud_terms(word_counts(reviews, stop_words), k=cloud),
+        terms.cloud_terms(bigram_counts(reviews, stop_words), k=cloud),
     )

@@ -17,12 +17,12 @@ from reviewloom.functions import keys, pages
 from reviewloom.functions import text as tx
 from reviewloom.operators import relate
 from reviewloom.operators.filters import drop_unrated
-from reviewloom.plans.analyse import analyse, load_reviews
-from reviewloom.sources.reports import analysis_rows, read_report, write_report
+from reviewloom.plans.analyse import analyse, load_reviews, report_of
+from reviewloom.sources.reports import analysis_rows, read_cloud, read_report, write_cloud, write_report
 from reviewloom.sources.store import FeedbackStore
 
 POSITIONS_PER_PAGE = 1_000_000
-ANALYSIS_ORDER = ["catalog", "df_index", "column", "rank"]
+ANALYSIS_ORDER = ["term_kind", "catalog", "df_index", "column", "rank"]
 
 
 def listed_links(listings: DataFrame, catalog: str, page: str, pattern: str, html: str = "html") -> DataFrame:
@@ -152,16 +152,24 @@ def collect_catalogs(
     return relate.collection_progress(store.read("catalogs"), store.read("products"), max_products)
 
 
-def analyse_catalogs(store: FeedbackStore, reports: str) -> None:
-    """Analyse every stored catalogue, write the report tables and ``analysis`` rows, set the flags."""
+def analyse_catalogs(store: FeedbackStore, results: str) -> None:
+    """Analyse every stored catalogue, write the result tables and ``analysis`` rows, set the flags.
+
+    ``<results>/cloud`` holds the top terms with weights, ``<results>/report`` its first ranks, and
+    ``<results>/rating_counts`` the reviews per rating.
+    """
     catalogs = store.read("catalogs")
-    loaded = load_reviews(catalogs, store.read("products"), store.read("reviews"))
-    result = analyse(loaded)
-    write_report(result.top_words, f"{reports}/words", "word")
-    write_report(result.top_bigrams, f"{reports}/bigrams", "bigram")
-    result.word_cloud.write.partitionBy("rating", "category").parquet(f"{reports}/word_cloud")
-    result.bigram_cloud.write.partitionBy("rating", "category").parquet(f"{reports}/bigram_cloud")
-    for kind in ("words", "bigrams"):
-        rows = read_report(store.spark, f"{reports}/{kind}")
-        store.append_numbered("analysis", analysis_rows(rows, keep=("catalog", "rank")), "id", ANALYSIS_ORDER)
+    result = analyse(load_reviews(catalogs, store.read("products"), store.read("reviews")))
+
+    def linked(frame: DataFrame) -> DataFrame:
+        return relate.with_catalog_link(frame.withColumnRenamed("catalog", "catalog_id"), catalogs)
+
+    linked(result.counts_by_rating).write.parquet(f"{results}/rating_counts")
+    for kind, cloud in (("word", result.word_cloud), ("bigram", result.bigram_cloud)):
+        write_cloud(linked(cloud), f"{results}/cloud", kind)
+    clouds = read_cloud(store.spark, f"{results}/cloud")
+    write_report(report_of(clouds), f"{results}/report")
+    report = read_report(store.spark, f"{results}/report")
+    rows = analysis_rows(report, keep=("catalog", "rank", "term_kind"))
+    store.append_numbered("analysis", rows, "id", ANALYSIS_ORDER)
     store.flag_catalogs(catalogs.select("catalog_id"), "analyzed")

@@ -92,15 +92,16 @@ def read_written_reviews(
     return numbered.select("catalog", "product_article", position.alias("review_pos"), *schema.names)
 
 
-def write_catalogs(catalog_rows: DataFrame, path: str, order: str = "listing") -> None:
-    """One folder per catalogue."""
+def write_catalogs(catalog_rows: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """One folder per catalogue; catalogues larger than ``rows_per_file`` get several chunks."""
     (
-        catalog_rows.repartition("catalog")
-        .sortWithinPartitions("catalog", order)
-        .drop(order)
+        catalog_rows.withColumn("chunk", F.floor(F.col("listing") / rows_per_file))
+        .repartition("catalog", "chunk")
+        .sortWithinPartitions("catalog", "chunk", "listing")
+        .drop("listing")
         .write.mode("errorifexists")
         .options(**WRITE)
-        .partitionBy("catalog")
+        .partitionBy("catalog", "chunk")
         .csv(path)
     )
 
@@ -108,9 +109,10 @@ def write_catalogs(catalog_rows: DataFrame, path: str, order: str = "listing") -
 def write_combined(reviews: DataFrame, path: str, files_per_catalog: int = 1) -> None:
     """All reviews of a catalogue as one table, without helper columns.
 
-    ``files_per_catalog`` = 1 gives the single file of small catalogues; raise it for large ones.
+    ``files_per_catalog`` = 1 gives the single file of small catalogues; raise it for large ones. The
+    rows are spread by product and position, so a large product is spread as well.
     """
-    lane = F.pmod(F.xxhash64("product_article"), F.lit(files_per_catalog))
+    lane = F.pmod(F.xxhash64("product_article", F.floor(F.col("review_pos") / 1000)), F.lit(files_per_catalog))
     (
         reviews.withColumn("_lane", lane)
         .repartition("catalog", "_lane")

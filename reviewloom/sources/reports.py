@@ -14,22 +14,40 @@ TERM_NAME = {"word": "Word", "bigram": "Bigram"}
 COUNT_NAME = {"word": "Top 10 Words (Category: {})", "bigram": "Top 10 Bigrams (Category: {})"}
 
 
-def write_report(top: DataFrame, path: str, kind: str) -> None:
+REPORT = "catalog string, rank int, term string, n bigint, term_kind string, rating int, category string"
+CLOUD = REPORT.replace("n bigint", "n bigint, weight double")
+
+
+# A catalogue has few rows in a cell, but there may be many catalogues.
+FILES_PER_CELL = 16
+
+
+def write_report(top: DataFrame, path: str) -> None:
     """One folder per kind of term, rating and category; a row holds catalogue, rank, term and count."""
+    _write(top, path, "errorifexists")
+
+
+def write_cloud(cloud: DataFrame, path: str, kind: str) -> None:
+    """Add the cloud of one kind of term to the cloud table."""
+    _write(cloud.withColumn("term_kind", F.lit(kind)), path, "append")
+
+
+def _write(top: DataFrame, path: str, mode: str) -> None:
     (
-        top.withColumn("term_kind", F.lit(kind))
-        .repartition("rating", "category")
-        .sortWithinPartitions("rating", "category", "catalog", "rank")
-        .write.mode("errorifexists")
+        top.repartition("term_kind", "rating", "category", F.pmod(F.xxhash64("catalog"), F.lit(FILES_PER_CELL)))
+        .sortWithinPartitions("term_kind", "rating", "category", "catalog", "rank")
+        .write.mode(mode)
         .partitionBy("term_kind", "rating", "category")
         .parquet(path)
     )
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(
-        "catalog string, rank int, term string, n bigint, term_kind string, rating int, category string"
-    ).parquet(path)
+    return spark.read.schema(REPORT).parquet(path)
+
+
+def read_cloud(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(CLOUD).parquet(path)
 
 
 def sheet(top: DataFrame, catalog: str, rating: int, category: str, kind: str) -> DataFrame:

@@ -198,7 +198,8 @@ def dedup_catalog(spark: SparkSession, folder: str) -> DataFrame:
 # -- relations ----------------------------------------------------------------------------------
 
 def load_catalog_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    return relate.catalog_reviews(*t.shop(spark, folder))
+    catalogs, products, orders = t.shop(spark, folder)
+    return relate.with_catalog_link(relate.catalog_reviews(catalogs, products, orders), catalogs)
 
 
 def analysis_projection(spark: SparkSession, folder: str) -> DataFrame:
@@ -395,10 +396,18 @@ def csv_roundtrip_multiline(spark: SparkSession, folder: str) -> DataFrame:
 
 def report_tables(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "report")
-    reports.write_report(terms.top_terms(analyse.word_counts(t.reviews(spark, folder), STOP_WORDS)), path, "word")
+    top = terms.top_terms(analyse.word_counts(t.reviews(spark, folder), STOP_WORDS))
+    reports.write_report(top.withColumn("term_kind", F.lit("word")), path)
     return reports.read_report(spark, path)
 
 
+def full_analysis(spark: SparkSession, folder: str) -> DataFrame:
+    """Both reports of the joint analysis, the bigrams after the words."""
+    result = analyse.analyse(t.reviews(spark, folder), STOP_WORDS)
+    words = result.top_words().withColumn("term_kind", F.lit("word"))
+    return words.unionByName(result.top_bigrams().withColumn("term_kind", F.lit("bigram")))
+
+
 def report_sheet(spark: SparkSession, folder: str) -> DataFrame:
     top = terms.top_terms(analyse.word_counts(t.reviews(spark, folder), STOP_WORDS))
     return reports.sheet(top, "en", 5, "Достоинства", "word")

@@ -87,14 +87,18 @@ def test_collect_then_analyse(spark, shop, tmp_path):
     assert store.read("reviews").count() == 7
     assert store.read("catalogs").filter("collected AND NOT analyzed").count() == 2
 
-    reports = str(tmp_path / "reports")
-    analyse_catalogs(store, reports)
+    results = str(tmp_path / "results")
+    analyse_catalogs(store, results)
     assert store.read("catalogs").filter("analyzed").count() == 2
-    words = read_report(spark, f"{reports}/words")
+    report = read_report(spark, f"{results}/report")
+    words = report.filter("term_kind = 'word'")
     assert [tuple(r) for r in sheet(words, SHOES, 2, "Недостатки", "word").collect()] == [(0, "текут", 1)]
     analysis = store.read("analysis")
-    bigrams = read_report(spark, f"{reports}/bigrams")
-    assert analysis.count() == words.count() + bigrams.count()
+    assert analysis.count() == report.count() > words.count() > 0
+    counts = spark.read.parquet(f"{results}/rating_counts")
+    assert {(r.catalog, r.rating): r.n for r in counts.filter("n > 0").collect()} == {
+        (SHOES, 1): 2, (SHOES, 2): 1, (SHOES, 4): 2, (SHOES, 5): 2,
+    }
     assert analysis.select("id").distinct().count() == analysis.count()
     assert analysis.filter(F.col("word") == "отличные кеды").count() == 2
 

@@ -56,18 +56,18 @@ def cells_of(df):
 
 @pytest.fixture(scope="module")
 def analysis(spark):
-    return analyse(spark.createDataFrame(random_reviews(), SCHEMA).repartition(6), top=4, cloud=30)
+    return analyse(spark.createDataFrame(random_reviews(), SCHEMA).repartition(6), cloud=30)
 
 
 def test_words_match_counter(analysis):
     rows = random_reviews()
-    assert cells_of(analysis.top_words) == expected_cells(rows, 4, pairs=False)
+    assert cells_of(analysis.top_words(4)) == expected_cells(rows, 4, pairs=False)
     assert cells_of(analysis.word_cloud) == expected_cells(rows, 30, pairs=False)
 
 
 def test_bigrams_match_counter(analysis):
     rows = random_reviews()
-    assert cells_of(analysis.top_bigrams) == expected_cells(rows, 4, pairs=True)
+    assert cells_of(analysis.top_bigrams(4)) == expected_cells(rows, 4, pairs=True)
     assert cells_of(analysis.bigram_cloud) == expected_cells(rows, 30, pairs=True)
 
 
