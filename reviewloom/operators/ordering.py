@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from reviewloom.session import ready_checkpoints, shuffle_width
 
 
+# Several slices per shuffle partition even out how many of them meet in one task.
+SLICES_PER_TASK = 4
+
+
 def top_k(
     df: DataFrame,
     group: Sequence[str],
@@ -58,7 +62,7 @@ def next_in_order(
     at most two per slice and group, are then linked by a second window; the other rows stay
     spread over their slices.
     """
-    slices = slices or shuffle_width(df.sparkSession)
+    slices = slices or SLICES_PER_TASK * shuffle_width(df.sparkSession)
     carried = F.struct(*carry)
     in_slice = Window.partitionBy("_slice", *group).orderBy(*order)
     across = Window.partitionBy("_lane", *group).orderBy(*order)

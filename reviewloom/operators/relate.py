@@ -59,6 +59,12 @@ def product_counts(catalogs: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+def product_count(products: DataFrame, catalog_id: int | None) -> DataFrame:
+    """One row with the number of products of a catalogue; 0 for an unknown (NULL) catalogue."""
+    own = products.filter(F.col("catalog_id").eqNullSafe(F.lit(catalog_id)))
+    return own.agg(F.count(F.lit(1)).alias("n_products"))
+
+
 def collection_progress(catalogs: DataFrame, products: DataFrame, target: int = MAX_PRODUCTS) -> DataFrame:
     """``(catalog_id, n_done, n_target, complete)``."""
     return product_counts(catalogs, products).select(

@@ -18,6 +18,7 @@ from reviewloom.functions import text as tx
 from reviewloom.operators import relate
 from reviewloom.operators.filters import drop_unrated
 from reviewloom.plans.analyse import analyse, load_reviews, report_of
+from reviewloom.session import ready_checkpoints
 from reviewloom.sources.reports import analysis_rows, read_cloud, read_report, write_cloud, write_report
 from reviewloom.sources.store import FeedbackStore
 
@@ -97,14 +98,16 @@ def collected(
 
     ``picks`` (catalog_id, product_article, position) says which products are collected. The
     reviews of a product are its own, or those of all its variants when it has few. A product without
-    a variant group is a group of its own.
+    a variant group is a group of its own. The reviews are checkpointed, so pages are read once for
+    the counts, the numbering and the store.
     """
+    ready_checkpoints(reviews.sparkSession)
     rated = picks.join(products, "product_article")
     grouped = reviews.withColumn(
         "variant_group", F.coalesce("variant_group", -F.col("product_article") - 1)
     )
     shown = relate.reviews_in_scope(grouped, "product_article", "variant_group", ["product_article", "review_pos"], max_reviews)
-    taken = shown.join(rated.select("product_article", "catalog_id", "position"), "product_article")
+    taken = shown.join(rated.select("product_article", "catalog_id", "position"), "product_article").checkpoint()
     counted = relate.review_counts(taken, cap=max_reviews)
     new_products = rated.join(counted, "product_article", "left").withColumn(
         "count_reviews", F.coalesce("count_reviews", F.lit(0))

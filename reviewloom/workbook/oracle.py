@@ -147,6 +147,13 @@ IDENTICAL = """sets AS (
     FROM documents)"""
 
 
+FIRST_FILES = """kept AS (
+    SELECT product_article FROM (
+        SELECT doc_id AS product_article,
+          row_number() OVER (PARTITION BY lang, text ORDER BY CAST(doc_id AS VARCHAR) || '.csv') AS place FROM documents)
+    WHERE place = 1)"""
+
+
 def picks(catalog: str, listings: str, stored: str, target: int) -> str:
     return f"""
     SELECT {catalog}, product_article, position, CAST(pick AS INTEGER) AS pick
@@ -220,6 +227,17 @@ SQL: dict[str, str] = {
     "dedup_catalog": _with(IDENTICAL) + """
         SELECT doc_id AS product_article, lang AS catalog, source, n_chars FROM documents
         WHERE doc_id IN (SELECT kept FROM sets)""",
+    "clean_catalog_rows": _with(RATED, FIRST_FILES) + f"""
+        SELECT product_article, product_rating, count_reviews, catalog
+        FROM (SELECT r.*, doc_id AS product_article, lang AS catalog FROM rated r JOIN documents USING (doc_id))
+        JOIN kept USING (product_article)
+        WHERE product_rating IS DISTINCT FROM {_text(UNRATED)} AND count_reviews IS DISTINCT FROM 0""",
+    "clean_review_rows": _with(FIRST_FILES) + """
+        SELECT catalog, product_article, review_pos, CAST(length(line) % 5 + 1 AS INTEGER) AS review_rating, line AS review_text
+        FROM (SELECT lang AS catalog, doc_id AS product_article, unnest(lines) AS line,
+                     CAST(generate_subscripts(lines, 1) - 1 AS INTEGER) AS review_pos
+              FROM (SELECT *, string_split(text, chr(10)) AS lines FROM documents))
+        JOIN kept USING (product_article)""",
     "load_catalog_reviews": _with(SHOP) + """
         SELECT catalog_link AS catalog, product_id, product_article, rating, text_plus, text_comment, text_all, review_id, text_minus
         FROM catalogs JOIN products USING (catalog_id) JOIN shop_reviews USING (product_article)""",
@@ -235,6 +253,9 @@ SQL: dict[str, str] = {
     "product_counts": _with(SHOP) + """
         SELECT catalog_id, count(product_id) AS n_products
         FROM catalogs LEFT JOIN (SELECT * FROM products WHERE catalog_id % 5 <> 0) USING (catalog_id) GROUP BY ALL""",
+    "product_count": """
+        SELECT count(*) AS n_products, '7' AS asked FROM customer WHERE c_nationkey = 7
+        UNION ALL SELECT count(*), 'unknown' FROM customer WHERE c_nationkey IS NULL""",
     "collection_progress": _with(SHOP) + """
         SELECT catalog_id, count(product_id) AS n_done, CAST(60 AS BIGINT) AS n_target, count(product_id) >= 60 AS complete
         FROM catalogs LEFT JOIN products USING (catalog_id) GROUP BY ALL""",
@@ -330,6 +351,31 @@ SQL: dict[str, str] = {
                    CAST(regexp_extract(url, '/(\\d+)', 1) AS BIGINT) AS product_article FROM pages),
         stored AS (SELECT p_partkey AS product_article, 'www.example.com' AS site FROM part WHERE p_partkey % 7 = 0)"""
         + picks("site", "entries", "stored", 5),
+    "collect_pages": f"""
+        WITH entries AS (
+            SELECT regexp_extract(url, '//([^/]+)/', 1) AS catalog_link, page_id, html,
+                   CAST(regexp_extract(url, '/(\\d+)', 1) AS BIGINT) AS product_article FROM pages),
+        catalogs AS (
+            SELECT catalog_link, row_number() OVER (ORDER BY min(page_id), catalog_link) AS catalog_id
+            FROM entries GROUP BY catalog_link),
+        listed AS (SELECT catalog_id, product_article, page_id AS position FROM entries JOIN catalogs USING (catalog_link)),
+        none AS (SELECT catalog_id, product_article FROM listed WHERE false),
+        picked AS ({picks("catalog_id", "listed", "none", 3)}),
+        own AS (
+            SELECT product_article, min(page_id) AS page_id, arg_min(html, page_id) AS html FROM entries GROUP BY product_article),
+        products AS (
+            SELECT row_number() OVER (ORDER BY catalog_id, position, product_article) AS product_id, product_article, catalog_id,
+                   {visible(f"regexp_extract(html, '{TITLE}', 1)")} AS name,
+                   CAST('4.' || page_id % 10 AS DOUBLE) AS product_rating,
+                   regexp_extract_all(html, '{PARAGRAPH}', 1)[1:8] AS items
+            FROM picked JOIN own USING (product_article)),
+        reviews AS (
+            SELECT product_article, row_number() OVER (ORDER BY product_id, place) AS review_id, {visible("item")} AS text_all
+            FROM (SELECT product_article, product_id, unnest(items) AS item, generate_subscripts(items, 1) AS place FROM products))
+        SELECT product_article, catalog_id, product_id, name, product_rating, CAST(len(items) AS INTEGER) AS count_reviews,
+               catalog_link, true AS collected, false AS analyzed,
+               review_id, CASE WHEN review_id IS NOT NULL THEN CAST(3 AS INTEGER) END AS rating, text_all
+        FROM products JOIN catalogs USING (catalog_id) LEFT JOIN reviews USING (product_article)""",
     "csv_roundtrip_multiline": """
         SELECT role AS catalog, conv_id // 100 AS product_article,
           row_number() OVER (PARTITION BY role, conv_id // 100 ORDER BY conv_id, turn) - 1 AS review_pos,

@@ -10,6 +10,7 @@ from reviewloom.functions import keys, pages
 from reviewloom.functions import text as tx
 from reviewloom.operators import dedup, filters, ordering, relate, terms
 from reviewloom.plans import analyse, collect
+from reviewloom.plans.clean import Cleaned, clean_catalogs
 from reviewloom.schemas import PROCESSED_REVIEW_CSV
 from reviewloom.session import scratch_path, spread
 from reviewloom.sources import csv_tree, reports
@@ -195,6 +196,33 @@ def dedup_catalog(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.drop_keys(catalog, dropped, ["product_article"])
 
 
+def _cleaned(spark: SparkSession, folder: str) -> Cleaned:
+    """Documents as products: rating and review count of the catalogue, lines as reviews, one file each."""
+    languages = t.table(spark, folder, "documents").select("doc_id", F.col("lang").alias("catalog"))
+    catalogs = _rated_documents(spark, folder).join(languages, "doc_id").withColumnRenamed("doc_id", "product_article")
+    reviews = t.document_lines(spark, folder).select(
+        "catalog",
+        "product_article",
+        "review_pos",
+        (F.length("line") % 5 + 1).alias("review_rating"),
+        F.col("line").alias("review_text"),
+        F.lit(None).cast("string").alias("review_text_plus"),
+        F.lit(None).cast("string").alias("review_text_minus"),
+    )
+    files = languages.select(
+        "catalog", F.col("doc_id").alias("product_article"), F.concat(F.col("doc_id").cast("string"), F.lit(".csv")).alias("file_name")
+    )
+    return clean_catalogs(catalogs, reviews, files)
+
+
+def clean_catalog_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _cleaned(spark, folder).catalogs
+
+
+def clean_review_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _cleaned(spark, folder).reviews.select("catalog", "product_article", "review_pos", "review_rating", "review_text")
+
+
 # -- relations ----------------------------------------------------------------------------------
 
 def load_catalog_reviews(spark: SparkSession, folder: str) -> DataFrame:
@@ -231,6 +259,12 @@ def product_counts(spark: SparkSession, folder: str) -> DataFrame:
     return relate.product_counts(catalogs, products.filter("catalog_id % 5 <> 0"))
 
 
+def product_count(spark: SparkSession, folder: str) -> DataFrame:
+    products = t.shop(spark, folder)[1]
+    known = relate.product_count(products, 7).withColumn("asked", F.lit("7"))
+    return known.unionByName(relate.product_count(products, None).withColumn("asked", F.lit("unknown")))
+
+
 def collection_progress(spark: SparkSession, folder: str) -> DataFrame:
     catalogs, products, _ = t.shop(spark, folder)
     return relate.collection_progress(catalogs, products, target=60)
@@ -374,6 +408,44 @@ def crawl_frontier(spark: SparkSession, folder: str) -> DataFrame:
     return relate.select_new_products(found, stored, "site", target=5)
 
 
+def collect_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Collect products from pages into a store: site = catalogue, heading = name, paragraphs = reviews."""
+    captured = spread(t.table(spark, folder, "pages")).select(
+        F.regexp_extract("url", "//([^/]+)/", 1).alias("catalog_link"),
+        "page_id",
+        keys.article_or_null(F.col("url"), r"/(\d+)").alias("product_article"),
+        "html",
+    )
+    listings = captured.select(
+        "catalog_link", F.col("page_id").alias("page"), F.format_string('<a href="/catalog/%d/">', "product_article").alias("html")
+    )
+    own_page = captured.groupBy("product_article").agg(F.min("page_id").alias("page_id"))
+    pages_of = captured.join(own_page, ["product_article", "page_id"], "left_semi")
+    mark = F.format_string('<span id="productNmId">%d</span><b class="rating">4,%d</b>', "product_article", F.col("page_id") % 10)
+    products = pages_of.select("product_article", F.concat(mark, "html").alias("html"))
+    starred = F.regexp_replace("html", "<p>", '<p><i class="stars-line star3"></i>')
+    feedbacks = pages_of.select("product_article", F.lit(None).cast("bigint").alias("variant_group"), starred.alias("html"))
+    links = captured.groupBy("catalog_link").agg(F.min("page_id").alias("link_order"))
+    patterns = pages.PagePatterns(
+        link=r'href="([^"]+)"',
+        title=PAGE_PATTERNS.title,
+        rating=r'<b class="rating">(.*?)</b>',
+        review_list=r"(?s)^(.*)$",
+        review_item=PAGE_PATTERNS.review_item,
+        review_text=r"(?s)^(.*)$",
+        review_stars=r'<i class="(stars-line[^"]*)"',
+    )
+    store = FeedbackStore(spark, scratch_path(spark, "shop"))
+    collect.collect_catalogs(store, listings, products, feedbacks, links, patterns, max_products=3, max_reviews=8)
+    stored = store.read("products").select(
+        "product_id", "product_article", "catalog_id", "name", F.col("rating").alias("product_rating"), "count_reviews"
+    )
+    flags = store.read("catalogs").select("catalog_id", "catalog_link", "collected", "analyzed")
+    return stored.join(flags, "catalog_id").join(
+        store.read("reviews").select("review_id", "product_article", "rating", "text_all"), "product_article", "left"
+    )
+
+
 # -- sources and sinks --------------------------------------------------------------------------
 
 def csv_roundtrip_multiline(spark: SparkSession, folder: str) -> DataFrame:
