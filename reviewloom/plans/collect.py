@@ -98,11 +98,11 @@ def collected(
 
     ``picks`` (catalog_id, product_article, position) says which products are collected. The
     reviews of a product are its own, or those of all its variants when it has few. A product without
-    a variant group is a group of its own. The reviews are checkpointed, so pages are read once for
-    the counts, the numbering and the store.
+    a variant group is a group of its own. Picked products and their reviews are checkpointed, so pages
+    are read once for the counts, the numbering and the store.
     """
     ready_checkpoints(reviews.sparkSession)
-    rated = picks.join(products, "product_article")
+    rated = picks.join(products, "product_article").checkpoint()
     grouped = reviews.withColumn(
         "variant_group", F.coalesce("variant_group", -F.col("product_article") - 1)
     )
