@@ -11,7 +11,7 @@ from reviewloom.workbook.queries import all_queries
 
 HEADLINE = [
     "top_words_by_lang", "top_words_rating_category", "top_bigrams_by_lang", "top_bigrams_rating_category",
-    "word_cloud_weights", "rating_counts_grid", "split_review_parts", "stop_words_removed", "identical_review_sets",
+    "word_cloud_weights", "full_analysis", "rating_counts_grid", "split_review_parts", "stop_words_removed", "identical_review_sets",
     "dedup_catalog", "load_catalog_reviews", "quota_selection", "cap_reviews", "adaptive_scope", "integrity_report",
     "flag_update", "surrogate_keys", "page_links", "page_reviews", "csv_roundtrip_multiline",
 ]

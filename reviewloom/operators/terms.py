@@ -98,24 +98,56 @@ def bigram_rows(
     Pairs inside a part come from its array. With ``cross_review`` the last word of a part also pairs
     with the first word of the next part in order; ``crosses`` marks the pairs that lead from one kind
     of part into the next and therefore count for the whole review only.
-
-    First and last words are checkpointed: linking them samples its input for range slices, which
-    would otherwise tokenise all text once more.
     """
     inner = (
-        tokens.select(*cell, "part", "place", "words", F.posexplode("words").alias("pos", "left"))
-        .withColumn("right", F.get("words", F.col("pos") + 1))
+        _neighbours(tokens, cell)
         .filter(F.col("right").isNotNull())
-        .select(
-            *cell,
-            "part",
-            F.lit(False).alias("crosses"),
-            _plus(F.col("place"), F.col("pos")).alias("place"),
-            F.concat_ws(" ", "left", "right").alias("term"),
-        )
+        .select(*cell, "part", "crosses", "place", F.concat_ws(" ", "left", "right").alias("term"))
+    )
+    return inner.unionByName(border_bigrams(tokens, cell, slices)) if cross_review else inner
+
+
+def word_and_bigram_rows(
+    tokens: DataFrame, cell: Sequence[str] = CELL, cross_review: bool = True, slices: int | None = None
+) -> DataFrame:
+    """Words and bigrams from one pass over the tokens: the rows of both with ``term_kind``."""
+    kinds = F.array(
+        F.struct(F.lit("word").alias("term_kind"), F.col("left").alias("term")),
+        F.struct(
+            F.lit("bigram").alias("term_kind"),
+            F.when(F.col("right").isNotNull(), F.concat_ws(" ", "left", "right")).alias("term"),
+        ),
+    )
+    inner = (
+        _neighbours(tokens, cell)
+        .select(*cell, "part", "crosses", "place", F.explode(kinds).alias("k"))
+        .filter(F.col("k.term").isNotNull())
+        .select(*cell, "k.term_kind", "part", "crosses", "place", "k.term")
     )
     if not cross_review:
         return inner
+    border = border_bigrams(tokens, cell, slices).withColumn("term_kind", F.lit("bigram"))
+    return inner.unionByName(border)
+
+
+def _neighbours(tokens: DataFrame, cell: Sequence[str]) -> DataFrame:
+    """One row per token, ``left``, with the token behind it in the same part, ``right``."""
+    return tokens.select(*cell, "part", "place", "words", F.posexplode("words").alias("pos", "left")).select(
+        *cell,
+        "part",
+        F.lit(False).alias("crosses"),
+        _plus(F.col("place"), F.col("pos")).alias("place"),
+        "left",
+        F.get("words", F.col("pos") + 1).alias("right"),
+    )
+
+
+def border_bigrams(tokens: DataFrame, cell: Sequence[str] = CELL, slices: int | None = None) -> DataFrame:
+    """Pairs of the last word of a part and the first word of the next one.
+
+    First and last words are checkpointed: linking them samples its input for range slices, which
+    would otherwise tokenise all text once more.
+    """
     ready_checkpoints(tokens.sparkSession)
     last = F.size("words") - 1
     ends = tokens.select(
@@ -126,7 +158,7 @@ def bigram_rows(
         F.get("words", last).alias("last_word"),
         last.alias("last_pos"),
     ).checkpoint()
-    border = (
+    return (
         next_in_order(ends, cell, ["place"], ["part", "first_word"], "following", slices)
         .filter(F.col("following").isNotNull())
         .select(
@@ -137,7 +169,6 @@ def bigram_rows(
             F.concat_ws(" ", "last_word", "following.first_word").alias("term"),
         )
     )
-    return inner.unionByName(border)
 
 
 def term_counts(

@@ -15,19 +15,17 @@ from reviewloom.operators.relate import catalog_reviews
 
 
 class Analysis(NamedTuple):
-    counts_by_rating: DataFrame
-    word_cloud: DataFrame
-    bigram_cloud: DataFrame
+    """``cloud`` holds the top words and bigrams (``term_kind``) with weights; its head is the report."""
 
-    def top_words(self, k: int = TOP_REPORT) -> DataFrame:
-        return report_of(self.word_cloud, k)
+    counts_by_rating: DataFrame
+    cloud: DataFrame
 
-    def top_bigrams(self, k: int = TOP_REPORT) -> DataFrame:
-        return report_of(self.bigram_cloud, k)
+    def report(self, k: int = TOP_REPORT) -> DataFrame:
+        return report_of(self.cloud, k)
 
 
 def report_of(cloud: DataFrame, k: int = TOP_REPORT) -> DataFrame:
-    """The report is the head of the cloud, so texts are counted once for both."""
+    """The first ranks of a cloud, so that texts are counted once for both."""
     return cloud.filter(F.col("rank") <= k).drop("weight")
 
 
@@ -51,9 +49,11 @@ def bigram_counts(
 def analyse(
     reviews: DataFrame, stop_words: Iterable[str] = RUSSIAN_STOP_WORDS, cloud: int = TOP_CLOUD
 ) -> Analysis:
-    """All report tables of loaded reviews (``load_reviews``)."""
-    return Analysis(
-        terms.rating_counts(reviews),
-        terms.cloud_terms(word_counts(reviews, stop_words), k=cloud),
-        terms.cloud_terms(bigram_counts(reviews, stop_words), k=cloud),
-    )
+    """Counts per rating and the clouds of loaded reviews (``load_reviews``).
+
+    Words and bigrams share the tokens, one aggregation and one ranking.
+    """
+    tokens = terms.part_tokens(terms.review_parts(rated_reviews(reviews)), stop_words=stop_words)
+    kind_cell = [*terms.CELL, "term_kind"]
+    counts = terms.term_counts(terms.word_and_bigram_rows(tokens), kind_cell)
+    return Analysis(terms.rating_counts(reviews), terms.cloud_terms(counts, [*kind_cell, "category"], cloud))

@@ -168,8 +168,7 @@ def analyse_catalogs(store: FeedbackStore, results: str) -> None:
         return relate.with_catalog_link(frame.withColumnRenamed("catalog", "catalog_id"), catalogs)
 
     linked(result.counts_by_rating).write.parquet(f"{results}/rating_counts")
-    for kind, cloud in (("word", result.word_cloud), ("bigram", result.bigram_cloud)):
-        write_cloud(linked(cloud), f"{results}/cloud", kind)
+    write_cloud(linked(result.cloud), f"{results}/cloud")
     clouds = read_cloud(store.spark, f"{results}/cloud")
     write_report(report_of(clouds), f"{results}/report")
     report = read_report(store.spark, f"{results}/report")

@@ -24,19 +24,19 @@ FILES_PER_CELL = 16
 
 def write_report(top: DataFrame, path: str) -> None:
     """One folder per kind of term, rating and category; a row holds catalogue, rank, term and count."""
-    _write(top, path, "errorifexists")
+    _write(top, path)
 
 
-def write_cloud(cloud: DataFrame, path: str, kind: str) -> None:
-    """Add the cloud of one kind of term to the cloud table."""
-    _write(cloud.withColumn("term_kind", F.lit(kind)), path, "append")
+def write_cloud(cloud: DataFrame, path: str) -> None:
+    """The same layout with weights."""
+    _write(cloud, path)
 
 
-def _write(top: DataFrame, path: str, mode: str) -> None:
+def _write(top: DataFrame, path: str) -> None:
     (
         top.repartition("term_kind", "rating", "category", F.pmod(F.xxhash64("catalog"), F.lit(FILES_PER_CELL)))
         .sortWithinPartitions("term_kind", "rating", "category", "catalog", "rank")
-        .write.mode(mode)
+        .write.mode("errorifexists")
         .partitionBy("term_kind", "rating", "category")
         .parquet(path)
     )

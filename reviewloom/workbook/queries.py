@@ -474,10 +474,8 @@ def report_tables(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def full_analysis(spark: SparkSession, folder: str) -> DataFrame:
-    """Both reports of the joint analysis, the bigrams after the words."""
-    result = analyse.analyse(t.reviews(spark, folder), STOP_WORDS)
-    words = result.top_words().withColumn("term_kind", F.lit("word"))
-    return words.unionByName(result.top_bigrams().withColumn("term_kind", F.lit("bigram")))
+    """Words and bigrams of the joint analysis."""
+    return analyse.analyse(t.reviews(spark, folder), STOP_WORDS).report()
 
 
 def report_sheet(spark: SparkSession, folder: str) -> DataFrame:

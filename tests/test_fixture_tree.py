@@ -81,8 +81,8 @@ def test_top_terms(spark):
         rows = df.filter((F.col("rating") == rating) & (F.col("category") == category)).orderBy("rank").limit(n).collect()
         return [f"{r.term} {r.n}" for r in rows]
 
-    words = result.top_words().persist()
-    pairs = result.top_bigrams().persist()
+    report = result.report().persist()
+    words, pairs = report.filter("term_kind = 'word'"), report.filter("term_kind = 'bigram'")
     assert top(words, 5, plus, 5) == ["размер 154", "очень 147", "удобные 129", "кроссовки 105", "хорошие 104"]
     assert top(words, 5, minus, 5) == ["пока 24", "нету 17", "маломерят 16", "размер 14", "недостатков 11"]
     assert top(words, 5, whole, 5) == ["размер 283", "очень 282", "удобные 177", "кроссовки 173", "хорошие 168"]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.constants import CATEGORIES, PUNCTUATION, RUSSIAN_STOP_WORDS
 from reviewloom.operators import terms
-from reviewloom.plans.analyse import analyse
+from reviewloom.plans.analyse import analyse, bigram_counts, word_counts
 
 SCHEMA = """catalog string, product_id bigint, review_id bigint, rating int, text_plus string, text_minus string,
             text_comment string"""
@@ -61,18 +61,25 @@ def analysis(spark):
 
 def test_words_match_counter(analysis):
     rows = random_reviews()
-    assert cells_of(analysis.top_words(4)) == expected_cells(rows, 4, pairs=False)
-    assert cells_of(analysis.word_cloud) == expected_cells(rows, 30, pairs=False)
+    assert cells_of(analysis.report(4).filter("term_kind = 'word'")) == expected_cells(rows, 4, pairs=False)
+    assert cells_of(analysis.cloud.filter("term_kind = 'word'")) == expected_cells(rows, 30, pairs=False)
 
 
 def test_bigrams_match_counter(analysis):
     rows = random_reviews()
-    assert cells_of(analysis.top_bigrams(4)) == expected_cells(rows, 4, pairs=True)
-    assert cells_of(analysis.bigram_cloud) == expected_cells(rows, 30, pairs=True)
+    assert cells_of(analysis.report(4).filter("term_kind = 'bigram'")) == expected_cells(rows, 4, pairs=True)
+    assert cells_of(analysis.cloud.filter("term_kind = 'bigram'")) == expected_cells(rows, 30, pairs=True)
+
+
+def test_separate_counts_match_counter(spark):
+    rows = random_reviews()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    assert cells_of(terms.top_terms(word_counts(df), k=5)) == expected_cells(rows, 5, pairs=False)
+    assert cells_of(terms.top_terms(bigram_counts(df), k=5)) == expected_cells(rows, 5, pairs=True)
 
 
 def test_weights(analysis):
-    for r in analysis.word_cloud.filter("rank = 1").collect():
+    for r in analysis.cloud.filter("rank = 1").collect():
         assert r.weight == 1.0
 
 
