@@ -9,10 +9,12 @@ Pages are captured outside Spark. Three tables come in:
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.constants import MAX_PRODUCTS, MAX_REVIEWS
+from reviewloom.constants import MAX_PRODUCTS, MAX_REVIEWS, RUSSIAN_STOP_WORDS
 from reviewloom.functions import keys, pages
 from reviewloom.functions import text as tx
 from reviewloom.operators import relate
@@ -155,14 +157,16 @@ def collect_catalogs(
     return relate.collection_progress(store.read("catalogs"), store.read("products"), max_products)
 
 
-def analyse_catalogs(store: FeedbackStore, results: str) -> None:
+def analyse_catalogs(
+    store: FeedbackStore, results: str, stop_words: Iterable[str] = RUSSIAN_STOP_WORDS
+) -> None:
     """Analyse every stored catalogue, write the result tables and ``analysis`` rows, set the flags.
 
     ``<results>/cloud`` holds the top terms with weights, ``<results>/report`` its first ranks, and
     ``<results>/rating_counts`` the reviews per rating.
     """
     catalogs = store.read("catalogs")
-    result = analyse(load_reviews(catalogs, store.read("products"), store.read("reviews")))
+    result = analyse(load_reviews(catalogs, store.read("products"), store.read("reviews")), stop_words)
 
     def linked(frame: DataFrame) -> DataFrame:
         return relate.with_catalog_link(frame.withColumnRenamed("catalog", "catalog_id"), catalogs)

@@ -76,20 +76,18 @@ def read_written_reviews(
     spark: SparkSession, path: str, schema: T.StructType = RAW_REVIEW_CSV, rows_per_file: int = ROWS_PER_FILE
 ) -> DataFrame:
     """Read what :func:`write_reviews` wrote, ``review_pos`` included."""
-    keys = [
-        T.StructField("catalog", T.StringType()),
-        T.StructField("product_article", T.LongType()),
-        T.StructField("chunk", T.LongType()),
-    ]
-    rows = (
-        spark.read.options(**READ)
-        .schema(T.StructType([*schema.fields, *keys]))
-        .csv(path)
-        .withColumn("_at", F.monotonically_increasing_id())
-    )
-    numbered = _numbered(rows, ["catalog", "product_article", "chunk"], "_pos")
+    keys = [T.StructField("catalog", T.StringType()), T.StructField("product_article", T.LongType())]
+    rows = _read_chunks(spark, path, schema, keys)
     position = F.col("chunk") * rows_per_file + F.col("_pos")
-    return numbered.select("catalog", "product_article", position.alias("review_pos"), *schema.names)
+    return rows.select("catalog", "product_article", position.alias("review_pos"), *schema.names)
+
+
+def _read_chunks(spark: SparkSession, path: str, schema: T.StructType, keys: list[T.StructField]) -> DataFrame:
+    """Rows of a written tree with their chunk and their position in it, ``_pos``."""
+    folders = [*keys, T.StructField("chunk", T.LongType())]
+    rows = spark.read.options(**READ).schema(T.StructType([*schema.fields, *folders])).csv(path)
+    placed = rows.withColumn("_at", F.monotonically_increasing_id())
+    return _numbered(placed, [f.name for f in folders], "_pos")
 
 
 def write_catalogs(catalog_rows: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
@@ -106,6 +104,15 @@ def write_catalogs(catalog_rows: DataFrame, path: str, rows_per_file: int = ROWS
     )
 
 
+def read_written_catalogs(
+    spark: SparkSession, path: str, schema: T.StructType = CATALOG_CSV, rows_per_file: int = ROWS_PER_FILE
+) -> DataFrame:
+    """Read what :func:`write_catalogs` wrote; ``listing`` keeps the order."""
+    rows = _read_chunks(spark, path, schema, [T.StructField("catalog", T.StringType())])
+    listing = F.col("chunk") * rows_per_file + F.col("_pos")
+    return rows.select("catalog", listing.alias("listing"), *schema.names)
+
+
 def write_combined(reviews: DataFrame, path: str, files_per_catalog: int = 1) -> None:
     """All reviews of a catalogue as one table, without helper columns.
 

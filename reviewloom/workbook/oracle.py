@@ -383,6 +383,24 @@ SQL: dict[str, str] = {
           CAST(NULL AS VARCHAR) AS review_text_plus,
           ' "' || role || '",' || chr(10) AS review_text_minus, '\\' AS review_text_comment
         FROM conversations""",
+    "catalog_csv_roundtrip": """
+        SELECT p_brand AS catalog, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS listing,
+          p_partkey AS product_article, p_name || ', "new"' AS product_name,
+          (p_size % 5) || ',' || (p_size % 10) AS product_rating, p_size AS count_reviews FROM part""",
+    "combined_reviews": f"""
+        SELECT catalog, review_rating, review_text, text_plus AS review_text_plus, text_minus AS review_text_minus,
+               nullif(text_comment, '') AS review_text_comment
+        FROM (SELECT role AS catalog, CAST(turn AS INTEGER) AS review_rating, text AS review_text, {split_parts("text")}
+              FROM conversations)""",
+    "stored_analysis": _with(
+        *SPLIT_REVIEWS, PARTS, TOKENS, WORDS, COUNTS, ranked(CELL, 10),
+        BIGRAMS.replace("terms AS", "pairs AS"), COUNTS.replace("counts AS", "pair_counts AS").replace("FROM terms", "FROM pairs"),
+        ranked(CELL, 10).replace("top AS", "pair_top AS").replace("FROM counts", "FROM pair_counts"),
+    ) + """
+        SELECT row_number() OVER (ORDER BY term_kind, catalog, CAST(rating AS VARCHAR), category, rank) AS id, term AS word,
+               CAST(n AS DOUBLE) AS frequency, CAST(rating AS VARCHAR) AS df_index, category AS "column"
+        FROM (SELECT *, 'word' AS term_kind FROM top UNION ALL SELECT *, 'bigram' FROM pair_top)
+        UNION ALL SELECT 0, 'analyzed', CAST(count(DISTINCT lang) AS DOUBLE), '', '' FROM documents""",
     "report_tables": _with(*ALL_WORDS, ranked(CELL, 10)) + """
         SELECT catalog, rank, term, n, 'word' AS term_kind, rating, category FROM top""",
     "full_analysis": "SELECT *, 'word' AS term_kind FROM (" + _with(*ALL_WORDS, ranked(CELL, 10))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from reviewloom.constants import UNRATED
 from reviewloom.functions import keys, pages
@@ -466,6 +467,58 @@ def csv_roundtrip_multiline(spark: SparkSession, folder: str) -> DataFrame:
     return csv_tree.read_written_reviews(spark, path, PROCESSED_REVIEW_CSV, rows_per_file=1000)
 
 
+def catalog_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts as catalogue rows by brand, written in chunks and read back in their order."""
+    rows = t.table(spark, folder, "part").select(
+        F.col("p_brand").alias("catalog"),
+        F.col("p_partkey").alias("product_article"),
+        F.concat(F.col("p_name"), F.lit(', "new"')).alias("product_name"),
+        F.format_string("%d,%d", F.col("p_size") % 5, F.col("p_size") % 10).alias("product_rating"),
+        F.col("p_size").alias("count_reviews"),
+    )
+    path = scratch_path(spark, "catalogs")
+    listed = ordering.dense_positions(rows, ["catalog"], ["product_article"], "listing")
+    csv_tree.write_catalogs(listed, path, rows_per_file=1000)
+    return csv_tree.read_written_catalogs(spark, path, rows_per_file=1000)
+
+
+def combined_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """All turns of a role as one table without helper columns."""
+    turns = t.conversations(spark, folder).select(
+        "catalog",
+        F.col("product_id").alias("product_article"),
+        F.col("review_id").alias("review_pos"),
+        F.col("review_id").cast("int").alias("review_rating"),
+        F.col("text").alias("review_text"),
+        F.lit(None).cast("string").alias("review_text_plus"),
+        F.lit(None).cast("string").alias("review_text_minus"),
+    )
+    path = scratch_path(spark, "combined")
+    csv_tree.write_combined(filters.with_parts(turns), path, files_per_catalog=2)
+    return spark.read.options(**csv_tree.READ).schema(StructType([*PROCESSED_REVIEW_CSV.fields, StructField("catalog", StringType())])).csv(path)
+
+
+def stored_analysis(spark: SparkSession, folder: str) -> DataFrame:
+    """Labelled documents go into a store as catalogues, products and reviews and are analysed from it."""
+    store = FeedbackStore(spark, scratch_path(spark, "stored"))
+    store.create()
+    docs = t.reviews(spark, folder).withColumn(
+        "product_article", F.ascii(F.substring("catalog", 2, 1)) * 1000 + F.col("product_id")
+    )
+    store.register_catalogs(docs.groupBy("catalog").agg(F.lit(1).alias("link_order")).withColumnRenamed("catalog", "catalog_link"))
+    links = store.read("catalogs").select("catalog_id", F.col("catalog_link").alias("catalog"))
+    products = docs.groupBy("catalog", "product_article").agg(F.count(F.lit(1)).alias("count_reviews"))
+    named = products.join(links, "catalog").withColumns({"name": F.col("catalog"), "rating": F.lit("4.5")})
+    store.append_numbered("products", named, "product_id", ["catalog_id", "product_article"])
+    store.append_numbered("reviews", docs.withColumnRenamed("review_id", "_order"), "review_id", ["_order"])
+    collect.analyse_catalogs(store, scratch_path(spark, "results"), STOP_WORDS)
+    flags = store.read("catalogs").filter("analyzed").agg(F.count(F.lit(1)).alias("n_analyzed"))
+    return store.read("analysis").unionByName(
+        flags.select(F.lit(0).cast("bigint").alias("id"), F.lit("analyzed").alias("word"),
+                     F.col("n_analyzed").cast("double").alias("frequency"), F.lit("").alias("df_index"), F.lit("").alias("column"))
+    )
+
+
 def report_tables(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "report")
     top = terms.top_terms(analyse.word_counts(t.reviews(spark, folder), STOP_WORDS))
