@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.constants import MISSING_PART, RATINGS, UNRATED
+from reviewloom.constants import RATINGS, UNRATED
 from reviewloom.functions import text as tx
 
 ANALYSIS_COLUMNS = (
@@ -70,7 +70,3 @@ def with_parts(
     for name, part in zip(names, ("text_plus", "text_minus", "text_comment")):
         kept = kept.withColumn(name, F.col(f"_parts.{part}"))
     return kept.drop("_parts")
-
-
-def is_missing(part: Column, missing: str = MISSING_PART) -> Column:
-    return part == F.lit(missing)

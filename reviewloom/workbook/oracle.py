@@ -403,8 +403,8 @@ SQL: dict[str, str] = {
         UNION ALL SELECT 0, 'analyzed', CAST(count(DISTINCT lang) AS DOUBLE), '', '' FROM documents""",
     "report_tables": _with(*ALL_WORDS, ranked(CELL, 10)) + """
         SELECT catalog, rank, term, n, 'word' AS term_kind, rating, category FROM top""",
-    "full_analysis": "SELECT *, 'word' AS term_kind FROM (" + _with(*ALL_WORDS, ranked(CELL, 10))
-        + " SELECT * FROM top) UNION ALL SELECT *, 'bigram' FROM (" + _with(*ALL_BIGRAMS, ranked(CELL, 10)) + " SELECT * FROM top)",
+    "full_analysis": "SELECT *, category || ' (Оценка ' || rating || '/5)' AS title FROM (SELECT *, 'word' AS term_kind FROM (" + _with(*ALL_WORDS, ranked(CELL, 10))
+        + " SELECT * FROM top) UNION ALL SELECT *, 'bigram' FROM (" + _with(*ALL_BIGRAMS, ranked(CELL, 10)) + " SELECT * FROM top))",
     "report_sheet": _with(*ALL_WORDS, ranked(CELL, 10)) + """
         SELECT rank - 1 AS "index", term AS "Word", n AS "Top 10 Words (Category: Достоинства)" FROM top
         WHERE catalog = 'en' AND rating = 5 AND category = 'Достоинства'""",

@@ -527,8 +527,8 @@ def report_tables(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def full_analysis(spark: SparkSession, folder: str) -> DataFrame:
-    """Words and bigrams of the joint analysis."""
-    return analyse.analyse(t.reviews(spark, folder), STOP_WORDS).report()
+    """Words and bigrams of the joint analysis, with the display title of their cell."""
+    return reports.titled(analyse.analyse(t.reviews(spark, folder), STOP_WORDS).report())
 
 
 def report_sheet(spark: SparkSession, folder: str) -> DataFrame:
