@@ -27,7 +27,7 @@ MAGIC = b"TOKEF001"
 SELECT_EVERY = 256
 FLUSH_BYTES = 8 << 20
 #: magic, bytes an id, documents, ids, low bits, bytes of: doc ids, low, high, samples.
-_TRAILER = struct.Struct("<8sIQQIQQQQ")
+_TRAILER = "<8sIQQIQQQQ"
 
 _MANIFEST = "shard int, path string, n_docs bigint, n_ids bigint"
 
@@ -73,8 +73,8 @@ class TokenFile:
     def __init__(self, system, path: str):
         self.file = system.open_input_file(path)
         size = self.file.size()
-        trailer = self.file.read_at(_TRAILER.size, size - _TRAILER.size)
-        magic, self.width, self.n_docs, self.n_ids, low_bits, *lengths = _TRAILER.unpack(trailer)
+        trailer = self.file.read_at(struct.calcsize(_TRAILER), size - struct.calcsize(_TRAILER))
+        magic, self.width, self.n_docs, self.n_ids, low_bits, *lengths = struct.unpack(_TRAILER, trailer)
         if magic != MAGIC:
             raise ValueError(f"{path} is not a token file")
         at = self.n_ids * self.width
@@ -133,7 +133,7 @@ def _write(path: str, tokenizer: str, end_id: int):
             ids = np.concatenate(doc_ids) if doc_ids else np.zeros(0, np.int64)
             parts = [ids.astype("<i8").tobytes(), fano.low.tobytes(), fano.high.tobytes(), fano.samples.astype("<u4").tobytes()]
             out.write(b"".join(parts))
-            out.write(_TRAILER.pack(MAGIC, width, len(lengths), n_ids, fano.low_bits, *map(len, parts)))
+            out.write(struct.pack(_TRAILER, MAGIC, width, len(lengths), n_ids, fano.low_bits, *map(len, parts)))
         if lengths:
             yield {"shard": [TaskContext.get().partitionId()], "path": [name], "n_docs": [len(lengths)], "n_ids": [n_ids]}
 
