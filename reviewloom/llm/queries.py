@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from reviewloom.llm import exact_dedup, token_files, warc
+from reviewloom.llm import bpe, exact_dedup, secrets, token_files, warc
 
 QUERIES = {
+    "op4_secrets": secrets.op4_secrets,
     "op6_token_files": token_files.op6_token_files,
     "op7_warc": warc.op7_warc,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_bpe": bpe.op10_bpe,
 }
 
 SQL = {
