@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from reviewloom.llm import bpe, exact_dedup, secrets, token_files, warc
+from reviewloom.llm import bpe, decontaminate, exact_dedup, secrets, token_files, warc
 
 QUERIES = {
     "op4_secrets": secrets.op4_secrets,
     "op6_token_files": token_files.op6_token_files,
     "op7_warc": warc.op7_warc,
+    "op8_decontamination": decontaminate.op8_decontamination,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_bpe": bpe.op10_bpe,
 }
 
 SQL = {
     "op7_warc": warc.OP7_SQL,
+    "op8_decontamination": decontaminate.OP8_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
 }
