@@ -55,16 +55,19 @@ def with_record_type(pages: DataFrame) -> DataFrame:
 
     Of equal payloads of at least ``MIN_REVISIT_BYTES`` bytes the smallest page id is the response.
     Pages without an id are responses. Digests are counted before the join, so a payload that a
-    third of the pages share is combined on the map side, and its join is split by adaptive skew joins.
+    third of the pages share is combined on the map side. The shared digests are stored first: Spark
+    knows their size then, and broadcasts them below ``spark.sql.autoBroadcastJoinThreshold``, so that
+    the payloads are not shuffled for it; otherwise adaptive skew joins split a hot digest.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     keyed = pages.withColumns({"_bytes": F.octet_length(payload).cast("bigint"), "_digest": F.sha2(payload, 256)})
-    shared = (
+    shared = stored(
         keyed.filter(F.col("_bytes") >= MIN_REVISIT_BYTES)
         .groupBy("_bytes", "_digest")
         .agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
         .filter("_n > 1")
-        .drop("_n")
+        .drop("_n"),
+        "shared-payloads",
     )
     return keyed.join(shared, ["_bytes", "_digest"], "left").withColumn(
         "_refers_to", F.when(F.col("page_id") != F.col("_first"), F.col("_first"))
