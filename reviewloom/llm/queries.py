@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from reviewloom.llm import bpe, decontaminate, exact_dedup, secrets, token_files, warc
+from reviewloom.llm import bpe, decontaminate, exact_dedup, quality, secrets, token_files, toxicity, warc
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
     "op4_secrets": secrets.op4_secrets,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_token_files": token_files.op6_token_files,
     "op7_warc": warc.op7_warc,
     "op8_decontamination": decontaminate.op8_decontamination,
