@@ -15,7 +15,7 @@ from itertools import islice
 import numpy as np
 from tokenizers import Tokenizer
 
-PIECES_A_GENERATION = 250_000
+PIECES_A_GENERATION = 500_000
 TEXT_CHARS_AT_ONCE = 1 << 20
 #: White space as Unicode has it but for blank and line feed, the separators that only some libraries count, and NUL.
 RARE_SPACE = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000\0" + "".join(map(chr, range(0x2000, 0x200B)))
@@ -47,15 +47,15 @@ def chunks(texts: list[str]) -> Iterator[list[str]]:
 class Remembered:
     """What ``make`` gives for each piece, for the last distinct pieces."""
 
-    def __init__(self, make: Callable[[list[str]], list]):
-        self.make = make  # called with distinct pieces
+    def __init__(self, make: Callable[[list[str]], list], generation: int = PIECES_A_GENERATION):
+        self.make, self.generation = make, generation
         self.young: dict = {}
         self.old: dict = {}
 
     def cover(self, pieces: set[str]) -> dict:
         """A dict that holds all of ``pieces``."""
         new = pieces.difference(self.young)
-        if len(self.young) + len(new) > PIECES_A_GENERATION:
+        if len(self.young) + len(new) > self.generation:
             self.old, self.young = self.young, {}
             new = pieces
         fresh = []
@@ -82,8 +82,7 @@ class LibraryEncoder:
         self.between = plain[0] if plain else None
         self.mark = added[plain[0]].content if plain else None
         self.stays_whole = must_stay_whole([t.content for t in added.values()])
-        self.pieces = Remembered(self._from_words)
-        self.words = Remembered(self._pieces)
+        self.pieces = Remembered(self._pieces)
 
     @staticmethod
     @cache
@@ -95,12 +94,6 @@ class LibraryEncoder:
         ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, f"<u{self.width}").tobytes()
 
-    def _from_words(self, pieces: list[str]) -> list[bytes]:
-        """Letters before one closing comma or full stop are encoded apart from it, as the library cuts there."""
-        parted = [(p[:-1], p[-1]) if p[-1:] in (",", ".") and p[-2:-1].isalpha() else (p, "") for p in pieces]
-        known = self.words.cover({p for pair in parted for p in pair if p})
-        return [known[word] + known[mark] if mark else known[word] if word else b"" for word, mark in parted]
-
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         """Pieces are joined by a special token, at which the library cuts the text again."""
         if self.mark is None:
