@@ -29,6 +29,7 @@ from reviewloom.llm.common import map_batches, table
 from reviewloom.llm.pieces import Remembered, chunks, must_stay_whole
 
 PAIRS_KEPT = 1_000_000
+WORDS_A_GENERATION = 300_000
 #: Unicode white space, spelled out because libraries differ on the separators x1c to x1f.
 _WHITE = r"\t-\r \x85\xa0  -     　"
 #: Fixed value: how the vocabulary's texts are cut before merging.
@@ -87,7 +88,9 @@ class BytePairs:
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.stays_whole = must_stay_whole(list(self.special))
         self.table: dict[tuple[int, int], bool] = {}
-        self.words = Remembered(lambda words: [self.encode_word(w) for w in words])
+        self.type = "<u2" if size <= 1 << 16 else "<u4"
+        self.decimal = list(map(str, range(size)))
+        self.words = Remembered(lambda words: [np.array(self.encode_word(w), self.type).tobytes() for w in words], WORDS_A_GENERATION)
         self.pieces = Remembered(self._pieces)
 
     @staticmethod
@@ -154,44 +157,40 @@ class BytePairs:
     def _words(self, text: str) -> list[str]:
         return [w.encode().decode("latin-1").translate(self.to_letters) for w in self.pattern.findall(text)]
 
-    def _pieces(self, pieces: list[str]) -> list[tuple[bytes, str]]:
-        """Ids as little-endian bytes, and in decimal, of each piece."""
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
         cut = [self._words(p) for p in pieces]
         known = self.words.cover({w for c in cut for w in c})
-        made = []
-        for words in cut:
-            ids = [i for w in words for i in known[w]]
-            made.append((np.array(ids, "<u4").tobytes(), ",".join(map(str, ids))))
-        return made
-
-    def encode_whole(self, text: str) -> tuple[bytes, str]:
-        """As :meth:`encode`, without cutting at blanks; special tokens' strings become their ids."""
-        ids: list[int] = []
+        return [b"".join([known[w] for w in words]) for words in cut]
+
+    def _whole(self, text: str) -> bytes:
+        """Ids of a text that is not cut at blanks; special tokens' strings become their ids."""
+        found: list[bytes] = []
         for part in self.cut_special.split(text) if self.cut_special else [text]:
             if part in self.special:
-                ids.append(self.special[part])
-            elif part:
-                words = self._words(part)
-                for some in range(0, len(words), 100_000):
-                    known = self.words.cover(set(words[some : some + 100_000]))
-                    ids += [i for w in words[some : some + 100_000] for i in known[w]]
-        return np.array(ids, "<u4").tobytes(), ",".join(map(str, ids))
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str]]:
-        """Ids of each text as an array and in decimal."""
+                found.append(np.array([self.special[part]], self.type).tobytes())
+                continue
+            words = self._words(part)
+            for at in range(0, len(words), 100_000):
+                some = words[at : at + 100_000]
+                known = self.words.cover(set(some))
+                found += [known[w] for w in some]
+        return b"".join(found)
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of each text."""
         for some in chunks(texts):
             cut = [None if self.stays_whole(t) else t.replace(" ", "\0 ").split("\0") if t else [] for t in some]
             known = self.pieces.cover(set().union(*(c for c in cut if c)))
             for text, pieces in zip(some, cut):
-                if pieces is None:
-                    raw, decimal = self.encode_whole(text)
-                else:
-                    found = [known[p] for p in pieces]
-                    raw, decimal = b"".join([f[0] for f in found]), ",".join([f[1] for f in found])
-                yield np.frombuffer(raw, "<u4"), decimal
+                raw = self._whole(text) if pieces is None else b"".join(map(known.__getitem__, pieces))
+                yield np.frombuffer(raw, self.type)
+
+    def in_decimal(self, ids: np.ndarray) -> str:
+        return ",".join(map(self.decimal.__getitem__, ids.tolist()))
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Text of the ids in UTF-8; bytes that are no UTF-8 become replacement characters."""
+        ids = ids.astype(np.int64)
         starts, ends = self.offsets[ids], self.offsets[ids + 1]
         sizes = ends - starts
         before = np.cumsum(sizes) - sizes
@@ -216,9 +215,9 @@ def encode_documents(docs: DataFrame, tokenizer: str, with_ids: bool = False) ->
         bpe = BytePairs.shared(tokenizer)
         for batch in batches:
             n, digests, decoded, all_ids = [], [], [], []
-            for ids, decimal in bpe.encode([t or "" for t in batch.column(1).to_pylist()]):
+            for ids in bpe.encode([t or "" for t in batch.column(1).to_pylist()]):
                 n.append(len(ids))
-                digests.append(hashlib.sha256(decimal.encode()).hexdigest())
+                digests.append(hashlib.sha256(bpe.in_decimal(ids).encode()).hexdigest())
                 decoded.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
                 all_ids.append(ids if with_ids else None)
             yield {"doc_id": batch.column(0), "n_tokens": n, "ids_sha256": digests, "decoded_sha256": decoded, "ids": all_ids}
