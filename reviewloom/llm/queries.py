@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from reviewloom.llm import bpe, decontaminate, exact_dedup, quality, secrets, token_files, toxicity, warc
+from reviewloom.llm import bpe, decontaminate, exact_dedup, near_dedup, quality, secrets, token_files, toxicity, warc
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
+    "op2_near_dedup": near_dedup.op2_near_dedup,
     "op4_secrets": secrets.op4_secrets,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_token_files": token_files.op6_token_files,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_near_dedup": near_dedup.OP2_SQL,
     "op7_warc": warc.OP7_SQL,
     "op8_decontamination": decontaminate.OP8_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
