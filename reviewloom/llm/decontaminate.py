@@ -20,21 +20,28 @@ from pyspark.sql import functions as F
 
 from reviewloom.llm.common import stored, table
 
-# A word is a run of ASCII letters, digits and characters from U+0080 on.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# What stands between words. A word is a run of ASCII letters, digits and characters from U+0080 on.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 10
 PROBES = 3
 
 
-def words(text: str | Column) -> Column:
-    """Words as they stand; case is left alone, which cuts the text at the same places."""
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+def cut(text: str | Column) -> Column:
+    """Words as they stand (case does not change where a text is cut), with an empty one at either
+    end of a text that does not begin or end with a word; places of words are places in this array."""
+    return F.split(text, BETWEEN)
 
 
-def exact_words(text: str | Column) -> Column:
-    """Words with A-Z, and no other letters, in lower case."""
-    return words(F.translate(text, UPPER, LOWER))
+def exact_cut(text: str | Column) -> Column:
+    """:func:`cut` with A-Z, and no other letters, in lower case."""
+    return F.split(F.translate(text, UPPER, LOWER), BETWEEN)
+
+
+def count_words(parts: Column) -> Column:
+    """Words of a text that was cut."""
+    at_end = (F.size(parts) > 1) & (F.element_at(parts, -1) == "")
+    return (F.size(parts) - (parts[0] == "").cast("int") - at_end.cast("int")).cast("bigint")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -44,13 +51,13 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _terms(docs: DataFrame) -> DataFrame:
     """One row per word occurrence: ``doc_id, _h, pos, term``."""
-    placed = _keyed(docs).select("doc_id", "_h", F.posexplode(words("text")).alias("pos", "word"))
+    placed = _keyed(docs).select("doc_id", "_h", F.posexplode(cut("text")).alias("pos", "word"))
     return placed.select("doc_id", "_h", "pos", F.xxhash64(F.lower("word")).alias("term"))
 
 
 def benchmark_items(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Items that have words: ``item_id, item, words, terms, width`` (``item``: a key of id and text)."""
-    items = benchmark.select("item_id", exact_words(F.coalesce("text", F.lit(""))).alias("words"))
+    items = benchmark.select("item_id", F.filter(exact_cut(F.coalesce("text", F.lit(""))), lambda w: w != "").alias("words"))
     return items.filter(F.size("words") > 0).select(
         "item_id",
         F.xxhash64("item_id", "words").alias("item"),
@@ -95,7 +102,7 @@ def _aligned(postings: DataFrame, probes: DataFrame) -> DataFrame:
 
 def phrase_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Maximal runs of words that item and document share along one diagonal, a window long at least:
-    ``doc_id, _h, item_id, item, first, last`` (word positions in the document, both inclusive).
+    ``doc_id, _h, item_id, item, first, last`` (places in :func:`cut`, both inclusive).
 
     An item of fewer words is one window as a whole. NULL texts have no words; NULL ids are ids like
     others. Equal rows give equal matches, once.
@@ -112,7 +119,7 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     )
     hit_docs = candidates.select("doc_id", "_h").distinct()
     texts = _same_row(_keyed(docs), hit_docs, "left_semi").dropDuplicates(["doc_id", "_h"])
-    texts = texts.select("doc_id", "_h", exact_words("text").alias("own"))
+    texts = texts.select("doc_id", "_h", exact_cut("text").alias("own"))
     paired = _same_row(texts, candidates, "inner").join(items, "item")
     low = F.greatest(F.lit(0), -F.col("diagonal"))
     high = F.least(F.size("words"), F.size("own") - F.col("diagonal")) - 1
@@ -152,7 +159,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     hits = places.groupBy("doc_id", "_h").agg(F.count(F.lit(1)).alias("n_hit"))
     named = matches.groupBy("doc_id", "_h").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     marked = _same_row(hits, named, "inner")
-    counted = _keyed(docs).select("doc_id", "_h", F.size(words("text")).cast("bigint").alias("n_words"))
+    counted = _keyed(docs).withColumn("parts", cut("text")).select("doc_id", "_h", count_words(F.col("parts")).alias("n_words"))
     return _same_row(counted, marked, "left").select(
         "doc_id",
         "_h",
