@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from reviewloom.llm import bpe, decontaminate, exact_dedup, near_dedup, quality, secrets, token_files, toxicity, warc
+from reviewloom.llm import bpe, decontaminate, exact_dedup, near_dedup, quality, repeated_spans, secrets, token_files, toxicity, warc
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op2_near_dedup": near_dedup.op2_near_dedup,
+    "op3_repeated_spans": repeated_spans.op3_repeated_spans,
     "op4_secrets": secrets.op4_secrets,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_token_files": token_files.op6_token_files,
