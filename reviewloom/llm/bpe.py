@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.llm.common import map_batches, table
-from reviewloom.llm.pieces import Remembered, chunks, must_stay_whole
+from reviewloom.llm.pieces import Remembered, chunks, cut, must_stay_whole
 
 PAIRS_KEPT = 1_000_000
 WORDS_A_GENERATION = 300_000
@@ -90,7 +90,7 @@ class BytePairs:
         self.table: dict[tuple[int, int], bool] = {}
         self.type = "<u2" if size <= 1 << 16 else "<u4"
         self.decimal = list(map(str, range(size)))
-        self.words = Remembered(lambda words: [np.array(self.encode_word(w), self.type).tobytes() for w in words], WORDS_A_GENERATION)
+        self.words = Remembered(lambda words: [np.array(self.encode_word(w), self.type).tobytes() for w in words], WORDS_A_GENERATION, ())
         self.pieces = Remembered(self._pieces)
 
     @staticmethod
@@ -158,9 +158,9 @@ class BytePairs:
         return [w.encode().decode("latin-1").translate(self.to_letters) for w in self.pattern.findall(text)]
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        cut = [self._words(p) for p in pieces]
-        known = self.words.cover({w for c in cut for w in c})
-        return [b"".join([known[w] for w in words]) for words in cut]
+        found = [self._words(p) for p in pieces]
+        known = self.words.cover({w for words in found for w in words})
+        return [b"".join([known[w] for w in words]) for words in found]
 
     def _whole(self, text: str) -> bytes:
         """Ids of a text that is not cut at blanks; special tokens' strings become their ids."""
@@ -179,9 +179,9 @@ class BytePairs:
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text."""
         for some in chunks(texts):
-            cut = [None if self.stays_whole(t) else t.replace(" ", "\0 ").split("\0") if t else [] for t in some]
-            known = self.pieces.cover(set().union(*(c for c in cut if c)))
-            for text, pieces in zip(some, cut):
+            parts = [None if self.stays_whole(t) else cut(t) for t in some]
+            known = self.pieces.cover(set().union(*(p for p in parts if p)))
+            for text, pieces in zip(some, parts):
                 raw = self._whole(text) if pieces is None else b"".join(map(known.__getitem__, pieces))
                 yield np.frombuffer(raw, self.type)
 

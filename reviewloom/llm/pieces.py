@@ -1,8 +1,9 @@
 """Whole texts through a tokenizer, one distinct piece at a time.
 
 A byte-level tokenizer cuts a text before every blank that stands between two characters that are
-not white space, so such pieces can be encoded on their own and remembered. Texts with other white
-space behind or before a blank, and texts with a special token's string, are encoded whole. The
+not white space, and on both sides of such a line feed, so such pieces can be encoded on their own
+and remembered; so can letters before one closing mark. Texts with other white space beside a blank,
+and texts with a special token's string, are encoded whole. The
 memory of pieces has two generations of bounded size; pieces that are met again move to the young one.
 """
 
@@ -15,8 +16,10 @@ from itertools import islice
 import numpy as np
 from tokenizers import Tokenizer
 
-PIECES_A_GENERATION = 500_000
+PIECES_A_GENERATION = 600_000
 TEXT_CHARS_AT_ONCE = 1 << 20
+#: One of these behind a letter, at a piece's end, is a token of its own.
+MARKS = (",", ".")
 #: White space as Unicode has it but for blank and line feed, the separators that only some libraries count, and NUL.
 RARE_SPACE = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000\0" + "".join(map(chr, range(0x2000, 0x200B)))
 
@@ -31,6 +34,12 @@ def must_stay_whole(special: list[str]) -> Callable[[str], bool]:
     return test
 
 
+def cut(text: str) -> list[str]:
+    """Pieces of a text that need not stay whole; some may be empty."""
+    text = text.replace(" ", "\0 ")
+    return (text if "\n\n" in text else text.replace("\n", "\0\n\0")).split("\0")
+
+
 def chunks(texts: list[str]) -> Iterator[list[str]]:
     """``texts`` in order, in lists of bounded total length (or one longer text)."""
     held, chars = [], 0
@@ -45,10 +54,10 @@ def chunks(texts: list[str]) -> Iterator[list[str]]:
 
 
 class Remembered:
-    """What ``make`` gives for each piece, for the last distinct pieces."""
+    """The bytes that ``make`` gives for each piece, for the last distinct pieces."""
 
-    def __init__(self, make: Callable[[list[str]], list], generation: int = PIECES_A_GENERATION):
-        self.make, self.generation = make, generation
+    def __init__(self, make: Callable[[list[str]], list], generation: int = PIECES_A_GENERATION, marks: tuple[str, ...] = MARKS):
+        self.make, self.generation, self.marks = make, generation, marks
         self.young: dict = {}
         self.old: dict = {}
 
@@ -58,14 +67,22 @@ class Remembered:
         if len(self.young) + len(new) > self.generation:
             self.old, self.young = self.young, {}
             new = pieces
-        fresh = []
+        young, old = self.young, self.old
+        fresh, closed = set(), []
         for piece in new:
-            if piece in self.old:
-                self.young[piece] = self.old[piece]
+            if piece in old:
+                young[piece] = old[piece]
+            elif piece[-1:] in self.marks and piece[-2:-1].isalpha():
+                closed.append(piece)
+                for part in (piece[:-1], piece[-1]):
+                    if part not in young:
+                        fresh.add(part)
             else:
-                fresh.append(piece)
-        self.young.update(zip(fresh, self.make(fresh)))
-        return self.young
+                fresh.add(piece)
+        young.update(zip(fresh, self.make(list(fresh))))
+        for piece in closed:
+            young[piece] = young[piece[:-1]] + young[piece[-1]]
+        return young
 
 
 class LibraryEncoder:
@@ -110,7 +127,7 @@ class LibraryEncoder:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for some in chunks(texts):
-            cut = [None if self.stays_whole(t) else t.replace(" ", "\0 ").split("\0") for t in some]
-            known = self.pieces.cover(set().union(*(c for c in cut if c)))
-            for text, pieces in zip(some, cut):
+            parts = [None if self.stays_whole(t) else cut(t) for t in some]
+            known = self.pieces.cover(set().union(*(p for p in parts if p)))
+            for text, pieces in zip(some, parts):
                 yield self._whole(text) if pieces is None else b"".join(map(known.__getitem__, pieces))
