@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed values of this module: link patterns and suffixes, the title of a cell.
 ARTICLE_IN_LINK = r"/catalog/(\d+)/"
 
 
@@ -23,8 +24,11 @@ def article_from_link(url: Column, pattern: str = ARTICLE_IN_LINK) -> Column:
 
 
 def key_from_file_name(path: Column) -> Column:
-    """``.../123.csv`` -> 123."""
-    return F.regexp_extract(path, r"(?:^|/)(\d+)\.csv$", 1).try_cast("bigint")
+    """``.../123.csv`` -> 123; the job fails on a name that is no key."""
+    key = F.regexp_extract(path, r"(?:^|/)(\d+)\.csv$", 1).try_cast("bigint")
+    return F.when(key.isNotNull(), key).otherwise(
+        F.raise_error(F.concat(F.lit("no key in file name: "), F.coalesce(path, F.lit("NULL")))).cast("bigint")
+    )
 
 
 def stem_from_file_name(path: Column) -> Column:

@@ -18,7 +18,7 @@ class PagePatterns:
     article: str = r'(?s)<span id="productNmId">(.*?)</span>'
     rating: str = r'(?s)<span class="[^"]*product-review__rating[^"]*">(.*?)</span>'
     price: str = r'(?s)<span class="price-block__price">(.*?)</span>'
-    review_list: str = r'(?s)<ul class="comments__list">(.*)</ul>'
+    review_list: str = r'(?s)<ul class="comments__list">(.*?)</ul>'
     review_item: str = r"(?s)<li\b[^>]*>(.*?)</li>"
     review_text: str = r'(?s)<div class="feedback__content">(.*?)</div>'
     review_stars: str = r'<span class="([^"]*stars-line[^"]*)"'

@@ -19,11 +19,13 @@ def fingerprints(rows: DataFrame, key: Sequence[str], position: str, columns: Se
     """``(key, n_rows, fp0 … fp3)``: equal for two keys with the same rows in the same order.
 
     ``position`` numbers the rows of a key densely from a common start (``dense_positions`` makes
-    such numbers); NULL equals NULL. 256 bits derived from SHA-256 row digests.
+    such numbers); NULL equals NULL. The four words are the four parts of SHA-256 row digests, so they
+    hold 256 bits and none follows from another.
     """
     row = F.to_json(F.struct(F.col(position).alias("p"), *columns), {"ignoreNullFields": "false"})
     digest = rows.select(*key, F.sha2(row, 256).alias("_digest"))
-    words = [F.bit_xor(F.xxhash64("_digest", F.lit(i))).alias(w) for i, w in enumerate(_WORDS)]
+    part = [F.conv(F.substring("_digest", 1 + 16 * i, 16), 16, -10).cast("bigint") for i in range(len(_WORDS))]
+    words = [F.bit_xor(p).alias(w) for p, w in zip(part, _WORDS)]
     return digest.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"), *words)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reviewloom.constants import RATINGS, UNRATED
 from reviewloom.functions import text as tx
 
+# The columns of the analysis.
 ANALYSIS_COLUMNS = (
     "product_article", "rating", "text_plus", "text_comment", "text_all", "review_id", "text_minus",
 )
@@ -29,6 +30,13 @@ def rated_reviews(reviews: DataFrame, ratings: Sequence[int] = RATINGS) -> DataF
     return reviews.filter(F.col("rating").isin(*ratings))
 
 
+def union_reviews(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """All rows of tables of reviews, by column name; a column that a table lacks is NULL. Repeated rows stay."""
+    for other in others:
+        first = first.unionByName(other, allowMissingColumns=True)
+    return first
+
+
 def analysis_columns(reviews: DataFrame) -> DataFrame:
     """The seven columns the analysis reads, in their order."""
     return reviews.select(*ANALYSIS_COLUMNS)

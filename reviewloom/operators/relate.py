@@ -1,7 +1,6 @@
 """Joins, counts, quotas, keys and integrity checks over catalogues, products and reviews.
 
-Only :func:`catalog_reviews` hints at a join strategy, after counting the smaller side. The other
-joins leave it to Spark: a side is broadcast when its size is known to be below
+Joins carry no hints: a side is broadcast when its size is known to be below
 ``spark.sql.autoBroadcastJoinThreshold``; otherwise both sides are shuffled and adaptive skew joins
 split hot keys.
 """
@@ -10,15 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.constants import MAX_PRODUCTS, MAX_REVIEWS
 from reviewloom.operators.ordering import number_rows, top_k
+from reviewloom.session import ready_checkpoints
 
 LANES = 64
-# Three bigints a row: some 120 MB as a hash table.
-BROADCAST_PRODUCTS = 2_000_000
 
 
 # -- loading ------------------------------------------------------------------------------------
@@ -26,17 +24,12 @@ BROADCAST_PRODUCTS = 2_000_000
 def catalog_reviews(catalogs: DataFrame, products: DataFrame, reviews: DataFrame) -> DataFrame:
     """Reviews of all given catalogues with catalogue id, product order and the analysis columns.
 
-    Products without reviews add no rows. The order of a catalogue is (product_id, review_id). The
-    products are counted first: up to ``BROADCAST_PRODUCTS`` of them are broadcast, so the review
-    texts stay where they are; more are hashed partition by partition, so the texts are shuffled but
-    not sorted.
+    Products without reviews add no rows. The order of a catalogue is (product_id, review_id).
     """
     owned = products.select("product_article", "product_id", "catalog_id").join(
         catalogs.select("catalog_id"), "catalog_id", "left_semi"
     )
-    few = products.count() <= BROADCAST_PRODUCTS
-    side = F.broadcast(owned) if few else owned.hint("shuffle_hash")
-    return reviews.join(side, "product_article").select(
+    return reviews.join(owned, "product_article").select(
         "catalog_id", "product_id", "product_article", "rating", "text_plus", "text_comment", "text_all",
         "review_id", "text_minus",
     )
@@ -101,28 +94,31 @@ def reviews_in_scope(
     variant_group: str,
     order: Sequence[str],
     n: int = MAX_REVIEWS,
+    members: DataFrame | None = None,
 ) -> DataFrame:
     """First ``n`` reviews that a product page would show.
 
-    A product with more than ``n / 3`` reviews of its own shows those; any other shows the pooled
-    reviews of its variant group. Columns: ``article``, ``scope`` (``own`` or ``pooled``), ``rank``
-    and the review's columns under their names, its article as ``reviewed_article``.
+    A product with more than ``n / 3`` reviews of its own shows those; any other, also one without
+    any, shows the pooled reviews of its variant group. ``members`` (article, variant_group) names the
+    products; left out, those that have reviews. Columns: ``article``, ``scope`` (``own`` or
+    ``pooled``), ``rank`` and the review's columns under their names, its article as
+    ``reviewed_article``.
 
-    A pooled page holds at most ``n`` reviews, so every group is cut to ``n`` once and only these
-    rows meet the small products of the group.
+    The reviews are read once: each product is cut to ``n`` rows, and these, checkpointed, give the
+    counts, the own and the pooled pages, which need no row beyond them. Only ``n`` rows of a group
+    meet its small products.
     """
-    members = (
-        reviews.groupBy(article, variant_group)
-        .agg(F.count(F.lit(1)).alias("_own"))
-        .withColumn("scope", F.when(F.col("_own") > n / 3, "own").otherwise("pooled"))
-        .drop("_own")
-    )
-    rest = [c for c in reviews.columns if c not in (article, variant_group)]
-    own = first_reviews(reviews, [article, variant_group], order, n).join(
-        members.filter(F.col("scope") == "own"), [article, variant_group]
-    )
-    pooled = first_reviews(reviews, [variant_group], order, n).withColumnRenamed(article, "reviewed_article")
-    shown = pooled.join(members.filter(F.col("scope") == "pooled"), variant_group)
+    ready_checkpoints(reviews.sparkSession)
+    key = [article, variant_group]
+    first = first_reviews(reviews, key, order, n).checkpoint()
+    counted = first.groupBy(*key).agg(F.count(F.lit(1)).alias("_own"))
+    spine = counted if members is None else members.select(*key).distinct().join(counted, key, "left")
+    scope = F.when(F.coalesce("_own", F.lit(0)) > n / 3, "own").otherwise("pooled")
+    scoped = spine.withColumn("scope", scope).drop("_own")
+    rest = [c for c in reviews.columns if c not in key]
+    own = first.join(scoped.filter(F.col("scope") == "own"), key)
+    pooled = first_reviews(first.drop("rank"), [variant_group], order, n).withColumnRenamed(article, "reviewed_article")
+    shown = pooled.join(scoped.filter(F.col("scope") == "pooled"), variant_group)
     columns = [article, variant_group, "scope", "rank", "reviewed_article", *rest]
     return own.withColumn("reviewed_article", F.col(article)).select(*columns).unionByName(shown.select(*columns))
 
@@ -148,20 +144,31 @@ def select_new_products(
 ) -> DataFrame:
     """First unknown products of every catalogue in listing order, up to what it still lacks.
 
-    ``(catalog, article, position, pick)``. A link listed twice counts at its first position. A
-    product that several catalogues pick in the same run goes to the smallest catalogue; the others
-    fill the gap in their next run, when the product is known.
+    ``(catalog, article, position, pick)``; the same products as if the catalogues were filled one
+    after the other, smallest first. A link listed twice counts at its first position.
+
+    All catalogues choose at once; a product chosen by several goes to the smallest of them, which
+    keeps it or loses it to a still smaller one only. Products held by a smaller catalogue are struck
+    off, and the choice is repeated until nobody loses one. Every round is checkpointed; it holds
+    ``target`` rows of a catalogue at most.
     """
+    ready_checkpoints(candidates.sparkSession)
     listed = candidates.groupBy(catalog, article).agg(F.min(position).alias(position))
     done = products.groupBy(catalog).agg(F.count(F.lit(1)).alias("_done"))
-    picks = top_k(unseen(listed, products, article), [catalog], [F.asc(position), F.asc(article)], target, "pick")
-    open_picks = (
-        picks.join(done, catalog, "left")
-        .filter(F.col("pick") <= F.lit(target) - F.coalesce("_done", F.lit(0)))
-        .drop("_done")
-    )
-    owner = open_picks.groupBy(article).agg(F.min(catalog).alias(catalog))
-    return open_picks.join(owner, [article, catalog], "left_semi").select(catalog, article, position, "pick")
+    room = F.lit(target) - F.coalesce("_done", F.lit(0))
+    free = unseen(listed, products, article).join(done, catalog, "left").withColumn("_room", room).drop("_done")
+    free = free.filter("_room > 0").checkpoint()
+    held = None
+    while True:
+        pool = free
+        if held is not None:
+            pool = free.join(held, article, "left").filter(F.coalesce(F.col("_holder"), F.col(catalog)) >= F.col(catalog)).drop("_holder")
+        picks = top_k(pool, [catalog], [F.asc(position), F.asc(article)], target, "pick").filter("pick <= _room")
+        owners = Window.partitionBy(article)
+        picks = picks.withColumn("_holder", F.min(catalog).over(owners)).checkpoint()
+        if picks.filter(F.col("_holder") < F.col(catalog)).isEmpty():
+            return picks.select(catalog, article, position, "pick")
+        held = picks.select(article, "_holder").distinct()
 
 
 # -- keys, flags, integrity ---------------------------------------------------------------------
@@ -186,8 +193,13 @@ def duplicate_keys(df: DataFrame, key: str, table: str) -> DataFrame:
     return _violations(found, table, "unique", key, F.sum("n"))
 
 
-def missing_values(df: DataFrame, column: str, table: str) -> DataFrame:
-    return _violations(df.filter(F.col(column).isNull()), table, "not null", column, F.count(F.lit(1)))
+def missing_values(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:
+    """NULLs of each column, counted in one pass."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    named = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_rows")) for c in columns])
+    return counts.select(F.explode(named).alias("c")).select(
+        F.lit(table).alias("table_name"), F.lit("not null").alias("rule"), "c.column_name", F.col("c.n_rows").cast("bigint").alias("n_rows")
+    )
 
 
 def orphans(df: DataFrame, column: str, parent: DataFrame, parent_key: str, table: str) -> DataFrame:
@@ -205,7 +217,7 @@ def integrity_report(
 ) -> DataFrame:
     """``(table_name, rule, column_name, n_rows)``, one row per rule, 0 where it holds."""
     checks = [duplicate_keys(tables[t], c, t) for t, columns in unique.items() for c in columns]
-    checks += [missing_values(tables[t], c, t) for t, columns in not_null.items() for c in columns]
+    checks += [missing_values(tables[t], columns, t) for t, columns in not_null.items()]
     checks += [orphans(tables[t], c, tables[p], k, t) for t, c, p, k in references]
     report = checks[0]
     for check in checks[1:]:

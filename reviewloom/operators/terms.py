@@ -131,22 +131,26 @@ def word_and_bigram_rows(
 
 
 def _neighbours(tokens: DataFrame, cell: Sequence[str]) -> DataFrame:
-    """One row per token, ``left``, with the token behind it in the same part, ``right``."""
-    return tokens.select(*cell, "part", "place", "words", F.posexplode("words").alias("pos", "left")).select(
+    """One row per token, ``left``, with the token behind it in the same part, ``right``.
+
+    Tokens are paired before they are exploded, so no row carries the array along.
+    """
+    pairs = F.arrays_zip(F.col("words").alias("left"), F.slice("words", F.lit(2), F.size("words")).alias("right"))
+    return tokens.select(*cell, "part", "place", F.posexplode(pairs).alias("pos", "pair")).select(
         *cell,
         "part",
         F.lit(False).alias("crosses"),
         _plus(F.col("place"), F.col("pos")).alias("place"),
-        "left",
-        F.get("words", F.col("pos") + 1).alias("right"),
+        "pair.left",
+        "pair.right",
     )
 
 
 def border_bigrams(tokens: DataFrame, cell: Sequence[str] = CELL, slices: int | None = None) -> DataFrame:
     """Pairs of the last word of a part and the first word of the next one.
 
-    First and last words are checkpointed: linking them samples its input for range slices, which
-    would otherwise tokenise all text once more.
+    First and last words are checkpointed when the plan is built: linking them samples its input for
+    range slices, which would otherwise read the tokens once more.
     """
     ready_checkpoints(tokens.sparkSession)
     last = F.size("words") - 1
@@ -200,6 +204,20 @@ def term_counts(
     )
 
 
+def joined_texts(parts: DataFrame, cell: Sequence[str] = CELL) -> DataFrame:
+    """``(cell, joined_length, digest)`` of each cell's text, all parts in order joined by blanks,
+    without building it.
+
+    ``digest`` adds up 60 bits of each part's SHA-256, bound to its place, so it changes with any
+    text and with their order; the aggregation combines map-side, however large a cell is.
+    """
+    bound = F.sha2(F.concat_ws(":", F.col("place").cast("string"), "text"), 256)
+    piece = F.conv(F.substring(bound, 1, 15), 16, 10).cast("bigint")
+    return parts.groupBy(*cell).agg(
+        (F.sum(F.length("text")) + F.count(F.lit(1)) - 1).cast("bigint").alias("joined_length"), F.bit_xor(piece).alias("digest")
+    )
+
+
 def single_counts(rows: DataFrame, cell: Sequence[str]) -> DataFrame:
     """``(cell, term, n, first_place)`` where the text has one part only."""
     return rows.groupBy(*cell, "term").agg(
@@ -232,16 +250,23 @@ def cloud_terms(counts: DataFrame, cell: Sequence[str] = (*CELL, "category"), k:
     return top.withColumn("weight", F.col("n") / largest)
 
 
-def rating_counts(reviews: DataFrame, cell: Sequence[str] = ("catalog",), ratings: Sequence[int] = RATINGS) -> DataFrame:
-    """Number of reviews per rating; every rating appears for every catalogue, other ratings do not."""
-    found = (
-        reviews.filter(F.col("rating").between(min(ratings), max(ratings)))
-        .groupBy(*cell, "rating")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    grid = reviews.select(*cell).distinct().withColumn("rating", _options(ratings, "int"))
-    counted = grid.join(found, [*cell, "rating"], "left")
-    return counted.select(*cell, "rating", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+def rating_counts(
+    reviews: DataFrame,
+    cell: Sequence[str] = ("catalog",),
+    ratings: Sequence[int] = RATINGS,
+    catalogs: DataFrame | None = None,
+) -> DataFrame:
+    """Number of reviews per rating; every rating appears for every catalogue, other ratings do not.
+
+    ``catalogs`` names the catalogues, those without reviews too; left out, they are those of ``reviews``.
+    Reviews are counted once by catalogue and rating; the grid is made from these few rows.
+    """
+    found = reviews.groupBy(*cell, "rating").agg(F.count(F.lit(1)).alias("n"))
+    wanted = F.array(*[F.struct(F.lit(r).cast("int").alias("rating"), F.lit(0).cast("bigint").alias("n")) for r in ratings])
+    named = (found if catalogs is None else catalogs).select(*cell).distinct()
+    zeros = named.select(*cell, F.explode(wanted).alias("z")).select(*cell, "z.rating", "z.n")
+    counted = found.filter(F.col("rating").isin(*ratings)).select(*cell, F.col("rating").cast("int").alias("rating"), "n")
+    return zeros.unionByName(counted).groupBy(*cell, "rating").agg(F.sum("n").alias("n"))
 
 
 def rating_grid(

@@ -36,14 +36,11 @@ def clean_catalogs(catalogs: DataFrame, reviews: DataFrame, files: DataFrame) ->
 
 
 def clean_tree(spark: SparkSession, raw: str, clean: str) -> None:
-    """Raw tree -> clean tree."""
-    result = clean_catalogs(
-        csv_tree.read_catalogs(spark, f"{raw}/catalogs"),
-        csv_tree.read_reviews(spark, f"{raw}/reviews"),
-        csv_tree.list_review_files(spark, f"{raw}/reviews"),
-    )
+    """Raw or written tree -> clean tree, with the kept products, also those without rows, in ``kept_files``."""
+    result = clean_catalogs(*csv_tree.read_tree(spark, raw))
     csv_tree.write_catalogs(result.catalogs, f"{clean}/catalogs")
     csv_tree.write_reviews(result.reviews, f"{clean}/reviews")
+    csv_tree.write_kept_files(result.kept_files, f"{clean}/kept_files")
 
 
 def preprocess_reviews(reviews: DataFrame) -> DataFrame:
@@ -51,9 +48,10 @@ def preprocess_reviews(reviews: DataFrame) -> DataFrame:
     return with_parts(reviews)
 
 
-def preprocess_tree(spark: SparkSession, clean: str, processed: str) -> None:
+def preprocess_tree(spark: SparkSession, clean: str, processed: str, files_per_catalog: int | None = None) -> None:
     """Written clean tree -> processed tree and one combined table per catalogue."""
     parsed = preprocess_reviews(csv_tree.read_written_reviews(spark, f"{clean}/reviews"))
     columns = ["catalog", "product_article", "review_pos", *PROCESSED_REVIEW_CSV.names]
     csv_tree.write_reviews(parsed.select(*columns), f"{processed}/reviews")
-    csv_tree.write_combined(parsed.select(*columns), f"{processed}/all")
+    csv_tree.write_combined(parsed.select(*columns), f"{processed}/all", files_per_catalog)
+    csv_tree.write_kept_files(csv_tree.read_kept_files(spark, f"{clean}/kept_files"), f"{processed}/kept_files")

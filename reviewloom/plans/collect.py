@@ -11,30 +11,28 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.constants import MAX_PRODUCTS, MAX_REVIEWS, RUSSIAN_STOP_WORDS
 from reviewloom.functions import keys, pages
 from reviewloom.functions import text as tx
-from reviewloom.operators import relate
+from reviewloom.operators import relate, terms
 from reviewloom.operators.filters import drop_unrated
 from reviewloom.plans.analyse import analyse, load_reviews, report_of
 from reviewloom.session import ready_checkpoints
-from reviewloom.sources.reports import analysis_rows, read_cloud, read_report, write_cloud, write_report
+from reviewloom.sources.reports import TERM_NAME, analysis_rows, read_cloud, read_report, write_cloud, write_report
 from reviewloom.sources.store import FeedbackStore
 
-POSITIONS_PER_PAGE = 1_000_000
 ANALYSIS_ORDER = ["term_kind", "catalog", "df_index", "column", "rank"]
 
 
 def listed_links(listings: DataFrame, catalog: str, page: str, pattern: str, html: str = "html") -> DataFrame:
-    """Links of listing pages in listing order: ``(catalog, position, link)``."""
+    """Links of listing pages: ``(catalog, position, link)``; ``position`` is ``(page, at)``, which sorts in listing order."""
     links = listings.select(
-        catalog, page, F.posexplode(pages.all_fields(F.col(html), pattern)).alias("_at", "link")
+        catalog, page, F.posexplode(pages.all_fields(F.col(html), pattern)).alias("at", "link")
     )
-    position = F.col(page).cast("bigint") * POSITIONS_PER_PAGE + F.col("_at")
-    return links.select(catalog, position.alias("position"), "link")
+    return links.select(catalog, F.struct(F.col(page).cast("bigint").alias("page"), "at").alias("position"), "link")
 
 
 def candidates(links: DataFrame, catalog: str, pattern: str = keys.ARTICLE_IN_LINK) -> DataFrame:
@@ -49,20 +47,25 @@ def rejected(links: DataFrame, pattern: str = keys.ARTICLE_IN_LINK) -> DataFrame
 
 
 def product_rows(captured: DataFrame, patterns: pages.PagePatterns = pages.SHOP_PAGES) -> DataFrame:
-    """Rated products of captured pages: ``(product_article, name, rating)``."""
+    """Rated products of captured pages: ``(product_article, name, rating, price)``; absent fields are NULL."""
     html = F.col("html")
     fields = captured.select(
         pages.text_field(html, patterns.article).try_cast("bigint").alias("product_article"),
         pages.text_field(html, patterns.title).alias("name"),
         pages.text_field(html, patterns.rating).alias("product_rating"),
+        pages.text_field(html, patterns.price).alias("price"),
     )
     return drop_unrated(fields).select(
-        "product_article", "name", keys.decimal_comma(F.col("product_rating")).alias("rating")
+        "product_article", "name", keys.decimal_comma(F.col("product_rating")).alias("rating"), "price"
     )
 
 
 def review_rows(captured: DataFrame, patterns: pages.PagePatterns = pages.SHOP_PAGES) -> DataFrame:
-    """Reviews of captured pages: ``(product_article, variant_group, review_pos, rating, text_all, parts…)``."""
+    """Reviews of captured pages: ``(product_article, variant_group, review_pos, rating, pros, cons, text_all, parts…)``.
+
+    Only items of the review list that hold a readable rating are reviews. ``pros`` and ``cons`` are
+    the page's own blocks, NULL where it has none.
+    """
     items = captured.select(
         "product_article",
         "variant_group",
@@ -75,9 +78,11 @@ def review_rows(captured: DataFrame, patterns: pages.PagePatterns = pages.SHOP_P
         "variant_group",
         F.col("review_pos").cast("bigint").alias("review_pos"),
         pages.last_digit(pages.field(F.col("item"), patterns.review_stars)).alias("rating"),
+        pages.text_field(F.col("item"), patterns.review_plus).alias("pros"),
+        pages.text_field(F.col("item"), patterns.review_minus).alias("cons"),
         pages.text_field(F.col("item"), patterns.review_text).alias("_text"),
     )
-    return with_captured_parts(read, "_text")
+    return with_captured_parts(read.filter(F.col("rating").isNotNull()), "_text")
 
 
 def with_captured_parts(reviews: DataFrame, text: str) -> DataFrame:
@@ -90,25 +95,42 @@ def with_captured_parts(reviews: DataFrame, text: str) -> DataFrame:
     )
 
 
+def scope_key(article: str, variant_group: str) -> Column:
+    """What products are pooled by: the variant group, or the product itself where it has none."""
+    alone = F.when(F.col(variant_group).isNull(), F.col(article))
+    return F.struct(F.col(variant_group).alias("variant_group"), alone.alias("alone"))
+
+
+def needed_pages(feedbacks: DataFrame, picks: DataFrame) -> DataFrame:
+    """Feedback pages of picked products and of their variants, before anything is parsed."""
+    placed = feedbacks.select("product_article", "variant_group").distinct()
+    groups = placed.join(picks.select("product_article").distinct(), "product_article", "left_semi").select("variant_group").distinct()
+    variants = placed.join(groups, "variant_group", "left_semi").select("product_article")
+    articles = variants.unionByName(picks.select("product_article")).distinct()
+    return feedbacks.join(articles, "product_article", "left_semi")
+
+
 def collected(
     products: DataFrame,
     reviews: DataFrame,
     picks: DataFrame,
     max_reviews: int = MAX_REVIEWS,
+    members: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """New product and review rows, not numbered yet.
 
     ``picks`` (catalog_id, product_article, position) says which products are collected. The
-    reviews of a product are its own, or those of all its variants when it has few. A product without
-    a variant group is a group of its own. Picked products and their reviews are checkpointed, so pages
-    are read once for the counts, the numbering and the store.
+    reviews of a product are its own, or those of all its variants when it has few or none.
+    ``members`` (product_article, variant_group) also names products without reviews; left out, those
+    with reviews are known. A product without a variant group is a group of its own. Picked products
+    and their reviews are checkpointed, so pages are read once for the counts, the numbering and the store.
     """
     ready_checkpoints(reviews.sparkSession)
     rated = picks.join(products, "product_article").checkpoint()
-    grouped = reviews.withColumn(
-        "variant_group", F.coalesce("variant_group", -F.col("product_article") - 1)
-    )
-    shown = relate.reviews_in_scope(grouped, "product_article", "variant_group", ["product_article", "review_pos"], max_reviews)
+    key = scope_key("product_article", "variant_group")
+    known = (reviews if members is None else members).select("product_article", key.alias("_group")).distinct()
+    grouped = reviews.withColumn("_group", key).drop("variant_group")
+    shown = relate.reviews_in_scope(grouped, "product_article", "_group", ["product_article", "review_pos"], max_reviews, known)
     taken = shown.join(rated.select("product_article", "catalog_id", "position"), "product_article").checkpoint()
     counted = relate.review_counts(taken, cap=max_reviews)
     new_products = rated.join(counted, "product_article", "left").withColumn(
@@ -148,8 +170,9 @@ def collect_catalogs(
     listed = listings.join(catalogs, "catalog_link")
     found = candidates(listed_links(listed, "catalog_id", "page", patterns.link), "catalog_id")
     picks = relate.select_new_products(found, store.read("products"), target=max_products)
+    shown = needed_pages(feedbacks, picks)
     new_products, new_reviews = collected(
-        product_rows(products, patterns), review_rows(feedbacks, patterns), picks, max_reviews
+        product_rows(products, patterns), review_rows(shown, patterns), picks, max_reviews, shown
     )
     store_collected(store, new_products, new_reviews)
     touched = listed.select("catalog_id").distinct()
@@ -158,24 +181,43 @@ def collect_catalogs(
 
 
 def analyse_catalogs(
-    store: FeedbackStore, results: str, stop_words: Iterable[str] = RUSSIAN_STOP_WORDS
+    store: FeedbackStore,
+    results: str,
+    stop_words: Iterable[str] = RUSSIAN_STOP_WORDS,
+    links: DataFrame | None = None,
 ) -> None:
-    """Analyse every stored catalogue, write the result tables and ``analysis`` rows, set the flags.
-
-    ``<results>/cloud`` holds the top terms with weights, ``<results>/report`` its first ranks, and
-    ``<results>/rating_counts`` the reviews per rating.
+    """Analyse the catalogues in ``links`` (catalog_link), or all that are not analysed yet.
+
+    ``<results>/cloud`` holds the top terms with weights, ``<results>/report`` its first ranks on the
+    full grid of catalogue, rating and category (empty cells have a row of NULLs), and
+    ``<results>/rating_counts`` the reviews per rating, 0 included. Analysed catalogues are passed over,
+    so a second run adds nothing. A run's files and ``analysis`` rows carry the number of the catalogue
+    version that sets its flags; they count from when that version is written, last, and a run that
+    broke off before is simply overwritten by the next.
     """
-    catalogs = store.read("catalogs")
-    result = analyse(load_reviews(catalogs, store.read("products"), store.read("reviews")), stop_words)
+    open_catalogs = store.read("catalogs").filter("NOT coalesce(analyzed, false)")
+    if links is not None:
+        open_catalogs = open_catalogs.join(links.select("catalog_link").distinct(), "catalog_link", "left_semi")
+    ready_checkpoints(store.spark)
+    catalogs = open_catalogs.checkpoint()
+    if catalogs.isEmpty():
+        return
+    run = f"run={store.next_version('catalogs')}"
+    loaded = load_reviews(catalogs, store.read("products"), store.read("reviews"))
+    result = analyse(loaded, stop_words)
 
     def linked(frame: DataFrame) -> DataFrame:
         return relate.with_catalog_link(frame.withColumnRenamed("catalog", "catalog_id"), catalogs)
 
-    linked(result.counts_by_rating).write.parquet(f"{results}/rating_counts")
-    write_cloud(linked(result.cloud), f"{results}/cloud")
-    clouds = read_cloud(store.spark, f"{results}/cloud")
-    write_report(report_of(clouds), f"{results}/report")
-    report = read_report(store.spark, f"{results}/report")
+    spine = catalogs.select(F.col("catalog_id").alias("catalog"))
+    linked(terms.rating_counts(loaded, catalogs=spine)).write.mode("overwrite").parquet(f"{results}/rating_counts/{run}")
+    write_cloud(linked(result.cloud), f"{results}/cloud/{run}")
+    clouds = read_cloud(store.spark, f"{results}/cloud/{run}")
+    kinds = F.explode(F.array(*[F.lit(k) for k in TERM_NAME])).alias("term_kind")
+    grid = terms.rating_grid(catalogs.select(F.col("catalog_link").alias("catalog"))).select("*", kinds)
+    full = terms.fill_grid(grid, report_of(clouds), (*terms.CELL, "category", "term_kind"))
+    write_report(full, f"{results}/report/{run}")
+    report = read_report(store.spark, f"{results}/report/{run}").filter(F.col("term").isNotNull())
     rows = analysis_rows(report, keep=("catalog", "rank", "term_kind"))
-    store.append_numbered("analysis", rows, "id", ANALYSIS_ORDER)
+    store.replace_numbered("analysis", rows, "id", ANALYSIS_ORDER, store.next_version("catalogs"))
     store.flag_catalogs(catalogs.select("catalog_id"), "analyzed")

@@ -1,4 +1,4 @@
-"""Declared schemas of the store tables and of the CSV exchange files."""
+"""Declared schemas of the store tables and of the CSV exchange files. Column names are fixed values."""
 
 from pyspark.sql import types as T
 
@@ -36,7 +36,20 @@ ANALYSIS = T.StructType([
     T.StructField("column", T.StringType(), False),
 ])
 
-TABLES = {"catalogs": CATALOGS, "products": PRODUCTS, "reviews": REVIEWS, "analysis": ANALYSIS}
+# What the stream has captured, before it is collected.
+CAPTURED = T.StructType([
+    T.StructField("catalog_id", T.LongType()),
+    T.StructField("position", T.LongType()),
+    T.StructField("product_article", T.LongType()),
+    T.StructField("variant_group", T.LongType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("product_rating", T.StringType()),
+    T.StructField("review_pos", T.LongType()),
+    T.StructField("rating", T.IntegerType()),
+    T.StructField("text", T.StringType()),
+])
+
+TABLES = {"catalogs": CATALOGS, "products": PRODUCTS, "reviews": REVIEWS, "analysis": ANALYSIS, "captured": CAPTURED}
 
 CATALOG_CSV = T.StructType([
     T.StructField("product_article", T.LongType()),
@@ -55,14 +68,3 @@ RAW_REVIEW_CSV = T.StructType([
 PROCESSED_REVIEW_CSV = T.StructType(
     RAW_REVIEW_CSV.fields + [T.StructField("review_text_comment", T.StringType())]
 )
-
-# CSV column -> store column.
-CSV_TO_STORE = {
-    "product_name": "name",
-    "product_rating": "rating",
-    "review_rating": "rating",
-    "review_text": "text_all",
-    "review_text_plus": "text_plus",
-    "review_text_minus": "text_minus",
-    "review_text_comment": "text_comment",
-}

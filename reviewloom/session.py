@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -27,8 +28,18 @@ def get_session(app: str = "reviewloom", master: str | None = None, **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one where that is unset (tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """The folder that all executors see: ``spark.checkpoint.dir``, or what ``setCheckpointDir`` was given.
+
+    With neither, a session on a local master gets a temporary folder; any other raises an error, as
+    its executors would write to disks of their own.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"set spark.checkpoint.dir to a shared folder; the master is {master}")
+    return _own_folder()
 
 
 @cache
@@ -49,12 +60,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small table, stored in fewer blocks than there are cores, to all cores.
-
-    Tables with at least one split per core come back unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from reviewloom.functions.keys import key_from_file_name, stem_from_file_name
 from reviewloom.schemas import CATALOG_CSV, RAW_REVIEW_CSV
+from reviewloom.session import shuffle_width
 
 READ = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 WRITE = {
@@ -58,8 +59,9 @@ def list_review_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def write_reviews(reviews: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """One folder per catalogue and product; a product larger than ``rows_per_file`` gets several chunks."""
-    chunked = reviews.withColumn("chunk", F.floor(F.col("review_pos") / rows_per_file))
+    """One folder per catalogue and product; a product larger than ``rows_per_file`` gets several chunks,
+    each named by the position of its first row."""
+    chunked = reviews.withColumn("chunk", F.floor(F.col("review_pos") / rows_per_file) * rows_per_file)
     keys = ["catalog", "product_article", "chunk"]
     (
         chunked.repartition(*keys)
@@ -72,13 +74,11 @@ def write_reviews(reviews: DataFrame, path: str, rows_per_file: int = ROWS_PER_F
     )
 
 
-def read_written_reviews(
-    spark: SparkSession, path: str, schema: T.StructType = RAW_REVIEW_CSV, rows_per_file: int = ROWS_PER_FILE
-) -> DataFrame:
+def read_written_reviews(spark: SparkSession, path: str, schema: T.StructType = RAW_REVIEW_CSV) -> DataFrame:
     """Read what :func:`write_reviews` wrote, ``review_pos`` included."""
     keys = [T.StructField("catalog", T.StringType()), T.StructField("product_article", T.LongType())]
     rows = _read_chunks(spark, path, schema, keys)
-    position = F.col("chunk") * rows_per_file + F.col("_pos")
+    position = F.col("chunk") + F.col("_pos")
     return rows.select("catalog", "product_article", position.alias("review_pos"), *schema.names)
 
 
@@ -93,7 +93,7 @@ def _read_chunks(spark: SparkSession, path: str, schema: T.StructType, keys: lis
 def write_catalogs(catalog_rows: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """One folder per catalogue; catalogues larger than ``rows_per_file`` get several chunks."""
     (
-        catalog_rows.withColumn("chunk", F.floor(F.col("listing") / rows_per_file))
+        catalog_rows.withColumn("chunk", F.floor(F.col("listing") / rows_per_file) * rows_per_file)
         .repartition("catalog", "chunk")
         .sortWithinPartitions("catalog", "chunk", "listing")
         .drop("listing")
@@ -104,21 +104,49 @@ def write_catalogs(catalog_rows: DataFrame, path: str, rows_per_file: int = ROWS
     )
 
 
-def read_written_catalogs(
-    spark: SparkSession, path: str, schema: T.StructType = CATALOG_CSV, rows_per_file: int = ROWS_PER_FILE
-) -> DataFrame:
+def read_written_catalogs(spark: SparkSession, path: str, schema: T.StructType = CATALOG_CSV) -> DataFrame:
     """Read what :func:`write_catalogs` wrote; ``listing`` keeps the order."""
     rows = _read_chunks(spark, path, schema, [T.StructField("catalog", T.StringType())])
-    listing = F.col("chunk") * rows_per_file + F.col("_pos")
+    listing = F.col("chunk") + F.col("_pos")
     return rows.select("catalog", listing.alias("listing"), *schema.names)
 
 
-def write_combined(reviews: DataFrame, path: str, files_per_catalog: int = 1) -> None:
+def write_kept_files(files: DataFrame, path: str) -> None:
+    """The products of a tree, those without rows included, as one CSV table beside it."""
+    files.select("catalog", "product_article").write.mode("errorifexists").options(**WRITE).csv(path)
+
+
+def read_kept_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(catalog, product_article, file_name)`` of a written tree."""
+    files = spark.read.options(**READ).schema("catalog string, product_article bigint").csv(path)
+    return files.withColumn("file_name", F.concat(F.col("product_article").cast("string"), F.lit(".csv")))
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a tree has the layout of the writers (folders ``catalog=…``)."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/catalog=*")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    return found is not None and len(found) > 0
+
+
+def read_tree(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Catalogue rows, reviews and review files of a tree in either layout."""
+    catalogs, reviews = f"{root}/catalogs", f"{root}/reviews"
+    rows = read_written_catalogs(spark, catalogs) if is_written(spark, catalogs) else read_catalogs(spark, catalogs)
+    if is_written(spark, reviews):
+        return rows, read_written_reviews(spark, reviews), read_kept_files(spark, f"{root}/kept_files")
+    return rows, read_reviews(spark, reviews), list_review_files(spark, reviews)
+
+
+def write_combined(reviews: DataFrame, path: str, files_per_catalog: int | None = None) -> None:
     """All reviews of a catalogue as one table, without helper columns.
 
-    ``files_per_catalog`` = 1 gives the single file of small catalogues; raise it for large ones. The
-    rows are spread by product and position, so a large product is spread as well.
+    A catalogue is spread over as many files as the shuffle is wide; ``files_per_catalog`` = 1 gives
+    the single file of small catalogues. Rows are spread by product and position, so a large product
+    is spread as well.
     """
+    files_per_catalog = files_per_catalog or shuffle_width(reviews.sparkSession)
     lane = F.pmod(F.xxhash64("product_article", F.floor(F.col("review_pos") / 1000)), F.lit(files_per_catalog))
     (
         reviews.withColumn("_lane", lane)

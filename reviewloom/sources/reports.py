@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.functions.keys import cell_title
+from reviewloom.session import shuffle_width
 
 # Column names of the report sheets.
 TERM_NAME = {"word": "Word", "bigram": "Bigram"}
@@ -18,10 +19,6 @@ REPORT = "catalog string, rank int, term string, n bigint, term_kind string, rat
 CLOUD = REPORT.replace("n bigint", "n bigint, weight double")
 
 
-# A catalogue has few rows in a cell, but there may be many catalogues.
-FILES_PER_CELL = 16
-
-
 def write_report(top: DataFrame, path: str) -> None:
     """One folder per kind of term, rating and category; a row holds catalogue, rank, term and count."""
     _write(top, path)
@@ -33,27 +30,35 @@ def write_cloud(cloud: DataFrame, path: str) -> None:
 
 
 def _write(top: DataFrame, path: str) -> None:
+    """A cell has few rows of a catalogue; the files of a cell follow the shuffle width, for many catalogues."""
+    lanes = max(1, shuffle_width(top.sparkSession) // 16)
     (
-        top.repartition("term_kind", "rating", "category", F.pmod(F.xxhash64("catalog"), F.lit(FILES_PER_CELL)))
+        top.repartition("term_kind", "rating", "category", F.pmod(F.xxhash64("catalog"), F.lit(lanes)))
         .sortWithinPartitions("term_kind", "rating", "category", "catalog", "rank")
-        .write.mode("errorifexists")
+        .write.mode("overwrite")
         .partitionBy("term_kind", "rating", "category")
         .parquet(path)
     )
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(REPORT).parquet(path)
+    """A written report, or all runs below ``path``."""
+    return _read(spark, path, REPORT)
 
 
 def read_cloud(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CLOUD).parquet(path)
+    return _read(spark, path, CLOUD)
+
+
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    found = spark.read.schema(schema).parquet(path)
+    return found.select(*[c for c in found.columns if c != "run"])
 
 
 def sheet(top: DataFrame, catalog: str, rating: int, category: str, kind: str) -> DataFrame:
-    """The report sheet of one cell: a 0-based index, the term and its count under display names."""
+    """The report sheet of one cell and kind of term: a 0-based index, the term and its count under display names."""
     cell = (F.col("catalog") == catalog) & (F.col("rating") == rating) & (F.col("category") == category)
-    return top.filter(cell).select(
+    return top.filter(cell & (F.col("term_kind") == kind)).select(
         (F.col("rank") - 1).alias("index"),
         F.col("term").alias(TERM_NAME[kind]),
         F.col("n").alias(COUNT_NAME[kind].format(category)),

@@ -1,4 +1,4 @@
-"""The four store tables as Parquet folders, and the JDBC way in."""
+"""The store tables as Parquet folders, and the JDBC way in."""
 
 from __future__ import annotations
 
@@ -11,10 +11,11 @@ from reviewloom.schemas import TABLES
 
 
 class FeedbackStore:
-    """``catalogs``, ``products``, ``reviews`` and ``analysis`` below one shared folder.
+    """``catalogs``, ``products``, ``reviews``, ``analysis`` and ``captured`` below one shared folder.
 
-    Rows are appended. The flags of ``catalogs`` are the only values that change; a change writes a
-    new version folder, and readers take the newest version that was written to its end.
+    Rows are appended. What changes (flags of ``catalogs``, products and reviews that grow, ``analysis``)
+    is written as a new version folder; readers take the newest version that was written to its end,
+    of ``analysis`` the newest whose number a version of ``catalogs`` has.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -29,19 +30,51 @@ class FeedbackStore:
                 empty.write.mode("ignore").parquet(self._path(name, 0))
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name]).parquet(self._path(name, self._versions(name)[-1]))
+        return self.spark.read.schema(TABLES[name]).parquet(self._path(name, self._current(name)))
+
+    def next_version(self, name: str) -> int:
+        return self._current(name) + 1
+
+    def replace(self, name: str, rows: DataFrame, version: int | None = None) -> None:
+        """Make ``rows``, cast to the table's types, the table's content, as a new version."""
+        version = self.next_version(name) if version is None else version
+        conform(rows, TABLES[name]).write.mode("overwrite").parquet(self._path(name, version))
+
+    def replace_numbered(self, name: str, rows: DataFrame, id_column: str, order: list[str], version: int) -> None:
+        """Stored rows and new ones, with new ids after the stored ones, as the given version."""
+        stored = self.read(name)
+        new = conform(with_new_ids(rows, order, id_column, stored), TABLES[name])
+        self.replace(name, stored.unionByName(new), version)
+
+    def exchange_numbered(
+        self, name: str, keys: DataFrame, key: str, rows: DataFrame, id_column: str, order: list[str]
+    ) -> None:
+        """New version in which ``rows``, with new ids, stand for the stored rows of ``keys``."""
+        stored = self.read(name)
+        new = conform(with_new_ids(rows, order, id_column, stored), TABLES[name])
+        self.replace(name, stored.join(keys, key, "left_anti").select(*new.columns).unionByName(new))
+
+    def _current(self, name: str) -> int:
+        versions = self._versions(name)
+        if name == "analysis":
+            versions = [v for v in versions if v in self._versions("catalogs")]
+        return versions[-1]
 
     def append(self, name: str, rows: DataFrame) -> None:
         """Append rows, cast to the table's types. A value that cannot be cast fails the job."""
-        conform(rows, TABLES[name]).write.mode("append").parquet(self._path(name, self._versions(name)[-1]))
+        conform(rows, TABLES[name]).write.mode("append").parquet(self._path(name, self._current(name)))
 
     def append_numbered(self, name: str, rows: DataFrame, id_column: str, order: list[str]) -> None:
         """Append rows with new ids, in the given order, after the stored ones."""
         self.append(name, with_new_ids(rows, order, id_column, self.read(name)))
 
     def flag_catalogs(self, ids: DataFrame, flag: str, value: bool = True) -> None:
-        version = self._versions("catalogs")[-1] + 1
-        set_flag(self.read("catalogs"), ids, flag, value).write.parquet(self._path("catalogs", version))
+        version = self.next_version("catalogs")
+        if flag != "analyzed":  # a number that an unfinished analysis has taken stays without catalogues
+            taken = self._versions("analysis")
+            while version in taken:
+                version += 1
+        self.replace("catalogs", set_flag(self.read("catalogs"), ids, flag, value), version)
 
     def register_catalogs(self, links: DataFrame, order: str = "link_order") -> None:
         """Add the links that are not stored yet, not collected and not analysed."""

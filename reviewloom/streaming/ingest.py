@@ -1,4 +1,9 @@
-"""Incremental collecting: captured review files arrive in a folder and are appended to the store."""
+"""Incremental collecting: captured review files arrive in a folder and are collected into the store.
+
+The stream appends captured rows, each product and page position once, so that repeated files and
+replayed batches add nothing and it does not matter how files are split into batches. :func:`settle`
+then brings products and reviews of the store up to the captured rows.
+"""
 
 from __future__ import annotations
 
@@ -10,48 +15,78 @@ from reviewloom.constants import MAX_REVIEWS
 from reviewloom.functions.keys import decimal_comma
 from reviewloom.operators import relate
 from reviewloom.operators.filters import drop_unrated
-from reviewloom.plans.collect import collected, store_collected, with_captured_parts
+from reviewloom.plans.collect import collected, with_captured_parts
+from reviewloom.schemas import CAPTURED
+from reviewloom.session import ready_checkpoints
 from reviewloom.sources.store import FeedbackStore
 
-# One captured review with the product it was read for.
-CAPTURED = """
-    catalog_id bigint, position bigint, product_article bigint, variant_group bigint, name string,
-    product_rating string, review_pos bigint, rating int, text string
-"""
+_PLACE = ["product_article", "review_pos"]
+_ORDER = ["catalog_id", "position", "product_article"]
 
 
 def captured_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     return spark.readStream.schema(CAPTURED).option("maxFilesPerTrigger", files_per_batch).json(folder)
 
 
-def store_batch(store: FeedbackStore, batch: DataFrame, max_reviews: int = MAX_REVIEWS) -> None:
-    """Append the products of a batch that are not stored yet, with their first reviews.
+def store_batch(store: FeedbackStore, batch: DataFrame) -> None:
+    """Append the captured rows of rated products whose product and position are not there yet; rows
+    without a product are not kept."""
+    new = drop_unrated(batch).filter(F.col("product_article").isNotNull()).dropDuplicates(_PLACE)
+    known = store.read("captured").select(*[F.col(c).alias(f"_{c}") for c in _PLACE])
+    same = [new[c].eqNullSafe(known[f"_{c}"]) for c in _PLACE]
+    store.append("captured", new.join(known, same, "left_anti"))
+
 
-    Repeating a batch adds nothing: stored products and products with stored reviews are left out.
+def settle(store: FeedbackStore, max_reviews: int = MAX_REVIEWS) -> None:
+    """Bring products and reviews up to the captured rows: at most ``max_reviews`` a product over all
+    batches, in page order, with ``count_reviews`` to match.
+
+    New products are appended. Stored products whose reviews are others now get new rows in a new
+    version of the two tables; unchanged ones keep theirs, so settling twice adds nothing. Reviews are
+    written before products, and reviews without a product are left over from a run that broke off
+    and are replaced.
     """
-    rated = drop_unrated(batch)
-    chosen = relate.unseen(rated, store.read("products"))
-    per_product = chosen.groupBy("product_article").agg(
+    ready_checkpoints(store.spark)
+    captured = store.read("captured")
+    per_product = captured.groupBy("product_article").agg(
         F.min(F.struct("catalog_id", "position", "name", "product_rating")).alias("p")
     )
     picks = per_product.select("product_article", "p.catalog_id", "p.position")
     products = per_product.select(
         "product_article", F.col("p.name").alias("name"), decimal_comma(F.col("p.product_rating")).alias("rating")
     )
-    reviews = with_captured_parts(
-        chosen.filter(F.col("review_pos").isNotNull()).select(
-            "product_article", "variant_group", "review_pos", "rating", "text"
-        ),
-        "text",
-    )
-    store_collected(store, *collected(products, reviews, picks, max_reviews))
+    columns = captured.select("product_article", "variant_group", "review_pos", "rating", "text")
+    readable = columns.filter(F.col("review_pos").isNotNull() & F.col("rating").isNotNull())
+    reviews = with_captured_parts(readable, "text")
+    found, shown = collected(products, reviews, picks, max_reviews, columns)
+
+    content = F.xxhash64("text_all", "rating", "text_plus", "text_minus", "text_comment")
+    marks = [F.sum(content.cast("decimal(38,0)")).alias("mark"), F.count(F.lit(1)).alias("n")]
+    stored = store.read("products").select("product_article", "count_reviews")
+    kept = store.read("reviews").groupBy("product_article").agg(*marks)
+    wanted = shown.groupBy("product_article").agg(*marks)
+    before = stored.join(kept, "product_article", "left").select("product_article", "count_reviews", F.struct("mark", "n").alias("before"))
+    now = found.select("product_article", F.col("count_reviews").alias("count_now")).join(wanted, "product_article", "left")
+    compared = now.select("product_article", "count_now", F.struct("mark", "n").alias("now")).join(before, "product_article", "left")
+    same = F.col("before").eqNullSafe(F.col("now")) & F.col("count_reviews").eqNullSafe(F.col("count_now"))
+    changed = compared.filter(~same).select("product_article").checkpoint()
+    if changed.isEmpty():
+        return
+    for name, rows, id_column, order in (
+        ("reviews", shown, "review_id", [*_ORDER, "rank"]), ("products", found, "product_id", _ORDER)
+    ):
+        new = rows.join(changed, "product_article", "left_semi")
+        if store.read(name).join(changed, "product_article", "left_semi").isEmpty():
+            store.append_numbered(name, new, id_column, order)
+        else:
+            store.exchange_numbered(name, changed, "product_article", new, id_column, order)
 
 
-def start_ingest(store: FeedbackStore, stream: DataFrame, checkpoint: str, max_reviews: int = MAX_REVIEWS) -> StreamingQuery:
-    """Run until all files that are there have been stored. All files of a product belong into one batch."""
+def start_ingest(store: FeedbackStore, stream: DataFrame, checkpoint: str) -> StreamingQuery:
+    """Capture until all files that are there have been read; :func:`settle` afterwards."""
     store.create()
     return (
-        stream.writeStream.foreachBatch(lambda batch, _: store_batch(store, batch, max_reviews))
+        stream.writeStream.foreachBatch(lambda batch, _: store_batch(store, batch))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -155,15 +155,29 @@ FIRST_FILES = """kept AS (
 
 
 def picks(catalog: str, listings: str, stored: str, target: int) -> str:
+    """Catalogues filled one after the other, smallest first."""
     return f"""
+    WITH RECURSIVE free AS (
+        SELECT {catalog}, product_article, min(position) AS position FROM {listings}
+        WHERE product_article NOT IN (SELECT product_article FROM {stored}) GROUP BY ALL),
+    turns AS (
+        SELECT {catalog}, row_number() OVER (ORDER BY {catalog}) AS k, {target} - coalesce(done, 0) AS room
+        FROM (SELECT DISTINCT {catalog} FROM free)
+        LEFT JOIN (SELECT {catalog}, count(*) AS done FROM {stored} GROUP BY ALL) USING ({catalog})),
+    filled(k, taken, own) AS (
+        SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST([] AS BIGINT[])
+        UNION ALL
+        SELECT k, list_concat(any_value(taken), coalesce(list(product_article) FILTER (place <= room), [])),
+               coalesce(list(product_article ORDER BY place) FILTER (place <= room), [])
+        FROM (SELECT t.k, f.taken, room, l.product_article,
+                     CASE WHEN l.product_article IS NOT NULL
+                          THEN row_number() OVER (PARTITION BY l.product_article IS NULL ORDER BY position, l.product_article) END AS place
+              FROM filled f JOIN turns t ON t.k = f.k + 1
+              LEFT JOIN free l ON l.{catalog} = t.{catalog} AND NOT list_contains(f.taken, l.product_article))
+        GROUP BY k)
     SELECT {catalog}, product_article, position, CAST(pick AS INTEGER) AS pick
-    FROM (SELECT *, min({catalog}) OVER (PARTITION BY product_article) AS owner
-          FROM (SELECT l.*, row_number() OVER (PARTITION BY l.{catalog} ORDER BY position, product_article) AS pick
-                FROM (SELECT {catalog}, product_article, min(position) AS position FROM {listings} GROUP BY ALL) l
-                WHERE product_article NOT IN (SELECT product_article FROM {stored})) p
-          LEFT JOIN (SELECT {catalog}, count(*) AS done FROM {stored} GROUP BY ALL) d USING ({catalog})
-          WHERE pick <= {target} - coalesce(done, 0))
-    WHERE owner = {catalog}"""
+    FROM (SELECT k, unnest(own) AS product_article, generate_subscripts(own, 1) AS pick FROM filled)
+    JOIN turns USING (k) JOIN free USING ({catalog}, product_article)"""
 
 
 PAGE_URL_PATH = "regexp_extract(url, '^[^?#]*', 0)"
@@ -184,7 +198,7 @@ SQL: dict[str, str] = {
     "bigram_frequencies": _with(*ALL_BIGRAMS) + f" SELECT {CELL}, term, n FROM counts",
     "rating_counts_grid": _with(*SPLIT_REVIEWS) + """
         SELECT catalog, rating, count(review_id) AS n
-        FROM (SELECT DISTINCT catalog FROM reviews)
+        FROM (SELECT catalog FROM reviews UNION SELECT role FROM conversations)
         CROSS JOIN (SELECT unnest([1, 2, 3, 4, 5]) AS rating)
         LEFT JOIN reviews USING (catalog, rating) GROUP BY ALL""",
     "report_grid": _with(
@@ -217,8 +231,19 @@ SQL: dict[str, str] = {
                     FROM (SELECT conv_id, turn, {words("text")} AS words FROM conversations)))
         WHERE following IS NOT NULL""",
     "ordered_concatenation": _with(*SPLIT_REVIEWS, PARTS) + """
-        SELECT catalog, rating, CAST(length(string_agg(text, ' ' ORDER BY part, product_id, review_id)) AS BIGINT) AS joined_length
+        SELECT catalog, rating, CAST(length(string_agg(text, ' ' ORDER BY part, product_id, review_id)) AS BIGINT) AS joined_length,
+               bit_xor(CAST('0x' || substr(sha256(
+                   CASE WHEN part > 0 THEN part || lpad(CAST(product_id AS VARCHAR), 13, '0') || lpad(CAST(review_id AS VARCHAR), 14, '0')
+                        WHEN product_id > 0 THEN product_id || lpad(CAST(review_id AS VARCHAR), 14, '0')
+                        ELSE CAST(review_id AS VARCHAR) END
+                   || CASE WHEN part = 0 AND product_id = 0 AND review_id = 0 THEN '' ELSE '0000000000' END || ':' || text), 1, 15) AS BIGINT)) AS digest
         FROM parts GROUP BY ALL""",
+    "rated_reviews": """
+        SELECT o_orderkey, CAST(o_orderkey % 8 AS INTEGER) AS rating FROM orders WHERE o_orderkey % 8 BETWEEN 1 AND 5""",
+    "null_parts_dropped": """
+        SELECT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS rating, CAST(0 AS INTEGER) AS part, count(*) AS n
+        FROM orders WHERE o_orderkey % 3 > 0 GROUP BY ALL
+        UNION ALL SELECT CAST(substr(o_orderpriority, 1, 1) AS INTEGER), 2, count(*) FROM orders GROUP BY ALL""",
     "drop_unrated": _with(RATED) + f" SELECT * FROM rated WHERE product_rating IS DISTINCT FROM {_text(UNRATED)}",
     "drop_without_reviews": _with(RATED) + f"""
         SELECT * FROM rated WHERE product_rating IS DISTINCT FROM {_text(UNRATED)} AND count_reviews IS DISTINCT FROM 0""",
@@ -250,9 +275,9 @@ SQL: dict[str, str] = {
     "reviews_of_article": _with(SHOP) + """
         SELECT 'any' AS asked, review_id, rating FROM shop_reviews WHERE product_article = 20
         UNION ALL SELECT '5', review_id, rating FROM shop_reviews WHERE product_article = 20 AND rating = 5""",
-    "product_counts": _with(SHOP) + """
-        SELECT catalog_id, count(product_id) AS n_products
-        FROM catalogs LEFT JOIN (SELECT * FROM products WHERE catalog_id % 5 <> 0) USING (catalog_id) GROUP BY ALL""",
+    "product_counts": """
+        SELECT c_custkey AS catalog_id, count(o_orderkey) AS n_products
+        FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY ALL""",
     "product_count": """
         SELECT count(*) AS n_products, '7' AS asked FROM customer WHERE c_nationkey = 7
         UNION ALL SELECT count(*), 'unknown' FROM customer WHERE c_nationkey IS NULL""",
@@ -263,13 +288,14 @@ SQL: dict[str, str] = {
     "value_profile": _with(RATED) + " SELECT product_rating AS value, count(*) AS n FROM rated GROUP BY ALL",
     "preview": _with(SHOP) + " SELECT * FROM products ORDER BY product_id LIMIT 5",
     "union_reviews": """
-        SELECT catalog, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars
-        FROM (SELECT lang AS catalog, text FROM documents UNION ALL SELECT role, text FROM conversations) GROUP BY ALL""",
+        SELECT lang AS catalog, CAST(substr(source, 4) AS BIGINT) AS product_id, doc_id AS review_id, text,
+               CAST(doc_id % 5 AS INTEGER) AS rating FROM documents
+        UNION ALL SELECT role, conv_id, turn, text, NULL FROM conversations""",
     "unseen_products": _with(LISTINGS) + """
         SELECT DISTINCT product_article FROM listings WHERE product_article NOT IN (SELECT product_article FROM stored)""",
     "stored_products": _with(LISTINGS) + """
         SELECT DISTINCT product_article FROM listings WHERE product_article IN (SELECT product_article FROM stored)""",
-    "quota_selection": _with(LISTINGS) + picks("catalog_id", "listings", "stored", 30),
+    "quota_selection": _with(LISTINGS) + f" SELECT * FROM ({picks('catalog_id', 'listings', 'stored', 30)})",
     "cap_reviews": f"""
         SELECT l_partkey, {LINE_KEYS}, CAST(rank AS INTEGER) AS rank
         FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY {LINE_KEYS}) AS rank FROM lineitem)
@@ -279,7 +305,9 @@ SQL: dict[str, str] = {
         FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rank FROM conversations) WHERE rank <= 3""",
     "adaptive_scope": f"""
         WITH lines AS (SELECT l.*, p_brand FROM lineitem l JOIN part ON p_partkey = l_partkey),
-        members AS (SELECT l_partkey, p_brand, count(*) > 100 / 3.0 AS own FROM lines GROUP BY ALL),
+        members AS (
+            SELECT p_partkey AS l_partkey, p_brand, count(l_partkey) > 100 / 3.0 AS own
+            FROM part LEFT JOIN lineitem ON p_partkey = l_partkey GROUP BY ALL),
         ranked AS (
             SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY {LINE_KEYS}) AS own_rank,
                       row_number() OVER (PARTITION BY p_brand ORDER BY {LINE_KEYS}) AS group_rank
@@ -335,7 +363,7 @@ SQL: dict[str, str] = {
           TRY_CAST(right({PAGE_URL_PATH}, 1) AS INTEGER) AS last_digit
         FROM pages""",
     "page_links": """
-        SELECT site, page_id * 1000000 + generate_subscripts(links, 1) - 1 AS position, unnest(links) AS link
+        SELECT site, page_id AS page, CAST(generate_subscripts(links, 1) - 1 AS INTEGER) AS at, unnest(links) AS link
         FROM (SELECT page_id, regexp_extract(url, '//([^/]+)/', 1) AS site,
                      regexp_extract_all(html, 'href="([^"]+)"', 1) AS links FROM pages)""",
     "page_reviews": f"""
@@ -350,7 +378,7 @@ SQL: dict[str, str] = {
             SELECT regexp_extract(url, '//([^/]+)/', 1) AS site, page_id AS position,
                    CAST(regexp_extract(url, '/(\\d+)', 1) AS BIGINT) AS product_article FROM pages),
         stored AS (SELECT p_partkey AS product_article, 'www.example.com' AS site FROM part WHERE p_partkey % 7 = 0)"""
-        + picks("site", "entries", "stored", 5),
+        + f" SELECT * FROM ({picks('site', 'entries', 'stored', 5)})",
     "collect_pages": f"""
         WITH entries AS (
             SELECT regexp_extract(url, '//([^/]+)/', 1) AS catalog_link, page_id, html,
@@ -361,18 +389,30 @@ SQL: dict[str, str] = {
         listed AS (SELECT catalog_id, product_article, page_id AS position FROM entries JOIN catalogs USING (catalog_link)),
         none AS (SELECT catalog_id, product_article FROM listed WHERE false),
         picked AS ({picks("catalog_id", "listed", "none", 3)}),
-        own AS (
-            SELECT product_article, min(page_id) AS page_id, arg_min(html, page_id) AS html FROM entries GROUP BY product_article),
+        pages_of AS (
+            SELECT product_article, min(page_id) AS page_id, arg_min(html, page_id) AS html,
+                   CASE WHEN product_article % 4 > 0 THEN 'g' || product_article % 40 ELSE 'p' || product_article END AS pool
+            FROM entries GROUP BY product_article),
+        items AS (
+            SELECT product_article, pool, unnest(found) AS item, generate_subscripts(found, 1) AS place
+            FROM (SELECT *, regexp_extract_all(html, '{PARAGRAPH}', 1) AS found FROM pages_of)),
+        shown AS (
+            SELECT p.product_article, item, row_number() OVER (PARTITION BY p.product_article ORDER BY i.product_article, place) AS rank
+            FROM (SELECT product_article, pool, (SELECT count(*) FROM items i WHERE i.product_article = o.product_article) > 8 / 3.0 AS own
+                  FROM pages_of o) p
+            JOIN items i ON CASE WHEN own THEN i.product_article = p.product_article ELSE i.pool = p.pool END
+            WHERE p.product_article IN (SELECT product_article FROM picked)
+            QUALIFY rank <= 8),
         products AS (
             SELECT row_number() OVER (ORDER BY catalog_id, position, product_article) AS product_id, product_article, catalog_id,
                    {visible(f"regexp_extract(html, '{TITLE}', 1)")} AS name,
                    CAST('4.' || page_id % 10 AS DOUBLE) AS product_rating,
-                   regexp_extract_all(html, '{PARAGRAPH}', 1)[1:8] AS items
-            FROM picked JOIN own USING (product_article)),
+                   (SELECT CAST(count(*) AS INTEGER) FROM shown s WHERE s.product_article = o.product_article) AS count_reviews
+            FROM picked JOIN pages_of o USING (product_article)),
         reviews AS (
-            SELECT product_article, row_number() OVER (ORDER BY product_id, place) AS review_id, {visible("item")} AS text_all
-            FROM (SELECT product_article, product_id, unnest(items) AS item, generate_subscripts(items, 1) AS place FROM products))
-        SELECT product_article, catalog_id, product_id, name, product_rating, CAST(len(items) AS INTEGER) AS count_reviews,
+            SELECT product_article, row_number() OVER (ORDER BY product_id, rank) AS review_id, {visible("item")} AS text_all
+            FROM products JOIN shown USING (product_article))
+        SELECT product_article, catalog_id, product_id, name, product_rating, count_reviews,
                catalog_link, true AS collected, false AS analyzed,
                review_id, CASE WHEN review_id IS NOT NULL THEN CAST(3 AS INTEGER) END AS rating, text_all
         FROM products JOIN catalogs USING (catalog_id) LEFT JOIN reviews USING (product_article)""",
@@ -405,6 +445,9 @@ SQL: dict[str, str] = {
         SELECT catalog, rank, term, n, 'word' AS term_kind, rating, category FROM top""",
     "full_analysis": "SELECT *, category || ' (Оценка ' || rating || '/5)' AS title FROM (SELECT *, 'word' AS term_kind FROM (" + _with(*ALL_WORDS, ranked(CELL, 10))
         + " SELECT * FROM top) UNION ALL SELECT *, 'bigram' FROM (" + _with(*ALL_BIGRAMS, ranked(CELL, 10)) + " SELECT * FROM top))",
+    "bigram_sheet": _with(*ALL_BIGRAMS, ranked(CELL, 10)) + """
+        SELECT rank - 1 AS "index", term AS "Bigram", n AS "Top 10 Bigrams (Category: Достоинства)" FROM top
+        WHERE catalog = 'en' AND rating = 5 AND category = 'Достоинства'""",
     "report_sheet": _with(*ALL_WORDS, ranked(CELL, 10)) + """
         SELECT rank - 1 AS "index", term AS "Word", n AS "Top 10 Words (Category: Достоинства)" FROM top
         WHERE catalog = 'en' AND rating = 5 AND category = 'Достоинства'""",
@@ -421,4 +464,15 @@ SQL: dict[str, str] = {
         FROM (SELECT review_id // 10 AS product_article, review_id AS doc, rating, length(text_all) AS chars, text_plus
               FROM reviews)
         WHERE product_article % 9 <> 0""",
+    "streaming_ingest_batches": _with(*SPLIT_REVIEWS) + """
+        SELECT product_article, rating, chars, text_plus, CAST(4.5 AS DOUBLE) AS product_rating,
+               CAST(count(*) OVER (PARTITION BY product_article) AS INTEGER) AS count_reviews
+        FROM (SELECT review_id // 10 AS product_article, rating, length(text_all) AS chars, text_plus FROM reviews)
+        WHERE product_article % 9 <> 0""",
+    "clean_tree_roundtrip": """
+        WITH files AS (
+            SELECT lang AS catalog, doc_id AS product_article, CASE WHEN doc_id % 7 > 0 THEN text END AS body FROM documents)
+        SELECT catalog, product_article, CAST(CASE WHEN body IS NULL THEN 0 ELSE len(string_split(body, chr(10))) END AS BIGINT) AS n_rows
+        FROM files
+        QUALIFY row_number() OVER (PARTITION BY catalog, body ORDER BY product_article || '.csv') = 1""",
 }

@@ -11,9 +11,9 @@ from reviewloom.functions import keys, pages
 from reviewloom.functions import text as tx
 from reviewloom.operators import dedup, filters, ordering, relate, terms
 from reviewloom.plans import analyse, collect
-from reviewloom.plans.clean import Cleaned, clean_catalogs
+from reviewloom.plans.clean import Cleaned, clean_catalogs, clean_tree
 from reviewloom.schemas import PROCESSED_REVIEW_CSV
-from reviewloom.session import scratch_path, spread
+from reviewloom.session import scratch_path
 from reviewloom.sources import csv_tree, reports
 from reviewloom.sources.store import FeedbackStore
 from reviewloom.streaming import ingest
@@ -87,7 +87,10 @@ def bigram_frequencies(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rating_counts_grid(spark: SparkSession, folder: str) -> DataFrame:
-    return terms.rating_counts(t.reviews(spark, folder))
+    """Languages as catalogues, and roles, which have no reviews here."""
+    roles = t.table(spark, folder, "conversations").select(F.col("role").alias("catalog"))
+    reviews = t.reviews(spark, folder)
+    return terms.rating_counts(reviews, catalogs=roles.unionByName(reviews.select("catalog")).filter("catalog IS NOT NULL"))
 
 
 def report_grid(spark: SparkSession, folder: str) -> DataFrame:
@@ -141,13 +144,22 @@ def review_bigrams(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ordered_concatenation(spark: SparkSession, folder: str) -> DataFrame:
-    """Length of the joined text of every cell, without joining it."""
-    parts = t.reviews(spark, folder).select(
-        "catalog", "rating", F.explode(F.array("text_plus", "text_minus", "text_comment")).alias("text")
-    ).filter("text IS NOT NULL")
-    return parts.groupBy("catalog", "rating").agg(
-        (F.sum(F.length("text")) + F.count(F.lit(1)) - 1).cast("bigint").alias("joined_length")
-    )
+    """Length and order-bound digest of the joined text of every cell, without joining it."""
+    return terms.joined_texts(terms.review_parts(t.reviews(spark, folder)))
+
+
+def rated_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as reviews with ratings 0 to 6 and NULL; 1 to 5 stay."""
+    mark = F.pmod("o_orderkey", F.lit(8)).cast("int")
+    orders = t.table(spark, folder, "orders").select("o_orderkey", F.when(mark < 7, mark).alias("rating"))
+    return filters.rated_reviews(orders)
+
+
+def null_parts_dropped(spark: SparkSession, folder: str) -> DataFrame:
+    """Review parts of orders, of which one is always and one is often NULL."""
+    orders = t.shop(spark, folder)[2].withColumn("text_plus", F.when(F.col("review_id") % 3 > 0, F.col("text_plus")))
+    placed = orders.select(F.lit("all").alias("catalog"), F.col("product_article").alias("product_id"), "*")
+    return terms.review_parts(placed).groupBy("rating", "part").agg(F.count(F.lit(1)).alias("n"))
 
 
 # -- cleaning -----------------------------------------------------------------------------------
@@ -256,8 +268,9 @@ def reviews_of_article(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def product_counts(spark: SparkSession, folder: str) -> DataFrame:
-    catalogs, products, _ = t.shop(spark, folder)
-    return relate.product_counts(catalogs, products.filter("catalog_id % 5 <> 0"))
+    """Customers as catalogues and their orders as products: many customers have none."""
+    catalogs = t.table(spark, folder, "customer").select(F.col("c_custkey").alias("catalog_id"))
+    return relate.product_counts(catalogs, t.table(spark, folder, "orders").select(F.col("o_custkey").alias("catalog_id")))
 
 
 def product_count(spark: SparkSession, folder: str) -> DataFrame:
@@ -284,10 +297,9 @@ def preview(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def union_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    both = t.documents(spark, folder).unionByName(t.conversations(spark, folder))
-    return both.groupBy("catalog").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).cast("bigint").alias("chars")
-    )
+    """Documents and turns as one table of reviews; turns have no rating."""
+    documents = t.documents(spark, folder).withColumn("rating", F.pmod("review_id", F.lit(5)).cast("int"))
+    return filters.union_reviews(documents, t.conversations(spark, folder))
 
 
 def unseen_products(spark: SparkSession, folder: str) -> DataFrame:
@@ -316,7 +328,9 @@ def cap_turns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def adaptive_scope(spark: SparkSession, folder: str) -> DataFrame:
-    shown = relate.reviews_in_scope(t.part_lines(spark, folder), "l_partkey", "p_brand", [*t.LINE_ORDER])
+    """All parts show reviews, those without order lines the pooled ones of their brand."""
+    members = t.table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    shown = relate.reviews_in_scope(t.part_lines(spark, folder), "l_partkey", "p_brand", [*t.LINE_ORDER], members=members)
     return shown.select("l_partkey", "p_brand", "scope", "rank", "reviewed_article", "l_orderkey", "l_linenumber")
 
 
@@ -374,7 +388,7 @@ def cell_titles(spark: SparkSession, folder: str) -> DataFrame:
 
 def page_fields(spark: SparkSession, folder: str) -> DataFrame:
     html = F.col("html")
-    return spread(t.table(spark, folder, "pages")).select(
+    return t.table(spark, folder, "pages").select(
         "page_id",
         pages.text_field(html, PAGE_PATTERNS.title).alias("title"),
         pages.field(html, r'<html lang="([a-z]+)"').alias("lang"),
@@ -384,13 +398,14 @@ def page_fields(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def page_links(spark: SparkSession, folder: str) -> DataFrame:
-    captured = spread(t.table(spark, folder, "pages")).withColumn("site", F.regexp_extract("url", "//([^/]+)/", 1))
-    return collect.listed_links(captured, "site", "page_id", PAGE_PATTERNS.link)
+    captured = t.table(spark, folder, "pages").withColumn("site", F.regexp_extract("url", "//([^/]+)/", 1))
+    links = collect.listed_links(captured, "site", "page_id", PAGE_PATTERNS.link)
+    return links.select("site", "position.page", "position.at", "link")
 
 
 def page_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Paragraphs of pages as captured reviews; an empty paragraph counts as unreadable."""
-    items = spread(t.table(spark, folder, "pages")).select(
+    items = t.table(spark, folder, "pages").select(
         "page_id", F.posexplode(pages.all_fields(F.col("html"), PAGE_PATTERNS.review_item)).alias("review_pos", "item")
     )
     read = items.select("page_id", "review_pos", F.nullif(pages.visible_text(F.col("item")), F.lit("")).alias("text"))
@@ -410,8 +425,11 @@ def crawl_frontier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def collect_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Collect products from pages into a store: site = catalogue, heading = name, paragraphs = reviews."""
-    captured = spread(t.table(spark, folder, "pages")).select(
+    """Collect products from pages into a store: site = catalogue, heading = name, paragraphs = reviews.
+
+    The smallest page of an article is its own page; three quarters of the articles have variants.
+    """
+    captured = t.table(spark, folder, "pages").select(
         F.regexp_extract("url", "//([^/]+)/", 1).alias("catalog_link"),
         "page_id",
         keys.article_or_null(F.col("url"), r"/(\d+)").alias("product_article"),
@@ -425,7 +443,8 @@ def collect_pages(spark: SparkSession, folder: str) -> DataFrame:
     mark = F.format_string('<span id="productNmId">%d</span><b class="rating">4,%d</b>', "product_article", F.col("page_id") % 10)
     products = pages_of.select("product_article", F.concat(mark, "html").alias("html"))
     starred = F.regexp_replace("html", "<p>", '<p><i class="stars-line star3"></i>')
-    feedbacks = pages_of.select("product_article", F.lit(None).cast("bigint").alias("variant_group"), starred.alias("html"))
+    variants = F.when(F.col("product_article") % 4 > 0, F.col("product_article") % 40)
+    feedbacks = pages_of.select("product_article", variants.cast("bigint").alias("variant_group"), starred.alias("html"))
     links = captured.groupBy("catalog_link").agg(F.min("page_id").alias("link_order"))
     patterns = pages.PagePatterns(
         link=r'href="([^"]+)"',
@@ -464,7 +483,7 @@ def csv_roundtrip_multiline(spark: SparkSession, folder: str) -> DataFrame:
     )
     path = scratch_path(spark, "roundtrip")
     csv_tree.write_reviews(reviews, path, rows_per_file=1000)
-    return csv_tree.read_written_reviews(spark, path, PROCESSED_REVIEW_CSV, rows_per_file=1000)
+    return csv_tree.read_written_reviews(spark, path, PROCESSED_REVIEW_CSV)
 
 
 def catalog_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -479,7 +498,7 @@ def catalog_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "catalogs")
     listed = ordering.dense_positions(rows, ["catalog"], ["product_article"], "listing")
     csv_tree.write_catalogs(listed, path, rows_per_file=1000)
-    return csv_tree.read_written_catalogs(spark, path, rows_per_file=1000)
+    return csv_tree.read_written_catalogs(spark, path)
 
 
 def combined_reviews(spark: SparkSession, folder: str) -> DataFrame:
@@ -532,8 +551,11 @@ def full_analysis(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def report_sheet(spark: SparkSession, folder: str) -> DataFrame:
-    top = terms.top_terms(analyse.word_counts(t.reviews(spark, folder), STOP_WORDS))
-    return reports.sheet(top, "en", 5, "Достоинства", "word")
+    return reports.sheet(analyse.analyse(t.reviews(spark, folder), STOP_WORDS).report(), "en", 5, "Достоинства", "word")
+
+
+def bigram_sheet(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.sheet(analyse.analyse(t.reviews(spark, folder), STOP_WORDS).report(), "en", 5, "Достоинства", "bigram")
 
 
 def analysis_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -552,12 +574,11 @@ def store_append(spark: SparkSession, folder: str) -> DataFrame:
     return store.read("reviews")
 
 
-def streaming_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    """Labelled documents arrive as captured review files; the stored products and reviews come back."""
+def _ingested(spark: SparkSession, folder: str, files: int, files_per_batch: int) -> FeedbackStore:
+    """Labelled documents arrive as captured review files, a product's reviews in several of them."""
     base = scratch_path(spark, "ingest")
     docs = t.reviews(spark, folder).withColumn("product_article", F.floor(F.col("review_id") / 10))
     captured = docs.select(
-        F.xxhash64("catalog").alias("_lang"),
         F.lit(1).cast("bigint").alias("catalog_id"),
         F.col("product_article").alias("position"),
         "product_article",
@@ -567,11 +588,18 @@ def streaming_ingest(spark: SparkSession, folder: str) -> DataFrame:
         F.col("review_id").alias("review_pos"),
         "rating",
         F.col("text_all").alias("text"),
-    ).drop("_lang")
-    captured.write.json(f"{base}/incoming")
+    )
+    captured.repartition(files, F.col("review_pos") % files).write.json(f"{base}/incoming")
     store = FeedbackStore(spark, f"{base}/store")
-    query = ingest.start_ingest(store, ingest.captured_stream(spark, f"{base}/incoming", 100_000), f"{base}/checkpoint")
-    query.awaitTermination()
+    stream = ingest.captured_stream(spark, f"{base}/incoming", files_per_batch)
+    ingest.start_ingest(store, stream, f"{base}/checkpoint").awaitTermination()
+    ingest.settle(store)
+    return store
+
+
+def streaming_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored products and reviews of captured files that came in one batch."""
+    store = _ingested(spark, folder, 4, 1000)
     products = store.read("products").select("product_article", F.col("rating").alias("product_rating"), "count_reviews")
     reviews = store.read("reviews").select(
         "review_id", "product_article", "rating", F.length("text_all").cast("bigint").alias("chars"), "text_plus"
@@ -579,6 +607,46 @@ def streaming_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return reviews.join(products, "product_article")
 
 
+def streaming_ingest_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, one file a batch, so that every product comes in four batches."""
+    store = _ingested(spark, folder, 4, 1)
+    products = store.read("products").select("product_article", F.col("rating").alias("product_rating"), "count_reviews")
+    reviews = store.read("reviews").select(
+        "product_article", "rating", F.length("text_all").cast("bigint").alias("chars"), "text_plus"
+    )
+    return reviews.join(products, "product_article")
+
+
+def clean_tree_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as a written raw tree, cleaned and read back, with the products that have no rows.
+
+    Every seventh document is a review file without rows: one product stands for them all in a language.
+    """
+    root = scratch_path(spark, "tree")
+    lines = t.document_lines(spark, folder)
+    rows = lines.filter("product_article % 7 > 0").select(
+        "catalog", "product_article", "review_pos",
+        (F.length("line") % 5 + 1).cast("int").alias("review_rating"),
+        F.col("line").alias("review_text"),
+        F.lit(None).cast("string").alias("review_text_plus"),
+        F.lit(None).cast("string").alias("review_text_minus"),
+    )
+    files = lines.select("catalog", "product_article").distinct()
+    listed = ordering.dense_positions(files, ["catalog"], ["product_article"], "listing").select(
+        "catalog", "product_article", "listing", F.lit("name").alias("product_name"), F.lit("4,5").alias("product_rating"),
+        F.lit(1).alias("count_reviews"),
+    )
+    csv_tree.write_catalogs(listed, f"{root}/raw/catalogs")
+    csv_tree.write_reviews(rows, f"{root}/raw/reviews")
+    csv_tree.write_kept_files(files, f"{root}/raw/kept_files")
+    clean_tree(spark, f"{root}/raw", f"{root}/clean")
+    _, reviews, kept = csv_tree.read_tree(spark, f"{root}/clean")
+    counted = reviews.groupBy("catalog", "product_article").agg(F.count(F.lit(1)).alias("n_rows"))
+    return kept.drop("file_name").join(counted, ["catalog", "product_article"], "left").select(
+        "catalog", "product_article", F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows")
+    )
+
+
 def all_queries() -> dict:
     """Public query functions of this module by name, in their order."""
     return {

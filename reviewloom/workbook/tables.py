@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from reviewloom.constants import LABEL_COMMENT, LABEL_MINUS, LABEL_PLUS, RUSSIAN_STOP_WORDS
 from reviewloom.functions import text as tx
-from reviewloom.session import spread
 
 # The stop list of the jobs, with frequent short words of the four languages of ``documents``.
 STOP_WORDS = RUSSIAN_STOP_WORDS + tuple("the and of to in die der und le de la les el que en".split())
@@ -19,7 +18,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as reviews with one part: catalogue = language, product = source."""
-    return spread(table(spark, folder, "documents").select("lang", "source", "doc_id", "text")).select(
+    return table(spark, folder, "documents").select(
         F.col("lang").alias("catalog"),
         F.substring("source", 4, 10).cast("bigint").alias("product_id"),
         F.col("doc_id").alias("review_id"),
@@ -29,7 +28,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def conversations(spark: SparkSession, folder: str) -> DataFrame:
     """Turns as reviews with one part: catalogue = role, product = conversation."""
-    return spread(table(spark, folder, "conversations")).select(
+    return table(spark, folder, "conversations").select(
         F.col("role").alias("catalog"),
         F.col("conv_id").alias("product_id"),
         F.col("turn").alias("review_id"),
@@ -72,7 +71,7 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 def document_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as products, their lines as reviews in order."""
-    return spread(table(spark, folder, "documents").select("doc_id", "lang", "text")).select(
+    return table(spark, folder, "documents").select(
         F.col("lang").alias("catalog"),
         F.col("doc_id").alias("product_article"),
         F.posexplode(F.split("text", "\n")).alias("review_pos", "line"),

@@ -1,4 +1,4 @@
-from reviewloom.operators.dedup import review_set_groups
+from reviewloom.operators.dedup import fingerprints, review_set_groups
 from reviewloom.plans.clean import clean_catalogs, preprocess_reviews
 
 
@@ -67,3 +67,14 @@ def test_clean_catalogs(spark):
     parsed = preprocess_reviews(cleaned.reviews).orderBy("product_article", "review_pos").collect()
     parts = [(r.review_text_plus, r.review_text_minus, r.review_text_comment) for r in parsed]
     assert parts == [("лёгкие", "маломерят", "Нет"), ("Нет", "Нет", ""), ("Нет", "Нет", "плохо")]
+
+
+def test_fingerprint_words_are_independent(spark):
+    """The four words are the four parts of the row's SHA-256, so none is a function of another."""
+    import hashlib
+
+    rows = spark.createDataFrame([(7, 0, "да")], "article bigint, pos bigint, text string")
+    found = fingerprints(rows, ["article"], "pos", ["text"]).first()
+    digest = hashlib.sha256('{"p":0,"text":"да"}'.encode()).hexdigest()
+    words = [int.from_bytes(bytes.fromhex(digest[16 * i : 16 * i + 16]), "big", signed=True) for i in range(4)]
+    assert [found[f"fp{i}"] for i in range(4)] == words and found.n_rows == 1

@@ -12,7 +12,9 @@ from reviewloom.schemas import PROCESSED_REVIEW_CSV
 from reviewloom.sources import csv_tree
 from reviewloom.sources.reports import read_report, sheet
 from reviewloom.sources.store import FeedbackStore
-from reviewloom.streaming.ingest import captured_stream, start_ingest
+from reviewloom.functions.keys import key_from_file_name
+from reviewloom.plans.collect import product_rows, review_rows
+from reviewloom.streaming.ingest import captured_stream, settle, start_ingest
 
 SHOES = "https://www.shop.example/catalog/shoes"
 BAGS = "https://www.shop.example/catalog/bags"
@@ -88,14 +90,23 @@ def test_collect_then_analyse(spark, shop, tmp_path):
     assert store.read("catalogs").filter("collected AND NOT analyzed").count() == 2
 
     results = str(tmp_path / "results")
+    only_bags = shop[3].filter(F.col("catalog_link") == BAGS)
+    analyse_catalogs(store, results, links=only_bags)
+    assert [r.catalog_link for r in store.read("catalogs").filter("analyzed").collect()] == [BAGS]
     analyse_catalogs(store, results)
     assert store.read("catalogs").filter("analyzed").count() == 2
-    report = read_report(spark, f"{results}/report")
+    stored = store.read("analysis").count()
+    analyse_catalogs(store, results)
+    assert store.read("analysis").count() == stored
+    grid = read_report(spark, f"{results}/report")
+    assert grid.select("catalog", "rating", "category", "term_kind").distinct().count() == 2 * 5 * 4 * 2
+    report = grid.filter("term IS NOT NULL")
     words = report.filter("term_kind = 'word'")
-    assert [tuple(r) for r in sheet(words, SHOES, 2, "Недостатки", "word").collect()] == [(0, "текут", 1)]
+    assert [tuple(r) for r in sheet(report, SHOES, 2, "Недостатки", "word").collect()] == [(0, "текут", 1)]
     analysis = store.read("analysis")
     assert analysis.count() == report.count() > words.count() > 0
     counts = spark.read.parquet(f"{results}/rating_counts")
+    assert counts.count() == 10
     assert {(r.catalog, r.rating): r.n for r in counts.filter("n > 0").collect()} == {
         (SHOES, 1): 2, (SHOES, 2): 1, (SHOES, 4): 2, (SHOES, 5): 2,
     }
@@ -133,16 +144,48 @@ def test_streaming_ingest_repeats_safely(spark, tmp_path):
         return {"catalog_id": 1, "position": article, "product_article": article, "variant_group": None,
                 "name": f"p{article}", "product_rating": "4,5", "review_pos": pos, "rating": 5, "text": text}
 
+    def ingest(checkpoint, files=1000):
+        start_ingest(store, captured_stream(spark, str(incoming), files), str(tmp_path / checkpoint)).awaitTermination()
+        settle(store, max_reviews=3)
+
     store = FeedbackStore(spark, str(tmp_path / "store"))
     capture("1.json", [review(1, 0, "Достоинства: да"), review(1, 1, None), review(2, 0, "нет")])
-    start_ingest(store, captured_stream(spark, str(incoming)), str(tmp_path / "cp")).awaitTermination()
+    ingest("cp")
     assert (store.read("products").count(), store.read("reviews").count()) == (2, 3)
-    capture("2.json", [review(2, 0, "нет"), review(3, 0, "ещё")])
-    start_ingest(store, captured_stream(spark, str(incoming)), str(tmp_path / "cp")).awaitTermination()
+    kept = {r.review_id for r in store.read("reviews").filter("product_article = 2").collect()}
+    # Known rows come again, stored products grow, and no product passes the limit over all batches.
+    capture("2.json", [review(2, 0, "нет"), review(3, 0, "ещё"), review(1, 2, "два"), review(1, 3, "три")])
+    capture("3.json", [review(3, 1, "и ещё"), review(3, None, None)])
+    ingest("cp", files=1)
     # A lost checkpoint replays everything and adds nothing.
-    start_ingest(store, captured_stream(spark, str(incoming)), str(tmp_path / "cp-new")).awaitTermination()
-    assert {r.product_article: r.count_reviews for r in store.read("products").collect()} == {1: 2, 2: 1, 3: 1}
-    assert store.read("reviews").count() == 4
+    before = sorted(map(tuple, store.read("reviews").collect()))
+    ingest("cp-new")
+    assert sorted(map(tuple, store.read("reviews").collect())) == before
+    assert {r.product_article: r.count_reviews for r in store.read("products").collect()} == {1: 3, 2: 1, 3: 2}
+    assert store.read("reviews").count() == 6
+    assert store.read("products").select("product_article").distinct().count() == store.read("products").count() == 3
+    assert {r.review_id for r in store.read("reviews").filter("product_article = 2").collect()} == kept
+    texts = [r.text_all for r in store.read("reviews").filter("product_article = 1").orderBy("review_id").collect()]
+    assert texts == ["Достоинства: да", "", "два"]
+
+
+def test_page_fields_of_reviews(spark):
+    item = '<li><span class="stars-line star{}"></span><div class="feedback__content">да</div>{}</li>'
+    blocks = '<div class="feedback__text--item-pro">лёгкие</div><div class="x feedback__text--item-con">узкие</div>'
+    html = ('<ul class="comments__list">' + item.format(5, blocks) + item.format("x", "") + "<li>реклама</li>"
+            + item.format(3, "") + '</ul><ul class="menu"><li>меню</li></ul>')
+    pages = spark.createDataFrame([(1, None, html)], "product_article bigint, variant_group bigint, html string")
+    rows = review_rows(pages).orderBy("review_pos").collect()
+    assert [(r.review_pos, r.rating, r.pros, r.cons) for r in rows] == [(0, 5, "лёгкие", "узкие"), (3, 3, None, None)]
+    shop = spark.createDataFrame(
+        [(product(1, "a", "4")[1] + '<span class="price-block__price"> 9 ₽</span>',), (product(2, "b", "5")[1],)], "html string"
+    )
+    assert {r.product_article: r.price for r in product_rows(shop).collect()} == {1: "9 ₽", 2: None}
+
+
+def test_file_names_without_a_key_fail(spark):
+    with pytest.raises(Exception, match="no key in file name"):
+        spark.createDataFrame([("x/abc.csv",)], "path string").select(key_from_file_name(F.col("path"))).collect()
 
 
 def test_csv_trees(spark, tmp_path):
@@ -169,6 +212,12 @@ def test_csv_trees(spark, tmp_path):
     assert rows[0].review_text == 'Достоинства: "лёгкие"\n\nКомментарий: да'
     assert (rows[0].review_text_plus, rows[0].review_text_minus, rows[0].review_text_comment) == ('"лёгкие"', "Нет", "да")
     assert (rows[1].review_text, rows[1].review_text_comment) == (None, None)
+    _, _, kept = csv_tree.read_tree(spark, clean)
+    assert sorted((r.catalog, r.product_article) for r in kept.collect()) == [("shoes", 5), ("shoes", 9)]
+    again = str(tmp_path / "again")
+    clean_tree(spark, clean, again)
+    assert csv_tree.read_kept_files(spark, f"{again}/kept_files").count() == 2
+    assert csv_tree.read_written_reviews(spark, f"{again}/reviews").count() == 2
     combined = spark.read.options(**csv_tree.READ).csv(f"{processed}/all")
     assert combined.columns == [*PROCESSED_REVIEW_CSV.names, "catalog"] and combined.count() == 2
 
@@ -180,5 +229,5 @@ def test_chunks_keep_positions(spark, tmp_path):
         "review_text_plus string, review_text_minus string"
     )
     csv_tree.write_reviews(df, str(tmp_path / "out"), rows_per_file=10)
-    back = csv_tree.read_written_reviews(spark, str(tmp_path / "out"), rows_per_file=10)
+    back = csv_tree.read_written_reviews(spark, str(tmp_path / "out"))
     assert sorted((r.review_pos, r.review_text) for r in back.collect()) == [(i, f"текст {i}") for i in range(25)]

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from reviewloom.operators import relate
 from reviewloom.operators.filters import rated_reviews, value_profile
 
@@ -27,19 +29,18 @@ def test_reviews_in_scope(spark):
 
 
 def expected_picks(candidates, stored, target):
-    per_catalog = {}
+    """Catalogue after catalogue, smallest first."""
+    found = set()
     known = {a for _, a in stored}
-    for catalog in {c for c, _, _ in candidates}:
+    for catalog in sorted({c for c, _, _ in candidates}):
         first = {}
         for _, article, position in (c for c in candidates if c[0] == catalog):
             first[article] = min(position, first.get(article, position))
         new = sorted((p, a) for a, p in first.items() if a not in known)
         room = max(target - sum(1 for c, _ in stored if c == catalog), 0)
-        per_catalog[catalog] = [(a, p, i + 1) for i, (p, a) in enumerate(new[:room])]
-    owner = {}
-    for catalog in sorted(per_catalog, reverse=True):
-        owner.update({a: catalog for a, _, _ in per_catalog[catalog]})
-    return {(c, a, p, i) for c, picks in per_catalog.items() for a, p, i in picks if owner[a] == c}
+        found |= {(catalog, a, p, i + 1) for i, (p, a) in enumerate(new[:room])}
+        known |= {a for _, a in new[:room]}
+    return found
 
 
 def test_select_new_products(spark):
@@ -53,6 +54,23 @@ def test_select_new_products(spark):
         assert {tuple(r) for r in out.collect()} == expected_picks(candidates, stored, target)
 
 
+def test_a_catalogue_moves_on_to_its_next_candidates(spark):
+    candidates = [(1, 10, 0), (1, 11, 1), (2, 10, 0), (2, 11, 1), (2, 12, 2), (2, 13, 3), (3, 12, 0), (3, 13, 1)]
+    cand = spark.createDataFrame(candidates, "catalog_id bigint, product_article bigint, position bigint")
+    none = spark.createDataFrame([], "catalog_id bigint, product_article bigint")
+    picks = relate.select_new_products(cand, none, target=2).collect()
+    assert {(r.catalog_id, r.product_article) for r in picks} == {(1, 10), (1, 11), (2, 12), (2, 13)}
+
+
+def test_products_without_reviews_show_pooled_ones(spark):
+    reviews = spark.createDataFrame([(1, 5, 0), (1, 5, 1)], "article bigint, grp bigint, pos int").withColumn("at", F.col("article"))
+    members = spark.createDataFrame([(1, 5), (2, 5), (3, 6)], "article bigint, grp bigint")
+    out = relate.reviews_in_scope(reviews, "article", "grp", ["at", "pos"], 30, members)
+    assert {(r.article, r.scope, r.reviewed_article, r.pos) for r in out.collect()} == {
+        (1, "pooled", 1, 0), (1, "pooled", 1, 1), (2, "pooled", 1, 0), (2, "pooled", 1, 1),
+    }
+
+
 def test_counts_progress_and_flags(spark):
     catalogs = spark.createDataFrame([(1, False), (2, True), (3, False)], "catalog_id bigint, collected boolean")
     products = spark.createDataFrame([(1, 10), (1, 11), (2, 12)], "catalog_id bigint, product_article bigint")
