@@ -5,6 +5,8 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from reviewloom.workbook.oracle import SQL
+from reviewloom.workbook.queries import all_queries
 from tests.oracle_check import compare, oracle_connection
 
 FOLDER = os.environ.get("REVIEWLOOM_TABLES", "/root/testdata/sf0.001")
@@ -17,13 +19,14 @@ def connection():
 
 
 @needs_tables
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_query_equals_sql(spark, connection, name):
-    assert compare(queries()[name](spark, FOLDER), connection, oracle_sql()[name]) == ""
+    assert compare(all_queries()[name](spark, FOLDER), connection, SQL[name]) == ""
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(all_queries()) == set(SQL)
+    assert set(all_queries()) <= set(queries()) and set(SQL) <= set(oracle_sql()) <= set(queries())
 
 
 @needs_tables
