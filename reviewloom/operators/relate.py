@@ -14,9 +14,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.constants import MAX_PRODUCTS, MAX_REVIEWS
 from reviewloom.operators.ordering import number_rows, top_k
-from reviewloom.session import ready_checkpoints
-
-LANES = 64
+from reviewloom.session import ready_checkpoints, shuffle_width
 
 
 # -- loading ------------------------------------------------------------------------------------
@@ -85,7 +83,7 @@ def first_reviews(
     rank: str = "rank",
 ) -> DataFrame:
     """First ``n`` reviews of every product in page order. ``order`` must be total inside a product."""
-    return top_k(reviews, key, [F.asc(c) for c in order], n, rank, lanes=LANES, lane_key=order)
+    return top_k(reviews, key, [F.asc(c) for c in order], n, rank, lanes=shuffle_width(reviews.sparkSession), lane_key=order)
 
 
 def reviews_in_scope(

@@ -13,7 +13,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reviewloom.constants import MAX_REVIEWS
 from reviewloom.functions.keys import decimal_comma
-from reviewloom.operators import relate
 from reviewloom.operators.filters import drop_unrated
 from reviewloom.plans.collect import collected, with_captured_parts
 from reviewloom.schemas import CAPTURED

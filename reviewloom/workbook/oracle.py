@@ -427,6 +427,16 @@ SQL: dict[str, str] = {
         SELECT p_brand AS catalog, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS listing,
           p_partkey AS product_article, p_name || ', "new"' AS product_name,
           (p_size % 5) || ',' || (p_size % 10) AS product_rating, p_size AS count_reviews FROM part""",
+    "catalog_files": """
+        SELECT substr(p_brand, 7, 5) AS catalog, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS listing,
+          p_partkey AS product_article, p_name || ', "new"' || chr(10) || 'line' AS product_name,
+          CASE WHEN p_size % 5 > 0 THEN '4,5' END AS product_rating, p_size AS count_reviews FROM part""",
+    "review_files": """
+        SELECT role AS catalog, conv_id // 100 AS product_article,
+          row_number() OVER (PARTITION BY role, conv_id // 100 ORDER BY conv_id, turn) - 1 AS review_pos,
+          CAST(turn AS INTEGER) AS review_rating, text AS review_text, 'say "yes", or' || chr(10) || 'no' AS review_text_plus,
+          CAST(NULL AS VARCHAR) AS review_text_minus
+        FROM conversations""",
     "combined_reviews": f"""
         SELECT catalog, review_rating, review_text, text_plus AS review_text_plus, text_minus AS review_text_minus,
                nullif(text_comment, '') AS review_text_comment
