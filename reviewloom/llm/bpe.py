@@ -159,7 +159,7 @@ class BytePairs:
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         found = [self._words(p) for p in pieces]
-        known = self.words.cover({w for words in found for w in words})
+        known = self.words.cover(found)
         return [b"".join([known[w] for w in words]) for words in found]
 
     def _whole(self, text: str) -> bytes:
@@ -172,7 +172,7 @@ class BytePairs:
             words = self._words(part)
             for at in range(0, len(words), 100_000):
                 some = words[at : at + 100_000]
-                known = self.words.cover(set(some))
+                known = self.words.cover([some])
                 found += [known[w] for w in some]
         return b"".join(found)
 
@@ -180,7 +180,7 @@ class BytePairs:
         """Ids of each text."""
         for some in chunks(texts):
             parts = [None if self.stays_whole(t) else cut(t) for t in some]
-            known = self.pieces.cover(set().union(*(p for p in parts if p)))
+            known = self.pieces.cover([p for p in parts if p])
             for text, pieces in zip(some, parts):
                 raw = self._whole(text) if pieces is None else b"".join(map(known.__getitem__, pieces))
                 yield np.frombuffer(raw, self.type)

@@ -17,7 +17,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 PIECES_A_GENERATION = 600_000
-TEXT_CHARS_AT_ONCE = 1 << 20
+TEXT_CHARS_AT_ONCE = 1 << 18
 #: One of these behind a letter, at a piece's end, is a token of its own.
 MARKS = (",", ".")
 #: White space as Unicode has it but for blank and line feed, the separators that only some libraries count, and NUL.
@@ -61,13 +61,15 @@ class Remembered:
         self.young: dict = {}
         self.old: dict = {}
 
-    def cover(self, pieces: set[str]) -> dict:
-        """A dict that holds all of ``pieces``."""
-        new = pieces.difference(self.young)
-        if len(self.young) + len(new) > self.generation:
+    def cover(self, texts: list[list[str]]) -> dict:
+        """The pieces of all ``texts`` with their bytes, as a dict of their own: it is small and stays
+        in the processor's cache, where the whole memory does not."""
+        if len(self.young) > self.generation:
             self.old, self.young = self.young, {}
-            new = pieces
         young, old = self.young, self.old
+        pieces = set().union(*texts)
+        held = dict(zip(pieces, map(young.get, pieces)))
+        new = [p for p, b in held.items() if b is None]
         fresh, closed = set(), []
         for piece in new:
             if piece in old:
@@ -82,7 +84,8 @@ class Remembered:
         young.update(zip(fresh, self.make(list(fresh))))
         for piece in closed:
             young[piece] = young[piece[:-1]] + young[piece[-1]]
-        return young
+        held.update(zip(new, map(young.__getitem__, new)))
+        return held
 
 
 class LibraryEncoder:
@@ -128,6 +131,6 @@ class LibraryEncoder:
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for some in chunks(texts):
             parts = [None if self.stays_whole(t) else cut(t) for t in some]
-            known = self.pieces.cover(set().union(*(p for p in parts if p)))
+            known = self.pieces.cover([p for p in parts if p])
             for text, pieces in zip(some, parts):
                 yield self._whole(text) if pieces is None else b"".join(map(known.__getitem__, pieces))

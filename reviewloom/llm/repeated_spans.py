@@ -18,7 +18,6 @@ A byte is removed if a string of ``LENGTH`` bytes that covers it also starts any
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -291,7 +290,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_bytes, n_removed, n_spans, kept`` (remaining bytes).
 
     A NULL text is empty; nothing is removed from texts shorter than ``LENGTH``. Rows that are equal
-    in id and text are two places of one string, so all of it goes; so do ids that are NULL.
+    in id and text are two places of the same strings, so all of them go; a NULL id is an id like others.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     own = docs.select(F.col("doc_id"), F.xxhash64(F.col("doc_id").cast("bigint"), text).alias("h"), text.cast("binary").alias("raw"))

@@ -10,7 +10,6 @@ last six characters are the CRC-32 of the thirty before them, in base 62.
 
 from __future__ import annotations
 
-import hashlib
 import re
 import zlib
 from collections.abc import Iterator
