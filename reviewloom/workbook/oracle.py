@@ -366,6 +366,7 @@ SQL: dict[str, str] = {
         SELECT site, page_id AS page, CAST(generate_subscripts(links, 1) - 1 AS INTEGER) AS at, unnest(links) AS link
         FROM (SELECT page_id, regexp_extract(url, '//([^/]+)/', 1) AS site,
                      regexp_extract_all(html, 'href="([^"]+)"', 1) AS links FROM pages)""",
+    "links_without_article": "SELECT page_id, url AS link FROM pages WHERE NOT regexp_matches(url, 'page=[0-9]+')",
     "page_reviews": f"""
         WITH items AS (
             SELECT page_id, CAST(generate_subscripts(found, 1) - 1 AS INTEGER) AS review_pos, unnest(found) AS item

@@ -403,6 +403,12 @@ def page_links(spark: SparkSession, folder: str) -> DataFrame:
     return links.select("site", "position.page", "position.at", "link")
 
 
+def links_without_article(spark: SparkSession, folder: str) -> DataFrame:
+    """Addresses of pages that name no further page."""
+    links = t.table(spark, folder, "pages").select("page_id", F.col("url").alias("link"))
+    return collect.rejected(links, r"page=(\d+)")
+
+
 def page_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Paragraphs of pages as captured reviews; an empty paragraph counts as unreadable."""
     items = t.table(spark, folder, "pages").select(
