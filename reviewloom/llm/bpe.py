@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 from reviewloom.llm.common import map_batches, table
 from reviewloom.llm.pieces import Remembered, chunks, cut, must_stay_whole
 
-PAIRS_KEPT = 1_000_000
-WORDS_A_GENERATION = 300_000
+PAIRS_KEPT = 300_000
+#: Smaller than a worker could hold: workers live on, and other stages of a pipeline need the memory.
+PIECES_A_GENERATION, WORDS_A_GENERATION = 200_000, 150_000
+DOCS_AT_ONCE = 512
 #: Unicode white space, spelled out because libraries differ on the separators x1c to x1f.
 _WHITE = r"\t-\r \x85\xa0  -     　"
 #: Fixed value: how the vocabulary's texts are cut before merging.
@@ -91,7 +93,7 @@ class BytePairs:
         self.type = "<u2" if size <= 1 << 16 else "<u4"
         self.decimal = list(map(str, range(size)))
         self.words = Remembered(lambda words: [np.array(self.encode_word(w), self.type).tobytes() for w in words], WORDS_A_GENERATION, ())
-        self.pieces = Remembered(self._pieces)
+        self.pieces = Remembered(self._pieces, PIECES_A_GENERATION)
 
     @staticmethod
     @cache
@@ -206,14 +208,15 @@ class BytePairs:
 def encode_documents(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` per row, and ``ids`` if asked for.
 
-    Narrow: no shuffle, one Arrow batch at a time. A NULL text is empty and has no ids. NULL and
+    Narrow: no shuffle, ``DOCS_AT_ONCE`` rows at a time. A NULL text is empty and has no ids. NULL and
     repeated ids are passed on, each row by itself; other columns are not read. The tokenizer file
     must be there on every executor.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         bpe = BytePairs.shared(tokenizer)
-        for batch in batches:
+        parts = (b.slice(at, DOCS_AT_ONCE) for b in batches for at in range(0, b.num_rows, DOCS_AT_ONCE))
+        for batch in parts:
             n, digests, decoded, all_ids = [], [], [], []
             for ids in bpe.encode([t or "" for t in batch.column(1).to_pylist()]):
                 n.append(len(ids))
