@@ -30,7 +30,7 @@ from reviewloom.llm.pieces import Remembered, chunks, cut, must_stay_whole
 
 PAIRS_KEPT = 300_000
 #: Smaller than a worker could hold: workers live on, and other stages of a pipeline need the memory.
-PIECES_A_GENERATION, WORDS_A_GENERATION = 200_000, 150_000
+PIECES_A_GENERATION = 400_000
 DOCS_AT_ONCE = 512
 #: Unicode white space, spelled out because libraries differ on the separators x1c to x1f.
 _WHITE = r"\t-\r \x85\xa0  -     　"
@@ -89,10 +89,10 @@ class BytePairs:
         self.pattern = regex.compile(PIECE_PATTERN)
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.stays_whole = must_stay_whole(list(self.special))
-        self.table: dict[tuple[int, int], bool] = {}
+        self.size = size
+        self.table: dict[int, bool] = {}
         self.type = "<u2" if size <= 1 << 16 else "<u4"
         self.decimal = list(map(str, range(size)))
-        self.words = Remembered(lambda words: [np.array(self.encode_word(w), self.type).tobytes() for w in words], WORDS_A_GENERATION, ())
         self.pieces = Remembered(self._pieces, PIECES_A_GENERATION)
 
     @staticmethod
@@ -102,11 +102,12 @@ class BytePairs:
         return BytePairs(path)
 
     def compatible(self, left: int, right: int) -> bool:
-        known = self.table.get((left, right))
+        pair = left * self.size + right
+        known = self.table.get(pair)
         if known is None:
             if len(self.table) >= PAIRS_KEPT:
                 self.table.clear()
-            known = self.table[left, right] = self._border_stays(left, right)
+            known = self.table[pair] = self._border_stays(left, right)
         return known
 
     def _border_stays(self, left: int, right: int) -> bool:
@@ -159,24 +160,18 @@ class BytePairs:
     def _words(self, text: str) -> list[str]:
         return [w.encode().decode("latin-1").translate(self.to_letters) for w in self.pattern.findall(text)]
 
+    def _encode(self, text: str) -> bytes:
+        """Ids of a text, cut into words as the library does."""
+        return np.array([i for word in self._words(text) for i in self.encode_word(word)], self.type).tobytes()
+
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        found = [self._words(p) for p in pieces]
-        known = self.words.cover(found)
-        return [b"".join([known[w] for w in words]) for words in found]
+        return list(map(self._encode, pieces))
 
     def _whole(self, text: str) -> bytes:
         """Ids of a text that is not cut at blanks; special tokens' strings become their ids."""
-        found: list[bytes] = []
-        for part in self.cut_special.split(text) if self.cut_special else [text]:
-            if part in self.special:
-                found.append(np.array([self.special[part]], self.type).tobytes())
-                continue
-            words = self._words(part)
-            for at in range(0, len(words), 100_000):
-                some = words[at : at + 100_000]
-                known = self.words.cover([some])
-                found += [known[w] for w in some]
-        return b"".join(found)
+        parts = self.cut_special.split(text) if self.cut_special else [text]
+        special = {s: np.array([i], self.type).tobytes() for s, i in self.special.items()}
+        return b"".join([special[p] if p in special else self._encode(p) for p in parts])
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text."""

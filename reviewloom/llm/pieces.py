@@ -56,8 +56,8 @@ def chunks(texts: list[str]) -> Iterator[list[str]]:
 class Remembered:
     """The bytes that ``make`` gives for each piece, for the last distinct pieces."""
 
-    def __init__(self, make: Callable[[list[str]], list], generation: int = PIECES_A_GENERATION, marks: tuple[str, ...] = MARKS):
-        self.make, self.generation, self.marks = make, generation, marks
+    def __init__(self, make: Callable[[list[str]], list], generation: int = PIECES_A_GENERATION):
+        self.make, self.generation = make, generation
         self.young: dict = {}
         self.old: dict = {}
 
@@ -74,7 +74,7 @@ class Remembered:
         for piece in new:
             if piece in old:
                 young[piece] = old[piece]
-            elif piece[-1:] in self.marks and piece[-2:-1].isalpha():
+            elif piece[-1:] in MARKS and piece[-2:-1].isalpha():
                 closed.append(piece)
                 for part in (piece[:-1], piece[-1]):
                     if part not in young:
