@@ -31,7 +31,6 @@ from reviewloom.llm.pieces import Remembered, chunks, cut, must_stay_whole
 PAIRS_KEPT = 300_000
 #: Smaller than a worker could hold: workers live on, and other stages of a pipeline need the memory.
 PIECES_A_GENERATION = 400_000
-DOCS_AT_ONCE = 512
 #: Unicode white space, spelled out because libraries differ on the separators x1c to x1f.
 _WHITE = r"\t-\r \x85\xa0  -     　"
 #: Fixed value: how the vocabulary's texts are cut before merging.
@@ -203,15 +202,14 @@ class BytePairs:
 def encode_documents(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` per row, and ``ids`` if asked for.
 
-    Narrow: no shuffle, ``DOCS_AT_ONCE`` rows at a time. A NULL text is empty and has no ids. NULL and
+    Narrow: no shuffle, some rows at a time. A NULL text is empty and has no ids. NULL and
     repeated ids are passed on, each row by itself; other columns are not read. The tokenizer file
     must be there on every executor.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         bpe = BytePairs.shared(tokenizer)
-        parts = (b.slice(at, DOCS_AT_ONCE) for b in batches for at in range(0, b.num_rows, DOCS_AT_ONCE))
-        for batch in parts:
+        for batch in batches:
             n, digests, decoded, all_ids = [], [], [], []
             for ids in bpe.encode([t or "" for t in batch.column(1).to_pylist()]):
                 n.append(len(ids))
@@ -221,7 +219,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, with_ids: bool = False) ->
             yield {"doc_id": batch.column(0), "n_tokens": n, "ids_sha256": digests, "decoded_sha256": decoded, "ids": all_ids}
 
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return map_batches(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), run, schema)
+    return map_batches(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), run, schema, remembers=True)
 
 
 def op10_bpe(spark, sf_dir: str) -> DataFrame:

@@ -27,14 +27,37 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[dict[str, list]]], schema: str) -> DataFrame:
-    """``mapInArrow`` for functions that yield columns as a dict of lists, in the order of ``schema``."""
+#: Rows that a function gets at once, whatever the size of Arrow's batches: texts are long.
+ROWS_AT_ONCE = 1024
+#: What empties the memories that a worker process keeps from task to task.
+FORGET: list[Callable[[], None]] = []
+
+
+def forget_all() -> None:
+    for forget in FORGET:
+        forget()
+
+
+def map_batches(
+    df: DataFrame,
+    function: Callable[[Iterator[pa.RecordBatch]], Iterator[dict[str, list]]],
+    schema: str,
+    remembers: bool = False,
+) -> DataFrame:
+    """``mapInArrow`` for functions that yield columns as a dict of lists, in the order of ``schema``.
+
+    Worker processes live on after a stage. A task of a function that does not itself use what they
+    ``remember`` first frees it.
+    """
     parsed = _parse_datatype_string(schema)
     assert isinstance(parsed, StructType)
     arrow = to_arrow_schema(parsed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in function(batches):
+        if not remembers:
+            forget_all()
+        parts = (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE))
+        for columns in function(parts):
             yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, parsed)

@@ -16,6 +16,8 @@ from itertools import islice
 import numpy as np
 from tokenizers import Tokenizer
 
+from reviewloom.llm.common import FORGET
+
 PIECES_A_GENERATION = 600_000
 TEXT_CHARS_AT_ONCE = 1 << 18
 #: One of these behind a letter, at a piece's end, is a token of its own.
@@ -60,6 +62,10 @@ class Remembered:
         self.make, self.generation = make, generation
         self.young: dict = {}
         self.old: dict = {}
+        FORGET.append(self.forget)
+
+    def forget(self) -> None:
+        self.young, self.old = {}, {}
 
     def cover(self, texts: list[list[str]]) -> dict:
         """The pieces of all ``texts`` with their bytes, as a dict of their own: it is small and stays

@@ -152,7 +152,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, path: st
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("_tie"))
     laid = rows.repartitionByRange(files or shuffle_width(spark), "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie")
-    return path, stored(map_batches(laid.select("doc_id", "text"), _write(path, tokenizer, end_id), _MANIFEST), "token-manifest")
+    return path, stored(map_batches(laid.select("doc_id", "text"), _write(path, tokenizer, end_id), _MANIFEST, remembers=True), "token-manifest")
 
 
 def read_token_files(path: str, manifest: DataFrame, docs_at_once: int = 1024) -> DataFrame:
