@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 from reviewloom.llm.common import FORGET
 
 PIECES_A_GENERATION = 600_000
-TEXT_CHARS_AT_ONCE = 1 << 18
+TEXT_CHARS_AT_ONCE = 1 << 20
 #: One of these behind a letter, at a piece's end, is a token of its own.
 MARKS = (",", ".")
 #: White space as Unicode has it but for blank and line feed, the separators that only some libraries count, and NUL.
@@ -68,14 +68,13 @@ class Remembered:
         self.young, self.old = {}, {}
 
     def cover(self, texts: list[list[str]]) -> dict:
-        """The pieces of all ``texts`` with their bytes, as a dict of their own: it is small and stays
-        in the processor's cache, where the whole memory does not."""
-        if len(self.young) > self.generation:
+        """A dict that holds the pieces of all ``texts``."""
+        pieces = set().union(*texts)
+        new = pieces.difference(self.young)
+        if len(self.young) + len(new) > self.generation:
             self.old, self.young = self.young, {}
+            new = pieces
         young, old = self.young, self.old
-        pieces = set().union(*texts)
-        held = dict(zip(pieces, map(young.get, pieces)))
-        new = [p for p, b in held.items() if b is None]
         fresh, closed = set(), []
         for piece in new:
             if piece in old:
@@ -90,8 +89,7 @@ class Remembered:
         young.update(zip(fresh, self.make(list(fresh))))
         for piece in closed:
             young[piece] = young[piece[:-1]] + young[piece[-1]]
-        held.update(zip(new, map(young.__getitem__, new)))
-        return held
+        return young
 
 
 class LibraryEncoder:
