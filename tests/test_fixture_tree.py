@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from reviewloom.constants import CATEGORIES
 from reviewloom.functions import text as tx
 from reviewloom.plans.analyse import analyse
-from reviewloom.plans.clean import clean_catalogs, preprocess_reviews
+from reviewloom.plans.clean import clean_catalogs, clean_tree, preprocess_reviews
 from reviewloom.schemas import PROCESSED_REVIEW_CSV
 from reviewloom.sources import csv_tree
 
@@ -94,3 +94,11 @@ def test_top_terms(spark):
     assert top(pairs, 1, minus, 3) == ["неделю носки 3", "сегодня пошел 2", "очень расстроен 2"]
     counts = {r.rating: r.n for r in result.counts_by_rating.collect()}
     assert counts == {5: 1296, 4: 195, 3: 71, 2: 57, 1: 115}
+
+
+def test_written_clean_tree_lists_every_product(spark, tmp_path):
+    clean_tree(spark, TREE + "/raw", str(tmp_path / "clean"))
+    _, reviews, kept = csv_tree.read_tree(spark, str(tmp_path / "clean"))
+    assert {r.product_article for r in kept.collect()} == files("clean") and len(files("clean")) == 49
+    assert reviews.count() == 1734
+    assert reviews.filter("product_article = 276942833").isEmpty() and 276942833 in files("clean")
