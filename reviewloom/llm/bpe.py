@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from reviewloom.llm.common import map_batches, table
 from reviewloom.llm.pieces import Remembered, chunks, cut, must_stay_whole
 
-PAIRS_KEPT = 300_000
+PAIRS_KEPT = 200_000
 #: Smaller than a worker could hold: workers live on, and other stages of a pipeline need the memory.
-PIECES_A_GENERATION = 400_000
+PIECES_A_GENERATION = 200_000
 #: Unicode white space, spelled out because libraries differ on the separators x1c to x1f.
 _WHITE = r"\t-\r \x85\xa0  -     　"
 #: Fixed value: how the vocabulary's texts are cut before merging.
@@ -215,8 +215,13 @@ def encode_documents(docs: DataFrame, tokenizer: str, with_ids: bool = False) ->
                 n.append(len(ids))
                 digests.append(hashlib.sha256(bpe.in_decimal(ids).encode()).hexdigest())
                 decoded.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
-                all_ids.append(ids if with_ids else None)
-            yield {"doc_id": batch.column(0), "n_tokens": n, "ids_sha256": digests, "decoded_sha256": decoded, "ids": all_ids}
+                if with_ids:
+                    all_ids.append(ids)
+            columns = {"doc_id": batch.column(0), "n_tokens": n, "ids_sha256": digests, "decoded_sha256": decoded}
+            if with_ids:
+                ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                columns["ids"] = pa.ListArray.from_arrays(ends, np.concatenate([np.zeros(0, np.int32), *all_ids]).astype(np.int32))
+            yield columns
 
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return map_batches(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), run, schema, remembers=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterator
 
@@ -29,13 +30,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 #: Rows that a function gets at once, whatever the size of Arrow's batches: texts are long.
 ROWS_AT_ONCE = 1024
-#: What empties the memories that a worker process keeps from task to task.
-FORGET: list[Callable[[], None]] = []
+#: What empties the memories that a worker process keeps from task to task; tells whether there was anything.
+FORGET: list[Callable[[], bool]] = []
 
 
 def forget_all() -> None:
-    for forget in FORGET:
-        forget()
+    if any([forget() for forget in FORGET]):
+        gc.collect()
 
 
 def map_batches(
@@ -58,7 +59,9 @@ def map_batches(
             forget_all()
         parts = (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE))
         for columns in function(parts):
-            yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
+            arrays = [c if isinstance(c := columns[f.name], pa.Array) and c.type == f.type else pa.array(c, f.type) for f in arrow]
+            yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, parsed)
 

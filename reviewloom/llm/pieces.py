@@ -64,8 +64,10 @@ class Remembered:
         self.old: dict = {}
         FORGET.append(self.forget)
 
-    def forget(self) -> None:
+    def forget(self) -> bool:
+        held = bool(self.young or self.old)
         self.young, self.old = {}, {}
+        return held
 
     def cover(self, texts: list[list[str]]) -> dict:
         """A dict that holds the pieces of all ``texts``."""
