@@ -12,7 +12,7 @@ from reviewloom.constants import RUSSIAN_STOP_WORDS, TOP_CLOUD, TOP_REPORT
 from reviewloom.operators import terms
 from reviewloom.operators.filters import rated_reviews
 from reviewloom.operators.relate import catalog_reviews
-from reviewloom.session import ready_checkpoints
+from reviewloom.session import stored
 
 
 class Analysis(NamedTuple):
@@ -43,11 +43,10 @@ def word_counts(reviews: DataFrame, stop_words: Iterable[str] = RUSSIAN_STOP_WOR
 def bigram_counts(
     reviews: DataFrame, stop_words: Iterable[str] = RUSSIAN_STOP_WORDS, cross_review: bool = True
 ) -> DataFrame:
-    """Counts of bigrams. With ``cross_review`` building them starts jobs: tokens are checkpointed first."""
+    """Counts of bigrams. With ``cross_review`` building them starts jobs: tokens are stored first."""
     tokens = terms.part_tokens(terms.review_parts(rated_reviews(reviews)), stop_words=stop_words)
     if cross_review:
-        ready_checkpoints(reviews.sparkSession)
-        tokens = tokens.checkpoint()
+        tokens = stored(tokens, "tokens")
     return terms.term_counts(terms.bigram_rows(tokens, cross_review=cross_review))
 
 
@@ -57,10 +56,9 @@ def analyse(
     """Counts per rating and the clouds of loaded reviews (``load_reviews``).
 
     Words and bigrams share the tokens, one aggregation and one ranking. Building the result starts
-    jobs: the tokens are checkpointed, so that texts are read and tokenised once.
+    jobs: the tokens are stored, so that texts are read and tokenised once.
     """
-    ready_checkpoints(reviews.sparkSession)
-    tokens = terms.part_tokens(terms.review_parts(rated_reviews(reviews)), stop_words=stop_words).checkpoint()
+    tokens = stored(terms.part_tokens(terms.review_parts(rated_reviews(reviews)), stop_words=stop_words), "tokens")
     kind_cell = [*terms.CELL, "term_kind"]
     counts = terms.term_counts(terms.word_and_bigram_rows(tokens), kind_cell)
     return Analysis(terms.rating_counts(reviews), terms.cloud_terms(counts, [*kind_cell, "category"], cloud))

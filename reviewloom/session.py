@@ -7,7 +7,9 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+ROW_GROUP_BYTES = 8 << 20
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -58,5 +60,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared folder and read it back.
+
+    Its row groups are small, so a table that came in few splits is read by all cores from here on.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
