@@ -34,8 +34,11 @@ from reviewloom.llm.components import components
 
 SKETCH, LISTED, PAIRED = 64, 32, 64
 SIGMAS = 7.0
-#: Shingles (8 bytes each) that a block of a cluster holds about.
-BLOCK_SHINGLES = 1 << 20
+#: Shingles (8 bytes each) that a block of a cluster holds about; a set counts as SET_WEIGHT more,
+#: so that a block has 2,048 sets at most.
+BLOCK_SHINGLES, SET_WEIGHT = 1 << 20, 512
+#: Up to so many shared shingles a matrix product is quicker than comparing pairs.
+MATRIX_SHINGLES = 50_000
 FILTER_BITS = 23
 
 _SETS = "doc_id bigint, n bigint, k1 bigint, k2 bigint, sketch array<bigint>"
@@ -201,7 +204,7 @@ def spanning_links(ids: list[int], sides: list[int], sets: list[np.ndarray], thr
     shared = times > 1
     column = np.cumsum(shared) - 1
     n_shared = int(shared.sum())
-    if m > 8 and n_shared * m * m <= 2e10:
+    if m > 8 and n_shared <= MATRIX_SHINGLES:
         keep = shared[place]
         rows, columns = owner[keep], column[place[keep]]
         common = np.zeros((m, m), np.float32)
@@ -210,9 +213,9 @@ def spanning_links(ids: list[int], sides: list[int], sets: list[np.ndarray], thr
             grid = np.zeros((m, min(4096, n_shared - at)), np.float32)
             grid[rows[part], columns[part] - at] = 1
             common += grid @ grid.T
-        linked = common * (1 + threshold) >= threshold * (sizes[:, None] + sizes[None, :]) - 1e-3
         for i in range(m):
-            for j in np.flatnonzero(linked[i, :i]).tolist():
+            near = common[i, :i] * (1 + threshold) >= threshold * (sizes[i] + sizes[:i]) - 1e-2
+            for j in np.flatnonzero(near).tolist():
                 if (not across or sides[i] != sides[j]) and _linked(sets[i], sets[j], threshold, int(common[i, j])):
                     link(i, j)
         return out
@@ -273,7 +276,7 @@ def near_components(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     may_link = candidate_pairs(short, classes.select("rep", "n", "sketch"), threshold).unionByName(long)
     clustered = components(may_link).withColumnsRenamed({"node": "rep", "component": "cluster"})
     nodes = stored(clustered.join(classes.drop("sketch"), "rep"), "cluster-nodes")
-    blocks = nodes.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("bigint").alias("blocks"))
+    blocks = nodes.groupBy("cluster").agg(F.ceil(F.sum(F.col("n") + SET_WEIGHT) / BLOCK_SHINGLES).cast("bigint").alias("blocks"))
     nodes = stored(nodes.join(blocks, "cluster"), "cluster-blocks")
     links = cluster_links(full_sets(docs, nodes, width), threshold)
     same_id = usable.join(classes.select("n", "k1", "k2", "rep"), ["n", "k1", "k2"]).filter("doc_id <> rep")
