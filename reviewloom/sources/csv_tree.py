@@ -7,6 +7,10 @@ whether an empty text or NULL was written.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,32 +23,45 @@ READ = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "enc
 WRITE = {
     "header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    "maxRecordsPerFile": "0",  # rows are numbered by file, so the session's setting must not cut one
 }
 ROWS_PER_FILE = 1_000_000
 
 
-def read_catalogs(spark: SparkSession, folder: str, schema: T.StructType = CATALOG_CSV) -> DataFrame:
-    """All ``<folder>/<catalog>.csv`` with ``catalog`` and the row number ``listing`` (0, 1, …)."""
+def read_catalogs(spark: SparkSession, folder: str, schema: T.StructType = CATALOG_CSV, chunked: bool = False) -> DataFrame:
+    """All ``<folder>/<catalog>.csv`` with ``catalog`` and the row number ``listing`` (0, 1, …).
+
+    With ``chunked``, files named by :func:`name_files` are put together again.
+    """
     rows = spark.read.options(**READ).schema(schema).csv(folder)
+    name, chunk = _chunk_of(F.col("_metadata.file_name"), chunked)
     rows = rows.select(
-        stem_from_file_name(F.col("_metadata.file_name")).alias("catalog"),
+        stem_from_file_name(name).alias("catalog"),
+        chunk.alias("chunk"),
         F.monotonically_increasing_id().alias("_at"),
         *schema.names,
     )
-    return _numbered(rows, ["catalog"], "listing").select("catalog", "listing", *schema.names)
+    listing = F.col("chunk") + F.col("_pos")
+    return _numbered(rows, ["catalog", "chunk"], "_pos").select("catalog", listing.alias("listing"), *schema.names)
 
 
-def read_reviews(spark: SparkSession, folder: str, schema: T.StructType = RAW_REVIEW_CSV) -> DataFrame:
-    """All ``<folder>/<catalog>/<article>.csv`` with ``catalog``, ``product_article``, ``review_pos``."""
+def read_reviews(spark: SparkSession, folder: str, schema: T.StructType = RAW_REVIEW_CSV, chunked: bool = False) -> DataFrame:
+    """All ``<folder>/<catalog>/<article>.csv`` with ``catalog``, ``product_article``, ``review_pos``.
+
+    With ``chunked``, files named by :func:`name_files` are put together again.
+    """
     rows = spark.read.options(**READ).schema(schema).csv(f"{folder}/*/")
+    name, chunk = _chunk_of(F.col("_metadata.file_name"), chunked)
     rows = rows.select(
         _folder_name(F.col("_metadata.file_path")).alias("catalog"),
-        key_from_file_name(F.col("_metadata.file_name")).alias("product_article"),
+        key_from_file_name(name).alias("product_article"),
+        chunk.alias("chunk"),
         F.monotonically_increasing_id().alias("_at"),
         *schema.names,
     )
     keys = ["catalog", "product_article"]
-    return _numbered(rows, keys, "review_pos").select(*keys, "review_pos", *schema.names)
+    position = F.col("chunk") + F.col("_pos")
+    return _numbered(rows, [*keys, "chunk"], "_pos").select(*keys, position.alias("review_pos"), *schema.names)
 
 
 def list_review_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -111,6 +128,43 @@ def read_written_catalogs(spark: SparkSession, path: str, schema: T.StructType =
     return rows.select("catalog", listing.alias("listing"), *schema.names)
 
 
+def name_files(spark: SparkSession, written: str, target: str, name: Callable[[dict[str, str]], str]) -> int:
+    """Move the files of a written tree to the names of an exchange tree; returns their number.
+
+    ``name`` gives the new path of a folder ``key=value/…``. A chunk after the first has the position of
+    its first row in its name (``shoes@1000000.csv``). Tasks move the files; a name that is taken fails.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+
+    def uri(folder: str) -> str:
+        return path(folder).getFileSystem(conf).makeQualified(path(folder)).toUri().toString()
+
+    from_uri, to_uri = uri(written), uri(target)
+    marker = "/" + "/".join(written.rstrip("/").split("/")[-2:]) + "/"
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = fs.FileSystem.from_uri(from_uri)
+        goal = fs.FileSystem.from_uri(to_uri)[1]
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                inner = path[path.index(marker) + len(marker) :]
+                keys_of = dict(x.split("=", 1) for x in inner.split("/")[:-1])
+                chunk = int(keys_of.get("chunk", 0))
+                source, aim = f"{base}/{inner}", f"{goal}/{name(keys_of)}{f'@{chunk}' if chunk else ''}.csv"
+                there, taken = (x.type != fs.FileType.NotFound for x in system.get_file_info([source, aim]))
+                if there == taken:
+                    raise FileExistsError(f"name is taken: {aim}") if taken else FileNotFoundError(source)
+                if there:  # otherwise an attempt before this one has moved it
+                    system.create_dir(aim.rpartition("/")[0], recursive=True)
+                    system.move(source, aim)
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    files = spark.read.format("binaryFile").options(pathGlobFilter="part-*", recursiveFileLookup="true").load(written)
+    return files.select("path").mapInArrow(move, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def write_kept_files(files: DataFrame, path: str) -> None:
     """The products of a tree, those without rows included, as one CSV table beside it."""
     files.select("catalog", "product_article").write.mode("errorifexists").options(**WRITE).csv(path)
@@ -164,6 +218,14 @@ def _folder_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
 
 
+def _chunk_of(file_name: Column, chunked: bool) -> tuple[Column, Column]:
+    """The name without its chunk, and the chunk: the position of the file's first row."""
+    if not chunked:
+        return file_name, F.lit(0).cast("bigint")
+    chunk = F.regexp_extract(file_name, r"@(\d+)\.csv$", 1).try_cast("bigint")
+    return F.regexp_replace(file_name, r"@\d+\.csv$", ".csv"), F.coalesce(chunk, F.lit(0).cast("bigint"))
+
+
 def _numbered(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Row number inside a file. One task reads one file from top to bottom, so ids ascend in it."""
     order = Window.partitionBy(*keys).orderBy("_at")

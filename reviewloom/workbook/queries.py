@@ -507,22 +507,6 @@ def catalog_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return csv_tree.read_written_catalogs(spark, path)
 
 
-def _as_named_files(spark: SparkSession, written: str, target: str, name) -> None:
-    """Move the files of a written tree to the names of an exchange tree. ``name`` gives the new path
-    of a folder ``key=value/…``; there are as many files as catalogues and products."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(written).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files = fs.listFiles(path(written), True)
-    while files.hasNext():
-        source = files.next().getPath()
-        if source.getName().startswith("part-"):
-            keys_of = dict(x.split("=", 1) for x in source.getParent().toString().split("/") if "=" in x)
-            aim = path(f"{target}/{name(keys_of)}.csv")
-            fs.mkdirs(aim.getParent())
-            fs.rename(source, aim)
-
-
 def catalog_files(spark: SparkSession, folder: str) -> DataFrame:
     """Parts as one catalogue file per brand number, read back with their rows' order."""
     rows = t.table(spark, folder, "part").select(
@@ -534,8 +518,8 @@ def catalog_files(spark: SparkSession, folder: str) -> DataFrame:
     )
     path = scratch_path(spark, "catalogs")
     csv_tree.write_catalogs(ordering.dense_positions(rows, ["catalog"], ["product_article"], "listing"), f"{path}/written")
-    _as_named_files(spark, f"{path}/written", f"{path}/named", lambda k: k["catalog"])
-    return csv_tree.read_catalogs(spark, f"{path}/named")
+    csv_tree.name_files(spark, f"{path}/written", f"{path}/named", lambda k: k["catalog"])
+    return csv_tree.read_catalogs(spark, f"{path}/named", chunked=True)
 
 
 def review_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -549,8 +533,8 @@ def review_files(spark: SparkSession, folder: str) -> DataFrame:
     )
     path = scratch_path(spark, "reviews")
     csv_tree.write_reviews(rows, f"{path}/written")
-    _as_named_files(spark, f"{path}/written", f"{path}/named", lambda k: f"{k['catalog']}/{k['product_article']}")
-    return csv_tree.read_reviews(spark, f"{path}/named")
+    csv_tree.name_files(spark, f"{path}/written", f"{path}/named", lambda k: f"{k['catalog']}/{k['product_article']}")
+    return csv_tree.read_reviews(spark, f"{path}/named", chunked=True)
 
 
 def combined_reviews(spark: SparkSession, folder: str) -> DataFrame:

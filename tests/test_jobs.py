@@ -231,3 +231,40 @@ def test_chunks_keep_positions(spark, tmp_path):
     csv_tree.write_reviews(df, str(tmp_path / "out"), rows_per_file=10)
     back = csv_tree.read_written_reviews(spark, str(tmp_path / "out"))
     assert sorted((r.review_pos, r.review_text) for r in back.collect()) == [(i, f"текст {i}") for i in range(25)]
+
+
+def test_named_files_keep_all_chunks(spark, tmp_path):
+    rows = [(c, c == "d" and 2 or 1, i, i, f"имя {i}", "4,5", i) for c, n in (("c", 25), ("d", 4)) for i in range(n)]
+    df = spark.createDataFrame(
+        rows, "catalog string, article bigint, listing bigint, product_article bigint, product_name string, product_rating string, count_reviews int"
+    )
+    csv_tree.write_catalogs(df.drop("article"), str(tmp_path / "catalogs"), rows_per_file=10)
+    assert csv_tree.name_files(spark, str(tmp_path / "catalogs"), str(tmp_path / "named"), lambda k: k["catalog"]) == 4
+    back = csv_tree.read_catalogs(spark, str(tmp_path / "named"), chunked=True).collect()
+    assert sorted((r.catalog, r.listing, r.product_article) for r in back) == [(r[0], r[2], r[3]) for r in rows]
+    reviews = df.selectExpr(
+        "catalog", "article AS product_article", "listing AS review_pos", "count_reviews AS review_rating", "product_name AS review_text",
+        "CAST(NULL AS string) AS review_text_plus", "CAST(NULL AS string) AS review_text_minus",
+    )
+    csv_tree.write_reviews(reviews, str(tmp_path / "reviews"), rows_per_file=10)
+    csv_tree.name_files(spark, str(tmp_path / "reviews"), str(tmp_path / "by_key"), lambda k: f"{k['catalog']}/{k['product_article']}")
+    back = csv_tree.read_reviews(spark, str(tmp_path / "by_key"), chunked=True).collect()
+    assert sorted((r.catalog, r.product_article, r.review_pos, r.review_rating) for r in back) == [r[:3] + (r[2],) for r in rows]
+    csv_tree.write_catalogs(df.drop("article"), str(tmp_path / "again"), rows_per_file=10)
+    with pytest.raises(Exception, match="name is taken"):
+        csv_tree.name_files(spark, str(tmp_path / "again"), str(tmp_path / "one"), lambda k: "same")
+
+
+def test_files_are_not_cut_by_the_session(spark, tmp_path):
+    rows = [("c", i, i, f"имя {i}", "4,5", i) for i in range(25)]
+    df = spark.createDataFrame(
+        rows, "catalog string, listing bigint, product_article bigint, product_name string, product_rating string, count_reviews int"
+    )
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "3")
+    try:
+        csv_tree.write_catalogs(df, str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert len(list((tmp_path / "out").rglob("part-*"))) == 1
+    back = csv_tree.read_written_catalogs(spark, str(tmp_path / "out"))
+    assert sorted((r.listing, r.product_article) for r in back.collect()) == [(i, i) for i in range(25)]
