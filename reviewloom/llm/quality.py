@@ -82,6 +82,7 @@ class AttentionModel:
 
     def __init__(self, seed: int = 1):
         draw = np.random.default_rng(seed)
+        self.fitted = False
         self.mean, self.scale = np.zeros(N_FEATURES), np.ones(N_FEATURES)
         self.p = {
             "W": draw.normal(0, 0.3, (N_FEATURES, HIDDEN)), "b": np.zeros(HIDDEN),
@@ -141,6 +142,7 @@ class AttentionModel:
                 m += 0.1 * (slope - m)
                 v += 0.01 * (slope**2 - v)
                 p[k] = p[k] - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        self.fitted = True
         return self
 
 
@@ -178,8 +180,15 @@ def _scored(docs: DataFrame, model: AttentionModel, others: list[str], threshold
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs``, with all their columns, that the classifier does not reject."""
-    scored = _scored(docs, fit_quality(docs, labels), [c for c in docs.columns if c != "score"], threshold)
+    """Rows of ``docs``, with all their columns, that the classifier does not reject.
+
+    Without a usable label (none outside the held-out fold, or of texts with words) nothing was learned
+    and all rows are kept.
+    """
+    model = fit_quality(docs, labels)
+    if not model.fitted:
+        return docs
+    scored = _scored(docs, model, [c for c in docs.columns if c != "score"], threshold)
     return scored.filter("predicted = 1").select(*docs.columns)
 
 

@@ -143,6 +143,20 @@ def test_quality(spark, awkward):
     assert quality.score_quality(make_docs(spark, []), quality.fit_quality(docs, labels.limit(0))).count() == 0
 
 
+def test_all_rows_are_kept_without_labels(spark, awkward):
+    docs = make_docs(spark, awkward)
+    unusable = [
+        spark.createDataFrame([], "doc_id bigint, quality int"),
+        spark.createDataFrame([(1, None), (2, None)], "doc_id bigint, quality int"),
+        docs.filter(quality.held_out()).selectExpr("doc_id", "1 AS quality"),
+        spark.createDataFrame([(5, 1), (6, 0)], "doc_id bigint, quality int"),
+    ]
+    for labels in unusable:
+        kept = quality.keep_good(docs, labels)
+        assert kept.columns == docs.columns
+        assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(awkward)
+
+
 def test_attention_slopes():
     """The learned gradients agree with finite differences, through the loss of one step."""
     rng = np.random.default_rng(0)
