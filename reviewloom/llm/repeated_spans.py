@@ -18,12 +18,14 @@ A byte is removed if a string of ``LENGTH`` bytes that covers it also starts any
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.llm.common import map_batches, stored, table
@@ -37,7 +39,7 @@ CHUNK = 1 << 19
 #: Spans that a map task remembers to settle copies by itself.
 REMEMBERED = 400_000
 
-_ANCHORS = "gram bigint, span bigint, did bigint, h bigint, at bigint, first bigint, last bigint, copies int, settled boolean"
+_ANCHORS = "gram bigint, span bigint, did bigint, h bigint, at bigint, first bigint, last bigint, copies int, settled boolean, row bigint"
 
 
 def _word_hashes(raw: bytes) -> np.ndarray:
@@ -82,6 +84,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
     names = [c.split()[0] for c in _ANCHORS.split(", ")]
     kept: dict[tuple[int, int], list] = {}
+    numbers = itertools.count(TaskContext.get().partitionId() << 40)
 
     def flush() -> dict[str, list]:
         rows = list(zip(*kept.values()))
@@ -96,10 +99,10 @@ def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]
                 span = xxhash.xxh3_64_intdigest(raw[first : last + LENGTH]) - (1 << 63)
                 own = kept.get((gram, span))
                 if own is None:
-                    kept[gram, span] = [gram, span, did, h, at, first, last, 1, False]
+                    kept[gram, span] = [gram, span, did, h, at, first, last, 1, False, next(numbers)]
                 else:  # settled: it needs no partner, and its gram only spreads it
                     own[7] = 2
-                    done.append((h ^ at, span, did, h, at, first, last, 2, True))
+                    done.append((h ^ at, span, did, h, at, first, last, 2, True, next(numbers)))
         if done:
             yield dict(zip(names, zip(*done)))
         if len(kept) > REMEMBERED:
@@ -110,20 +113,25 @@ def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]
 
 def _marks(docs: DataFrame) -> DataFrame:
     """Anchors that are not alone: ``repeated`` (the whole span is), ``copy`` (1: stands for its span in
-    a contested gram), and the number of spans, ``spans``, of its gram."""
-    found = map_batches(_rows(docs), _find_anchors, _ANCHORS).repartition("gram")
-    by_gram = Window.partitionBy("gram")
-    by_span = Window.partitionBy("gram", "span")
-    in_span = by_span.orderBy("settled", "did", "h", "first")
-    marked = found.select(
-        "gram", "did", "h", "at", "first", "last", "settled",
-        (F.sum("copies").over(by_span) > 1).alias("repeated"),
-        F.row_number().over(in_span).alias("copy"),
-        F.min("span").over(by_gram).alias("low"),
-        F.max("span").over(by_gram).alias("high"),
+    a contested gram) and ``contested`` (its gram has other spans).
+
+    Spans are counted by gram and span, then grams by the least and largest of their spans, both with
+    map-side combine; flags are joined back, so a gram that very many rows hold meets in no one task.
+    """
+    found = stored(map_batches(_rows(docs), _find_anchors, _ANCHORS), "anchors")
+    open_spans = found.filter("NOT settled").groupBy("gram", "span").agg(F.sum("copies").alias("n"), F.min("row").alias("row"))
+    spans = stored(open_spans, "spans")
+    by_gram = spans.groupBy("gram").agg(F.min("span").alias("low"), F.max("span").alias("high"))
+    contested = stored(by_gram.filter("low <> high").select("gram", F.lit(True).alias("contested")), "contested-marks")
+    flagged = spans.join(contested, "gram", "left").filter("n > 1 OR contested").select(
+        "gram", "span", (F.col("n") > 1).alias("repeated"), F.col("row").alias("least"), F.coalesce("contested", F.lit(False)).alias("contested")
+    )
+    place = ["gram", "did", "h", "at", "first", "last"]
+    marked = found.filter("NOT settled").join(stored(flagged, "flagged-spans"), ["gram", "span"]).select(
+        *place, "repeated", F.when(F.col("row") == F.col("least"), 1).otherwise(2).alias("copy"), "contested"
     )
-    kept = marked.filter("settled OR repeated OR low <> high")
-    return stored(kept.withColumn("contested", F.expr("NOT settled AND low <> high")).drop("low", "high", "settled"), "anchor-marks")
+    settled = found.filter("settled").select(*place, F.lit(True).alias("repeated"), F.lit(2).alias("copy"), F.lit(False).alias("contested"))
+    return stored(marked.unionByName(settled), "anchor-marks")
 
 
 def _with_text(docs: DataFrame, rows: DataFrame) -> DataFrame:

@@ -172,6 +172,17 @@ def test_repeated_spans(spark, awkward, monkeypatch, group, pairwise, chunk):
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == brute_repeats(rows)
 
 
+def test_a_common_gram_meets_in_no_task(spark, monkeypatch):
+    """A line in many documents, each time in other surroundings: grams are not put into windows."""
+    line = "the same line of more than sixty-four bytes in every document, " + sentence(0, 40)
+    rows = [(i, f"{'a%d ' % i * 50}{line}{' b%d' % i * 50}") for i in range(60)]
+    found = repeated_spans.without_repeats(make_docs(spark, rows)).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == brute_repeats(rows)
+    monkeypatch.setattr(repeated_spans, "stored", lambda df, name: df)
+    plan = repeated_spans._marks(make_docs(spark, rows))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [gram" in plan and "Window" not in plan
+
+
 def test_repeats_of_nothing(spark):
     assert repeated_spans.without_repeats(make_docs(spark, [])).count() == 0
     (row,) = repeated_spans.without_repeats(make_docs(spark, [(1, None)])).collect()
