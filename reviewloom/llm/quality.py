@@ -3,7 +3,7 @@
 A document is a bag of passages. Every passage is encoded from its whole text (character classes,
 word lengths, repetition); gated attention weighs the encoded passages, and the weighted sum is
 scored. Encoder, attention and score are learned together from document labels alone. Fitting takes
-a bounded sample (``SAMPLE_ROWS``); its passage vectors are made by tasks and only they reach the
+a bounded sample (``SAMPLE_ROWS``, ``SAMPLE_BYTES``); its passage vectors are made by tasks and only they reach the
 driver. Scoring is a narrow pass without a shuffle.
 """
 
@@ -22,6 +22,8 @@ from reviewloom.llm.common import held_out, map_batches, table
 from reviewloom.llm.labelled import labelled_sample
 
 SAMPLE_ROWS = 5000
+#: Bytes of whole texts: at most half a million passages of 64 words and 72 bytes each reach the driver.
+SAMPLE_BYTES = 64 << 20
 PASSAGE_WORDS = 64
 THRESHOLD = 0.7
 HIDDEN, GATE = 16, 8
@@ -146,15 +148,15 @@ class AttentionModel:
         return self
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> AttentionModel:
-    """Fit on at most ``rows`` labelled documents. Without any, every text with words scores about 0.5."""
+def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, text_bytes: int = SAMPLE_BYTES) -> AttentionModel:
+    """Fit on at most ``rows`` labelled documents of at most ``text_bytes`` together. Without any, every text with words scores about 0.5."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         for batch in batches:
             bags = [encode_passages(t) for t in batch.column(0).to_pylist()]
             yield {"bag": [b.tobytes() for b in bags], "label": batch.column(1)}
 
-    sample = map_batches(labelled_sample(docs, labels, "quality", rows), run, "bag binary, label int").collect()
+    sample = map_batches(labelled_sample(docs, labels, "quality", rows, text_bytes), run, "bag binary, label int").collect()
     sample.sort()  # tasks may hand over in any order
     bags = [np.frombuffer(r.bag, np.float32).reshape(-1, N_FEATURES) for r in sample]
     return AttentionModel().fit(bags, np.array([r.label for r in sample]))

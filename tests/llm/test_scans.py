@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from reviewloom.llm import decontaminate, quality, secrets, toxicity
+from reviewloom.llm.labelled import labelled_sample
 from reviewloom.llm.queries import QUERIES, SQL
 from tests.llm.conftest import make_docs, sentence
 from tests.llm.test_dedup import brute_components
@@ -157,6 +158,19 @@ def test_all_rows_are_kept_without_labels(spark, awkward):
         assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(awkward)
 
 
+def test_sample_has_a_bounded_size(spark):
+    """One id that many documents hold, and long texts, stay within the bounds of rows and bytes."""
+    docs = make_docs(spark, [(1, f"text {i}") for i in range(50)] + [(1, "text 7")] * 5 + [(2, "long " * 100), (3, "short")])
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id bigint, quality int").filter(~quality.held_out())
+    named = {r.doc_id for r in labels.collect()}
+    every = {r.text for r in docs.collect() if r.doc_id in named}
+    rows = labelled_sample(docs, labels, "quality", 100, 1000).collect()
+    assert Counter(r.text for r in rows) == Counter(every)
+    assert len(labelled_sample(docs, labels, "quality", 10, 1000).collect()) == min(10, len(every))
+    few = [r.text for r in labelled_sample(docs, labels, "quality", 100, 60).collect()]
+    assert few and sum(map(len, few)) <= 60 and set(few) <= every
+
+
 def test_attention_slopes():
     """The learned gradients agree with finite differences, through the loss of one step."""
     rng = np.random.default_rng(0)
