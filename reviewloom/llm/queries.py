@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from reviewloom.llm import bpe, decontaminate, exact_dedup, near_dedup, quality, repeated_spans, secrets, token_files, toxicity, warc
+from reviewloom.llm import (
+    bpe, chat_format, decontaminate, exact_dedup, fill_middle, near_dedup, periodic_runs, quality, repeated_spans, secrets, token_files, toxicity, warc,
+)
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -15,6 +17,9 @@ QUERIES = {
     "op8_decontamination": decontaminate.op8_decontamination,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_bpe": bpe.op10_bpe,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_fill_in_middle": fill_middle.op12_fill_in_middle,
+    "op13_chat_format": chat_format.op13_chat_format,
 }
 
 SQL = {
@@ -22,4 +27,6 @@ SQL = {
     "op7_warc": warc.OP7_SQL,
     "op8_decontamination": decontaminate.OP8_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
+    "op12_fill_in_middle": fill_middle.OP12_SQL,
+    "op13_chat_format": chat_format.OP13_SQL,
 }
