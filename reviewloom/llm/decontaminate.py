@@ -1,12 +1,16 @@
 """Benchmark decontamination over a distributed positional inverted index. DataFrame functions only.
 
 1. Training occurrences of the benchmark's terms are counted (map-side combine).
-2. Every window of an item is probed through its ``PROBES`` rarest terms. Postings (term, document,
-   position) of the probe terms alone are stored.
-3. Posting lists are intersected after taking the term's offset in the item from its position: a
-   document, an item and a diagonal that enough probes agree on are a candidate.
-4. Candidates are verified word by word along the diagonal; runs as long as a window are exact
-   matches. :func:`proximity_matches` lets the offsets of the probes differ instead.
+2. Every different window of an item is probed through its rarest terms, terms without any occurrence
+   included. Postings (term, document, position) of the probe terms alone are stored.
+3. Posting lists are intersected after taking the term's offset in the item from its position: places
+   where two probes of an item agree, up to ``SLOP`` words, are its anchors in a document.
+4. Anchors are verified word by word, one row per document and item: along an anchor's diagonal for
+   exact phrases, and with words put in, left out or replaced for proximity.
+
+An exact match is a whole window in a row. A proximity match is a window of which at most one word in
+five (``missing``) is absent while the others stand at their offsets with a play of ``SLOP`` words: two
+probes more than may be missing are enough to find it, because two of them must be there.
 
 Terms are hashes of lower-case words, which only choose candidates; the words themselves decide.
 Joins with benchmark data carry no hint: Spark broadcasts that side where its stored size is below
@@ -24,7 +28,9 @@ from reviewloom.llm.common import stored, table
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 10
-PROBES = 3
+SLOP = 2
+#: One word of so many may be missing in a proximity match.
+MISSING_OF = 5
 
 
 def cut(text: str | Column) -> Column:
@@ -55,39 +61,45 @@ def _terms(docs: DataFrame) -> DataFrame:
     return placed.select("doc_id", "_h", "pos", F.xxhash64(F.lower("word")).alias("term"))
 
 
+def missing(width: str | Column) -> Column:
+    """Words of a window that a proximity match may lack."""
+    return F.floor(F.col(width) / MISSING_OF) if isinstance(width, str) else F.floor(width / MISSING_OF)
+
+
 def benchmark_items(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Items that have words: ``item_id, item, words, terms, width`` (``item``: a key of id and text)."""
+    """Items that have words: ``item_id, item, words, terms, width, firsts, covered`` (``item``: a key of id and
+    text; ``firsts``: where each different window stands first, so that a repeated word is one window;
+    ``covered``: the offsets in these windows)."""
     items = benchmark.select("item_id", F.filter(exact_cut(F.coalesce("text", F.lit(""))), lambda w: w != "").alias("words"))
-    return items.filter(F.size("words") > 0).select(
+    items = items.filter(F.size("words") > 0).select(
         "item_id",
         F.xxhash64("item_id", "words").alias("item"),
         "words",
         F.transform("words", lambda w: F.xxhash64(F.lower(w))).alias("terms"),
         F.least(F.size("words"), F.lit(window)).alias("width"),
     ).dropDuplicates(["item_id", "item"])
+    starts = F.sequence(F.lit(0), F.size("words") - F.col("width"))
+    windows = items.select("item", F.posexplode(F.transform(starts, lambda s: F.slice("words", s + 1, F.col("width")))).alias("s", "window"))
+    firsts = windows.groupBy("item", "window").agg(F.min("s").alias("s")).groupBy("item").agg(F.array_sort(F.collect_list("s")).alias("firsts"))
+    covered = F.array_sort(F.array_distinct(F.flatten(F.transform("firsts", lambda s: F.sequence(s, s + F.col("width") - 1)))))
+    return items.join(firsts, "item").select("item_id", "item", "words", "terms", "width", "firsts", covered.alias("covered"))
 
 
-def probe_terms(docs: DataFrame, items: DataFrame, probes: int = PROBES) -> DataFrame:
-    """The rarest terms of every window: ``item, q, term, need``. Windows with a term that the
-    documents lack are left out, as they cannot occur."""
-    placed = items.select("item", "width", F.posexplode("terms").alias("q", "term"))
+def probe_terms(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rarest terms of every different window, two more than may be missing: ``item, q, term, width``."""
+    placed = items.select("item", F.posexplode("terms").alias("q", "term"))
     used = stored(placed.select("term").distinct(), "benchmark-terms")
     counts = stored(_terms(docs).join(used, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term-counts")
-    rated = placed.join(counts, "term", "left").groupBy("item", "width").agg(
+    rated = placed.join(counts, "term", "left").groupBy("item").agg(
         F.array_sort(F.collect_list(F.struct("q", F.coalesce("n", F.lit(0)).alias("n"), "term"))).alias("places")
     )
     by_count = F.transform("places", lambda p: F.struct(p.n.alias("n"), p.q.alias("q"), p.term.alias("term")))
     rarest = F.transform(
-        F.sequence(F.lit(1), F.size("places") - F.col("width") + 1),
-        lambda s: F.slice(F.array_sort(F.slice("places", s, F.col("width"))), 1, probes),
-    )
-    chosen = (
-        rated.withColumn("places", by_count)
-        .select("item", "width", F.explode(rarest).alias("window"))
-        .filter(F.col("window")[0]["n"] > 0)
-        .select("item", F.least("width", F.lit(probes)).alias("need"), F.explode("window").alias("p"))
+        "firsts", lambda s: F.slice(F.array_sort(F.slice("places", s + 1, F.col("width"))), F.lit(1), (missing("width") + 2).cast("int"))
     )
-    return chosen.select("item", "p.q", "p.term", "need").distinct()
+    chosen = rated.withColumn("places", by_count).join(items.select("item", "width", "firsts"), "item")
+    chosen = chosen.select("item", "width", F.explode(F.flatten(rarest)).alias("p")).filter("p.n > 0")
+    return chosen.select("item", "p.q", "p.term", "width").distinct()
 
 
 def index_postings(docs: DataFrame, probes: DataFrame) -> DataFrame:
@@ -96,54 +108,93 @@ def index_postings(docs: DataFrame, probes: DataFrame) -> DataFrame:
     return stored(_terms(docs).join(used, "term"), "postings")
 
 
-def _aligned(postings: DataFrame, probes: DataFrame) -> DataFrame:
-    return postings.join(probes, "term").withColumn("diagonal", F.col("pos") - F.col("q"))
+def anchors(postings: DataFrame, probes: DataFrame, slop: int = SLOP) -> DataFrame:
+    """``doc_id, _h, item, diagonals``: the diagonals (position less offset) from which another probe of the
+    item stands within ``slop`` words; of items of one word, all. Of the next ``slop + 1`` postings in order one
+    must be of another offset if any is, as an offset has one posting a diagonal."""
+    aligned = postings.join(probes, "term").select("doc_id", "_h", "item", "width", "q", (F.col("pos") - F.col("q")).alias("diagonal"))
+    order = Window.partitionBy("doc_id", "_h", "item").orderBy("diagonal", "q")
+    agrees = F.col("width") == 1
+    for t in range(1, slop + 2):
+        near = F.lead("diagonal", t).over(order) - F.col("diagonal") <= slop
+        agrees = agrees | F.coalesce(near & (F.lead("q", t).over(order) != F.col("q")), F.lit(False))
+    found = aligned.withColumn("agrees", agrees).filter("agrees")
+    return found.groupBy("doc_id", "_h", "item").agg(F.array_sort(F.collect_set("diagonal")).alias("diagonals"))
 
 
-def phrase_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Maximal runs of words that item and document share along one diagonal, a window long at least:
-    ``doc_id, _h, item_id, item, first, last`` (places in :func:`cut`, both inclusive).
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once: inside lambdas Spark repeats shared expressions."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _window_starts(diagonal: Column) -> Column:
+    """Places in the document where a different window of the item begins along a diagonal."""
+    same = F.filter("covered", lambda q: F.coalesce(F.when(q + diagonal >= 0, F.get("own", q + diagonal)) == F.get("words", q), F.lit(False)))
+    last = F.col("width") - 1
+    whole = _bound(same, lambda x: F.filter(x, lambda q, i: F.coalesce(F.get(x, i + last) == q + last, F.lit(False))))
+    return F.transform(F.array_intersect(whole, F.col("firsts")), lambda q: q + diagonal)
+
+
+def _merged(starts: Column) -> Column:
+    """``array<struct<first, last>>`` of what windows at sorted ``starts`` cover, as maximal stretches."""
+
+    def of(s: Column) -> Column:
+        heads = F.filter(s, lambda x, i: (i == 0) | (x - F.get(s, i - 1) > F.col("width")))
+        tails = F.filter(s, lambda x, i: (i == F.size(s) - 1) | (F.get(s, i + 1) - x > F.col("width")))
+        return F.arrays_zip(heads.alias("first"), F.transform(tails, lambda x: x + F.col("width") - 1).alias("last"))
+
+    return _bound(starts, of).cast("array<struct<first: int, last: int>>")
+
+
+def _is_near(diagonal: Column, slop: int) -> Column:
+    """Whether a window has enough of its words at their offsets from ``diagonal``, or up to ``slop`` further."""
+    behind = (F.col("width") - missing("width") - 1).cast("int")
+
+    def there(q: Column) -> Column:
+        found = F.lit(False)
+        for e in range(slop + 1):
+            at = q + diagonal + e
+            found = found | F.coalesce(F.when(at >= 0, F.get("own", at)) == F.get("words", q), F.lit(False))
+        return found
 
-    An item of fewer words is one window as a whole. NULL texts have no words; NULL ids are ids like
-    others. Equal rows give equal matches, once.
+    def close(found: Column) -> Column:
+        """Places that as many words of one window follow as it needs."""
+        return F.filter(found, lambda q, i: F.coalesce(F.get(found, i + behind) - q < F.col("width"), F.lit(False)))
+
+    return _bound(F.filter("covered", there), lambda x: F.size(close(x)) > 0)
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = SLOP) -> DataFrame:
+    """``doc_id, _h, item_id, runs, near`` of the documents and items that meet: ``runs`` are the stretches that
+    whole windows cover (places in :func:`cut`, both inclusive), ``near`` says that a proximity match is there.
+
+    An item of fewer words than a window is one window as a whole. NULL texts have no words; NULL ids are
+    ids like others. Equal rows give equal matches, once. Empty tables give no matches. A very long text
+    comes once for each item that has an anchor in it, and its work grows with its anchors times the item's
+    length; however often a word or passage repeats, no more than one row is made from both.
     """
     items = stored(benchmark_items(benchmark, window), "benchmark-items")
     probes = stored(probe_terms(docs, items), "probes")
-    found = _aligned(index_postings(docs, probes), probes)
-    candidates = stored(
-        found.groupBy("doc_id", "_h", "item", "diagonal")
-        .agg(F.count(F.lit(1)).alias("agree"), F.min("need").alias("need"))
-        .filter("agree >= need")
-        .drop("agree", "need"),
-        "candidates",
-    )
+    candidates = stored(anchors(index_postings(docs, probes), probes, slop), "anchors")
     hit_docs = candidates.select("doc_id", "_h").distinct()
     texts = _same_row(_keyed(docs), hit_docs, "left_semi").dropDuplicates(["doc_id", "_h"])
     texts = texts.select("doc_id", "_h", exact_cut("text").alias("own"))
-    paired = _same_row(texts, candidates, "inner").join(items, "item")
-    low = F.greatest(F.lit(0), -F.col("diagonal"))
-    high = F.least(F.size("words"), F.size("own") - F.col("diagonal")) - 1
-    same = F.filter(F.sequence(low, high), lambda q: F.col("own")[q + F.col("diagonal")] == F.col("words")[q])
-    equal = paired.filter(low <= high).select("doc_id", "_h", "item_id", "item", "width", "diagonal", F.explode(same).alias("q"))
-    line = ["doc_id", "_h", "item_id", "item", "width", "diagonal"]
-    run = F.col("q") - F.row_number().over(Window.partitionBy(*line).orderBy("q"))
-    return (
-        equal.withColumn("run", run)
-        .groupBy(*line, "run")
-        .agg(F.min("q").alias("a"), F.max("q").alias("b"))
-        .filter(F.col("b") - F.col("a") + 1 >= F.col("width"))
-        .select("doc_id", "_h", "item_id", "item", (F.col("a") + F.col("diagonal")).alias("first"), (F.col("b") + F.col("diagonal")).alias("last"))
-    )
+    paired = _same_row(texts, candidates, "inner").join(items.drop("terms"), "item")
+    starts = F.array_sort(F.array_distinct(F.flatten(F.transform("diagonals", _window_starts))))
+    bases = F.array_distinct(F.flatten(F.transform("diagonals", lambda d: F.sequence(d - slop, d))))
+    near = F.exists(bases, lambda d: _is_near(d, slop))
+    return paired.select("doc_id", "_h", "item_id", _merged(starts).alias("runs"), near.alias("near")).filter((F.size("runs") > 0) | F.col("near"))
 
 
-def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int, window: int = WINDOW, probes: int = PROBES) -> DataFrame:
-    """``doc_id, _h, item``: as many different probe terms of the item as a window has, whose offsets
-    against the item differ by ``slop`` words at most, wherever words were put in or left out."""
-    items = stored(benchmark_items(benchmark, window), "benchmark-items")
-    chosen = stored(probe_terms(docs, items, probes), "probes")
-    near = Window.partitionBy("doc_id", "_h", "item").orderBy("diagonal").rangeBetween(0, slop)
-    found = _aligned(index_postings(docs, chosen), chosen).withColumn("agree", F.size(F.collect_set("q").over(near)))
-    return found.filter("agree >= need").select("doc_id", "_h", "item").distinct()
+def phrase_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``doc_id, _h, item_id, first, last``: the stretches of :func:`matches`, one a row."""
+    found = matches(docs, benchmark, window)
+    return found.select("doc_id", "_h", "item_id", F.explode("runs").alias("r")).select("doc_id", "_h", "item_id", "r.first", "r.last")
+
+
+def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int = SLOP, window: int = WINDOW) -> DataFrame:
+    """``doc_id, _h, item_id`` of documents and items with a proximity match, exact ones included."""
+    return matches(docs, benchmark, window, slop).filter("near").select("doc_id", "_h", "item_id").distinct()
 
 
 def _same_row(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
@@ -152,13 +203,20 @@ def _same_row(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     return joined.drop("_doc_id", "_other_h")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per row: ``doc_id, _h, n_words, n_hit, n_items, items_sha256``. An item without id counts no item."""
-    matches = stored(phrase_matches(docs, benchmark, window), "phrase-matches")
-    places = matches.select("doc_id", "_h", F.explode(F.sequence("first", "last")).alias("pos")).distinct()
-    hits = places.groupBy("doc_id", "_h").agg(F.count(F.lit(1)).alias("n_hit"))
-    named = matches.groupBy("doc_id", "_h").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-    marked = _same_row(hits, named, "inner")
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = SLOP) -> DataFrame:
+    """Per row: ``doc_id, _h, n_words, n_hit, n_items, items_sha256, n_near``. An item without id counts no item.
+
+    Empty tables give no rows, or rows without hits; very long texts are treated as :func:`matches` says.
+    """
+    found = stored(matches(docs, benchmark, window, slop), "matches")
+    whole = found.filter(F.size("runs") > 0)
+    places = whole.select("doc_id", "_h", F.explode("runs").alias("r")).select("doc_id", "_h", F.explode(F.sequence("r.first", "r.last")).alias("pos"))
+    hits = places.distinct().groupBy("doc_id", "_h").agg(F.count(F.lit(1)).alias("n_hit"))
+    named = found.groupBy("doc_id", "_h").agg(
+        F.array_sort(F.collect_set(F.when(F.size("runs") > 0, F.col("item_id").cast("string")))).alias("items"),
+        F.size(F.collect_set(F.when(F.col("near"), F.col("item_id")))).alias("n_near"),
+    )
+    marked = _same_row(named, hits, "left")
     counted = _keyed(docs).withColumn("parts", cut("text")).select("doc_id", "_h", count_words(F.col("parts")).alias("n_words"))
     return _same_row(counted, marked, "left").select(
         "doc_id",
@@ -167,18 +225,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")).cast("binary"), 256).alias("items_sha256"),
+        F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
     )
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Rows of ``docs``, with all their columns, in which no window occurs."""
-    hit = stored(phrase_matches(docs, benchmark, window), "phrase-matches").select("doc_id", "_h").distinct()
+    whole = stored(matches(docs, benchmark, window), "matches").filter(F.size("runs") > 0)
+    hit = whole.select("doc_id", "_h").distinct()
     keyed = docs.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit(""))))
     return _same_row(keyed, hit, "left_anti").select(*docs.columns)
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:
-    """Words, hit words and items per document."""
+    """Words, hit words, items and items nearby per document."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("_h").withColumn("contaminated", F.col("n_hit") > 0)
 
@@ -206,8 +266,19 @@ OP8_SQL = r"""
         FROM (SELECT doc_id, unnest(generate_series(s, s + n - 1)) AS p FROM hits) GROUP BY doc_id),
     items AS (
         SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS names
-        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hits) GROUP BY doc_id)
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hits) GROUP BY doc_id),
+    -- Proximity: of a window of n words, n less one in five, each up to two words behind its place.
+    offsets AS (SELECT item_id, least(len(w), 10) AS n, unnest(w) AS v, generate_subscripts(w, 1) AS q FROM item_words),
+    positions AS (SELECT doc_id, unnest(w) AS v, generate_subscripts(w, 1) AS p FROM words),
+    aligned AS (
+        SELECT DISTINCT doc_id, item_id, n, q, p - q - e AS base
+        FROM positions JOIN offsets USING (v), (SELECT unnest([0, 1, 2]) AS e)),
+    near AS (
+        SELECT DISTINCT doc_id, item_id
+        FROM (SELECT *, lead(q, (n - n // 5 - 1)::INTEGER) OVER (PARTITION BY doc_id, item_id, base ORDER BY q) AS last FROM aligned)
+        WHERE last - q < n),
+    nearby AS (SELECT doc_id, count(*) AS n_near FROM near GROUP BY doc_id)
     SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-           sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-    FROM words LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
+           sha256(coalesce(names, '')) AS items_sha256, coalesce(n_near, 0)::BIGINT AS n_near, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM words LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN nearby USING (doc_id)
 """

@@ -115,11 +115,52 @@ def test_contamination_of_nothing(spark, awkward):
     assert {r.n_hit for r in decontaminate.contamination(make_docs(spark, awkward), none).collect()} == {0}
 
 
-def test_proximity(spark):
-    bench = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id bigint, text string")
-    docs = make_docs(spark, [(1, "alpha x beta gamma y delta"), (2, "alpha " + "z " * 30 + "beta gamma delta"), (3, "alpha beta")])
-    assert {r.doc_id for r in decontaminate.proximity_matches(docs, bench, 3, probes=4).collect()} == {1}
-    assert {r.doc_id for r in decontaminate.proximity_matches(docs, bench, 40, probes=4).collect()} == {1, 2}
+def brute_near(text, items, slop=2):
+    """Items of which a window has all but one word in five, each up to ``slop`` words behind its place."""
+    own, named = words_of(text), set()
+    for item_id, item in items:
+        words = words_of(item)
+        n = min(10, len(words))
+        for s in range(len(words) - n + 1) if n else ():
+            for base in range(-n - slop, len(own)):
+                there = sum(any(0 <= base + k + e < len(own) and own[base + k + e] == words[s + k] for e in range(slop + 1)) for k in range(n))
+                if there >= n - n // 5:
+                    named.add(item_id)
+    return named
+
+
+NEAR = [
+    (70, sentence(0, 25).replace("w5 ", "changed ")), (71, sentence(0, 25).replace("w5 ", "")), (72, "a b c d e x g h i j k l"),
+    (73, "only four words"), (74, "only x four short words"), (75, sentence(300, 5) + " one two " + sentence(305, 6)),
+    (76, sentence(300, 5) + " one two three " + sentence(305, 6)), (77, "éa b c never d e f never g h"), (78, "b a " * 9), (79, sentence(200, 8, 3)), (80, "x " + sentence(203, 8, 3)),
+    (81, " ".join(reversed(sentence(0, 25).split()))), (82, sentence(2, 4) + " z " + sentence(6, 3) + " z z " + sentence(9, 3)),
+]
+
+
+def test_proximity(spark, awkward):
+    bench_rows = BENCH + [(20, "a b c d e f g h i j k l"), (21, sentence(0, 9) + " lacking " + sentence(10, 9))]
+    rows = [r for r in awkward if r[0] != 12] + DIRTY + NEAR
+    bench = spark.createDataFrame(bench_rows, "item_id bigint, text string")
+    expected = {(i, item) for i, t in rows for item in brute_near(t, bench_rows)}
+    found = decontaminate.proximity_matches(make_docs(spark, rows), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == expected
+    assert {(70, 1), (71, 1), (72, 20), (74, 2), (75, None)} <= expected and (81, 1) not in expected
+    counts = {(r.doc_id, r._h): r.n_near for r in decontaminate.contamination(make_docs(spark, rows), bench).collect()}
+    for (doc_id, _), n in counts.items():
+        if doc_id not in (None, 14):
+            assert n == len({item for i, item in expected if i == doc_id and item is not None})
+
+
+def test_long_texts_of_one_word_or_passage(spark):
+    """Rows stay few and small: one for each document and item, with one stretch."""
+    passage = sentence(0, 25)
+    docs = make_docs(spark, [(1, "a " * 20_000), (2, "a " * 200_000), (3, (passage + " ") * 2_000), (4, "b a " * 50_000)])
+    bench = spark.createDataFrame([(1, "a " * 11), (2, passage), (3, passage + " " + passage), (4, "a " * 300), (5, "a b " * 40)], "item_id bigint, text string")
+    found = decontaminate.matches(docs, bench)
+    expected = {(1, 1, 0, 19_999), (2, 1, 0, 199_999), (1, 4, 0, 19_999), (2, 4, 0, 199_999), (3, 2, 0, 49_999), (3, 3, 0, 49_999), (4, 5, 0, 99_999)}
+    rows = found.collect()
+    assert {(r.doc_id, r.item_id, s.first, s.last) for r in rows for s in r.runs} == expected
+    assert len(rows) == len({(r.doc_id, r.item_id) for r in rows})
 
 
 # -- classifiers --------------------------------------------------------------------------------
