@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.llm.common import map_batches, table
-from reviewloom.llm.pieces import Remembered, chunks, cut, must_stay_whole
+from reviewloom.llm.pieces import Remembered, chunks, cut, cuts_like_bytes, must_stay_whole
 
 PAIRS_KEPT = 200_000
 #: Smaller than a worker could hold: workers live on, and other stages of a pipeline need the memory.
-PIECES_A_GENERATION = 200_000
+GENERATION_BYTES = 48 << 20
 #: Unicode white space, spelled out because libraries differ on the separators x1c to x1f.
 _WHITE = r"\t-\r \x85\xa0  -     　"
 #: Fixed value: how the vocabulary's texts are cut before merging.
@@ -45,9 +45,12 @@ def byte_letters() -> list[str]:
 
 
 class BytePairs:
-    """Vocabulary, merges and the structures made from them, for one tokenizer file."""
+    """Vocabulary, merges and the structures made from them, for one tokenizer file, which must be plain
+    byte-level BPE: another raises an error."""
 
     def __init__(self, path: str):
+        if not cuts_like_bytes(path):
+            raise ValueError(f"not a plain byte-level BPE file: {path}")
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab: dict[str, int] = spec["model"]["vocab"]
@@ -92,7 +95,7 @@ class BytePairs:
         self.table: dict[int, bool] = {}
         self.type = "<u2" if size <= 1 << 16 else "<u4"
         self.decimal = list(map(str, range(size)))
-        self.pieces = Remembered(self._pieces, PIECES_A_GENERATION)
+        self.pieces = Remembered(self._pieces, GENERATION_BYTES)
 
     @staticmethod
     @cache
@@ -203,7 +206,8 @@ def encode_documents(docs: DataFrame, tokenizer: str, with_ids: bool = False) ->
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` per row, and ``ids`` if asked for.
 
     Narrow: no shuffle, some rows at a time. A NULL text is empty and has no ids. NULL and
-    repeated ids are passed on, each row by itself; other columns are not read. The tokenizer file
+    repeated ids are passed on, each row by itself; other columns are not read. A very long text takes
+    a few times its own size in its task; an empty table gives an empty result. The tokenizer file
     must be there on every executor.
     """
 

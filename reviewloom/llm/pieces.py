@@ -3,12 +3,15 @@
 A byte-level tokenizer cuts a text before every blank that stands between two characters that are
 not white space, and on both sides of such a line feed, so such pieces can be encoded on their own
 and remembered; so can letters before one closing mark. Texts with other white space beside a blank,
-and texts with a special token's string, are encoded whole. The
-memory of pieces has two generations of bounded size; pieces that are met again move to the young one.
+and texts with a special token's string, are encoded whole. So are all texts where the tokenizer file
+asks for another way of cutting (:func:`cuts_like_bytes`). The memory of pieces has two generations,
+each bounded in bytes; pieces that are met again move to the young one. Longer pieces, such as texts
+without blanks, are hardly met again: they are kept no longer than the texts they come from.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import islice
@@ -18,7 +21,11 @@ from tokenizers import Tokenizer
 
 from reviewloom.llm.common import FORGET
 
-PIECES_A_GENERATION = 600_000
+#: Bytes of a generation, by PIECE_BYTES a piece and what its characters and ids take.
+GENERATION_BYTES = 128 << 20
+PIECE_BYTES = 170
+#: Longer pieces are not remembered.
+REMEMBERED_CHARS = 64
 TEXT_CHARS_AT_ONCE = 1 << 20
 #: One of these behind a letter, at a piece's end, is a token of its own.
 MARKS = (",", ".")
@@ -58,24 +65,26 @@ def chunks(texts: list[str]) -> Iterator[list[str]]:
 class Remembered:
     """The bytes that ``make`` gives for each piece, for the last distinct pieces."""
 
-    def __init__(self, make: Callable[[list[str]], list], generation: int = PIECES_A_GENERATION):
+    def __init__(self, make: Callable[[list[str]], list], generation: int = GENERATION_BYTES):
         self.make, self.generation = make, generation
         self.young: dict = {}
         self.old: dict = {}
+        self.held = 0
+        self.passing: list[str] = []
         FORGET.append(self.forget)
 
     def forget(self) -> bool:
         held = bool(self.young or self.old)
-        self.young, self.old = {}, {}
+        self.young, self.old, self.held, self.passing = {}, {}, 0, []
         return held
 
     def cover(self, texts: list[list[str]]) -> dict:
-        """A dict that holds the pieces of all ``texts``."""
-        pieces = set().union(*texts)
-        new = pieces.difference(self.young)
-        if len(self.young) + len(new) > self.generation:
-            self.old, self.young = self.young, {}
-            new = pieces
+        """A dict that holds the pieces of all ``texts``, until the next call."""
+        for piece in self.passing:
+            del self.young[piece]
+        if self.held > self.generation:
+            self.old, self.young, self.held = self.young, {}, 0
+        new = set().union(*texts).difference(self.young)
         young, old = self.young, self.old
         fresh, closed = set(), []
         for piece in new:
@@ -91,9 +100,24 @@ class Remembered:
         young.update(zip(fresh, self.make(list(fresh))))
         for piece in closed:
             young[piece] = young[piece[:-1]] + young[piece[-1]]
+        added = new | fresh
+        self.passing = [p for p in added if len(p) > REMEMBERED_CHARS]
+        added.difference_update(self.passing)
+        self.held += PIECE_BYTES * len(added) + 2 * sum(map(len, added)) + sum(map(len, map(young.__getitem__, added)))
         return young
 
 
+def cuts_like_bytes(path: str) -> bool:
+    """Whether a ``tokenizers`` file cuts texts as this module does: plain byte-level BPE, no normalizer."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    cutter, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    plain = not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges"))
+    byte_level = cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
+    whole_added = all(not (t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized")) for t in spec.get("added_tokens", []))
+    return bool(model.get("type") == "BPE" and plain and byte_level and whole_added and spec.get("normalizer") is None and spec.get("post_processor") is None)
+
+
 class LibraryEncoder:
     """``tokenizers`` with ``add_special_tokens=False``; ids as little-endian bytes of ``width``."""
 
@@ -107,7 +131,7 @@ class LibraryEncoder:
         plain = [i for i, t in added.items() if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
         self.between = plain[0] if plain else None
         self.mark = added[plain[0]].content if plain else None
-        self.stays_whole = must_stay_whole([t.content for t in added.values()])
+        self.stays_whole = must_stay_whole([t.content for t in added.values()]) if cuts_like_bytes(path) else lambda text: True
         self.pieces = Remembered(self._pieces)
 
     @staticmethod

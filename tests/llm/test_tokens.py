@@ -11,6 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from reviewloom.llm import bpe, pieces, token_files, warc
+from reviewloom.llm.queries import QUERIES
 from tests.llm.conftest import make_docs
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,6 +49,47 @@ def test_small_memory_gives_the_same(library, odd_texts):
     assert [ids.tolist() for t in odd_texts[:300] for ids in own.encode([t])] == expected
 
 
+def test_memory_of_pieces_is_bounded_in_bytes(library):
+    """Texts without blanks come once and are not kept; small pieces are kept up to the bound."""
+    for encoder, memory in ((e := bpe.BytePairs(PATH), e.pieces), (w := pieces.LibraryEncoder(PATH), w.pieces)):
+        memory.generation = 100_000
+        for i in range(60):
+            texts = [f"{i}_{k}_" + "x" * 5000 for k in range(10)] + [" ".join(f"w{i}q{k}" for k in range(100))]
+            list(encoder.encode(texts))
+            kept = {**memory.old, **memory.young}
+            assert sum(len(p) > pieces.REMEMBERED_CHARS for p in kept) <= 10
+            assert sum(pieces.PIECE_BYTES + 2 * len(p) + len(b) for p, b in kept.items() if len(p) <= pieces.REMEMBERED_CHARS) < 300_000
+        for text in ("x" * 5000, "1_2_" + "x" * 5000 + " w1q2 w3q4."):
+            ids = library.encode(text, add_special_tokens=False).ids
+            assert [np.frombuffer(x, "<u2").tolist() if isinstance(x, bytes) else x.tolist() for x in encoder.encode([text])] == [ids]
+
+
+def test_other_ways_of_cutting(odd_texts):
+    """A file that cuts texts in another way is refused by the own encoder; the library's gets whole texts."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert pieces.cuts_like_bytes(PATH) and not pieces.cuts_like_bytes(path)
+    with pytest.raises(ValueError):
+        bpe.BytePairs(path)
+    texts = odd_texts[:400]
+    expected = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(b, "<u2").tolist() for b in pieces.LibraryEncoder(path).encode(texts)] == expected
+
+
+def test_queries_equal_the_library(spark, tables, library):
+    """op6 and op10 on the given documents: ids, digests and, in id order, where each document starts."""
+    docs = sorted(spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text").collect())
+    ids = [e.ids for e in library.encode_batch([d.text or "" for d in docs], add_special_tokens=False)]
+    starts = np.concatenate([[0], np.cumsum([len(i) + 1 for i in ids])]).tolist()
+    files = {(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in QUERIES["op6_token_files"](spark, tables).collect()}
+    assert files == {(d.doc_id, at, len(i) + 1, zlib.crc32(np.array([*i, 0], "<u4").tobytes())) for d, i, at in zip(docs, ids, starts)}
+    coded = {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in QUERIES["op10_bpe"](spark, tables).collect()}
+    assert coded == {
+        (d.doc_id, len(i), hashlib.sha256(",".join(map(str, i)).encode()).hexdigest(),
+         hashlib.sha256(library.decode(i, skip_special_tokens=False).encode()).hexdigest())
+        for d, i in zip(docs, ids)
+    }
+
+
 def test_broken_utf8_is_replaced(library):
     ids = [library.encode("日", add_special_tokens=False).ids[0]]
     assert bpe.BytePairs(PATH).decode(np.array(ids)).decode() == library.decode(ids, skip_special_tokens=False)
