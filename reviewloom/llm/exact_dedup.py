@@ -203,9 +203,18 @@ def with_owner(docs: DataFrame, largest: bool = False) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, largest: bool = False) -> DataFrame:
-    """``docs`` without copies: of equal texts the owner's row stays, once."""
-    owned = with_owner(docs, largest).filter(F.col("doc_id").eqNullSafe(F.col("_owner")))
-    return owned.dropDuplicates(["doc_id", "_bytes", "_sha"]).select(*docs.columns)
+    """``docs`` without copies: of equal texts the owner's row stays, once.
+
+    Rows are dealt by id and text together, so a text that many documents hold is spread over all
+    tasks; rows that are equal in both are combined before the shuffle.
+    """
+    size, digest = ("_" * sum(c.startswith("_") for c in docs.columns) + n for n in ("_bytes", "_sha"))
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    keyed = docs.withColumns({size: F.octet_length(text).cast("bigint"), digest: F.unhex(F.sha2(text, 256))})
+    once = keyed.dropDuplicates(["doc_id", size, digest])
+    owners = text_owners(docs, largest).select("_owner", "_bytes", "_sha")
+    same = once["doc_id"].eqNullSafe(owners["_owner"]) & (once[size] == owners["_bytes"]) & (once[digest] == owners["_sha"])
+    return once.join(owners, same, "left_semi").select(*docs.columns)
 
 
 def op9_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
 
+from reviewloom.llm import components as component_module
 from reviewloom.llm import near_dedup, repeated_spans
 from reviewloom.llm.components import components
 from reviewloom.llm.exact_dedup import PatriciaTrie, drop_copies, op9_exact_dedup, with_owner
@@ -38,6 +40,49 @@ def test_exact_dedup_of_nothing(spark):
     assert with_owner(empty).count() == drop_copies(empty).count() == 0
 
 
+SKEW = {
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
+@pytest.fixture
+def small_limits(spark):
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hot_text_is_dealt_by_id(spark, small_limits):
+    """No exchange of whole rows goes by the text alone."""
+    docs = make_docs(spark, [(i, "hot text " * 20) for i in range(4000)] + [(i, f"own {i}") for i in range(4000, 5000)])
+    kept = drop_copies(docs, largest=True)
+    assert {r.doc_id for r in kept.select("doc_id").collect()} == {3999, *range(4000, 5000)}
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", kept._jdf.queryExecution().executedPlan().toString())
+    assert sum("doc_id" in keys or "_owner" in keys for keys in dealt) >= 2
+    assert all("doc_id" in keys or "_owner" in keys or "text" not in keys for keys in dealt)
+
+
+def test_a_hub_is_split(spark, small_limits, monkeypatch):
+    """The joins of a star's round split the hub's partition."""
+    plans = []
+    stored = component_module.stored
+
+    def watched(df, name):
+        df.collect()
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return stored(df, name)
+
+    monkeypatch.setattr(component_module, "stored", watched)
+    star = spark.createDataFrame([(0, i) for i in range(1, 20_000)], "u bigint, v bigint").repartition(8)
+    assert {r.component for r in components(star).collect()} == {0}
+    assert any(name == "large" and "skew=true" in plan for name, plan in plans)
+
+
 def test_trie_spills_subtrees():
     rng = random.Random(1)
     keys = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 12))) * rng.randint(1, 3) for _ in range(3000)]
