@@ -108,18 +108,23 @@ def index_postings(docs: DataFrame, probes: DataFrame) -> DataFrame:
     return stored(_terms(docs).join(used, "term"), "postings")
 
 
-def anchors(postings: DataFrame, probes: DataFrame, slop: int = SLOP) -> DataFrame:
-    """``doc_id, _h, item, diagonals``: the diagonals (position less offset) from which another probe of the
-    item stands within ``slop`` words; of items of one word, all. Of the next ``slop + 1`` postings in order one
-    must be of another offset if any is, as an offset has one posting a diagonal."""
+def anchors(postings: DataFrame, probes: DataFrame, slop: int = SLOP, window: int = WINDOW) -> DataFrame:
+    """``doc_id, _h, found``: for every document with candidates its ``array<struct<item, diagonals>>``.
+
+    A diagonal (position less offset) is a candidate if another probe of the item, less than a window
+    away, stands up to ``slop`` words behind it; of items of one word, all are. Probes without any
+    neighbour, which are most, are left out first.
+    """
     aligned = postings.join(probes, "term").select("doc_id", "_h", "item", "width", "q", (F.col("pos") - F.col("q")).alias("diagonal"))
-    order = Window.partitionBy("doc_id", "_h", "item").orderBy("diagonal", "q")
-    agrees = F.col("width") == 1
-    for t in range(1, slop + 2):
-        near = F.lead("diagonal", t).over(order) - F.col("diagonal") <= slop
-        agrees = agrees | F.coalesce(near & (F.lead("q", t).over(order) != F.col("q")), F.lit(False))
-    found = aligned.withColumn("agrees", agrees).filter("agrees")
-    return found.groupBy("doc_id", "_h", "item").agg(F.array_sort(F.collect_set("diagonal")).alias("diagonals"))
+    of_item = Window.partitionBy("doc_id", "_h", "item").orderBy("diagonal")
+    behind, before = F.lead("diagonal").over(of_item) - F.col("diagonal"), F.col("diagonal") - F.lag("diagonal").over(of_item)
+    single = F.col("width") == 1
+    close = aligned.withColumn("close", F.coalesce(F.least(behind, before), F.lit(slop + 1)) <= slop).filter(F.col("close") | single)
+    others = F.collect_set("q").over(of_item.rangeBetween(0, slop))
+    agrees = F.exists("others", lambda q: (q != F.col("q")) & (F.abs(q - F.col("q")) < window))
+    found = close.withColumn("others", others).filter(single | agrees)
+    by_item = found.groupBy("doc_id", "_h", "item").agg(F.array_sort(F.collect_set("diagonal")).alias("diagonals"))
+    return by_item.groupBy("doc_id", "_h").agg(F.collect_list(F.struct("item", "diagonals")).alias("found"))
 
 
 def _bound(value: Column, body) -> Column:
@@ -169,17 +174,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: i
     whole windows cover (places in :func:`cut`, both inclusive), ``near`` says that a proximity match is there.
 
     An item of fewer words than a window is one window as a whole. NULL texts have no words; NULL ids are
-    ids like others. Equal rows give equal matches, once. Empty tables give no matches. A very long text
-    comes once for each item that has an anchor in it, and its work grows with its anchors times the item's
-    length; however often a word or passage repeats, no more than one row is made from both.
+    ids like others. Equal rows give equal matches, each its own. Empty tables give no matches. A very long
+    text comes once for each item that has an anchor in it, and its work grows with its anchors times the
+    item's length; however often a word or passage repeats, one row is made from both.
     """
     items = stored(benchmark_items(benchmark, window), "benchmark-items")
     probes = stored(probe_terms(docs, items), "probes")
-    candidates = stored(anchors(index_postings(docs, probes), probes, slop), "anchors")
-    hit_docs = candidates.select("doc_id", "_h").distinct()
-    texts = _same_row(_keyed(docs), hit_docs, "left_semi").dropDuplicates(["doc_id", "_h"])
-    texts = texts.select("doc_id", "_h", exact_cut("text").alias("own"))
-    paired = _same_row(texts, candidates, "inner").join(items.drop("terms"), "item")
+    candidates = stored(anchors(index_postings(docs, probes), probes, slop, window), "anchors")
+    texts = _same_row(_keyed(docs), candidates, "inner").select("doc_id", "_h", exact_cut("text").alias("own"), "found")
+    each = texts.select("doc_id", "_h", "own", F.explode("found").alias("f")).select("doc_id", "_h", "own", "f.item", "f.diagonals")
+    paired = each.join(items.drop("terms"), "item")
     starts = F.array_sort(F.array_distinct(F.flatten(F.transform("diagonals", _window_starts))))
     bases = F.array_distinct(F.flatten(F.transform("diagonals", lambda d: F.sequence(d - slop, d))))
     near = F.exists(bases, lambda d: _is_near(d, slop))
@@ -187,9 +191,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: i
 
 
 def phrase_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id, _h, item_id, first, last``: the stretches of :func:`matches`, one a row."""
+    """``doc_id, _h, item_id, first, last``: the stretches of :func:`matches`, each once."""
     found = matches(docs, benchmark, window)
-    return found.select("doc_id", "_h", "item_id", F.explode("runs").alias("r")).select("doc_id", "_h", "item_id", "r.first", "r.last")
+    return found.select("doc_id", "_h", "item_id", F.explode("runs").alias("r")).select("doc_id", "_h", "item_id", "r.first", "r.last").distinct()
 
 
 def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int = SLOP, window: int = WINDOW) -> DataFrame:

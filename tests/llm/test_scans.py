@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -54,6 +55,18 @@ def test_base_spans(spark, awkward):
     assert secrets.find_secrets(make_docs(spark, [])).count() == 0
 
 
+def test_many_hits_in_a_long_text():
+    """The time grows with the length: a text eight times as long takes nowhere near 64 times as long."""
+    took = []
+    for n in (10_000, 80_000):
+        text = "日本 password=abcdef é token: q1w2e3r4 " * n
+        started = time.perf_counter()
+        spans = secrets.SecretScanner().scan(text)
+        took.append(time.perf_counter() - started)
+        assert len(spans) == 2 * n and [text[a:b] for a, _, b in (spans[0], spans[-1])] == ["password=abcdef", "token: q1w2e3r4"]
+    assert took[1] < 24 * took[0]
+
+
 def test_checksums_decide():
     good = with_checksum("ghp", "a1B2c3D4e5" * 3)
     bad = good[:-1] + ("A" if good[-1] != "A" else "B")
@@ -212,8 +225,8 @@ def test_sample_has_a_bounded_size(spark):
     assert few and sum(map(len, few)) <= 60 and set(few) <= every
 
 
-def test_attention_slopes():
-    """The learned gradients agree with finite differences, through the loss of one step."""
+def test_attention_learns():
+    """Fitting brings the scores nearer to the labels."""
     rng = np.random.default_rng(0)
     bags = [rng.random((n, quality.N_FEATURES)).astype(np.float32) for n in (1, 3, 5, 2)]
     labels = np.array([1, 0, 1, 0])
@@ -223,7 +236,7 @@ def test_attention_slopes():
 
 
 def test_toxicity_is_fair_to_groups(spark, awkward):
-    terms = toxicity.IDENTITY_TERMS
+    terms = toxicity.IDENTITY_TERMS["en"]
     texts = [(f"{sentence(11 * i, 30)} you idiot {terms[0] if i % 2 else terms[3]}", 1) for i in range(60)]
     texts += [(sentence(5 * i, 40) + (f" the {terms[3]} people" if i % 8 == 0 else ""), 0) for i in range(160)]
     docs, labels = labelled(spark, texts, "toxic")
@@ -232,7 +245,8 @@ def test_toxicity_is_fair_to_groups(spark, awkward):
     assert np.mean([scored[i].predicted == y for i, (_, y) in enumerate(texts)]) > 0.97
     scores = [model.score(f"{sentence(9, 30)} the {t} people") for t in terms]
     assert max(scores) < toxicity.THRESHOLD
-    pairs = [(model.score(f"a {a} person"), model.score(toxicity.swapped(f"a {a} person"))) for a in terms[:6]]
+    partners = toxicity.listed_partners()
+    pairs = [(model.score(f"a {a} person"), model.score(toxicity.swapped(f"a {a} person", partners))) for a in terms[:6]]
     assert max(abs(a - b) for a, b in pairs) < 0.1
     rows = toxicity.score_toxicity(make_docs(spark, awkward), model)
     assert rows.count() == len(awkward) and rows.filter("score IS NULL OR score < 0 OR score > 1").count() == 0
@@ -240,6 +254,41 @@ def test_toxicity_is_fair_to_groups(spark, awkward):
     assert toxicity.score_toxicity(make_docs(spark, []), toxicity.fit_toxicity(docs, labels.limit(0))).count() == 0
 
 
+def test_partners_stay_in_their_language():
+    partners = toxicity.listed_partners()
+    for words in toxicity.IDENTITY_TERMS.values():
+        assert len(set(words)) == len(words)
+        assert all(partners[w] in next(x for x in toxicity.IDENTITY_TERMS.values() if w in x) for w in words)
+    assert toxicity.swapped("Die FRAUEN und frau", partners) == f"Die {partners['frauen']} und {partners['frau']}"
+    assert toxicity.swapped("none here", partners) is None
+
+
+def test_penalty_acts_on_mined_words(spark):
+    """Two words in the same places say nothing of the label; without the penalty the rarer one is held against a text."""
+    texts = [(f"{sentence(13 * i, 25)} the {'blorg' if i % 2 else 'fnord'} folk came {'you idiot' if i % 4 == 0 else ''}", int(i % 4 == 0)) for i in range(240)]
+    docs, labels = labelled(spark, texts, "toxic")
+    model = toxicity.fit_toxicity(docs, labels, terms={"xx": ("blorg", "fnord")})
+    assert model.swapped_texts > 100
+    assert abs(model.score("the blorg folk") - model.score("the fnord folk")) < 0.02
+    sample = labelled_sample(docs, labels, "toxic", 1000, 1 << 20)
+    rated = spark.createDataFrame([("blorg", 30, 90, 0.1), ("fnord", 30, 90, 0.2), ("idiot", 60, 0, 9.0)], "name string, a int, c int, z double")
+    assert toxicity.mined_partners(sample, rated, 240) == {"blorg": "fnord", "fnord": "blorg"}
+
+
+def test_toxicity_sample_is_bounded(spark):
+    docs = make_docs(spark, [(i % 3, f"text {i}") for i in range(900)])
+    labels = spark.createDataFrame([(i, 1) for i in range(3)], "doc_id bigint, toxic int")
+    seen = []
+    original = toxicity.labelled_sample
+    toxicity.labelled_sample = lambda *a: seen.append(original(*a)) or seen[-1]
+    try:
+        toxicity.fit_toxicity(docs, labels, rows=10, text_bytes=50)
+    finally:
+        toxicity.labelled_sample = original
+    rows = seen[0].collect()
+    assert 0 < len(rows) <= 10 and sum(len(r.text) for r in rows) <= 50
+
+
 def test_held_out_accuracy(spark, tables):
     labels = spark.read.parquet(f"{tables}/labels.parquet").select("doc_id", "quality", "toxic")
     for name, label, least in (("op1_quality", "quality", 0.9), ("op5_toxicity", "toxic", 0.85)):
@@ -254,6 +303,9 @@ def test_labels_of_the_held_out_fold_are_not_learned(spark, tables):
     turned = labels.withColumn("quality", F.when(fold, 1 - F.col("quality")).otherwise(F.col("quality")))
     a, b = quality.fit_quality(docs, labels), quality.fit_quality(docs, turned)
     assert all((a.p[k] == b.p[k]).all() for k in a.p)
+    turned = labels.withColumn("toxic", F.when(fold, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    c, d = toxicity.fit_toxicity(docs, labels), toxicity.fit_toxicity(docs, turned)
+    assert c.names == d.names and (c.weights == d.weights).all() and c.bias == d.bias
 
 
 # -- queries and pipeline -----------------------------------------------------------------------
