@@ -98,7 +98,8 @@ def reviews_in_scope(
 
     A product with more than ``n / 3`` reviews of its own shows those; any other, also one without
     any, shows the pooled reviews of its variant group. ``members`` (article, variant_group) names the
-    products; left out, those that have reviews. Columns: ``article``, ``scope`` (``own`` or
+    products; left out, those that have reviews. A column ``own_count`` in it says how many a product has
+    of its own, captured or not; where that is NULL, the captured ones count. Columns: ``article``, ``scope`` (``own`` or
     ``pooled``), ``rank`` and the review's columns under their names, its article as
     ``reviewed_article``.
 
@@ -110,9 +111,13 @@ def reviews_in_scope(
     key = [article, variant_group]
     first = first_reviews(reviews, key, order, n).checkpoint()
     counted = first.groupBy(*key).agg(F.count(F.lit(1)).alias("_own"))
-    spine = counted if members is None else members.select(*key).distinct().join(counted, key, "left")
-    scope = F.when(F.coalesce("_own", F.lit(0)) > n / 3, "own").otherwise("pooled")
-    scoped = spine.withColumn("scope", scope).drop("_own")
+    told = members is not None and "own_count" in members.columns
+    if members is None:
+        spine = counted
+    else:
+        spine = members.select(*key, *(["own_count"] if told else [])).distinct().join(counted, key, "left")
+    own_count = F.coalesce(*([F.col("own_count")] if told else []), F.col("_own"), F.lit(0))
+    scoped = spine.select(*key, F.when(own_count > n / 3, "own").otherwise("pooled").alias("scope"))
     rest = [c for c in reviews.columns if c not in key]
     own = first.join(scoped.filter(F.col("scope") == "own"), key)
     pooled = first_reviews(first.drop("rank"), [variant_group], order, n).withColumnRenamed(article, "reviewed_article")

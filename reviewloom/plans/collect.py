@@ -5,6 +5,9 @@ Pages are captured outside Spark. Three tables come in:
 * ``listings``  (catalog_link, page, html) - listing pages of a catalogue;
 * ``products``  (product_article, html)    - product pages;
 * ``feedbacks`` (product_article, variant_group, html) - the reviews of a product's own page.
+
+Pages may be captured any number of times: of each product's pages the newest counts, by the column
+``captured`` where the table has it, then by a digest of the page.
 """
 
 from __future__ import annotations
@@ -46,16 +49,28 @@ def rejected(links: DataFrame, pattern: str = keys.ARTICLE_IN_LINK) -> DataFrame
     return links.filter(keys.article_or_null(F.col("link"), pattern).isNull())
 
 
+def capture_mark(captured: DataFrame) -> Column:
+    """What orders the captures of a page: ``captured``, if the table has it, then a digest of the page."""
+    at = [F.col("captured").cast("bigint").alias("at")] if "captured" in captured.columns else []
+    return F.struct(*at, F.xxhash64("html").alias("digest"))
+
+
 def product_rows(captured: DataFrame, patterns: pages.PagePatterns = pages.SHOP_PAGES) -> DataFrame:
-    """Rated products of captured pages: ``(product_article, name, rating, price)``; absent fields are NULL."""
+    """Rated products of captured pages: ``(product_article, name, rating, price)``; absent fields are NULL.
+
+    One row a product, of its newest page; a product whose newest page has no rating is left out. Pages
+    are read first, so that only their fields are shuffled.
+    """
     html = F.col("html")
-    fields = captured.select(
+    fields = captured.select(capture_mark(captured).alias("mark"), pages.readable(html).alias("html")).select(
         pages.text_field(html, patterns.article).try_cast("bigint").alias("product_article"),
+        "mark",
         pages.text_field(html, patterns.title).alias("name"),
         pages.text_field(html, patterns.rating).alias("product_rating"),
         pages.text_field(html, patterns.price).alias("price"),
     )
-    return drop_unrated(fields).select(
+    newest = fields.groupBy("product_article").agg(F.max(F.struct("mark", "name", "product_rating", "price")).alias("p")).select("product_article", "p.*")
+    return drop_unrated(newest).select(
         "product_article", "name", keys.decimal_comma(F.col("product_rating")).alias("rating"), "price"
     )
 
@@ -63,16 +78,12 @@ def product_rows(captured: DataFrame, patterns: pages.PagePatterns = pages.SHOP_
 def review_rows(captured: DataFrame, patterns: pages.PagePatterns = pages.SHOP_PAGES) -> DataFrame:
     """Reviews of captured pages: ``(product_article, variant_group, review_pos, rating, pros, cons, text_all, parts…)``.
 
-    Only items of the review list that hold a readable rating are reviews. ``pros`` and ``cons`` are
-    the page's own blocks, NULL where it has none.
+    Only items of the page's review lists that hold a readable rating are reviews; lists inside a
+    review are part of it. ``pros`` and ``cons`` are the page's own blocks, NULL where it has none.
     """
-    items = captured.select(
-        "product_article",
-        "variant_group",
-        F.posexplode(
-            pages.all_fields(F.coalesce(pages.field(F.col("html"), patterns.review_list), F.lit("")), patterns.review_item)
-        ).alias("review_pos", "item"),
-    )
+    lists = pages.all_fields(pages.readable(F.col("html")), patterns.review_list)
+    listed = F.flatten(F.transform(lists, lambda x: pages.all_fields(x, patterns.review_item)))
+    items = captured.select("product_article", "variant_group", F.posexplode(listed).alias("review_pos", "item"))
     read = items.select(
         "product_article",
         "variant_group",
@@ -102,12 +113,27 @@ def scope_key(article: str, variant_group: str) -> Column:
 
 
 def needed_pages(feedbacks: DataFrame, picks: DataFrame) -> DataFrame:
-    """Feedback pages of picked products and of their variants, before anything is parsed."""
-    placed = feedbacks.select("product_article", "variant_group").distinct()
+    """The newest feedback page of each picked product and of its variants, before anything is parsed.
+
+    A product belongs to the variant group that its newest page names. Marks alone decide which pages
+    these are; captures that are equal are combined before the shuffle, so a page captured very often is
+    spread like any other.
+    """
+    marked = feedbacks.withColumn("_mark", F.struct(capture_mark(feedbacks), F.col("variant_group").alias("group")))
+    newest = marked.groupBy("product_article").agg(F.max("_mark").alias("_mark"))
+    placed = newest.select("product_article", F.col("_mark.group").alias("variant_group"))
     groups = placed.join(picks.select("product_article").distinct(), "product_article", "left_semi").select("variant_group").distinct()
     variants = placed.join(groups, "variant_group", "left_semi").select("product_article")
     articles = variants.unionByName(picks.select("product_article")).distinct()
-    return feedbacks.join(articles, "product_article", "left_semi")
+    wanted = newest.join(articles, "product_article")
+    once = marked.dropDuplicates(["product_article", "_mark"])
+    same = (once["product_article"] == wanted["product_article"]) & once["_mark"].eqNullSafe(wanted["_mark"])
+    return once.join(wanted, same, "left_semi").select("product_article", "variant_group", "html")
+
+
+def members_of(shown: DataFrame, patterns: pages.PagePatterns = pages.SHOP_PAGES) -> DataFrame:
+    """``(product_article, variant_group, own_count)`` of the pages: the count that the page itself names."""
+    return shown.select("product_article", "variant_group", pages.own_count(pages.readable(F.col("html")), patterns).alias("own_count"))
 
 
 def collected(
@@ -121,14 +147,18 @@ def collected(
 
     ``picks`` (catalog_id, product_article, position) says which products are collected. The
     reviews of a product are its own, or those of all its variants when it has few or none.
-    ``members`` (product_article, variant_group) also names products without reviews; left out, those
-    with reviews are known. A product without a variant group is a group of its own. Picked products
-    and their reviews are checkpointed, so pages are read once for the counts, the numbering and the store.
+    ``members`` (product_article, variant_group) also names products without reviews, and with
+    ``own_count`` says how many reviews of its own a product has; left out, those with reviews are known
+    and the captured ones counted. A product without a variant group is a group of its own. Picked
+    products and their reviews are checkpointed, so pages are read once for the counts, the numbering
+    and the store.
     """
     ready_checkpoints(reviews.sparkSession)
     rated = picks.join(products, "product_article").checkpoint()
     key = scope_key("product_article", "variant_group")
-    known = (reviews if members is None else members).select("product_article", key.alias("_group")).distinct()
+    known = reviews if members is None else members
+    counted = [c for c in ("own_count",) if c in known.columns]
+    known = known.select("product_article", key.alias("_group"), *counted).distinct()
     grouped = reviews.withColumn("_group", key).drop("variant_group")
     shown = relate.reviews_in_scope(grouped, "product_article", "_group", ["product_article", "review_pos"], max_reviews, known)
     taken = shown.join(rated.select("product_article", "catalog_id", "position"), "product_article").checkpoint()
@@ -172,7 +202,7 @@ def collect_catalogs(
     picks = relate.select_new_products(found, store.read("products"), target=max_products)
     shown = needed_pages(feedbacks, picks)
     new_products, new_reviews = collected(
-        product_rows(products, patterns), review_rows(shown, patterns), picks, max_reviews, shown
+        product_rows(products, patterns), review_rows(shown, patterns), picks, max_reviews, members_of(shown, patterns)
     )
     store_collected(store, new_products, new_reviews)
     touched = listed.select("catalog_id").distinct()

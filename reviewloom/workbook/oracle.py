@@ -374,6 +374,13 @@ SQL: dict[str, str] = {
         read AS (SELECT page_id, review_pos, {visible("item")} AS text FROM items)
         SELECT page_id, review_pos, text AS text_all, {split_parts("text")} FROM read WHERE text <> ''
         UNION ALL SELECT page_id, review_pos, '', 'Нет', 'Нет', 'Нет' FROM read WHERE text = ''""",
+    "nested_page_reviews": f"""
+        WITH items AS (
+            SELECT page_id, generate_subscripts(found, 1) - 1 AS review_pos, 'Комментарий: ' || unnest(found) || ' ' AS item
+            FROM (SELECT page_id, regexp_extract_all(html, '{PARAGRAPH}', 1) AS found FROM pages)),
+        read AS (SELECT page_id, review_pos, {visible("item")} AS text FROM items)
+        SELECT page_id, review_pos, CAST(4 AS INTEGER) AS rating, text_all, text_comment
+        FROM (SELECT page_id, review_pos, text AS text_all, {split_parts("text")} FROM read)""",
     "crawl_frontier": """
         WITH entries AS (
             SELECT regexp_extract(url, '//([^/]+)/', 1) AS site, page_id AS position,
@@ -391,7 +398,7 @@ SQL: dict[str, str] = {
         none AS (SELECT catalog_id, product_article FROM listed WHERE false),
         picked AS ({picks("catalog_id", "listed", "none", 3)}),
         pages_of AS (
-            SELECT product_article, min(page_id) AS page_id, arg_min(html, page_id) AS html,
+            SELECT product_article, max(page_id) AS page_id, arg_max(html, page_id) AS html,
                    CASE WHEN product_article % 4 > 0 THEN 'g' || product_article % 40 ELSE 'p' || product_article END AS pool
             FROM entries GROUP BY product_article),
         items AS (

@@ -430,10 +430,31 @@ def crawl_frontier(spark: SparkSession, folder: str) -> DataFrame:
     return relate.select_new_products(found, stored, "site", target=5)
 
 
+def nested_page_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """Paragraphs of pages as reviews that have lists and blocks of their own inside, read by their elements.
+
+    Each paragraph is an item of a review list, in front of the page itself with its other lists.
+    """
+    before = (
+        '<li class="comments__item"><ul class="photos"><li><img alt="</ul>"/></li><li>2</li></ul><span class="stars-line star4"></span>'
+        '<div class="feedback__content"><div class="name"><div>Комментарий:</div></div> '
+    )
+    after = " <!-- </div> --></div><div>no part of it</div></li>"
+    found = pages.all_fields(F.col("html"), PAGE_PATTERNS.review_item)
+    items = F.array_join(F.transform(found, lambda p: F.concat(F.lit(before), p, F.lit(after))), "\n")
+    listed = F.concat(F.lit('<ul class="other"><li>no</li></ul><ul class="comments__list">'), items, F.lit("</ul><li>after</li>"), "html")
+    captured = t.table(spark, folder, "pages").select(
+        F.col("page_id").alias("product_article"), F.lit(None).cast("bigint").alias("variant_group"), listed.alias("html")
+    )
+    read = collect.review_rows(captured)
+    return read.select(F.col("product_article").alias("page_id"), "review_pos", "rating", "text_all", "text_comment")
+
+
 def collect_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Collect products from pages into a store: site = catalogue, heading = name, paragraphs = reviews.
 
-    The smallest page of an article is its own page; three quarters of the articles have variants.
+    Every page of an article is a capture of it, and comes one to three times; the one with the largest
+    id is the newest. Three quarters of the articles have variants.
     """
     captured = t.table(spark, folder, "pages").select(
         F.regexp_extract("url", "//([^/]+)/", 1).alias("catalog_link"),
@@ -444,13 +465,13 @@ def collect_pages(spark: SparkSession, folder: str) -> DataFrame:
     listings = captured.select(
         "catalog_link", F.col("page_id").alias("page"), F.format_string('<a href="/catalog/%d/">', "product_article").alias("html")
     )
-    own_page = captured.groupBy("product_article").agg(F.min("page_id").alias("page_id"))
-    pages_of = captured.join(own_page, ["product_article", "page_id"], "left_semi")
-    mark = F.format_string('<span id="productNmId">%d</span><b class="rating">4,%d</b>', "product_article", F.col("page_id") % 10)
-    products = pages_of.select("product_article", F.concat(mark, "html").alias("html"))
+    times = F.explode(F.sequence(F.lit(0), F.col("page_id") % 3))
+    pages_of = captured.withColumn("time", times).withColumnRenamed("page_id", "captured").drop("time")
+    mark = F.format_string('<span id="productNmId">%d</span><b class="rating">4,%d</b>', "product_article", F.col("captured") % 10)
+    products = pages_of.select("product_article", "captured", F.concat(mark, "html").alias("html"))
     starred = F.regexp_replace("html", "<p>", '<p><i class="stars-line star3"></i>')
     variants = F.when(F.col("product_article") % 4 > 0, F.col("product_article") % 40)
-    feedbacks = pages_of.select("product_article", variants.cast("bigint").alias("variant_group"), starred.alias("html"))
+    feedbacks = pages_of.select("product_article", "captured", variants.cast("bigint").alias("variant_group"), starred.alias("html"))
     links = captured.groupBy("catalog_link").agg(F.min("page_id").alias("link_order"))
     patterns = pages.PagePatterns(
         link=r'href="([^"]+)"',
