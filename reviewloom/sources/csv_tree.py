@@ -1,13 +1,17 @@
 """CSV exchange trees: one file per catalogue, one folder of review files per catalogue.
 
-The file name carries the key. Review files have quoted cells with line breaks, so one file is one
-task; load a tree into the Parquet store once and work from there. An empty cell reads as NULL,
+The file name carries the key, any text: names are taken as they stand in the file system. Files that
+:func:`name_files` names stand for keys that no file can be called by (a slash, a leading dot, NULL) with
+escapes, which reading with ``chunked`` undoes. Review files have quoted cells with line breaks, so one
+file is one task unless it is read by :mod:`reviewloom.sources.csv_ranges`. An empty cell reads as NULL,
 whether an empty text or NULL was written.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -17,7 +21,7 @@ from pyspark.sql import types as T
 
 from reviewloom.functions.keys import key_from_file_name, stem_from_file_name
 from reviewloom.schemas import CATALOG_CSV, RAW_REVIEW_CSV
-from reviewloom.session import shuffle_width
+from reviewloom.session import shuffle_width, stored
 
 READ = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 WRITE = {
@@ -26,6 +30,8 @@ WRITE = {
     "maxRecordsPerFile": "0",  # rows are numbered by file, so the session's setting must not cut one
 }
 ROWS_PER_FILE = 1_000_000
+# The folder that Spark writes for a NULL key, and the file that stands for it here.
+NULL_FOLDER, NULL_NAME = "__HIVE_DEFAULT_PARTITION__", "%NULL"
 
 
 def read_catalogs(spark: SparkSession, folder: str, schema: T.StructType = CATALOG_CSV, chunked: bool = False) -> DataFrame:
@@ -34,9 +40,9 @@ def read_catalogs(spark: SparkSession, folder: str, schema: T.StructType = CATAL
     With ``chunked``, files named by :func:`name_files` are put together again.
     """
     rows = spark.read.options(**READ).schema(schema).csv(folder)
-    name, chunk = _chunk_of(F.col("_metadata.file_name"), chunked)
+    name, chunk = _chunk_of(_unescaped(F.col("_metadata.file_name")), chunked)
     rows = rows.select(
-        stem_from_file_name(name).alias("catalog"),
+        _key_of(stem_from_file_name(name), chunked).alias("catalog"),
         chunk.alias("chunk"),
         F.monotonically_increasing_id().alias("_at"),
         *schema.names,
@@ -51,9 +57,9 @@ def read_reviews(spark: SparkSession, folder: str, schema: T.StructType = RAW_RE
     With ``chunked``, files named by :func:`name_files` are put together again.
     """
     rows = spark.read.options(**READ).schema(schema).csv(f"{folder}/*/")
-    name, chunk = _chunk_of(F.col("_metadata.file_name"), chunked)
+    name, chunk = _chunk_of(_unescaped(F.col("_metadata.file_name")), chunked)
     rows = rows.select(
-        _folder_name(F.col("_metadata.file_path")).alias("catalog"),
+        _key_of(_unescaped(_folder_name(F.col("_metadata.file_path"))), chunked).alias("catalog"),
         key_from_file_name(name).alias("product_article"),
         chunk.alias("chunk"),
         F.monotonically_increasing_id().alias("_at"),
@@ -128,11 +134,20 @@ def read_written_catalogs(spark: SparkSession, path: str, schema: T.StructType =
     return rows.select("catalog", listing.alias("listing"), *schema.names)
 
 
+def file_safe(value: str) -> str:
+    """A partition folder's value as a file name: what Spark escaped is undone, and only what no file name
+    may hold or what has a meaning here (``/ % @ :``, control characters, a leading dot or underscore) is escaped."""
+    if value == NULL_FOLDER:
+        return NULL_NAME
+    return re.sub(r"[/%@:\x00-\x1f\x7f]|^[._]", lambda m: f"%{ord(m.group()):02X}", unquote(value))
+
+
 def name_files(spark: SparkSession, written: str, target: str, name: Callable[[dict[str, str]], str]) -> int:
     """Move the files of a written tree to the names of an exchange tree; returns their number.
 
-    ``name`` gives the new path of a folder ``key=value/…``. A chunk after the first has the position of
-    its first row in its name (``shoes@1000000.csv``). Tasks move the files; a name that is taken fails.
+    ``name`` gives the new path of a folder ``key=value/…`` from its values, as :func:`file_safe` spells
+    them. A chunk after the first has the position of its first row in its name (``shoes@1000000.csv``).
+    Tasks move the files; a name that is taken, or given twice, fails.
     """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -144,15 +159,22 @@ def name_files(spark: SparkSession, written: str, target: str, name: Callable[[d
     from_uri, to_uri = uri(written), uri(target)
     marker = "/" + "/".join(written.rstrip("/").split("/")[-2:]) + "/"
 
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            inner = [p[p.index(marker) + len(marker) :] for p in batch.column(0).to_pylist()]
+            aims = []
+            for path in inner:
+                keys_of = {k: file_safe(v) for k, v in (x.split("=", 1) for x in path.split("/")[:-1])}
+                chunk = int(keys_of.get("chunk", 0))
+                aims.append(f"{name(keys_of)}{f'@{chunk}' if chunk else ''}.csv")
+            yield pa.RecordBatch.from_pydict({"source": pa.array(inner, pa.string()), "aim": pa.array(aims, pa.string())})
+
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = fs.FileSystem.from_uri(from_uri)
         goal = fs.FileSystem.from_uri(to_uri)[1]
         for batch in batches:
-            for path in batch.column(0).to_pylist():
-                inner = path[path.index(marker) + len(marker) :]
-                keys_of = dict(x.split("=", 1) for x in inner.split("/")[:-1])
-                chunk = int(keys_of.get("chunk", 0))
-                source, aim = f"{base}/{inner}", f"{goal}/{name(keys_of)}{f'@{chunk}' if chunk else ''}.csv"
+            for inner, named in zip(*(c.to_pylist() for c in batch.columns)):
+                source, aim = f"{base}/{inner}", f"{goal}/{named}"
                 there, taken = (x.type != fs.FileType.NotFound for x in system.get_file_info([source, aim]))
                 if there == taken:
                     raise FileExistsError(f"name is taken: {aim}") if taken else FileNotFoundError(source)
@@ -162,7 +184,11 @@ def name_files(spark: SparkSession, written: str, target: str, name: Callable[[d
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
     files = spark.read.format("binaryFile").options(pathGlobFilter="part-*", recursiveFileLookup="true").load(written)
-    return files.select("path").mapInArrow(move, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    planned = stored(files.select("path").mapInArrow(plan, "source string, aim string"), "file-names")
+    twice = planned.groupBy("aim").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").first()
+    if twice is not None:  # before any file is moved, as tasks that move at the same time could not tell
+        raise FileExistsError(f"name is taken: {twice['aim']}")
+    return planned.mapInArrow(move, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def write_kept_files(files: DataFrame, path: str) -> None:
@@ -214,6 +240,16 @@ def write_combined(reviews: DataFrame, path: str, files_per_catalog: int | None
     )
 
 
+def _unescaped(name: Column) -> Column:
+    """A name as it stands in the file system: Spark's file metadata gives it as in a URL."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
+def _key_of(name: Column, escaped: bool) -> Column:
+    """The key that a name stands for."""
+    return F.when(name != NULL_NAME, _unescaped(name)) if escaped else name
+
+
 def _folder_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewloom.plans.clean import clean_tree, preprocess_tree
-from reviewloom.plans.collect import analyse_catalogs, collect_catalogs, rejected
+from reviewloom.plans.collect import analyse_catalogs, collect_catalogs, read_rating_counts, rejected
 from reviewloom.schemas import PROCESSED_REVIEW_CSV
 from reviewloom.sources import csv_tree
 from reviewloom.sources.reports import read_report, sheet
@@ -105,7 +105,7 @@ def test_collect_then_analyse(spark, shop, tmp_path):
     assert [tuple(r) for r in sheet(report, SHOES, 2, "Недостатки", "word").collect()] == [(0, "текут", 1)]
     analysis = store.read("analysis")
     assert analysis.count() == report.count() > words.count() > 0
-    counts = spark.read.parquet(f"{results}/rating_counts")
+    counts = read_rating_counts(store, results)
     assert counts.count() == 10
     assert {(r.catalog, r.rating): r.n for r in counts.filter("n > 0").collect()} == {
         (SHOES, 1): 2, (SHOES, 2): 1, (SHOES, 4): 2, (SHOES, 5): 2,
@@ -268,3 +268,36 @@ def test_files_are_not_cut_by_the_session(spark, tmp_path):
     assert len(list((tmp_path / "out").rglob("part-*"))) == 1
     back = csv_tree.read_written_catalogs(spark, str(tmp_path / "out"))
     assert sorted((r.listing, r.product_article) for r in back.collect()) == [(i, i) for i in range(25)]
+
+
+ODD_NAMES = ["мужская обувь", "Brand#11", "a b+c", "50%25 off", "x=1", "a@7", "ключ&", "q[1]{2}"]
+NO_FILE_NAMES = ["a/b", ".hidden", "_own", "t:1", None]
+
+
+def test_catalog_names_of_every_kind(spark, tmp_path):
+    """Raw trees with odd names keep all their reviews when cleaned."""
+    raw = tmp_path / "raw"
+    (raw / "catalogs").mkdir(parents=True)
+    for i, name in enumerate(ODD_NAMES):
+        (raw / "reviews" / name).mkdir(parents=True)
+        (raw / "catalogs" / f"{name}.csv").write_text("product_article,product_name,product_rating,count_reviews\n" + f'{i + 1},p,"4,5",1\n')
+        (raw / "reviews" / name / f"{i + 1}.csv").write_text("review_rating,review_text,review_text_plus,review_text_minus\n5,да,,\n4,нет,,\n")
+    clean_tree(spark, str(raw), str(tmp_path / "clean"))
+    rows, reviews, kept = csv_tree.read_tree(spark, str(tmp_path / "clean"))
+    expected = {(name, i + 1) for i, name in enumerate(ODD_NAMES)}
+    assert {(r.catalog, r.product_article) for r in rows.collect()} == expected
+    assert sorted((r.catalog, r.product_article) for r in reviews.collect()) == sorted([*expected, *expected])
+    assert {(r.catalog, r.product_article) for r in kept.collect()} == expected
+
+
+def test_named_files_of_every_kind(spark, tmp_path):
+    names = ODD_NAMES + NO_FILE_NAMES
+    df = spark.createDataFrame(
+        [(c, j, i, "n", "4,5", j) for i, c in enumerate(names) for j in range(3)],
+        "catalog string, listing bigint, product_article bigint, product_name string, product_rating string, count_reviews int",
+    )
+    csv_tree.write_catalogs(df, str(tmp_path / "written"), rows_per_file=2)
+    csv_tree.name_files(spark, str(tmp_path / "written"), str(tmp_path / "named"), lambda k: k["catalog"])
+    assert {"Brand#11.csv", "мужская обувь.csv", "a%2Fb.csv", "%NULL.csv", "%NULL@2.csv", "a%407@2.csv"} <= set(os.listdir(tmp_path / "named"))
+    back = csv_tree.read_catalogs(spark, str(tmp_path / "named"), chunked=True).collect()
+    assert sorted(((r.catalog, r.listing, r.product_article) for r in back), key=str) == sorted(((c, j, i) for i, c in enumerate(names) for j in range(3)), key=str)
