@@ -146,22 +146,31 @@ def _neighbours(tokens: DataFrame, cell: Sequence[str]) -> DataFrame:
     )
 
 
-def border_bigrams(tokens: DataFrame, cell: Sequence[str] = CELL, slices: int | None = None) -> DataFrame:
-    """Pairs of the last word of a part and the first word of the next one.
-
-    First and last words are checkpointed when the plan is built: linking them samples its input for
-    range slices, which would otherwise read the tokens once more.
-    """
-    ready_checkpoints(tokens.sparkSession)
+def part_ends(tokens: DataFrame, cell: Sequence[str] = CELL) -> DataFrame:
+    """First and last word of every part, which is all that the pairs across parts and reviews depend on."""
     last = F.size("words") - 1
-    ends = tokens.select(
+    return tokens.select(
         *cell,
         "part",
         "place",
         F.get("words", F.lit(0)).alias("first_word"),
         F.get("words", last).alias("last_word"),
         last.alias("last_pos"),
-    ).checkpoint()
+    )
+
+
+def border_bigrams(tokens: DataFrame, cell: Sequence[str] = CELL, slices: int | None = None) -> DataFrame:
+    """Pairs of the last word of a part and the first word of the next one.
+
+    First and last words are checkpointed when the plan is built: linking them samples its input for
+    range slices, which would otherwise read the tokens once more.
+    """
+    ready_checkpoints(tokens.sparkSession)
+    return linked_ends(part_ends(tokens, cell).checkpoint(), cell, slices)
+
+
+def linked_ends(ends: DataFrame, cell: Sequence[str] = CELL, slices: int | None = None) -> DataFrame:
+    """The pairs of :func:`border_bigrams` from stored :func:`part_ends`."""
     return (
         next_in_order(ends, cell, ["place"], ["part", "first_word"], "following", slices)
         .filter(F.col("following").isNotNull())
@@ -175,20 +184,25 @@ def border_bigrams(tokens: DataFrame, cell: Sequence[str] = CELL, slices: int |
     )
 
 
-def term_counts(
-    rows: DataFrame, cell: Sequence[str] = CELL, categories: Sequence[str] = CATEGORIES
-) -> DataFrame:
-    """``(cell, category, term, n, first_place)`` for every part and, last, for the whole review.
-
-    One shuffle on (cell, term): the parts are columns of the aggregation, and the whole review is
-    added up from them.
-    """
+def wide_counts(rows: DataFrame, cell: Sequence[str] = CELL, categories: Sequence[str] = CATEGORIES) -> DataFrame:
+    """``(cell, term, n_0, first_0, …, n_all, first_all)``: count and first place in every part, and in the whole review."""
     here = [(F.col("part") == i) & ~F.col("crosses") for i in range(len(categories) - 1)]
     aggregates = [F.count(F.lit(1)).alias("n_all"), F.min("place").alias("first_all")]
     for i, condition in enumerate(here):
         aggregates.append(F.count(F.when(condition, 1)).alias(f"n_{i}"))
         aggregates.append(F.min(F.when(condition, F.col("place"))).alias(f"first_{i}"))
-    suffixes = [*range(len(here)), "all"]
+    return rows.groupBy(*cell, "term").agg(*aggregates)
+
+
+def merge_counts(counts: DataFrame, cell: Sequence[str] = CELL) -> DataFrame:
+    """Wide counts of several sets of reviews as those of all of them: counts add up, the least place is the first."""
+    values = [c for c in counts.columns if c not in (*cell, "term")]
+    return counts.groupBy(*cell, "term").agg(*[(F.sum if c.startswith("n_") else F.min)(c).alias(c) for c in values])
+
+
+def long_counts(wide: DataFrame, cell: Sequence[str] = CELL, categories: Sequence[str] = CATEGORIES) -> DataFrame:
+    """``(cell, category, term, n, first_place)`` of wide counts, without zeros."""
+    suffixes = [*range(len(categories) - 1), "all"]
     long = F.array(*[
         F.struct(
             F.lit(category).alias("category"), F.col(f"n_{s}").alias("n"), F.col(f"first_{s}").alias("first_place")
@@ -196,14 +210,23 @@ def term_counts(
         for category, s in zip(categories, suffixes)
     ])
     return (
-        rows.groupBy(*cell, "term")
-        .agg(*aggregates)
-        .select(*cell, "term", F.explode(long).alias("c"))
+        wide.select(*cell, "term", F.explode(long).alias("c"))
         .select(*cell, "c.category", "term", "c.n", "c.first_place")
         .filter(F.col("n") > 0)
     )
 
 
+def term_counts(
+    rows: DataFrame, cell: Sequence[str] = CELL, categories: Sequence[str] = CATEGORIES
+) -> DataFrame:
+    """``(cell, category, term, n, first_place)`` for every part and, last, for the whole review.
+
+    One shuffle on (cell, term): the parts are columns of the aggregation, and the whole review is
+    added up from them.
+    """
+    return long_counts(wide_counts(rows, cell, categories), cell, categories)
+
+
 def joined_texts(parts: DataFrame, cell: Sequence[str] = CELL) -> DataFrame:
     """``(cell, joined_length, digest)`` of each cell's text, all parts in order joined by blanks,
     without building it.

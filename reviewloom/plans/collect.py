@@ -22,9 +22,10 @@ from reviewloom.functions import keys, pages
 from reviewloom.functions import text as tx
 from reviewloom.operators import relate, terms
 from reviewloom.operators.filters import drop_unrated
-from reviewloom.plans.analyse import analyse, load_reviews, report_of
+from reviewloom.plans import growth
+from reviewloom.plans.analyse import load_reviews, report_of
 from reviewloom.session import ready_checkpoints
-from reviewloom.sources.reports import TERM_NAME, analysis_rows, read_cloud, read_report, write_cloud, write_report
+from reviewloom.sources.reports import TERM_NAME, analysis_rows, newest, read_cloud, read_report, write_cloud, write_report
 from reviewloom.sources.store import FeedbackStore
 
 ANALYSIS_ORDER = ["term_kind", "catalog", "df_index", "column", "rank"]
@@ -171,8 +172,10 @@ def collected(
 
 def store_collected(store: FeedbackStore, new_products: DataFrame, new_reviews: DataFrame) -> None:
     """Append reviews, then products. Rows of products that are stored already are left out, so a
-    run that was broken off between the two writes can be repeated."""
+    run that was broken off between the two writes can be repeated. Catalogues that get products are
+    open for analysis again, from before the first write."""
     order = ["catalog_id", "position", "product_article"]
+    store.reopen(new_products.select("catalog_id").distinct())
     reviews = relate.unseen(new_reviews, store.read("reviews"))
     store.append_numbered("reviews", reviews, "review_id", [*order, "rank"])
     products = relate.unseen(new_products, store.read("products"))
@@ -216,14 +219,16 @@ def analyse_catalogs(
     stop_words: Iterable[str] = RUSSIAN_STOP_WORDS,
     links: DataFrame | None = None,
 ) -> None:
-    """Analyse the catalogues in ``links`` (catalog_link), or all that are not analysed yet.
+    """Analyse the catalogues in ``links`` (catalog_link), or all, as far as they are not analysed or have grown since.
 
     ``<results>/cloud`` holds the top terms with weights, ``<results>/report`` its first ranks on the
     full grid of catalogue, rating and category (empty cells have a row of NULLs), and
-    ``<results>/rating_counts`` the reviews per rating, 0 included. Analysed catalogues are passed over,
-    so a second run adds nothing. A run's files and ``analysis`` rows carry the number of the catalogue
-    version that sets its flags; they count from when that version is written, last, and a run that
-    broke off before is simply overwritten by the next.
+    ``<results>/rating_counts`` the reviews per rating, 0 included; the ``analysis`` table has the
+    reports of all catalogues. What was counted is kept (:mod:`reviewloom.plans.growth`), so a run reads
+    the texts of new reviews alone and writes the cells that they touch; a cell's newest run is valid,
+    and any number of runs gives what one run over all reviews would. A run's files and ``analysis`` rows
+    carry the number of the catalogue version that sets its flags; they count from when that version is
+    written, last, and a run that broke off before is simply overwritten by the next.
     """
     open_catalogs = store.read("catalogs").filter("NOT coalesce(analyzed, false)")
     if links is not None:
@@ -232,22 +237,30 @@ def analyse_catalogs(
     catalogs = open_catalogs.checkpoint()
     if catalogs.isEmpty():
         return
-    run = f"run={store.next_version('catalogs')}"
+    number = store.next_version("catalogs")
+    run = f"run={number}"
+    runs = [*store.finished_runs(), number]
     loaded = load_reviews(catalogs, store.read("products"), store.read("reviews"))
-    result = analyse(loaded, stop_words)
+    grown = growth.count_growth(loaded, catalogs.select(F.col("catalog_id").alias("catalog")), results, number, runs[:-1], stop_words)
 
     def linked(frame: DataFrame) -> DataFrame:
         return relate.with_catalog_link(frame.withColumnRenamed("catalog", "catalog_id"), catalogs)
 
     spine = catalogs.select(F.col("catalog_id").alias("catalog"))
     linked(terms.rating_counts(loaded, catalogs=spine)).write.mode("overwrite").parquet(f"{results}/rating_counts/{run}")
-    write_cloud(linked(result.cloud), f"{results}/cloud/{run}")
+    write_cloud(linked(grown.cloud), f"{results}/cloud/{run}")
     clouds = read_cloud(store.spark, f"{results}/cloud/{run}")
     kinds = F.explode(F.array(*[F.lit(k) for k in TERM_NAME])).alias("term_kind")
-    grid = terms.rating_grid(catalogs.select(F.col("catalog_link").alias("catalog"))).select("*", kinds)
+    touched = linked(grown.cells)
+    grid = terms.rating_grid(catalogs.select(F.col("catalog_link").alias("catalog"))).join(touched, list(terms.CELL), "left_semi").select("*", kinds)
     full = terms.fill_grid(grid, report_of(clouds), (*terms.CELL, "category", "term_kind"))
     write_report(full, f"{results}/report/{run}")
-    report = read_report(store.spark, f"{results}/report/{run}").filter(F.col("term").isNotNull())
+    report = read_report(store.spark, f"{results}/report", runs).filter(F.col("term").isNotNull())
     rows = analysis_rows(report, keep=("catalog", "rank", "term_kind"))
-    store.replace_numbered("analysis", rows, "id", ANALYSIS_ORDER, store.next_version("catalogs"))
+    store.replace("analysis", relate.with_new_ids(rows, ANALYSIS_ORDER, "id"), number)
     store.flag_catalogs(catalogs.select("catalog_id"), "analyzed")
+
+
+def read_rating_counts(store: FeedbackStore, results: str) -> DataFrame:
+    """Reviews per catalogue and rating, as each catalogue's newest finished analysis counted them."""
+    return newest(store.spark.read.parquet(f"{results}/rating_counts"), ["catalog"], store.finished_runs())

@@ -41,18 +41,30 @@ def _write(top: DataFrame, path: str) -> None:
     )
 
 
-def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """A written report, or all runs below ``path``."""
-    return _read(spark, path, REPORT)
+def read_report(spark: SparkSession, path: str, runs: Sequence[int] | None = None) -> DataFrame:
+    """A written report, or the newest of all runs, or of the given ones, below ``path`` (:func:`newest`)."""
+    return _read(spark, path, REPORT, runs)
 
 
-def read_cloud(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, CLOUD)
+def read_cloud(spark: SparkSession, path: str, runs: Sequence[int] | None = None) -> DataFrame:
+    return _read(spark, path, CLOUD, runs)
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    found = spark.read.schema(schema).parquet(path)
-    return found.select(*[c for c in found.columns if c != "run"])
+def _read(spark: SparkSession, path: str, schema: str, runs: Sequence[int] | None) -> DataFrame:
+    return newest(spark.read.schema(schema).parquet(path), ["catalog", "rating"], runs)
+
+
+def newest(rows: DataFrame, cell: Sequence[str], runs: Sequence[int] | None = None) -> DataFrame:
+    """Of every cell the rows of the last run that wrote it, without the column ``run``; rows without one stay.
+
+    The runs of a cell are few; only their numbers meet. ``runs`` names the runs that count.
+    """
+    if "run" not in rows.columns:
+        return rows
+    if runs is not None:
+        rows = rows.filter(F.col("run").isin(*runs) if runs else F.lit(False))
+    last = rows.groupBy(*cell).agg(F.max("run").alias("run"))
+    return rows.join(last, [*cell, "run"], "left_semi").drop("run")
 
 
 def sheet(top: DataFrame, catalog: str, rating: int, category: str, kind: str) -> DataFrame:

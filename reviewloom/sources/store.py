@@ -70,7 +70,7 @@ class FeedbackStore:
 
     def flag_catalogs(self, ids: DataFrame, flag: str, value: bool = True) -> None:
         version = self.next_version("catalogs")
-        if flag != "analyzed":  # a number that an unfinished analysis has taken stays without catalogues
+        if flag != "analyzed" or not value:  # a number that an unfinished analysis has taken stays without catalogues
             taken = self._versions("analysis")
             while version in taken:
                 version += 1
@@ -86,6 +86,16 @@ class FeedbackStore:
         )
         self.append_numbered("catalogs", new, "catalog_id", [order, "catalog_link"])
 
+    def reopen(self, ids: DataFrame) -> None:
+        """Catalogues that grow are not analysed any more. Nothing is written if none of them was."""
+        done = self.read("catalogs").filter("analyzed").join(ids, "catalog_id", "left_semi")
+        if not done.isEmpty():
+            self.flag_catalogs(ids, "analyzed", False)
+
+    def finished_runs(self) -> list[int]:
+        """Numbers of the analyses that ended: those that ``analysis`` and ``catalogs`` both have."""
+        return sorted({*self._versions("analysis")} & {*self._versions("catalogs")} - {0})
+
     def _path(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/version={version}"
 

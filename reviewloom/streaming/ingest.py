@@ -43,7 +43,7 @@ def settle(store: FeedbackStore, max_reviews: int = MAX_REVIEWS) -> None:
     New products are appended. Stored products whose reviews are others now get new rows in a new
     version of the two tables; unchanged ones keep theirs, so settling twice adds nothing. Reviews are
     written before products, and reviews without a product are left over from a run that broke off
-    and are replaced.
+    and are replaced. Catalogues of changed products are open for analysis again.
     """
     ready_checkpoints(store.spark)
     captured = store.read("captured")
@@ -71,6 +71,7 @@ def settle(store: FeedbackStore, max_reviews: int = MAX_REVIEWS) -> None:
     changed = compared.filter(~same).select("product_article").checkpoint()
     if changed.isEmpty():
         return
+    store.reopen(picks.join(changed, "product_article", "left_semi").select("catalog_id").distinct())
     for name, rows, id_column, order in (
         ("reviews", shown, "review_id", [*_ORDER, "rank"]), ("products", found, "product_id", _ORDER)
     ):

@@ -184,6 +184,16 @@ PAGE_URL_PATH = "regexp_extract(url, '^[^?#]*', 0)"
 TITLE = "(?s)<h1>(.*?)</h1>"
 PARAGRAPH = "(?s)<p>(.*?)</p>"
 
+STORED_ANALYSIS = _with(
+    *SPLIT_REVIEWS, PARTS, TOKENS, WORDS, COUNTS, ranked(CELL, 10),
+    BIGRAMS.replace("terms AS", "pairs AS"), COUNTS.replace("counts AS", "pair_counts AS").replace("FROM terms", "FROM pairs"),
+    ranked(CELL, 10).replace("top AS", "pair_top AS").replace("FROM counts", "FROM pair_counts"),
+) + """
+    SELECT row_number() OVER (ORDER BY term_kind, catalog, CAST(rating AS VARCHAR), category, rank) AS id, term AS word,
+           CAST(n AS DOUBLE) AS frequency, CAST(rating AS VARCHAR) AS df_index, category AS "column"
+    FROM (SELECT *, 'word' AS term_kind FROM top UNION ALL SELECT *, 'bigram' FROM pair_top)
+    UNION ALL SELECT 0, 'analyzed', CAST(count(DISTINCT lang) AS DOUBLE), '', '' FROM documents"""
+
 SQL: dict[str, str] = {
     "top_words_by_lang": _with(DOCS, ONE_PART, TOKENS, WORDS, SINGLE_COUNTS, ranked("catalog", 10)) + " SELECT * FROM top",
     "top_words_by_role": _with(TURNS, ONE_PART, TOKENS, WORDS, SINGLE_COUNTS, ranked("catalog", 10)) + " SELECT * FROM top",
@@ -436,7 +446,8 @@ SQL: dict[str, str] = {
           p_partkey AS product_article, p_name || ', "new"' AS product_name,
           (p_size % 5) || ',' || (p_size % 10) AS product_rating, p_size AS count_reviews FROM part""",
     "catalog_files": """
-        SELECT substr(p_brand, 7, 5) AS catalog, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS listing,
+        SELECT CASE WHEN p_size % 2 = 0 THEN '.' || p_brand || ' 50%25 +a/b=мужская обувь@7' ELSE p_brand END AS catalog,
+          row_number() OVER (PARTITION BY p_brand, p_size % 2 ORDER BY p_partkey) - 1 AS listing,
           p_partkey AS product_article, p_name || ', "new"' || chr(10) || 'line' AS product_name,
           CASE WHEN p_size % 5 > 0 THEN '4,5' END AS product_rating, p_size AS count_reviews FROM part""",
     "review_files": """
@@ -450,15 +461,8 @@ SQL: dict[str, str] = {
                nullif(text_comment, '') AS review_text_comment
         FROM (SELECT role AS catalog, CAST(turn AS INTEGER) AS review_rating, text AS review_text, {split_parts("text")}
               FROM conversations)""",
-    "stored_analysis": _with(
-        *SPLIT_REVIEWS, PARTS, TOKENS, WORDS, COUNTS, ranked(CELL, 10),
-        BIGRAMS.replace("terms AS", "pairs AS"), COUNTS.replace("counts AS", "pair_counts AS").replace("FROM terms", "FROM pairs"),
-        ranked(CELL, 10).replace("top AS", "pair_top AS").replace("FROM counts", "FROM pair_counts"),
-    ) + """
-        SELECT row_number() OVER (ORDER BY term_kind, catalog, CAST(rating AS VARCHAR), category, rank) AS id, term AS word,
-               CAST(n AS DOUBLE) AS frequency, CAST(rating AS VARCHAR) AS df_index, category AS "column"
-        FROM (SELECT *, 'word' AS term_kind FROM top UNION ALL SELECT *, 'bigram' FROM pair_top)
-        UNION ALL SELECT 0, 'analyzed', CAST(count(DISTINCT lang) AS DOUBLE), '', '' FROM documents""",
+    "stored_analysis": STORED_ANALYSIS,
+    "reanalysis_after_growth": STORED_ANALYSIS,
     "report_tables": _with(*ALL_WORDS, ranked(CELL, 10)) + """
         SELECT catalog, rank, term, n, 'word' AS term_kind, rating, category FROM top""",
     "full_analysis": "SELECT *, category || ' (Оценка ' || rating || '/5)' AS title FROM (SELECT *, 'word' AS term_kind FROM (" + _with(*ALL_WORDS, ranked(CELL, 10))
@@ -489,7 +493,7 @@ SQL: dict[str, str] = {
         WHERE product_article % 9 <> 0""",
     "clean_tree_roundtrip": """
         WITH files AS (
-            SELECT lang AS catalog, doc_id AS product_article, CASE WHEN doc_id % 7 > 0 THEN text END AS body FROM documents)
+            SELECT lang AS catalog, doc_id AS product_article, nullif(text, '') AS body FROM documents)
         SELECT catalog, product_article, CAST(CASE WHEN body IS NULL THEN 0 ELSE len(string_split(body, chr(10))) END AS BIGINT) AS n_rows
         FROM files
         QUALIFY row_number() OVER (PARTITION BY catalog, body ORDER BY product_article || '.csv') = 1""",

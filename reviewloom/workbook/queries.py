@@ -529,9 +529,10 @@ def catalog_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def catalog_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Parts as one catalogue file per brand number, read back with their rows' order."""
+    """Parts as one catalogue file per brand, half of them under names that files cannot have, read back with their rows' order."""
+    odd = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("."), F.col("p_brand"), F.lit(" 50%25 +a/b=мужская обувь@7"))).otherwise(F.col("p_brand"))
     rows = t.table(spark, folder, "part").select(
-        F.substring("p_brand", 7, 5).alias("catalog"),
+        odd.alias("catalog"),
         F.col("p_partkey").alias("product_article"),
         F.concat(F.col("p_name"), F.lit(', "new"\nline')).alias("product_name"),
         F.when(F.col("p_size") % 5 > 0, F.lit("4,5")).alias("product_rating"),
@@ -574,8 +575,8 @@ def combined_reviews(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.options(**csv_tree.READ).schema(StructType([*PROCESSED_REVIEW_CSV.fields, StructField("catalog", StringType())])).csv(path)
 
 
-def stored_analysis(spark: SparkSession, folder: str) -> DataFrame:
-    """Labelled documents go into a store as catalogues, products and reviews and are analysed from it."""
+def _labelled_store(spark: SparkSession, folder: str) -> tuple[FeedbackStore, DataFrame]:
+    """A store with languages as catalogues and sources as products, and the reviews that belong in it."""
     store = FeedbackStore(spark, scratch_path(spark, "stored"))
     store.create()
     docs = t.reviews(spark, folder).withColumn(
@@ -586,8 +587,10 @@ def stored_analysis(spark: SparkSession, folder: str) -> DataFrame:
     products = docs.groupBy("catalog", "product_article").agg(F.count(F.lit(1)).alias("count_reviews"))
     named = products.join(links, "catalog").withColumns({"name": F.col("catalog"), "rating": F.lit("4.5")})
     store.append_numbered("products", named, "product_id", ["catalog_id", "product_article"])
-    store.append_numbered("reviews", docs.withColumnRenamed("review_id", "_order"), "review_id", ["_order"])
-    collect.analyse_catalogs(store, scratch_path(spark, "results"), STOP_WORDS)
+    return store, docs.withColumnRenamed("review_id", "_order")
+
+
+def _analysis_rows(store: FeedbackStore) -> DataFrame:
     flags = store.read("catalogs").filter("analyzed").agg(F.count(F.lit(1)).alias("n_analyzed"))
     return store.read("analysis").unionByName(
         flags.select(F.lit(0).cast("bigint").alias("id"), F.lit("analyzed").alias("word"),
@@ -595,6 +598,27 @@ def stored_analysis(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stored_analysis(spark: SparkSession, folder: str) -> DataFrame:
+    """Labelled documents go into a store as catalogues, products and reviews and are analysed from it."""
+    store, reviews = _labelled_store(spark, folder)
+    store.append_numbered("reviews", reviews, "review_id", ["_order"])
+    collect.analyse_catalogs(store, scratch_path(spark, "results"), STOP_WORDS)
+    return _analysis_rows(store)
+
+
+def reanalysis_after_growth(spark: SparkSession, folder: str) -> DataFrame:
+    """The same reviews in three steps, older documents first, each analysed before the next: the tables are those of one analysis."""
+    store, reviews = _labelled_store(spark, folder)
+    results = scratch_path(spark, "results")
+    most = reviews.agg(F.max("_order")).first()[0] or 0
+    for step in range(3):
+        grown = reviews.filter(F.floor(3 * F.col("_order") / (most + 1)) == step)
+        store.reopen(store.read("catalogs").select("catalog_id"))
+        store.append_numbered("reviews", grown, "review_id", ["_order"])
+        collect.analyse_catalogs(store, results, STOP_WORDS)
+    return _analysis_rows(store)
+
+
 def report_tables(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "report")
     top = terms.top_terms(analyse.word_counts(t.reviews(spark, folder), STOP_WORDS))
@@ -677,18 +701,19 @@ def streaming_ingest_batches(spark: SparkSession, folder: str) -> DataFrame:
 def clean_tree_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as a written raw tree, cleaned and read back, with the products that have no rows.
 
-    Every seventh document is a review file without rows: one product stands for them all in a language.
+    A document without text is a review file without rows: one product stands for them all in a language.
     """
     root = scratch_path(spark, "tree")
     lines = t.document_lines(spark, folder)
-    rows = lines.filter("product_article % 7 > 0").select(
+    empty = t.table(spark, folder, "documents").filter("coalesce(text, '') = ''").select(F.col("doc_id").alias("product_article"))
+    rows = lines.join(empty, "product_article", "left_anti").select(
         "catalog", "product_article", "review_pos",
         (F.length("line") % 5 + 1).cast("int").alias("review_rating"),
         F.col("line").alias("review_text"),
         F.lit(None).cast("string").alias("review_text_plus"),
         F.lit(None).cast("string").alias("review_text_minus"),
     )
-    files = lines.select("catalog", "product_article").distinct()
+    files = t.table(spark, folder, "documents").select(F.col("lang").alias("catalog"), F.col("doc_id").alias("product_article")).distinct()
     listed = ordering.dense_positions(files, ["catalog"], ["product_article"], "listing").select(
         "catalog", "product_article", "listing", F.lit("name").alias("product_name"), F.lit("4,5").alias("product_rating"),
         F.lit(1).alias("count_reviews"),
