@@ -35,9 +35,12 @@ def clean_catalogs(catalogs: DataFrame, reviews: DataFrame, files: DataFrame) ->
     return Cleaned(drop_keys(rated, dropped, key), reviews.join(kept, key, "left_semi"), kept)
 
 
-def clean_tree(spark: SparkSession, raw: str, clean: str) -> None:
-    """Raw or written tree -> clean tree, with the kept products, also those without rows, in ``kept_files``."""
-    result = clean_catalogs(*csv_tree.read_tree(spark, raw))
+def clean_tree(spark: SparkSession, raw: str, clean: str, ranged: bool = False) -> None:
+    """Raw or written tree -> clean tree, with the kept products, also those without rows, in ``kept_files``.
+
+    ``ranged`` reads large review files by many tasks.
+    """
+    result = clean_catalogs(*csv_tree.read_tree(spark, raw, ranged))
     csv_tree.write_catalogs(result.catalogs, f"{clean}/catalogs")
     csv_tree.write_reviews(result.reviews, f"{clean}/reviews")
     csv_tree.write_kept_files(result.kept_files, f"{clean}/kept_files")

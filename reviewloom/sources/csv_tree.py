@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from reviewloom.functions.keys import key_from_file_name, stem_from_file_name
 from reviewloom.schemas import CATALOG_CSV, RAW_REVIEW_CSV
 from reviewloom.session import shuffle_width, stored
+from reviewloom.sources.csv_ranges import read_ranges
 
 READ = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 WRITE = {
@@ -51,11 +52,24 @@ def read_catalogs(spark: SparkSession, folder: str, schema: T.StructType = CATAL
     return _numbered(rows, ["catalog", "chunk"], "_pos").select("catalog", listing.alias("listing"), *schema.names)
 
 
-def read_reviews(spark: SparkSession, folder: str, schema: T.StructType = RAW_REVIEW_CSV, chunked: bool = False) -> DataFrame:
+def read_reviews(
+    spark: SparkSession, folder: str, schema: T.StructType = RAW_REVIEW_CSV, chunked: bool = False, ranged: bool = False
+) -> DataFrame:
     """All ``<folder>/<catalog>/<article>.csv`` with ``catalog``, ``product_article``, ``review_pos``.
 
-    With ``chunked``, files named by :func:`name_files` are put together again.
+    With ``chunked``, files named by :func:`name_files` are put together again. With ``ranged``, large
+    files are read by many tasks (:mod:`reviewloom.sources.csv_ranges`), with the same result.
     """
+    keys = ["catalog", "product_article"]
+    if ranged:
+        read = read_ranges(spark, f"{folder}/*/", schema, READ)
+        name, chunk = _chunk_of(_unescaped(F.col("file_name")), chunked)
+        return read.select(
+            _key_of(_unescaped(_folder_name(F.col("file_path"))), chunked).alias("catalog"),
+            key_from_file_name(name).alias("product_article"),
+            (chunk + F.col("pos")).alias("review_pos"),
+            *schema.names,
+        )
     rows = spark.read.options(**READ).schema(schema).csv(f"{folder}/*/")
     name, chunk = _chunk_of(_unescaped(F.col("_metadata.file_name")), chunked)
     rows = rows.select(
@@ -65,7 +79,6 @@ def read_reviews(spark: SparkSession, folder: str, schema: T.StructType = RAW_RE
         F.monotonically_increasing_id().alias("_at"),
         *schema.names,
     )
-    keys = ["catalog", "product_article"]
     position = F.col("chunk") + F.col("_pos")
     return _numbered(rows, [*keys, "chunk"], "_pos").select(*keys, position.alias("review_pos"), *schema.names)
 
@@ -210,13 +223,13 @@ def is_written(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def read_tree(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Catalogue rows, reviews and review files of a tree in either layout."""
+def read_tree(spark: SparkSession, root: str, ranged: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Catalogue rows, reviews and review files of a tree in either layout; ``ranged`` as in :func:`read_reviews`."""
     catalogs, reviews = f"{root}/catalogs", f"{root}/reviews"
     rows = read_written_catalogs(spark, catalogs) if is_written(spark, catalogs) else read_catalogs(spark, catalogs)
     if is_written(spark, reviews):
         return rows, read_written_reviews(spark, reviews), read_kept_files(spark, f"{root}/kept_files")
-    return rows, read_reviews(spark, reviews), list_review_files(spark, reviews)
+    return rows, read_reviews(spark, reviews, ranged=ranged), list_review_files(spark, reviews)
 
 
 def write_combined(reviews: DataFrame, path: str, files_per_catalog: int | None = None) -> None:

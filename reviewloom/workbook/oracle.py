@@ -456,6 +456,11 @@ SQL: dict[str, str] = {
           CAST(turn AS INTEGER) AS review_rating, text AS review_text, 'say "yes", or' || chr(10) || 'no' AS review_text_plus,
           CAST(NULL AS VARCHAR) AS review_text_minus
         FROM conversations""",
+    "ranged_review_files": """
+        SELECT role AS catalog, CAST(1 AS BIGINT) AS product_article, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) - 1 AS review_pos,
+          CAST(turn AS INTEGER) AS review_rating, text || chr(10) || '"end",' || chr(10) AS review_text,
+          CAST(NULL AS VARCHAR) AS review_text_plus, role AS review_text_minus
+        FROM conversations""",
     "combined_reviews": f"""
         SELECT catalog, review_rating, review_text, text_plus AS review_text_plus, text_minus AS review_text_minus,
                nullif(text_comment, '') AS review_text_comment

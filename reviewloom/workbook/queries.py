@@ -13,7 +13,7 @@ from reviewloom.operators import dedup, filters, ordering, relate, terms
 from reviewloom.plans import analyse, collect
 from reviewloom.plans.clean import Cleaned, clean_catalogs, clean_tree
 from reviewloom.schemas import PROCESSED_REVIEW_CSV
-from reviewloom.session import scratch_path
+from reviewloom.session import scratch_path, stored
 from reviewloom.sources import csv_tree, reports
 from reviewloom.sources.store import FeedbackStore
 from reviewloom.streaming import ingest
@@ -559,6 +559,27 @@ def review_files(spark: SparkSession, folder: str) -> DataFrame:
     return csv_tree.read_reviews(spark, f"{path}/named", chunked=True)
 
 
+def ranged_review_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns as one large review file per role, read in small ranges by many tasks, with the place of every row in its file."""
+    rows = ordering.dense_positions(t.conversations(spark, folder), ["catalog"], ["product_id", "review_id"], "review_pos").select(
+        "catalog", F.lit(1).alias("product_article"), "review_pos", F.col("review_id").cast("int").alias("review_rating"),
+        F.concat(F.col("text"), F.lit('\n"end",\n')).alias("review_text"),
+        F.lit(None).cast("string").alias("review_text_plus"), F.col("catalog").alias("review_text_minus"),
+    )
+    path = scratch_path(spark, "large")
+    csv_tree.write_reviews(rows, f"{path}/written")
+    csv_tree.name_files(spark, f"{path}/written", f"{path}/named", lambda k: f"{k['catalog']}/{k['product_article']}")
+    small = {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        return stored(csv_tree.read_reviews(spark, f"{path}/named", chunked=True, ranged=True), "large-read")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def combined_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """All turns of a role as one table without helper columns."""
     turns = t.conversations(spark, folder).select(
