@@ -51,9 +51,9 @@ def split_review(
     the other two labels.
     """
     text = text_or_empty(text)
-    body = strip(text)
-    opens_labelled = F.startswith(body, F.lit(f"{plus}:")) | F.startswith(body, F.lit(f"{minus}:"))
-    first_line = F.when(~opens_labelled, F.regexp_extract(body, r"^([^\n]*)", 1))
+    opens_labelled = F.regexp_like(text, F.lit(rf"^{WHITESPACE_CLASS}*(?:{plus}|{minus}):"))
+    # The first line of the stripped text, found without copying the text: it ends with its line, or where only whitespace follows.
+    first_line = F.when(~opens_labelled, F.regexp_extract(text, rf"^{WHITESPACE_CLASS}*([^\n]*?)(?:{WHITESPACE_CLASS}*\z|\n)", 1))
     return F.struct(
         F.coalesce(labelled_part(text, plus), F.lit(missing)).alias("text_plus"),
         F.coalesce(labelled_part(text, minus), F.lit(missing)).alias("text_minus"),
