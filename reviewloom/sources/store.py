@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +64,21 @@ class FeedbackStore:
         """Append rows, cast to the table's types. A value that cannot be cast fails the job."""
         conform(rows, TABLES[name]).write.mode("append").parquet(self._path(name, self._current(name)))
 
+    def write_batch(self, name: str, rows: DataFrame, batch: str) -> None:
+        """Add a folder ``batch=<batch>`` of rows, cast to the table's types; the same batch again takes its place."""
+        conform(rows, TABLES[name]).write.mode("overwrite").parquet(f"{self._path(name, self._current(name))}/batch={batch}")
+
+    def read_batches(self, name: str, *more: Column) -> DataFrame:
+        """Rows of all batches that were written to their end, with further columns such as file metadata."""
+        folders = [f"{self._path(name, self._current(name))}/batch={b}" for b in self.batches(name)]
+        if not folders:
+            return self.read(name).select("*", *more)
+        return self.spark.read.schema(TABLES[name]).parquet(*folders).select(*TABLES[name].names, *more)
+
+    def batches(self, name: str) -> list[str]:
+        """Names of a table's finished batches."""
+        return self._finished(self._path(name, self._current(name)))
+
     def append_numbered(self, name: str, rows: DataFrame, id_column: str, order: list[str]) -> None:
         """Append rows with new ids, in the given order, after the stored ones."""
         self.append(name, with_new_ids(rows, order, id_column, self.read(name)))
@@ -101,14 +116,18 @@ class FeedbackStore:
 
     def _versions(self, name: str) -> list[int]:
         """Versions whose job has finished, oldest first."""
+        return sorted(map(int, self._finished(f"{self.root}/{name}")))
+
+    def _finished(self, path: str) -> list[str]:
+        """Values of the folders ``key=value`` below a path whose job has finished."""
         jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        folder = jvm.org.apache.hadoop.fs.Path(path)
         fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(folder):
             return []
-        found = [str(status.getPath().toString()) for status in fs.listStatus(folder)]
+        found = [str(status.getPath().toString()) for status in fs.listStatus(folder) if status.isDirectory()]
         done = [p for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{p}/_SUCCESS"))]
-        return sorted(int(p.rsplit("=", 1)[1]) for p in done)
+        return sorted(p.rsplit("=", 1)[1] for p in done)
 
 
 def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:

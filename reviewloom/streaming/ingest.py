@@ -1,12 +1,17 @@
 """Incremental collecting: captured review files arrive in a folder and are collected into the store.
 
-The stream appends captured rows, each product and page position once, so that repeated files and
-replayed batches add nothing and it does not matter how files are split into batches. :func:`settle`
-then brings products and reviews of the store up to the captured rows.
+The stream keeps the products and page positions that it has seen as keyed state, so a batch reads and
+writes what it brings, however large the store is. Each batch is a folder of its own, which a replay
+writes again, so repeated files and replayed batches add nothing and it does not matter how files are
+split into batches. A lost checkpoint loses the state and captures everything once more; :func:`settle`,
+which brings products and reviews of the store up to the captured rows, then takes the first capture of
+each place.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +25,7 @@ from reviewloom.session import ready_checkpoints
 from reviewloom.sources.store import FeedbackStore
 
 _PLACE = ["product_article", "review_pos"]
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ORDER = ["catalog_id", "position", "product_article"]
 
 
@@ -27,13 +33,24 @@ def captured_stream(spark: SparkSession, folder: str, files_per_batch: int = 100
     return spark.readStream.schema(CAPTURED).option("maxFilesPerTrigger", files_per_batch).json(folder)
 
 
-def store_batch(store: FeedbackStore, batch: DataFrame) -> None:
-    """Append the captured rows of rated products whose product and position are not there yet; rows
-    without a product are not kept."""
-    new = drop_unrated(batch).filter(F.col("product_article").isNotNull()).dropDuplicates(_PLACE)
-    known = store.read("captured").select(*[F.col(c).alias(f"_{c}") for c in _PLACE])
-    same = [new[c].eqNullSafe(known[f"_{c}"]) for c in _PLACE]
-    store.append("captured", new.join(known, same, "left_anti"))
+def new_captures(stream: DataFrame) -> DataFrame:
+    """Captured rows of rated products, each product and page position once; rows without a product are not kept."""
+    return drop_unrated(stream).filter(F.col("product_article").isNotNull()).dropDuplicates(_PLACE)
+
+
+def first_captures(store: FeedbackStore) -> DataFrame:
+    """Captured rows, of each product and page position the one that was captured first.
+
+    One stream captures a place once. Only where the batches come from several checkpoints are captures
+    compared, by the time of their file, then by its name and their content.
+    """
+    columns = CAPTURED.names
+    if len({b.rpartition("-")[0] for b in store.batches("captured")}) < 2:
+        return store.read_batches("captured")
+    timed = store.read_batches("captured", F.struct("_metadata.file_modification_time", "_metadata.file_path").alias("_at"))
+    rest = [c for c in columns if c not in _PLACE]
+    first = timed.groupBy(*_PLACE).agg(F.min(F.struct("_at", *rest)).alias("_row"))
+    return first.select(*[F.col(c) if c in _PLACE else F.col(f"_row.{c}").alias(c) for c in columns])
 
 
 def settle(store: FeedbackStore, max_reviews: int = MAX_REVIEWS) -> None:
@@ -46,7 +63,7 @@ def settle(store: FeedbackStore, max_reviews: int = MAX_REVIEWS) -> None:
     and are replaced. Catalogues of changed products are open for analysis again.
     """
     ready_checkpoints(store.spark)
-    captured = store.read("captured")
+    captured = first_captures(store)
     per_product = captured.groupBy("product_article").agg(
         F.min(F.struct("catalog_id", "position", "name", "product_rating")).alias("p")
     )
@@ -83,11 +100,21 @@ def settle(store: FeedbackStore, max_reviews: int = MAX_REVIEWS) -> None:
 
 
 def start_ingest(store: FeedbackStore, stream: DataFrame, checkpoint: str) -> StreamingQuery:
-    """Capture until all files that are there have been read; :func:`settle` afterwards."""
+    """Capture until all files that are there have been read; :func:`settle` afterwards.
+
+    The state is kept by RocksDB, so that it need not fit into memory; the session's setting is put back
+    once the stream has started.
+    """
     store.create()
-    return (
-        stream.writeStream.foreachBatch(lambda batch, _: store_batch(store, batch))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    before = store.spark.conf.get(_PROVIDER)
+    store.spark.conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    name = f"{zlib.crc32(checkpoint.rstrip('/').encode()):08x}"
+    try:
+        return (
+            new_captures(stream).writeStream.foreachBatch(lambda batch, number: store.write_batch("captured", batch, f"{name}-{number:06d}"))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        store.spark.conf.set(_PROVIDER, before)

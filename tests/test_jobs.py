@@ -14,7 +14,7 @@ from reviewloom.sources.reports import read_report, sheet
 from reviewloom.sources.store import FeedbackStore
 from reviewloom.functions.keys import key_from_file_name
 from reviewloom.plans.collect import product_rows, review_rows
-from reviewloom.streaming.ingest import captured_stream, settle, start_ingest
+from reviewloom.streaming.ingest import captured_stream, first_captures, settle, start_ingest
 
 SHOES = "https://www.shop.example/catalog/shoes"
 BAGS = "https://www.shop.example/catalog/bags"
@@ -301,3 +301,24 @@ def test_named_files_of_every_kind(spark, tmp_path):
     assert {"Brand#11.csv", "мужская обувь.csv", "a%2Fb.csv", "%NULL.csv", "%NULL@2.csv", "a%407@2.csv"} <= set(os.listdir(tmp_path / "named"))
     back = csv_tree.read_catalogs(spark, str(tmp_path / "named"), chunked=True).collect()
     assert sorted(((r.catalog, r.listing, r.product_article) for r in back), key=str) == sorted(((c, j, i) for i, c in enumerate(names) for j in range(3)), key=str)
+
+
+def test_a_batch_touches_what_it_brings(spark, tmp_path):
+    """A batch writes its new rows alone and reads no captured ones; a batch that is replayed takes its own place."""
+    incoming = tmp_path / "incoming"
+    incoming.mkdir()
+    rows = [{"catalog_id": 1, "position": a, "product_article": a, "variant_group": None, "name": "p", "product_rating": "5", "review_pos": p, "rating": 5, "text": f"{a} {p}"}
+            for a in range(20) for p in range(3)]
+    for i in range(4):  # every file repeats the one before
+        part = rows[15 * max(0, i - 1) : 15 * (i + 1)]
+        (incoming / f"{i}.json").write_text("\n".join(json.dumps(r) for r in part), encoding="utf8")
+        os.utime(incoming / f"{i}.json", (1_000_000 + i, 1_000_000 + i))
+    store = FeedbackStore(spark, str(tmp_path / "store"))
+    query = start_ingest(store, captured_stream(spark, str(incoming), 1), str(tmp_path / "cp"))
+    query.awaitTermination()
+    sizes = [spark.read.parquet(f"{tmp_path}/store/captured/version=0/batch={b}").count() for b in store.batches("captured")]
+    assert sizes == [15, 15, 15, 15] and first_captures(store).count() == 60
+    assert not any("store/captured" in str(source) for p in query.recentProgress for source in p["sources"])
+    again = store.read_batches("captured").limit(0)
+    store.write_batch("captured", again, store.batches("captured")[-1])
+    assert first_captures(store).count() == 45
