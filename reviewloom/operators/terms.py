@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 from reviewloom.constants import CATEGORIES, PARTS, RATINGS, RUSSIAN_STOP_WORDS, TOP_CLOUD, TOP_REPORT
 from reviewloom.functions import text as tx
 from reviewloom.operators.ordering import next_in_order, top_k
-from reviewloom.session import ready_checkpoints
+from reviewloom.session import ready_checkpoints, stored
 
 CELL = ("catalog", "rating")
 # Decimal digits of a place: part 1, product 13, review 14, position 10.
 PRODUCT_LIMIT = 10**13
 REVIEW_LIMIT = 10**14
 POSITION_LIMIT = 10**10
+#: Counters of a sketch per cell.
+BUCKETS = 1 << 16
 
 
 def place(part: Column, product_id: Column, review_id: Column) -> Column:
@@ -266,6 +268,49 @@ def top_terms(counts: DataFrame, cell: Sequence[str] = (*CELL, "category"), k: i
     return ranked.select(*cell, "rank", "term", "n")
 
 
+def possible_top_rows(
+    rows: DataFrame,
+    cell: Sequence[str] = CELL,
+    k: int = TOP_REPORT,
+    categories: Sequence[str] = CATEGORIES,
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """The rows of those terms alone that can be among the first ``k`` of their cell in some category.
+
+    A sketch counts hashes of terms instead of terms: every term of a bucket has at most the bucket's
+    count. The terms of the ``2 * k`` fullest buckets are counted exactly; the ``k``-th largest of these
+    counts is a bound that the ``k``-th term of the cell reaches at least. Buckets below it hold no term
+    that could come in; ties at the bound stay. The sketch has at most ``buckets`` rows a cell and
+    task, whatever the vocabulary is, and what remains to be counted are few terms.
+
+    For cells with many terms, such as bigrams of large catalogues; ``rows`` are read three times, so
+    they should come from a stored table. Building the plan starts jobs. Where cells are so many that
+    their chosen buckets are no small table, counting all terms at once is better.
+    """
+    spread = rows.withColumn("_bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
+    per_bucket = [F.count(F.lit(1)).alias("n_all")]
+    per_bucket += [F.count(F.when((F.col("part") == i) & ~F.col("crosses"), 1)).alias(f"n_{i}") for i in range(len(categories) - 1)]
+    sketch = spread.groupBy(*cell, "_bucket").agg(*per_bucket)
+    long = F.array(*[F.struct(F.lit(c).alias("category"), F.col(f"n_{s}").alias("n")) for c, s in zip(categories, [*range(len(categories) - 1), "all"])])
+    counted = stored(sketch.select(*cell, "_bucket", F.explode(long).alias("c")).select(*cell, "_bucket", "c.category", "c.n").filter("n > 0"), "sketch")
+    by_category = [*cell, "category"]
+    fullest = top_k(counted, by_category, [F.desc("n"), F.asc("_bucket")], 2 * k).select(*cell, "_bucket").distinct()
+    first = term_counts(_of_buckets(spread, stored(fullest, "fullest-buckets"), [*cell, "_bucket"]), cell, categories)
+    bound = top_k(first, by_category, [F.desc("n"), F.asc("first_place")], k).groupBy(*by_category).agg(
+        F.when(F.count(F.lit(1)) == k, F.min("n")).otherwise(F.lit(1)).alias("_bound")
+    )
+    bound = bound.withColumnsRenamed({c: f"_{c}" for c in by_category})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by_category]
+    able = counted.join(bound, same).filter(F.col("n") >= F.col("_bound")).select(*cell, "_bucket").distinct()
+    return _of_buckets(spread, stored(able, "possible-buckets"), [*cell, "_bucket"]).drop("_bucket")
+
+
+def _of_buckets(rows: DataFrame, chosen: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows whose key is chosen; cells may have NULLs."""
+    chosen = chosen.withColumnsRenamed({c: f"_of_{c}" for c in key})
+    return rows.join(chosen, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in key], "left_semi")
+
+
 def cloud_terms(counts: DataFrame, cell: Sequence[str] = (*CELL, "category"), k: int = TOP_CLOUD) -> DataFrame:
     """Top terms with ``weight``: the count relative to the largest one of the cell (at most ``k`` rows)."""
     top = top_terms(counts, cell, k)

@@ -50,6 +50,18 @@ def bigram_counts(
     return terms.term_counts(terms.bigram_rows(tokens, cross_review=cross_review))
 
 
+def top_bigrams_of_large_cells(
+    reviews: DataFrame, stop_words: Iterable[str] = RUSSIAN_STOP_WORDS, k: int = TOP_REPORT, buckets: int = terms.BUCKETS
+) -> DataFrame:
+    """The first ``k`` bigrams of every cell and category, as from :func:`bigram_counts`, without counting the others.
+
+    Pairs are stored first, and most of them are ruled out by a sketch before they are shuffled.
+    """
+    tokens = stored(terms.part_tokens(terms.review_parts(rated_reviews(reviews)), stop_words=stop_words), "tokens")
+    pairs = stored(terms.bigram_rows(tokens), "bigrams")
+    return terms.top_terms(terms.term_counts(terms.possible_top_rows(pairs, k=k, buckets=buckets)), k=k)
+
+
 def analyse(
     reviews: DataFrame, stop_words: Iterable[str] = RUSSIAN_STOP_WORDS, cloud: int = TOP_CLOUD
 ) -> Analysis:

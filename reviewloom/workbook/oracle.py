@@ -201,6 +201,7 @@ SQL: dict[str, str] = {
     "top_bigrams_by_lang": _with(DOCS, ONE_PART, TOKENS, BIGRAMS, SINGLE_COUNTS, ranked("catalog", 10)) + " SELECT * FROM top",
     "top_bigrams_by_role": _with(TURNS, ONE_PART, TOKENS, BIGRAMS, SINGLE_COUNTS, ranked("catalog", 10)) + " SELECT * FROM top",
     "top_bigrams_rating_category": _with(*ALL_BIGRAMS, ranked(CELL, 10)) + " SELECT * FROM top",
+    "sketched_top_bigrams": _with(*ALL_BIGRAMS, ranked(CELL, 10)) + " SELECT * FROM top",
     "top_bigrams_within_reviews": _with(*SPLIT_REVIEWS, PARTS, TOKENS, INNER_BIGRAMS, COUNTS, ranked(CELL, 10)) + " SELECT * FROM top",
     "word_cloud_weights": _with(*ALL_WORDS, ranked(CELL, 100)) + CLOUD,
     "bigram_cloud_weights": _with(*ALL_BIGRAMS, ranked(CELL, 100)) + CLOUD,

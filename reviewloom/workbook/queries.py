@@ -62,6 +62,11 @@ def top_bigrams_rating_category(spark: SparkSession, folder: str) -> DataFrame:
     return terms.top_terms(analyse.bigram_counts(t.reviews(spark, folder), STOP_WORDS))
 
 
+def sketched_top_bigrams(spark: SparkSession, folder: str) -> DataFrame:
+    """The same list as ``top_bigrams_rating_category``, counting only bigrams that a sketch does not rule out."""
+    return analyse.top_bigrams_of_large_cells(t.reviews(spark, folder), STOP_WORDS)
+
+
 def top_bigrams_within_reviews(spark: SparkSession, folder: str) -> DataFrame:
     return terms.top_terms(analyse.bigram_counts(t.reviews(spark, folder), STOP_WORDS, cross_review=False))
 

@@ -110,3 +110,23 @@ def test_largest_ids_keep_their_order(spark):
     rows = [("a", 10**13 - 1, 10**14 - 1, 5, "два кеды", None, "бот"), ("a", 10**13 - 1, 10**14 - 2, 5, "носки", None, None)]
     top = terms.top_terms(terms.term_counts(terms.word_rows(terms.review_parts(spark.createDataFrame(rows, SCHEMA)))))
     assert [r.term for r in top.filter(F.col("category") == CATEGORIES[3]).orderBy("rank").collect()] == ["носки", "кеды", "бот"]
+
+
+@pytest.mark.parametrize("buckets", [4, 64, 1 << 16])
+def test_sketch_rules_out_only_what_cannot_come_in(spark, buckets):
+    """Skewed terms with ties, NULL cells and cells of few terms: the same lists as from all counts."""
+    rng = random.Random(7)
+    made = []
+    for cell, n in (("big", 20_000), ("small", 9), (None, 300)):
+        for i in range(n):
+            term = f"t{min(int(rng.paretovariate(0.7)), 10_000 + i)}"
+            made.append((cell, 5, rng.randrange(3), rng.random() < 0.1, i, term))
+    schema = "catalog string, rating int, part int, crosses boolean, place bigint, term string"
+    rows = spark.createDataFrame(made, schema).withColumn("place", F.col("place").cast("decimal(38,0)")).repartition(6)
+    for k in (1, 3, 10):
+        every = terms.top_terms(terms.term_counts(rows), k=k)
+        left = terms.possible_top_rows(rows, k=k, buckets=buckets)
+        assert sorted(map(str, terms.top_terms(terms.term_counts(left), k=k).collect())) == sorted(map(str, every.collect()))
+    if buckets > 1 << 10:
+        assert 10 * left.select("catalog", "term").distinct().count() < rows.select("catalog", "term").distinct().count()
+    assert terms.possible_top_rows(rows.limit(0), buckets=buckets).count() == 0
