@@ -100,3 +100,16 @@ def test_newest_rows_of_a_cell(spark):
     rows = spark.createDataFrame([("a", 1, 1, "old"), ("a", 1, 3, "new"), ("a", 2, 1, "only"), ("a", 1, 4, "unfinished")], "catalog string, rating int, run int, term string")
     assert {r.term for r in newest(rows, ["catalog", "rating"], [1, 3]).collect()} == {"new", "only"}
     assert newest(rows.drop("run"), ["catalog"]).count() == 4 and newest(rows, ["catalog"], []).count() == 0
+
+
+def test_analysis_without_reviews(spark, tmp_path):
+    """Catalogues that have nothing yet get their empty grid, and what comes later is counted."""
+    store = shop_of(spark, tmp_path / "store")
+    results = str(tmp_path / "results")
+    analyse_catalogs(store, results)
+    assert store.read("analysis").count() == 0 and read_report(spark, f"{results}/report").count() == 3 * 5 * 4 * 2
+    add_products(store, [(10, 1)])
+    store.reopen(spark.createDataFrame([(1,)], "catalog_id bigint"))
+    add_reviews(store, reviews(random.Random(2), [10], 12))
+    analyse_catalogs(store, results)
+    assert state(store, results) == once(store, tmp_path / "once")
