@@ -1,4 +1,4 @@
-"""Joins, counts, quotas, keys and integrity checks over catalogues, products and reviews.
+"""Joins, counts, keys and integrity checks over catalogues, products and reviews.
 
 Joins carry no hints: a side is broadcast when its size is known to be below
 ``spark.sql.autoBroadcastJoinThreshold``; otherwise both sides are shuffled and adaptive skew joins
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.constants import MAX_PRODUCTS, MAX_REVIEWS
@@ -126,7 +126,7 @@ def reviews_in_scope(
     return own.withColumn("reviewed_article", F.col(article)).select(*columns).unionByName(shown.select(*columns))
 
 
-# -- choosing new products ----------------------------------------------------------------------
+# -- known products -----------------------------------------------------------------------------
 
 def unseen(candidates: DataFrame, products: DataFrame, key: str = "product_article") -> DataFrame:
     """Candidates whose key is not stored yet."""
@@ -137,43 +137,6 @@ def stored(candidates: DataFrame, products: DataFrame, key: str = "product_artic
     return candidates.join(products.select(key).distinct(), key, "left_semi")
 
 
-def select_new_products(
-    candidates: DataFrame,
-    products: DataFrame,
-    catalog: str = "catalog_id",
-    article: str = "product_article",
-    position: str = "position",
-    target: int = MAX_PRODUCTS,
-) -> DataFrame:
-    """First unknown products of every catalogue in listing order, up to what it still lacks.
-
-    ``(catalog, article, position, pick)``; the same products as if the catalogues were filled one
-    after the other, smallest first. A link listed twice counts at its first position.
-
-    All catalogues choose at once; a product chosen by several goes to the smallest of them, which
-    keeps it or loses it to a still smaller one only. Products held by a smaller catalogue are struck
-    off, and the choice is repeated until nobody loses one. Every round is checkpointed; it holds
-    ``target`` rows of a catalogue at most.
-    """
-    ready_checkpoints(candidates.sparkSession)
-    listed = candidates.groupBy(catalog, article).agg(F.min(position).alias(position))
-    done = products.groupBy(catalog).agg(F.count(F.lit(1)).alias("_done"))
-    room = F.lit(target) - F.coalesce("_done", F.lit(0))
-    free = unseen(listed, products, article).join(done, catalog, "left").withColumn("_room", room).drop("_done")
-    free = free.filter("_room > 0").checkpoint()
-    held = None
-    while True:
-        pool = free
-        if held is not None:
-            pool = free.join(held, article, "left").filter(F.coalesce(F.col("_holder"), F.col(catalog)) >= F.col(catalog)).drop("_holder")
-        picks = top_k(pool, [catalog], [F.asc(position), F.asc(article)], target, "pick").filter("pick <= _room")
-        owners = Window.partitionBy(article)
-        picks = picks.withColumn("_holder", F.min(catalog).over(owners)).checkpoint()
-        if picks.filter(F.col("_holder") < F.col(catalog)).isEmpty():
-            return picks.select(catalog, article, position, "pick")
-        held = picks.select(article, "_holder").distinct()
-
-
 # -- keys, flags, integrity ---------------------------------------------------------------------
 
 def with_new_ids(rows: DataFrame, order: Sequence[str], name: str, existing: DataFrame | None = None) -> DataFrame:

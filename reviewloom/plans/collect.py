@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from reviewloom.constants import MAX_PRODUCTS, MAX_REVIEWS, RUSSIAN_STOP_WORDS
 from reviewloom.functions import keys, pages
 from reviewloom.functions import text as tx
-from reviewloom.operators import relate, terms
+from reviewloom.operators import quota, relate, terms
 from reviewloom.operators.filters import drop_unrated
 from reviewloom.plans import growth
 from reviewloom.plans.analyse import load_reviews, report_of
@@ -202,7 +202,7 @@ def collect_catalogs(
     catalogs = store.read("catalogs").groupBy("catalog_link").agg(F.min("catalog_id").alias("catalog_id"))
     listed = listings.join(catalogs, "catalog_link")
     found = candidates(listed_links(listed, "catalog_id", "page", patterns.link), "catalog_id")
-    picks = relate.select_new_products(found, store.read("products"), target=max_products)
+    picks = quota.select_new_products(found, store.read("products"), target=max_products)
     shown = needed_pages(feedbacks, picks)
     new_products, new_reviews = collected(
         product_rows(products, patterns), review_rows(shown, patterns), picks, max_reviews, members_of(shown, patterns)

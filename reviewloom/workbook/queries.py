@@ -9,7 +9,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from reviewloom.constants import UNRATED
 from reviewloom.functions import keys, pages
 from reviewloom.functions import text as tx
-from reviewloom.operators import dedup, filters, ordering, relate, terms
+from reviewloom.operators import dedup, filters, ordering, quota, relate, terms
 from reviewloom.plans import analyse, collect
 from reviewloom.plans.clean import Cleaned, clean_catalogs, clean_tree
 from reviewloom.schemas import PROCESSED_REVIEW_CSV
@@ -319,7 +319,7 @@ def stored_products(spark: SparkSession, folder: str) -> DataFrame:
 
 def quota_selection(spark: SparkSession, folder: str) -> DataFrame:
     listings, stored = t.part_listings(spark, folder)
-    return relate.select_new_products(listings, stored, target=30)
+    return quota.select_new_products(listings, stored, target=30)
 
 
 def cap_reviews(spark: SparkSession, folder: str) -> DataFrame:
@@ -432,7 +432,7 @@ def crawl_frontier(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_partkey").alias("product_article"), F.lit("www.example.com").alias("site")
     )
     found = collect.candidates(entries, "site", r"/(\d+)")
-    return relate.select_new_products(found, stored, "site", target=5)
+    return quota.select_new_products(found, stored, "site", target=5)
 
 
 def nested_page_reviews(spark: SparkSession, folder: str) -> DataFrame:

@@ -28,40 +28,6 @@ def test_reviews_in_scope(spark):
     assert {tuple(r) for r in out.collect()} == expected
 
 
-def expected_picks(candidates, stored, target):
-    """Catalogue after catalogue, smallest first."""
-    found = set()
-    known = {a for _, a in stored}
-    for catalog in sorted({c for c, _, _ in candidates}):
-        first = {}
-        for _, article, position in (c for c in candidates if c[0] == catalog):
-            first[article] = min(position, first.get(article, position))
-        new = sorted((p, a) for a, p in first.items() if a not in known)
-        room = max(target - sum(1 for c, _ in stored if c == catalog), 0)
-        found |= {(catalog, a, p, i + 1) for i, (p, a) in enumerate(new[:room])}
-        known |= {a for _, a in new[:room]}
-    return found
-
-
-def test_select_new_products(spark):
-    rng = random.Random(8)
-    candidates = [(rng.choice([1, 1, 1, 2, 3]), rng.randint(0, 60), i) for i in range(400)]
-    stored = [(rng.randint(1, 3), a) for a in range(0, 60, 5)]
-    cand = spark.createDataFrame(candidates, "catalog_id bigint, product_article bigint, position bigint")
-    prod = spark.createDataFrame(stored, "catalog_id bigint, product_article bigint")
-    for target in (3, 9, 100):
-        out = relate.select_new_products(cand, prod, target=target)
-        assert {tuple(r) for r in out.collect()} == expected_picks(candidates, stored, target)
-
-
-def test_a_catalogue_moves_on_to_its_next_candidates(spark):
-    candidates = [(1, 10, 0), (1, 11, 1), (2, 10, 0), (2, 11, 1), (2, 12, 2), (2, 13, 3), (3, 12, 0), (3, 13, 1)]
-    cand = spark.createDataFrame(candidates, "catalog_id bigint, product_article bigint, position bigint")
-    none = spark.createDataFrame([], "catalog_id bigint, product_article bigint")
-    picks = relate.select_new_products(cand, none, target=2).collect()
-    assert {(r.catalog_id, r.product_article) for r in picks} == {(1, 10), (1, 11), (2, 12), (2, 13)}
-
-
 def test_products_without_reviews_show_pooled_ones(spark):
     reviews = spark.createDataFrame([(1, 5, 0), (1, 5, 1)], "article bigint, grp bigint, pos int").withColumn("at", F.col("article"))
     members = spark.createDataFrame([(1, 5), (2, 5), (3, 6)], "article bigint, grp bigint")
