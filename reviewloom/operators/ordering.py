@@ -88,14 +88,18 @@ def number_rows(
 ) -> DataFrame:
     """Dense numbers ``start, start + 1, …`` along a total order over all rows.
 
-    The range slices are fixed by a checkpoint, because both the slice sizes and the rows are read
-    from them. The broadcast side has one row per slice.
+    Only the columns of the order are laid out in range slices, sorted and checkpointed; the slices must
+    be fixed, because both their sizes and their rows are read. The broadcast side has one row per slice.
+    The other columns meet their numbers in one hash join and are never sorted. With such columns, rows
+    that are equal in the order have no defined number and fail the job, as do rows that differ between
+    the two readings of ``df``.
     """
     spark = df.sparkSession
     ready_checkpoints(spark)
     slices = slices or shuffle_width(spark)
     laid = (
-        df.repartitionByRange(slices, *order)
+        df.select(*order)
+        .repartitionByRange(slices, *order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
         .checkpoint()
@@ -109,10 +113,15 @@ def number_rows(
         .select("_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
     first = start if isinstance(start, Column) else F.lit(start)
-    return (
-        laid.join(F.broadcast(offsets), "_slice")
-        .withColumn(name, (first + F.col("_offset") + F.col("_at")).cast("bigint"))
-        .drop("_slice", "_at", "_offset")
+    number = (first + F.col("_offset") + F.col("_at")).cast("bigint")
+    numbered = laid.join(F.broadcast(offsets), "_slice").select(*order, number.alias(name))
+    if set(df.columns) == set(order):
+        return numbered.select(*df.columns, name)
+    ids = numbered.groupBy(*order).agg(F.min(name).alias("_id"), F.count(F.lit(1)).alias("_n")).hint("shuffle_hash")
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in order]
+    undefined = F.raise_error("rows are equal in the order, or changed while they were numbered").cast("bigint")
+    return df.alias("l").join(ids.alias("r"), same, "left").select(
+        *[F.col(f"l.{c}") for c in df.columns], F.when(F.col("_n") == 1, F.col("_id")).otherwise(undefined).alias(name)
     )
 
 
