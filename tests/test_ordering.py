@@ -1,6 +1,5 @@
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from reviewloom.operators.ordering import dense_positions, next_in_order, number_rows, top_k
@@ -49,20 +48,6 @@ def test_number_rows(spark):
         assert sorted(r.n for r in out) == list(range(11, 11 + len(rows)))
 
 
-def test_texts_are_not_sorted_for_a_number(spark):
-    """The text stays out of every sort; keys with NULLs get numbers too, equal keys none."""
-    rows = [(None, 1, 1, "x"), (None, None, 2, "y"), ("a", 1, 3, "z"), ("a", None, 4, None)]
-    out = number_rows(spark.createDataFrame(rows, SCHEMA), ["g", "a"], "n")
-    assert {r.b: r.n for r in out.collect()} == {2: 1, 1: 2, 4: 3, 3: 4}
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    sorts = [line for line in plan.splitlines() if "Sort [" in line or "SortMergeJoin" in line]
-    assert "ShuffledHashJoin" in plan and sorts and all("Sort [_slice" in line for line in sorts)
-    with pytest.raises(Exception, match="equal in the order"):
-        number_rows(spark.createDataFrame([("a", 1, 1, "x"), ("a", 1, 2, "y")], SCHEMA), ["g", "a"], "n").collect()
-    tied = number_rows(spark.createDataFrame([("a",), ("a",), ("b",)], "g string"), ["g"], "n").collect()
-    assert sorted((r.g, r.n) for r in tied) == [("a", 1), ("a", 2), ("b", 3)]
-
-
 def test_dense_positions(spark):
     rows = [*skewed_rows(500), (None, 0, 900, "x"), (None, 0, 901, "y")]
     out = dense_positions(spark.createDataFrame(rows, SCHEMA), ["g"], ["a", "b"]).collect()
