@@ -3,7 +3,9 @@
 All ratings and categories come out of one aggregation. A review is three parts (pros, cons,
 comment); the whole review is all pros, then all cons, then all comments of a cell, so a term's place
 in the whole is (part, product, review, position). That place is one decimal number, which lets
-counts and first places run in the same hash aggregation with map-side combine.
+counts and first places run in the same hash aggregation with map-side combine. Where the ids and
+positions of a stored table allow, it is replaced by a 64-bit number of the same order, which is a
+fraction of the work and of the shuffle.
 """
 
 from __future__ import annotations
@@ -49,6 +51,27 @@ def place(part: Column, product_id: Column, review_id: Column) -> Column:
     )
 
 
+def compact_places(tokens: DataFrame) -> DataFrame:
+    """Stored :func:`part_tokens` with places as 64-bit numbers of the same order, if what is found fits into them.
+
+    Products, reviews and positions are counted from the least to the largest one that the table has, which
+    are read from the places and array sizes first. Places of different tables do not compare.
+    """
+    lead, review = F.expr(f"place div {REVIEW_LIMIT * POSITION_LIMIT}"), F.expr(f"place % {REVIEW_LIMIT * POSITION_LIMIT} div {POSITION_LIMIT}")
+    part, product = F.expr(f"_lead div {PRODUCT_LIMIT}"), F.col("_lead") % PRODUCT_LIMIT
+    split = tokens.withColumns({"_lead": lead, "_review": review})
+    found = split.agg(
+        F.max(part), F.min(product), F.max(product), F.min("_review"), F.max("_review"), F.max(F.size("words"))
+    ).first()
+    if found[0] is None:
+        return tokens
+    products, reviews, positions = found[2] - found[1] + 1, found[4] - found[3] + 1, found[5]
+    if (found[0] + 1) * products * reviews * positions >= 1 << 63:
+        return tokens
+    number = ((part * products + product - found[1]) * reviews + F.col("_review") - found[3]) * positions
+    return split.withColumn("place", number.cast("bigint")).drop("_lead", "_review")
+
+
 def review_parts(
     reviews: DataFrame,
     cell: Sequence[str] = CELL,
@@ -75,7 +98,7 @@ def word_rows(
     return (
         parts.select(*cell, "part", "place", F.posexplode(tx.clean_tokens(F.col("text"))).alias("pos", "term"))
         .filter(tx.is_content_word(F.col("term"), list(stop_words), lowered=True))
-        .select(*cell, "part", F.lit(False).alias("crosses"), _plus(F.col("place"), F.col("pos")).alias("place"), "term")
+        .select(*cell, "part", F.lit(False).alias("crosses"), _plus(parts, F.col("pos")).alias("place"), "term")
     )
 
 
@@ -142,7 +165,7 @@ def _neighbours(tokens: DataFrame, cell: Sequence[str]) -> DataFrame:
         *cell,
         "part",
         F.lit(False).alias("crosses"),
-        _plus(F.col("place"), F.col("pos")).alias("place"),
+        _plus(tokens, F.col("pos")).alias("place"),
         "pair.left",
         "pair.right",
     )
@@ -180,7 +203,7 @@ def linked_ends(ends: DataFrame, cell: Sequence[str] = CELL, slices: int | None
             *cell,
             "part",
             (F.col("following.part") != F.col("part")).alias("crosses"),
-            _plus(F.col("place"), F.col("last_pos")).alias("place"),
+            _plus(ends, F.col("last_pos")).alias("place"),
             F.concat_ws(" ", "last_word", "following.first_word").alias("term"),
         )
     )
@@ -205,17 +228,10 @@ def merge_counts(counts: DataFrame, cell: Sequence[str] = CELL) -> DataFrame:
 def long_counts(wide: DataFrame, cell: Sequence[str] = CELL, categories: Sequence[str] = CATEGORIES) -> DataFrame:
     """``(cell, category, term, n, first_place)`` of wide counts, without zeros."""
     suffixes = [*range(len(categories) - 1), "all"]
-    long = F.array(*[
-        F.struct(
-            F.lit(category).alias("category"), F.col(f"n_{s}").alias("n"), F.col(f"first_{s}").alias("first_place")
-        )
-        for category, s in zip(categories, suffixes)
-    ])
-    return (
-        wide.select(*cell, "term", F.explode(long).alias("c"))
-        .select(*cell, "c.category", "term", "c.n", "c.first_place")
-        .filter(F.col("n") > 0)
-    )
+    long = F.stack(F.lit(len(suffixes)), *[x for c, s in zip(categories, suffixes) for x in (F.lit(c), F.col(f"n_{s}"), F.col(f"first_{s}"))])
+    return wide.select(*cell, "term", long.alias("category", "n", "first_place")).select(
+        *cell, "category", "term", "n", "first_place"
+    ).filter(F.col("n") > 0)
 
 
 def term_counts(
@@ -284,7 +300,7 @@ def possible_top_rows(
     task, whatever the vocabulary is, and what remains to be counted are few terms.
 
     For cells with many terms, such as bigrams of large catalogues; ``rows`` are read three times, so
-    they should come from a stored table. Building the plan starts jobs. Where cells are so many that
+    they should come from a stored table or from stored tokens. Building the plan starts jobs. Where cells are so many that
     their chosen buckets are no small table, counting all terms at once is better.
     """
     spread = rows.withColumn("_bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
@@ -361,5 +377,8 @@ def _options(values: Sequence, kind: str) -> Column:
     return F.explode(F.array(*[F.lit(v).cast(kind) for v in values]))
 
 
-def _plus(place_column: Column, pos: Column) -> Column:
-    return (place_column + pos.cast("decimal(10,0)")).cast("decimal(38,0)")
+def _plus(rows: DataFrame, pos: Column) -> Column:
+    """The place ``pos`` words behind that of the row."""
+    if dict(rows.dtypes)["place"] == "bigint":
+        return F.col("place") + pos
+    return (F.col("place") + pos.cast("decimal(10,0)")).cast("decimal(38,0)")

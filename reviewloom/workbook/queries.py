@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from reviewloom.constants import UNRATED
+from reviewloom.constants import TOP_CLOUD, TOP_REPORT, UNRATED
 from reviewloom.functions import keys, pages
 from reviewloom.functions import text as tx
 from reviewloom.operators import dedup, filters, ordering, quota, relate, terms
@@ -34,8 +34,7 @@ def _one_part_words(reviews: DataFrame) -> DataFrame:
 
 
 def _one_part_bigrams(reviews: DataFrame) -> DataFrame:
-    tokens = terms.part_tokens(terms.review_parts(reviews, ["catalog"], ["text"]), ["catalog"], STOP_WORDS)
-    return terms.single_counts(terms.bigram_rows(tokens, ["catalog"]), ["catalog"])
+    return analyse.one_part_bigram_counts(reviews, ["catalog"], "text", STOP_WORDS, first=TOP_REPORT)
 
 
 def top_words_by_lang(spark: SparkSession, folder: str) -> DataFrame:
@@ -59,7 +58,7 @@ def top_bigrams_by_role(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_bigrams_rating_category(spark: SparkSession, folder: str) -> DataFrame:
-    return terms.top_terms(analyse.bigram_counts(t.reviews(spark, folder), STOP_WORDS))
+    return terms.top_terms(analyse.bigram_counts(t.reviews(spark, folder), STOP_WORDS, first=TOP_REPORT))
 
 
 def sketched_top_bigrams(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,7 +67,7 @@ def sketched_top_bigrams(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_bigrams_within_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    return terms.top_terms(analyse.bigram_counts(t.reviews(spark, folder), STOP_WORDS, cross_review=False))
+    return terms.top_terms(analyse.bigram_counts(t.reviews(spark, folder), STOP_WORDS, cross_review=False, first=TOP_REPORT))
 
 
 def word_cloud_weights(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,7 +77,7 @@ def word_cloud_weights(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bigram_cloud_weights(spark: SparkSession, folder: str) -> DataFrame:
-    return terms.cloud_terms(analyse.bigram_counts(t.reviews(spark, folder), STOP_WORDS)).withColumn(
+    return terms.cloud_terms(analyse.bigram_counts(t.reviews(spark, folder), STOP_WORDS, first=TOP_CLOUD)).withColumn(
         "weight", F.round("weight", 9)
     )
 
@@ -666,7 +665,7 @@ def bigram_sheet(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def analysis_table(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.analysis_rows(terms.top_terms(analyse.bigram_counts(t.reviews(spark, folder), STOP_WORDS)))
+    return reports.analysis_rows(terms.top_terms(analyse.bigram_counts(t.reviews(spark, folder), STOP_WORDS, first=TOP_REPORT)))
 
 
 def store_append(spark: SparkSession, folder: str) -> DataFrame:
