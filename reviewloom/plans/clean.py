@@ -38,11 +38,12 @@ def clean_catalogs(catalogs: DataFrame, reviews: DataFrame, files: DataFrame) ->
 def clean_tree(spark: SparkSession, raw: str, clean: str, ranged: bool = False) -> None:
     """Raw or written tree -> clean tree, with the kept products, also those without rows, in ``kept_files``.
 
+    The clean tree's files hold many products each, so their number does not grow with that of the products.
     ``ranged`` reads large review files by many tasks.
     """
     result = clean_catalogs(*csv_tree.read_tree(spark, raw, ranged))
     csv_tree.write_catalogs(result.catalogs, f"{clean}/catalogs")
-    csv_tree.write_reviews(result.reviews, f"{clean}/reviews")
+    csv_tree.write_shared_reviews(result.reviews, f"{clean}/reviews")
     csv_tree.write_kept_files(result.kept_files, f"{clean}/kept_files")
 
 
@@ -55,6 +56,6 @@ def preprocess_tree(spark: SparkSession, clean: str, processed: str, files_per_c
     """Written clean tree -> processed tree and one combined table per catalogue."""
     parsed = preprocess_reviews(csv_tree.read_written_reviews(spark, f"{clean}/reviews"))
     columns = ["catalog", "product_article", "review_pos", *PROCESSED_REVIEW_CSV.names]
-    csv_tree.write_reviews(parsed.select(*columns), f"{processed}/reviews")
+    csv_tree.write_shared_reviews(parsed.select(*columns), f"{processed}/reviews")
     csv_tree.write_combined(parsed.select(*columns), f"{processed}/all", files_per_catalog)
     csv_tree.write_kept_files(csv_tree.read_kept_files(spark, f"{clean}/kept_files"), f"{processed}/kept_files")

@@ -744,7 +744,7 @@ def clean_tree_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(1).alias("count_reviews"),
     )
     csv_tree.write_catalogs(listed, f"{root}/raw/catalogs")
-    csv_tree.write_reviews(rows, f"{root}/raw/reviews")
+    csv_tree.write_shared_reviews(rows, f"{root}/raw/reviews")
     csv_tree.write_kept_files(files, f"{root}/raw/kept_files")
     clean_tree(spark, f"{root}/raw", f"{root}/clean")
     _, reviews, kept = csv_tree.read_tree(spark, f"{root}/clean")
