@@ -24,7 +24,7 @@ from reviewloom.operators import quota, relate, terms
 from reviewloom.operators.filters import drop_unrated
 from reviewloom.plans import growth
 from reviewloom.plans.analyse import load_reviews, report_of
-from reviewloom.session import ready_checkpoints
+from reviewloom.session import ready_checkpoints, stored
 from reviewloom.sources.reports import TERM_NAME, analysis_rows, newest, read_cloud, read_report, write_cloud, write_report
 from reviewloom.sources.store import FeedbackStore
 
@@ -117,19 +117,20 @@ def needed_pages(feedbacks: DataFrame, picks: DataFrame) -> DataFrame:
     """The newest feedback page of each picked product and of its variants, before anything is parsed.
 
     A product belongs to the variant group that its newest page names. Marks alone decide which pages
-    these are; captures that are equal are combined before the shuffle, so a page captured very often is
-    spread like any other.
+    these are, and are stored, as building the result starts jobs: pages are cut down to the wanted ones
+    before any page is shuffled. Captures that are equal are combined before the shuffle, so a page captured
+    very often is spread like any other.
     """
     marked = feedbacks.withColumn("_mark", F.struct(capture_mark(feedbacks), F.col("variant_group").alias("group")))
-    newest = marked.groupBy("product_article").agg(F.max("_mark").alias("_mark"))
+    newest = stored(marked.groupBy("product_article").agg(F.max("_mark").alias("_mark")), "newest-pages")
     placed = newest.select("product_article", F.col("_mark.group").alias("variant_group"))
     groups = placed.join(picks.select("product_article").distinct(), "product_article", "left_semi").select("variant_group").distinct()
     variants = placed.join(groups, "variant_group", "left_semi").select("product_article")
     articles = variants.unionByName(picks.select("product_article")).distinct()
-    wanted = newest.join(articles, "product_article")
-    once = marked.dropDuplicates(["product_article", "_mark"])
-    same = (once["product_article"] == wanted["product_article"]) & once["_mark"].eqNullSafe(wanted["_mark"])
-    return once.join(wanted, same, "left_semi").select("product_article", "variant_group", "html")
+    wanted = stored(newest.join(articles, "product_article"), "wanted-pages")
+    same = (marked["product_article"] == wanted["product_article"]) & marked["_mark"].eqNullSafe(wanted["_mark"])
+    once = marked.join(wanted, same, "left_semi").dropDuplicates(["product_article", "_mark"])
+    return once.select("product_article", "variant_group", "html")
 
 
 def members_of(shown: DataFrame, patterns: pages.PagePatterns = pages.SHOP_PAGES) -> DataFrame:
@@ -203,7 +204,7 @@ def collect_catalogs(
     listed = listings.join(catalogs, "catalog_link")
     found = candidates(listed_links(listed, "catalog_id", "page", patterns.link), "catalog_id")
     picks = quota.select_new_products(found, store.read("products"), target=max_products)
-    shown = needed_pages(feedbacks, picks)
+    shown = stored(needed_pages(feedbacks, picks), "shown-pages")
     new_products, new_reviews = collected(
         product_rows(products, patterns), review_rows(shown, patterns), picks, max_reviews, members_of(shown, patterns)
     )
