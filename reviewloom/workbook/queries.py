@@ -20,6 +20,8 @@ from reviewloom.streaming import ingest
 from reviewloom.workbook import tables as t
 from reviewloom.workbook.tables import STOP_WORDS
 
+#: Text of a captured file, about.
+CAPTURED_FILE_BYTES = 64 << 20
 CATEGORY_CELL = ["catalog", "rating", "category"]
 PAGE_PATTERNS = pages.PagePatterns(
     link=r'href="([^"]+)"', title=r"(?s)<h1>(.*?)</h1>", review_item=r"(?s)<p>(.*?)</p>"
@@ -681,7 +683,11 @@ def store_append(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _ingested(spark: SparkSession, folder: str, files: int, files_per_batch: int) -> FeedbackStore:
-    """Labelled documents arrive as captured review files, a product's reviews in several of them."""
+    """Labelled documents arrive as captured review files, a product's reviews in several of them.
+
+    For large tables each file is several, dealt by product, so that no task writes more than some of them;
+    a batch takes as many times more.
+    """
     base = scratch_path(spark, "ingest")
     docs = t.reviews(spark, folder).withColumn("product_article", F.floor(F.col("review_id") / 10))
     captured = docs.select(
@@ -695,9 +701,12 @@ def _ingested(spark: SparkSession, folder: str, files: int, files_per_batch: int
         "rating",
         F.col("text_all").alias("text"),
     )
-    captured.repartition(files, F.col("review_pos") % files).write.json(f"{base}/incoming")
+    size = t.documents(spark, folder).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    spread = 1 + size // (files * CAPTURED_FILE_BYTES)
+    dealt = [F.col("review_pos") % files, F.col("product_article") % spread]
+    captured.repartition(files * spread, *dealt).write.json(f"{base}/incoming")
     store = FeedbackStore(spark, f"{base}/store")
-    stream = ingest.captured_stream(spark, f"{base}/incoming", files_per_batch)
+    stream = ingest.captured_stream(spark, f"{base}/incoming", files_per_batch * spread)
     ingest.start_ingest(store, stream, f"{base}/checkpoint").awaitTermination()
     ingest.settle(store)
     return store
@@ -714,7 +723,7 @@ def streaming_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def streaming_ingest_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """The same, one file a batch, so that every product comes in four batches."""
+    """The same, a quarter of the files a batch, so that products come in several batches."""
     store = _ingested(spark, folder, 4, 1)
     products = store.read("products").select("product_article", F.col("rating").alias("product_rating"), "count_reviews")
     reviews = store.read("reviews").select(
