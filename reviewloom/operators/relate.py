@@ -82,8 +82,14 @@ def first_reviews(
     n: int = MAX_REVIEWS,
     rank: str = "rank",
 ) -> DataFrame:
-    """First ``n`` reviews of every product in page order. ``order`` must be total inside a product."""
-    return top_k(reviews, key, [F.asc(c) for c in order], n, rank, lanes=shuffle_width(reviews.sparkSession), lane_key=order)
+    """First ``n`` reviews of every product in page order. ``order`` must be total inside a product.
+
+    Spark cuts every product to ``n`` rows in each task before the shuffle, as long as ``n`` is small; only
+    a list too long for that is cut by lanes, which costs a second shuffle and sort of all rows.
+    """
+    limit = int(reviews.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    lanes = 1 if n < limit else shuffle_width(reviews.sparkSession)
+    return top_k(reviews, key, [F.asc(c) for c in order], n, rank, lanes=lanes, lane_key=order)
 
 
 def reviews_in_scope(
