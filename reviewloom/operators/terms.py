@@ -28,6 +28,8 @@ REVIEW_LIMIT = 10**14
 POSITION_LIMIT = 10**10
 #: Counters of a sketch per cell.
 BUCKETS = 1 << 16
+#: So many times the wanted terms are the fullest buckets whose terms are counted first.
+LEADING = 4
 
 
 def place(part: Column, product_id: Column, review_id: Column) -> Column:
@@ -219,10 +221,10 @@ def wide_counts(rows: DataFrame, cell: Sequence[str] = CELL, categories: Sequenc
     return rows.groupBy(*cell, "term").agg(*aggregates)
 
 
-def merge_counts(counts: DataFrame, cell: Sequence[str] = CELL) -> DataFrame:
-    """Wide counts of several sets of reviews as those of all of them: counts add up, the least place is the first."""
-    values = [c for c in counts.columns if c not in (*cell, "term")]
-    return counts.groupBy(*cell, "term").agg(*[(F.sum if c.startswith("n_") else F.min)(c).alias(c) for c in values])
+def merge_counts(counts: DataFrame, cell: Sequence[str] = CELL, key: str = "term") -> DataFrame:
+    """Wide counts, or sketches by their ``key``, of several sets of reviews as those of all of them: counts add up, the least place is the first."""
+    values = [c for c in counts.columns if c not in (*cell, key)]
+    return counts.groupBy(*cell, key).agg(*[(F.sum if c.startswith("n_") else F.min)(c).alias(c) for c in values])
 
 
 def long_counts(wide: DataFrame, cell: Sequence[str] = CELL, categories: Sequence[str] = CATEGORIES) -> DataFrame:
@@ -303,28 +305,85 @@ def possible_top_rows(
     they should come from a stored table or from stored tokens. Building the plan starts jobs. Where cells are so many that
     their chosen buckets are no small table, counting all terms at once is better.
     """
-    spread = rows.withColumn("_bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
+    spread = _in_buckets(rows, buckets)
+    counted = stored(_long_sketch(sketch_counts(rows, cell, categories, buckets), cell, categories), "sketch")
+    fullest = _fullest_buckets(counted, cell, 2 * k)
+    first = term_counts(_of_buckets(spread, stored(fullest, "fullest-buckets"), [*cell, "_bucket"]), cell, categories)
+    able = _able_buckets(counted, first, cell, k)
+    return _of_buckets(spread, stored(able, "possible-buckets"), [*cell, "_bucket"]).drop("_bucket")
+
+
+def sketch_counts(
+    rows: DataFrame, cell: Sequence[str] = CELL, categories: Sequence[str] = CATEGORIES, buckets: int = BUCKETS
+) -> DataFrame:
+    """``(cell, _bucket, n_all, n_0, …)``: the counts of all terms of a hash bucket together.
+
+    At most ``buckets`` rows a cell, and never more than its terms. Sketches add up (:func:`merge_counts`).
+    """
     per_bucket = [F.count(F.lit(1)).alias("n_all")]
     per_bucket += [F.count(F.when((F.col("part") == i) & ~F.col("crosses"), 1)).alias(f"n_{i}") for i in range(len(categories) - 1)]
-    sketch = spread.groupBy(*cell, "_bucket").agg(*per_bucket)
+    return _in_buckets(rows, buckets).groupBy(*cell, "_bucket").agg(*per_bucket)
+
+
+def leading_counts(
+    rows: DataFrame,
+    sketch: DataFrame,
+    cell: Sequence[str] = CELL,
+    k: int = TOP_REPORT,
+    categories: Sequence[str] = CATEGORIES,
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """:func:`term_counts` of the terms that can be among the first ``k`` of their cell in some category.
+
+    ``sketch`` are the :func:`sketch_counts` of ``rows``, however they were put together. The terms of the
+    fullest buckets are counted exactly; the others are counted, by a second reading, only in buckets that
+    reach the ``k``-th of these counts, which as a rule are none or few. A term has one bucket, so none is counted in part.
+    Building the plan starts jobs.
+    """
+    key = [*cell, "_bucket"]
+    spread = _in_buckets(rows, buckets)
+    counted = stored(_long_sketch(sketch, cell, categories), "sketch")
+    fullest = stored(_fullest_buckets(counted, cell, LEADING * k), "fullest-buckets")
+    first = stored(term_counts(_of_buckets(spread, fullest, key), cell, categories), "leading-counts")
+    able = _able_buckets(counted, first, cell, k)
+    rest = stored(_of_buckets(able, fullest, key, "left_anti"), "possible-buckets")
+    if rest.isEmpty():
+        return first
+    whole = [c for c in cell if c != "term_kind"]  # what tokens have: other cells are left out before they are paired
+    spread = _of_buckets(spread, stored(rest.select(*whole).distinct(), "possible-cells"), whole)
+    return first.unionByName(term_counts(_of_buckets(spread, rest, key), cell, categories))
+
+
+def _in_buckets(rows: DataFrame, buckets: int) -> DataFrame:
+    return rows.withColumn("_bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
+
+
+def _long_sketch(sketch: DataFrame, cell: Sequence[str], categories: Sequence[str]) -> DataFrame:
+    """``(cell, _bucket, category, n)`` without zeros."""
     long = F.array(*[F.struct(F.lit(c).alias("category"), F.col(f"n_{s}").alias("n")) for c, s in zip(categories, [*range(len(categories) - 1), "all"])])
-    counted = stored(sketch.select(*cell, "_bucket", F.explode(long).alias("c")).select(*cell, "_bucket", "c.category", "c.n").filter("n > 0"), "sketch")
+    return sketch.select(*cell, "_bucket", F.explode(long).alias("c")).select(*cell, "_bucket", "c.category", "c.n").filter("n > 0")
+
+
+def _fullest_buckets(counted: DataFrame, cell: Sequence[str], k: int) -> DataFrame:
+    by_category = [*cell, "category"]
+    return top_k(counted, by_category, [F.desc("n"), F.asc("_bucket")], k).select(*cell, "_bucket").distinct()
+
+
+def _able_buckets(counted: DataFrame, first: DataFrame, cell: Sequence[str], k: int) -> DataFrame:
+    """Buckets that reach the ``k``-th of the exact counts ``first`` of their cell in some category."""
     by_category = [*cell, "category"]
-    fullest = top_k(counted, by_category, [F.desc("n"), F.asc("_bucket")], 2 * k).select(*cell, "_bucket").distinct()
-    first = term_counts(_of_buckets(spread, stored(fullest, "fullest-buckets"), [*cell, "_bucket"]), cell, categories)
     bound = top_k(first, by_category, [F.desc("n"), F.asc("first_place")], k).groupBy(*by_category).agg(
         F.when(F.count(F.lit(1)) == k, F.min("n")).otherwise(F.lit(1)).alias("_bound")
     )
     bound = bound.withColumnsRenamed({c: f"_{c}" for c in by_category})
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by_category]
-    able = counted.join(bound, same).filter(F.col("n") >= F.col("_bound")).select(*cell, "_bucket").distinct()
-    return _of_buckets(spread, stored(able, "possible-buckets"), [*cell, "_bucket"]).drop("_bucket")
+    return counted.join(bound, same).filter(F.col("n") >= F.col("_bound")).select(*cell, "_bucket").distinct()
 
 
-def _of_buckets(rows: DataFrame, chosen: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows whose key is chosen; cells may have NULLs."""
+def _of_buckets(rows: DataFrame, chosen: DataFrame, key: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows whose key is chosen, or is not with ``left_anti``; cells may have NULLs."""
     chosen = chosen.withColumnsRenamed({c: f"_of_{c}" for c in key})
-    return rows.join(chosen, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in key], "left_semi")
+    return rows.join(chosen, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in key], how)
 
 
 def cloud_terms(counts: DataFrame, cell: Sequence[str] = (*CELL, "category"), k: int = TOP_CLOUD) -> DataFrame:

@@ -1,16 +1,20 @@
-"""Analysis that grows with its reviews: counts are kept and merged, texts are read once.
+"""Analysis that grows with its reviews: tokens and sketches are kept, texts are read once.
 
-Three tables below the results folder have a folder ``run=<number>`` for each run:
+Four tables below the results folder have a folder ``run=<number>`` for each run:
 
-* ``counts`` - wide counts of words and of pairs inside parts, of the cells that the run touched, as a whole;
+* ``tokens`` - the content words of the parts that the run read;
+* ``counts`` - counts of words and of pairs inside parts by hash bucket (``terms.sketch_counts``), of the
+  cells that the run touched, as a whole;
 * ``ends``   - first and last words of the parts that the run read, for the pairs across parts and reviews;
 * ``marks``  - what each catalogue's analysis has seen: largest review id, number of reviews, and the run
   that it began with.
 
-Reviews are only appended as a rule, with larger ids. New ones are counted and merged into their cells'
-counts: counts add up, and first places are minima. Pairs across reviews cannot be merged, because a new
-review comes between two old ones; they are linked anew from the ends of the touched cells, which are a
-few words a review. Where a review that was counted is gone, its catalogue begins anew with this run.
+Reviews are only appended as a rule, with larger ids. New ones are tokenised and their sketch is added to
+that of their cells, whose size is bounded whatever the vocabulary is. Pairs across reviews cannot be
+added, because a new review comes between two old ones; they are linked anew from the ends of the touched
+cells, which are a few words a review. The sketch says which terms can come into a cell's list; these
+alone are counted, exactly and with first places, from the kept tokens. Where a review that was counted
+is gone, its catalogue begins anew with this run, and so does one whose runs have kept no tokens.
 """
 
 from __future__ import annotations
@@ -24,7 +28,8 @@ from pyspark.sql import functions as F
 from reviewloom.constants import RATINGS, RUSSIAN_STOP_WORDS, TOP_CLOUD
 from reviewloom.operators import terms
 from reviewloom.operators.filters import rated_reviews
-from reviewloom.session import ready_checkpoints, stored
+from reviewloom.plans.analyse import COUNTERS, LEAST_BUCKETS
+from reviewloom.session import ROW_GROUP_BYTES, ready_checkpoints, stored
 from reviewloom.sources.reports import newest
 
 KIND_CELL = (*terms.CELL, "term_kind")
@@ -54,27 +59,39 @@ def count_growth(
     """
     spark = loaded.sparkSession
     ready_checkpoints(spark)
-    begun = _begin(loaded, catalogs, results, run, runs).checkpoint()
+    old = [r for r in runs if _there(spark, _at(results, "tokens", r))]
+    begun = stored(_begin(loaded, catalogs, results, run, old), "begun")
     begun.select("catalog", "first_run", "last_review", "n_reviews").write.mode("overwrite").parquet(_at(results, "marks", run))
     new = loaded.join(begun.select("catalog", "seen"), "catalog").filter(F.col("review_id") > F.col("seen")).drop("seen")
-    tokens = stored(terms.part_tokens(terms.review_parts(rated_reviews(new)), stop_words=stop_words), "tokens")
+    made = terms.part_tokens(terms.review_parts(rated_reviews(new)), stop_words=stop_words)
+    made.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES).parquet(_at(results, "tokens", run))
+    tokens = spark.read.schema(made.schema).parquet(_at(results, "tokens", run))
     every = begun.filter(F.col("first_run") == run).select("catalog", F.explode(F.array(*map(F.lit, RATINGS))).alias("rating"))
-    cells = every.unionByName(rated_reviews(new).select(*terms.CELL)).distinct().checkpoint()
+    cells = stored(every.unionByName(rated_reviews(new).select(*terms.CELL)).distinct(), "cells")
 
     terms.part_ends(tokens).write.mode("overwrite").parquet(_at(results, "ends", run))
-    fresh = terms.wide_counts(terms.word_and_bigram_rows(tokens, cross_review=False), KIND_CELL)
-    old = [r for r in runs if _there(spark, _at(results, "counts", r))]
+    fresh = terms.sketch_counts(terms.word_and_bigram_rows(tokens, cross_review=False), KIND_CELL)
     if old:
         kept = _since(spark, results, "counts", old, begun)
         kept = newest(kept.join(cells, list(terms.CELL), "left_semi"), list(terms.CELL))
-        fresh = terms.merge_counts(fresh.unionByName(kept.select(*fresh.columns)), KIND_CELL)
+        fresh = terms.merge_counts(fresh.unionByName(kept.select(*fresh.columns)), KIND_CELL, "_bucket")
     fresh.write.mode("overwrite").parquet(_at(results, "counts", run))
 
-    ends = _since(spark, results, "ends", [*old, run], begun).join(cells, list(terms.CELL), "left_semi").drop("run").checkpoint()
-    border = terms.linked_ends(ends).withColumn("term_kind", F.lit("bigram"))
-    inner = spark.read.schema(fresh.schema).parquet(_at(results, "counts", run))
-    total = terms.merge_counts(inner.unionByName(terms.wide_counts(border, KIND_CELL).select(*inner.columns)), KIND_CELL)
-    return Growth(cells, terms.cloud_terms(terms.long_counts(total, KIND_CELL), [*KIND_CELL, "category"], cloud))
+    def touched(name: str) -> DataFrame:
+        return _since(spark, results, name, [*old, run], begun).join(cells, list(terms.CELL), "left_semi").drop("run")
+
+    border = stored(terms.linked_ends(touched("ends").checkpoint()).withColumn("term_kind", F.lit("bigram")), "borders")
+    rows = terms.word_and_bigram_rows(touched("tokens"), cross_review=False).unionByName(border)
+    return Growth(cells, terms.cloud_terms(_first_counts(rows, border, cells, _at(results, "counts", run), fresh, cloud), [*KIND_CELL, "category"], cloud))
+
+
+def _first_counts(rows: DataFrame, border: DataFrame, cells: DataFrame, counts: str, fresh: DataFrame, k: int) -> DataFrame:
+    """Counts of the terms that can come into the lists; all of them where cells are too many for sketches."""
+    if cells.count() * LEAST_BUCKETS > COUNTERS:
+        return terms.term_counts(rows, KIND_CELL)
+    inner = rows.sparkSession.read.schema(fresh.schema).parquet(counts)
+    sketch = terms.merge_counts(inner.unionByName(terms.sketch_counts(border, KIND_CELL).select(*inner.columns)), KIND_CELL, "_bucket")
+    return terms.leading_counts(rows, sketch, KIND_CELL, k)
 
 
 def _begin(loaded: DataFrame, catalogs: DataFrame, results: str, run: int, runs: Sequence[int]) -> DataFrame:
