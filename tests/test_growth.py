@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from reviewloom.operators import terms
 from reviewloom.plans.collect import analyse_catalogs, read_rating_counts
 from reviewloom.sources.reports import newest, read_cloud, read_report
 from reviewloom.sources.store import FeedbackStore
@@ -113,3 +114,32 @@ def test_analysis_without_reviews(spark, tmp_path):
     add_reviews(store, reviews(random.Random(2), [10], 12))
     analyse_catalogs(store, results)
     assert state(store, results) == once(store, tmp_path / "once")
+
+
+def test_kept_counts_are_bounded(spark, tmp_path):
+    """However many words a cell has, a run keeps no more counts of it than there are buckets; ties go by first place."""
+    store = shop_of(spark, tmp_path / "store")
+    results = str(tmp_path / "results")
+    add_products(store, [(10, 1)])
+    for at, words in ((1, range(0, 70000)), (2, range(69000, 71000))):
+        store.reopen(spark.createDataFrame([(1,)], "catalog_id bigint"))
+        add_reviews(store, [(10, 5, "x", " ".join(f"w{i}" for i in words), None, None, at)])
+        analyse_catalogs(store, results)
+        assert spark.read.parquet(f"{results}/counts/run={store.finished_runs()[-1]}").count() <= 2 * terms.BUCKETS
+    top = read_report(spark, f"{results}/report", store.finished_runs()).filter("catalog = 'a' AND rating = 5 AND term_kind = 'bigram'")
+    found = {(r.category, r["rank"], r.term, r.n) for r in top.collect() if r.term}
+    assert found == {(c, k + 1, f"w{69000 + k} w{69001 + k}", 2) for c in ("Достоинства", "Весь отзыв") for k in range(10)}
+
+
+def test_runs_without_tokens_begin_anew(spark, tmp_path):
+    """Results whose runs have kept counts but no tokens are not continued, but read again."""
+    store = shop_of(spark, tmp_path / "store")
+    results = str(tmp_path / "results")
+    add_products(store, [(10, 1)])
+    add_reviews(store, reviews(random.Random(5), [10], 12))
+    analyse_catalogs(store, results)
+    (tmp_path / "results/tokens").rename(tmp_path / "elsewhere")
+    store.reopen(spark.createDataFrame([(1,)], "catalog_id bigint"))
+    add_reviews(store, reviews(random.Random(6), [10], 9, 50))
+    analyse_catalogs(store, results)
+    assert state(store, results) == once(store, tmp_path / "once")
