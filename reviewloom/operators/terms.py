@@ -30,6 +30,8 @@ POSITION_LIMIT = 10**10
 BUCKETS = 1 << 16
 #: So many times the wanted terms are the fullest buckets whose terms are counted first.
 LEADING = 4
+#: So many cells are named in the plan of a second reading, which skips the others before their words are paired.
+CELLS_NAMED = 1 << 10
 
 
 def place(part: Column, product_id: Column, review_id: Column) -> Column:
@@ -59,19 +61,31 @@ def compact_places(tokens: DataFrame) -> DataFrame:
     Products, reviews and positions are counted from the least to the largest one that the table has, which
     are read from the places and array sizes first. Places of different tables do not compare.
     """
-    lead, review = F.expr(f"place div {REVIEW_LIMIT * POSITION_LIMIT}"), F.expr(f"place % {REVIEW_LIMIT * POSITION_LIMIT} div {POSITION_LIMIT}")
-    part, product = F.expr(f"_lead div {PRODUCT_LIMIT}"), F.col("_lead") % PRODUCT_LIMIT
-    split = tokens.withColumns({"_lead": lead, "_review": review})
-    found = split.agg(
-        F.max(part), F.min(product), F.max(product), F.min("_review"), F.max("_review"), F.max(F.size("words"))
+    return compact_together(tokens, F.size("words"), tokens)[0]
+
+
+def compact_together(spanning: DataFrame, n_words: Column, *tables: DataFrame) -> list[DataFrame]:
+    """The tables with the places of :func:`compact_places`, in one numbering, so that they compare.
+
+    ``spanning`` has a row for every part of the tables, with its place and, as ``n_words``, its number of words.
+    """
+    product, review = F.col("_lead") % PRODUCT_LIMIT, F.col("_review")
+    part = F.expr(f"_lead div {PRODUCT_LIMIT}")
+    found = _split_places(spanning).agg(
+        F.max(part), F.min(product), F.max(product), F.min(review), F.max(review), F.max(n_words)
     ).first()
     if found[0] is None:
-        return tokens
+        return [*tables]
     products, reviews, positions = found[2] - found[1] + 1, found[4] - found[3] + 1, found[5]
     if (found[0] + 1) * products * reviews * positions >= 1 << 63:
-        return tokens
-    number = ((part * products + product - found[1]) * reviews + F.col("_review") - found[3]) * positions
-    return split.withColumn("place", number.cast("bigint")).drop("_lead", "_review")
+        return [*tables]
+    number = ((part * products + product - found[1]) * reviews + review - found[3]) * positions
+    return [_split_places(t).withColumn("place", number.cast("bigint")).drop("_lead", "_review") for t in tables]
+
+
+def _split_places(rows: DataFrame) -> DataFrame:
+    lead, review = F.expr(f"place div {REVIEW_LIMIT * POSITION_LIMIT}"), F.expr(f"place % {REVIEW_LIMIT * POSITION_LIMIT} div {POSITION_LIMIT}")
+    return rows.withColumns({"_lead": lead, "_review": review})
 
 
 def review_parts(
@@ -138,18 +152,14 @@ def word_and_bigram_rows(
     tokens: DataFrame, cell: Sequence[str] = CELL, cross_review: bool = True, slices: int | None = None
 ) -> DataFrame:
     """Words and bigrams from one pass over the tokens: the rows of both with ``term_kind``."""
-    kinds = F.array(
-        F.struct(F.lit("word").alias("term_kind"), F.col("left").alias("term")),
-        F.struct(
-            F.lit("bigram").alias("term_kind"),
-            F.when(F.col("right").isNotNull(), F.concat_ws(" ", "left", "right")).alias("term"),
-        ),
-    )
+    kinds = F.explode(F.array(F.lit("word"), F.lit("bigram")))
+    is_word = F.col("term_kind") == "word"
+    term = F.when(is_word, F.col("left")).otherwise(F.concat_ws(" ", "left", "right"))
     inner = (
         _neighbours(tokens, cell)
-        .select(*cell, "part", "crosses", "place", F.explode(kinds).alias("k"))
-        .filter(F.col("k.term").isNotNull())
-        .select(*cell, "k.term_kind", "part", "crosses", "place", "k.term")
+        .select("*", kinds.alias("term_kind"))
+        .filter(is_word | F.col("right").isNotNull())
+        .select(*cell, "term_kind", "part", "crosses", "place", term.alias("term"))
     )
     if not cross_review:
         return inner
@@ -160,16 +170,15 @@ def word_and_bigram_rows(
 def _neighbours(tokens: DataFrame, cell: Sequence[str]) -> DataFrame:
     """One row per token, ``left``, with the token behind it in the same part, ``right``.
 
-    Tokens are paired before they are exploded, so no row carries the array along.
+    The next token is taken from the array right above the explode, so no pair is built and no array leaves the stage.
     """
-    pairs = F.arrays_zip(F.col("words").alias("left"), F.slice("words", F.lit(2), F.size("words")).alias("right"))
-    return tokens.select(*cell, "part", "place", F.posexplode(pairs).alias("pos", "pair")).select(
+    return tokens.select(*cell, "part", "place", "words", F.posexplode("words").alias("pos", "left")).select(
         *cell,
         "part",
         F.lit(False).alias("crosses"),
         _plus(tokens, F.col("pos")).alias("place"),
-        "pair.left",
-        "pair.right",
+        "left",
+        F.get("words", F.col("pos") + 1).alias("right"),
     )
 
 
@@ -319,10 +328,18 @@ def sketch_counts(
     """``(cell, _bucket, n_all, n_0, …)``: the counts of all terms of a hash bucket together.
 
     At most ``buckets`` rows a cell, and never more than its terms. Sketches add up (:func:`merge_counts`).
+    While counting, the buckets of bigrams are numbered behind those of words, as keys without a string are looked up faster.
     """
     per_bucket = [F.count(F.lit(1)).alias("n_all")]
     per_bucket += [F.count(F.when((F.col("part") == i) & ~F.col("crosses"), 1)).alias(f"n_{i}") for i in range(len(categories) - 1)]
-    return _in_buckets(rows, buckets).groupBy(*cell, "_bucket").agg(*per_bucket)
+    spread, kind = _in_buckets(rows, buckets), F.col("term_kind")
+    if "term_kind" not in cell:
+        return spread.groupBy(*cell, "_bucket").agg(*per_bucket)
+    behind = F.when(kind == "word", 0).when(kind == "bigram", buckets).otherwise(F.raise_error(F.lit("unknown kind of term")).cast("int"))
+    counted = spread.withColumn("_bucket", F.col("_bucket") + behind).groupBy(*[c for c in cell if c != "term_kind"], "_bucket").agg(*per_bucket)
+    is_word = F.col("_bucket") < buckets
+    named = counted.withColumns({"term_kind": F.when(is_word, "word").otherwise("bigram"), "_bucket": F.when(is_word, F.col("_bucket")).otherwise(F.col("_bucket") - buckets)})
+    return named.select(*cell, "_bucket", *[c for c in counted.columns if c.startswith("n_")])
 
 
 def leading_counts(
@@ -347,10 +364,12 @@ def leading_counts(
     first = stored(term_counts(_of_buckets(spread, fullest, key), cell, categories), "leading-counts")
     able = _able_buckets(counted, first, cell, k)
     rest = stored(_of_buckets(able, fullest, key, "left_anti"), "possible-buckets")
-    if rest.isEmpty():
+    whole = F.xxhash64(*[c for c in cell if c != "term_kind"])  # what tokens have: a filter by it goes below their pairing
+    found = [r[0] for r in rest.select(whole).distinct().limit(CELLS_NAMED + 1).collect()]
+    if not found:
         return first
-    whole = [c for c in cell if c != "term_kind"]  # what tokens have: other cells are left out before they are paired
-    spread = _of_buckets(spread, stored(rest.select(*whole).distinct(), "possible-cells"), whole)
+    if len(found) <= CELLS_NAMED:
+        spread = spread.filter(whole.isin(*found))
     return first.unionByName(term_counts(_of_buckets(spread, rest, key), cell, categories))
 
 
@@ -381,9 +400,13 @@ def _able_buckets(counted: DataFrame, first: DataFrame, cell: Sequence[str], k:
 
 
 def _of_buckets(rows: DataFrame, chosen: DataFrame, key: Sequence[str], how: str = "left_semi") -> DataFrame:
-    """Rows whose key is chosen, or is not with ``left_anti``; cells may have NULLs."""
-    chosen = chosen.withColumnsRenamed({c: f"_of_{c}" for c in key})
-    return rows.join(chosen, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in key], how)
+    """Rows whose key is chosen, or is not with ``left_anti``; cells may have NULLs.
+
+    Keys meet as one 64-bit hash, which is looked up at a fraction of the work. Where two keys had the same hash, the
+    rows of both would be kept or left out as a whole: terms are counted that need not be, none in part and none twice.
+    """
+    chosen = chosen.select(F.xxhash64(*key).alias("_chosen"))
+    return rows.join(chosen, F.xxhash64(*key) == F.col("_chosen"), how)
 
 
 def cloud_terms(counts: DataFrame, cell: Sequence[str] = (*CELL, "category"), k: int = TOP_CLOUD) -> DataFrame:

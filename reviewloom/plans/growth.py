@@ -80,8 +80,10 @@ def count_growth(
     def touched(name: str) -> DataFrame:
         return _since(spark, results, name, [*old, run], begun).join(cells, list(terms.CELL), "left_semi").drop("run")
 
-    border = stored(terms.linked_ends(touched("ends").checkpoint()).withColumn("term_kind", F.lit("bigram")), "borders")
-    rows = terms.word_and_bigram_rows(touched("tokens"), cross_review=False).unionByName(border)
+    ends = touched("ends").checkpoint()
+    ends, tokens = terms.compact_together(ends, F.col("last_pos") + 1, ends, touched("tokens"))
+    border = stored(terms.linked_ends(ends).withColumn("term_kind", F.lit("bigram")), "borders")
+    rows = terms.word_and_bigram_rows(tokens, cross_review=False).unionByName(border)
     return Growth(cells, terms.cloud_terms(_first_counts(rows, border, cells, _at(results, "counts", run), fresh, cloud), [*KIND_CELL, "category"], cloud))
 
 

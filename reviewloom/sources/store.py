@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,9 +81,15 @@ class FeedbackStore:
         """Names of a table's finished batches."""
         return self._finished(self._path(name, self._current(name)))
 
-    def append_numbered(self, name: str, rows: DataFrame, id_column: str, order: list[str]) -> None:
-        """Append rows with new ids, in the given order, after the stored ones."""
-        self.append(name, with_new_ids(rows, order, id_column, self.read(name)))
+    def append_numbered(
+        self, name: str, rows: DataFrame, id_column: str, order: list[str], finish: Callable[[DataFrame], DataFrame] | None = None
+    ) -> None:
+        """Append rows with new ids, in the given order, after the stored ones.
+
+        ``finish`` adds what is derived row by row after the numbering, which reads its rows twice and sorts them as they are.
+        """
+        numbered = with_new_ids(rows, order, id_column, self.read(name))
+        self.append(name, numbered if finish is None else finish(numbered))
 
     def flag_catalogs(self, ids: DataFrame, flag: str, value: bool = True) -> None:
         version = self.next_version("catalogs")

@@ -603,10 +603,10 @@ def combined_reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _labelled_store(spark: SparkSession, folder: str) -> tuple[FeedbackStore, DataFrame]:
-    """A store with languages as catalogues and sources as products, and the reviews that belong in it."""
+    """A store with languages as catalogues and sources as products, and the reviews that belong in it, without their parts."""
     store = FeedbackStore(spark, scratch_path(spark, "stored"))
     store.create()
-    docs = t.reviews(spark, folder).withColumn(
+    docs = t.whole_reviews(spark, folder).withColumn(
         "product_article", F.ascii(F.substring("catalog", 2, 1)) * 1000 + F.col("product_id")
     )
     store.register_catalogs(docs.groupBy("catalog").agg(F.lit(1).alias("link_order")).withColumnRenamed("catalog", "catalog_link"))
@@ -628,7 +628,7 @@ def _analysis_rows(store: FeedbackStore) -> DataFrame:
 def stored_analysis(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents go into a store as catalogues, products and reviews and are analysed from it."""
     store, reviews = _labelled_store(spark, folder)
-    store.append_numbered("reviews", reviews, "review_id", ["_order"])
+    store.append_numbered("reviews", reviews, "review_id", ["_order"], t.with_parts)
     collect.analyse_catalogs(store, scratch_path(spark, "results"), STOP_WORDS)
     return _analysis_rows(store)
 
@@ -641,7 +641,7 @@ def reanalysis_after_growth(spark: SparkSession, folder: str) -> DataFrame:
     for step in range(3):
         grown = reviews.filter(F.floor(3 * F.col("_order") / (most + 1)) == step)
         store.reopen(store.read("catalogs").select("catalog_id"))
-        store.append_numbered("reviews", grown, "review_id", ["_order"])
+        store.append_numbered("reviews", grown, "review_id", ["_order"], t.with_parts)
         collect.analyse_catalogs(store, results, STOP_WORDS)
     return _analysis_rows(store)
 

@@ -58,14 +58,21 @@ def labelled(spark: SparkSession, folder: str) -> DataFrame:
 
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents with rating and parts. Rating 1 to 4 from the labels, 5 without a label."""
+    return with_parts(whole_reviews(spark, folder))
+
+
+def with_parts(reviews: DataFrame) -> DataFrame:
+    return reviews.select("*", tx.split_review(F.col("text_all")).alias("p")).select(*reviews.columns, "p.*")
+
+
+def whole_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """The same without the parts."""
     marks = table(spark, folder, "labels").select(F.col("doc_id").alias("review_id"), "quality", "toxic")
     rating = F.coalesce(1 + 2 * F.col("quality") + F.col("toxic"), F.lit(5)).cast("int")
     return (
         labelled(spark, folder)
         .join(marks, "review_id", "left")
-        .select("catalog", "product_id", "review_id", rating.alias("rating"), F.col("text").alias("text_all"),
-                tx.split_review(F.col("text")).alias("p"))
-        .select("catalog", "product_id", "review_id", "rating", "text_all", "p.*")
+        .select("catalog", "product_id", "review_id", rating.alias("rating"), F.col("text").alias("text_all"))
     )
 
 
