@@ -5,12 +5,16 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 ROW_GROUP_BYTES = 8 << 20
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -70,5 +74,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is run inside go as soon as each action has ended, not when the driver next collects its garbage.
+
+    For actions whose result is written or checkpointed: running the same DataFrame once more would make its shuffles anew.
+    """
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

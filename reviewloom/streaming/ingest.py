@@ -5,7 +5,8 @@ writes what it brings, however large the store is. Each batch is a folder of its
 writes again, so repeated files and replayed batches add nothing and it does not matter how files are
 split into batches. A lost checkpoint loses the state and captures everything once more; :func:`settle`,
 which brings products and reviews of the store up to the captured rows, then takes the first capture of
-each place.
+each place. Settling picks, counts and numbers reviews without their texts, which are long; the texts of
+the reviews that are written are then fetched from the captured files in one join.
 """
 
 from __future__ import annotations
@@ -21,10 +22,11 @@ from reviewloom.functions.keys import decimal_comma
 from reviewloom.operators.filters import drop_unrated
 from reviewloom.plans.collect import collected, with_captured_parts
 from reviewloom.schemas import CAPTURED
-from reviewloom.session import ready_checkpoints
+from reviewloom.session import freed_shuffles, ready_checkpoints, stored
 from reviewloom.sources.store import FeedbackStore
 
 _PLACE = ["product_article", "review_pos"]
+_CAPTURE = ["reviewed_article", "review_pos", "_row"]
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ORDER = ["catalog_id", "position", "product_article"]
 
@@ -45,7 +47,7 @@ def first_captures(store: FeedbackStore) -> DataFrame:
     compared, by the time of their file, then by its name and their content.
     """
     columns = CAPTURED.names
-    if len({b.rpartition("-")[0] for b in store.batches("captured")}) < 2:
+    if len(_streams(store)) < 2:
         return store.read_batches("captured")
     timed = store.read_batches("captured", F.struct("_metadata.file_modification_time", "_metadata.file_path").alias("_at"))
     rest = [c for c in columns if c not in _PLACE]
@@ -53,6 +55,19 @@ def first_captures(store: FeedbackStore) -> DataFrame:
     return first.select(*[F.col(c) if c in _PLACE else F.col(f"_row.{c}").alias(c) for c in columns])
 
 
+def _marked_captures(store: FeedbackStore) -> DataFrame:
+    """:func:`first_captures` with ``_row``, which tells rows of one place apart and is the same at every reading."""
+    row = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_row")
+    if len(_streams(store)) < 2:
+        return store.read_batches("captured", row)
+    return stored(first_captures(store), "first-captures").select("*", row)
+
+
+def _streams(store: FeedbackStore) -> set[str]:
+    """Names of the checkpoints that the captured batches come from."""
+    return {b.rpartition("-")[0] for b in store.batches("captured")}
+
+
 def settle(store: FeedbackStore, max_reviews: int = MAX_REVIEWS) -> None:
     """Bring products and reviews up to the captured rows: at most ``max_reviews`` a product over all
     batches, in page order, with ``count_reviews`` to match.
@@ -63,7 +78,11 @@ def settle(store: FeedbackStore, max_reviews: int = MAX_REVIEWS) -> None:
     and are replaced. Catalogues of changed products are open for analysis again.
     """
     ready_checkpoints(store.spark)
-    captured = first_captures(store)
+    with freed_shuffles(store.spark):
+        _settle(store, _marked_captures(store), max_reviews)
+
+
+def _settle(store: FeedbackStore, captured: DataFrame, max_reviews: int) -> None:
     per_product = captured.groupBy("product_article").agg(
         F.min(F.struct("catalog_id", "position", "name", "product_rating")).alias("p")
     )
@@ -71,17 +90,16 @@ def settle(store: FeedbackStore, max_reviews: int = MAX_REVIEWS) -> None:
     products = per_product.select(
         "product_article", F.col("p.name").alias("name"), decimal_comma(F.col("p.product_rating")).alias("rating")
     )
-    columns = captured.select("product_article", "variant_group", "review_pos", "rating", "text")
-    readable = columns.filter(F.col("review_pos").isNotNull() & F.col("rating").isNotNull())
-    reviews = with_captured_parts(readable, "text")
-    found, shown = collected(products, reviews, picks, max_reviews, columns)
-
+    readable = captured.filter(F.col("review_pos").isNotNull() & F.col("rating").isNotNull())
     content = F.xxhash64("text_all", "rating", "text_plus", "text_minus", "text_comment")
-    marks = [F.sum(content.cast("decimal(38,0)")).alias("mark"), F.count(F.lit(1)).alias("n")]
-    stored = store.read("products").select("product_article", "count_reviews")
-    kept = store.read("reviews").groupBy("product_article").agg(*marks)
+    reviews = with_captured_parts(readable, "text").select("product_article", "variant_group", "review_pos", "rating", "_row", content.alias("content"))
+    found, shown = collected(products, reviews, picks, max_reviews, captured.select("product_article", "variant_group"))
+
+    marks = [F.sum(F.col("content").cast("decimal(38,0)")).alias("mark"), F.count(F.lit(1)).alias("n")]
+    known = store.read("products").select("product_article", "count_reviews")
+    kept = store.read("reviews").withColumn("content", content).groupBy("product_article").agg(*marks)
     wanted = shown.groupBy("product_article").agg(*marks)
-    before = stored.join(kept, "product_article", "left").select("product_article", "count_reviews", F.struct("mark", "n").alias("before"))
+    before = known.join(kept, "product_article", "left").select("product_article", "count_reviews", F.struct("mark", "n").alias("before"))
     now = found.select("product_article", F.col("count_reviews").alias("count_now")).join(wanted, "product_article", "left")
     compared = now.select("product_article", "count_now", F.struct("mark", "n").alias("now")).join(before, "product_article", "left")
     same = F.col("before").eqNullSafe(F.col("now")) & F.col("count_reviews").eqNullSafe(F.col("count_now"))
@@ -89,32 +107,38 @@ def settle(store: FeedbackStore, max_reviews: int = MAX_REVIEWS) -> None:
     if changed.isEmpty():
         return
     store.reopen(picks.join(changed, "product_article", "left_semi").select("catalog_id").distinct())
-    for name, rows, id_column, order in (
-        ("reviews", shown, "review_id", [*_ORDER, "rank"]), ("products", found, "product_id", _ORDER)
+    texts = captured.select(F.col("product_article").alias("reviewed_article"), "review_pos", "_row", "text")
+
+    def with_texts(numbered: DataFrame) -> DataFrame:
+        return with_captured_parts(numbered.join(texts, _CAPTURE), "text")
+
+    for name, rows, id_column, order, finish in (
+        ("reviews", shown, "review_id", [*_ORDER, "rank"], with_texts), ("products", found, "product_id", _ORDER, None)
     ):
         new = rows.join(changed, "product_article", "left_semi")
         if store.read(name).join(changed, "product_article", "left_semi").isEmpty():
-            store.append_numbered(name, new, id_column, order)
+            store.append_numbered(name, new, id_column, order, finish)
         else:
-            store.exchange_numbered(name, changed, "product_article", new, id_column, order)
+            store.exchange_numbered(name, changed, "product_article", new, id_column, order, finish)
 
 
 def start_ingest(store: FeedbackStore, stream: DataFrame, checkpoint: str) -> StreamingQuery:
     """Capture until all files that are there have been read; :func:`settle` afterwards.
 
-    The state is kept by RocksDB, so that it need not fit into memory; the session's setting is put back
-    once the stream has started.
+    The state is kept by RocksDB, so that it need not fit into memory, and a batch's shuffle files go when it
+    is written; the session's settings are put back once the stream has started.
     """
     store.create()
     before = store.spark.conf.get(_PROVIDER)
     store.spark.conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     name = f"{zlib.crc32(checkpoint.rstrip('/').encode()):08x}"
     try:
-        return (
-            new_captures(stream).writeStream.foreachBatch(lambda batch, number: store.write_batch("captured", batch, f"{name}-{number:06d}"))
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
+        with freed_shuffles(store.spark):
+            return (
+                new_captures(stream).writeStream.foreachBatch(lambda batch, number: store.write_batch("captured", batch, f"{name}-{number:06d}"))
+                .option("checkpointLocation", checkpoint)
+                .trigger(availableNow=True)
+                .start()
+            )
     finally:
         store.spark.conf.set(_PROVIDER, before)

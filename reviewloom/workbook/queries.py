@@ -13,7 +13,7 @@ from reviewloom.operators import dedup, filters, ordering, quota, relate, terms
 from reviewloom.plans import analyse, collect
 from reviewloom.plans.clean import Cleaned, clean_catalogs, clean_tree
 from reviewloom.schemas import PROCESSED_REVIEW_CSV
-from reviewloom.session import scratch_path, stored
+from reviewloom.session import freed_shuffles, scratch_path, stored
 from reviewloom.sources import csv_tree, reports
 from reviewloom.sources.store import FeedbackStore
 from reviewloom.streaming import ingest
@@ -686,7 +686,7 @@ def _ingested(spark: SparkSession, folder: str, files: int, files_per_batch: int
     """Labelled documents arrive as captured review files, a product's reviews in several of them.
 
     For large tables each file is several, dealt by product, so that no task writes more than some of them;
-    a batch takes as many times more.
+    a batch takes as many times more. The files are compressed, quickly rather than closely.
     """
     base = scratch_path(spark, "ingest")
     docs = t.reviews(spark, folder).withColumn("product_article", F.floor(F.col("review_id") / 10))
@@ -704,7 +704,8 @@ def _ingested(spark: SparkSession, folder: str, files: int, files_per_batch: int
     size = t.documents(spark, folder).agg(F.sum(F.octet_length("text"))).first()[0] or 0
     spread = 1 + size // (files * CAPTURED_FILE_BYTES)
     dealt = [F.col("review_pos") % files, F.col("product_article") % spread]
-    captured.repartition(files * spread, *dealt).write.json(f"{base}/incoming")
+    with freed_shuffles(spark):
+        captured.repartition(files * spread, *dealt).write.option("zlib.compress.level", "BEST_SPEED").json(f"{base}/incoming", compression="gzip")
     store = FeedbackStore(spark, f"{base}/store")
     stream = ingest.captured_stream(spark, f"{base}/incoming", files_per_batch * spread)
     ingest.start_ingest(store, stream, f"{base}/checkpoint").awaitTermination()
