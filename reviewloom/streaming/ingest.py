@@ -92,11 +92,12 @@ def _settle(store: FeedbackStore, captured: DataFrame, max_reviews: int) -> None
     )
     readable = captured.filter(F.col("review_pos").isNotNull() & F.col("rating").isNotNull())
     content = F.xxhash64("text_all", "rating", "text_plus", "text_minus", "text_comment")
-    reviews = with_captured_parts(readable, "text").select("product_article", "variant_group", "review_pos", "rating", "_row", content.alias("content"))
+    known = store.read("products").select("product_article", "count_reviews")
+    mark = F.lit(0).cast("bigint") if known.isEmpty() else content  # with no product stored there is nothing to compare: texts need not be read for it
+    reviews = with_captured_parts(readable, "text").select("product_article", "variant_group", "review_pos", "rating", "_row", mark.alias("content"))
     found, shown = collected(products, reviews, picks, max_reviews, captured.select("product_article", "variant_group"))
 
     marks = [F.sum(F.col("content").cast("decimal(38,0)")).alias("mark"), F.count(F.lit(1)).alias("n")]
-    known = store.read("products").select("product_article", "count_reviews")
     kept = store.read("reviews").withColumn("content", content).groupBy("product_article").agg(*marks)
     wanted = shown.groupBy("product_article").agg(*marks)
     before = known.join(kept, "product_article", "left").select("product_article", "count_reviews", F.struct("mark", "n").alias("before"))
