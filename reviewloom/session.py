@@ -6,15 +6,13 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 ROW_GROUP_BYTES = 8 << 20
 
-_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -75,20 +73,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """The session's settings with ``conf`` among them, put back at the end."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def freed_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
     """Shuffle files of what is run inside go as soon as each action has ended, not when the driver next collects its garbage.
 
     For actions whose result is written or checkpointed: running the same DataFrame once more would make its shuffles anew.
     """
-    before = spark.conf.get(_FREE_SHUFFLES, None)
-    spark.conf.set(_FREE_SHUFFLES, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_FREE_SHUFFLES)
-        else:
-            spark.conf.set(_FREE_SHUFFLES, before)
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -22,12 +22,16 @@ from reviewloom.functions.keys import decimal_comma
 from reviewloom.operators.filters import drop_unrated
 from reviewloom.plans.collect import collected, with_captured_parts
 from reviewloom.schemas import CAPTURED
-from reviewloom.session import freed_shuffles, ready_checkpoints, stored
+from reviewloom.session import freed_shuffles, ready_checkpoints, settings, stored
 from reviewloom.sources.store import FeedbackStore
 
 _PLACE = ["product_article", "review_pos"]
 _CAPTURE = ["reviewed_article", "review_pos", "_row"]
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# State on disk, and nothing allocated ahead: stores are many and small, and each would take megabytes.
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 _ORDER = ["catalog_id", "position", "product_article"]
 
 
@@ -130,16 +134,11 @@ def start_ingest(store: FeedbackStore, stream: DataFrame, checkpoint: str) -> St
     is written; the session's settings are put back once the stream has started.
     """
     store.create()
-    before = store.spark.conf.get(_PROVIDER)
-    store.spark.conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     name = f"{zlib.crc32(checkpoint.rstrip('/').encode()):08x}"
-    try:
-        with freed_shuffles(store.spark):
-            return (
-                new_captures(stream).writeStream.foreachBatch(lambda batch, number: store.write_batch("captured", batch, f"{name}-{number:06d}"))
-                .option("checkpointLocation", checkpoint)
-                .trigger(availableNow=True)
-                .start()
-            )
-    finally:
-        store.spark.conf.set(_PROVIDER, before)
+    with settings(store.spark, _STATE), freed_shuffles(store.spark):
+        return (
+            new_captures(stream).writeStream.foreachBatch(lambda batch, number: store.write_batch("captured", batch, f"{name}-{number:06d}"))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )

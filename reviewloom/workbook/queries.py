@@ -685,11 +685,13 @@ def store_append(spark: SparkSession, folder: str) -> DataFrame:
 def _ingested(spark: SparkSession, folder: str, files: int, files_per_batch: int) -> FeedbackStore:
     """Labelled documents arrive as captured review files, a product's reviews in several of them.
 
-    For large tables each file is several, dealt by product, so that no task writes more than some of them;
+    For large tables each file is several, dealt by review, so that no task writes more than some of them;
     a batch takes as many times more. The files are compressed, quickly rather than closely.
     """
     base = scratch_path(spark, "ingest")
-    docs = t.reviews(spark, folder).withColumn("product_article", F.floor(F.col("review_id") / 10))
+    size = t.documents(spark, folder).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    spread = 1 + size // (files * CAPTURED_FILE_BYTES)
+    docs = t.reviews(spark, folder, files * spread).withColumn("product_article", F.floor(F.col("review_id") / 10))
     captured = docs.select(
         F.lit(1).cast("bigint").alias("catalog_id"),
         F.col("product_article").alias("position"),
@@ -701,11 +703,8 @@ def _ingested(spark: SparkSession, folder: str, files: int, files_per_batch: int
         "rating",
         F.col("text_all").alias("text"),
     )
-    size = t.documents(spark, folder).agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    spread = 1 + size // (files * CAPTURED_FILE_BYTES)
-    dealt = [F.col("review_pos") % files, F.col("product_article") % spread]
     with freed_shuffles(spark):
-        captured.repartition(files * spread, *dealt).write.option("zlib.compress.level", "BEST_SPEED").json(f"{base}/incoming", compression="gzip")
+        captured.write.option("zlib.compress.level", "BEST_SPEED").json(f"{base}/incoming", compression="gzip")
     store = FeedbackStore(spark, f"{base}/store")
     stream = ingest.captured_stream(spark, f"{base}/incoming", files_per_batch * spread)
     ingest.start_ingest(store, stream, f"{base}/checkpoint").awaitTermination()

@@ -56,24 +56,30 @@ def labelled(spark: SparkSession, folder: str) -> DataFrame:
     return docs.withColumn("text", review)
 
 
-def reviews(spark: SparkSession, folder: str) -> DataFrame:
+def reviews(spark: SparkSession, folder: str, slices: int | None = None) -> DataFrame:
     """Labelled documents with rating and parts. Rating 1 to 4 from the labels, 5 without a label."""
-    return with_parts(whole_reviews(spark, folder))
+    return with_parts(whole_reviews(spark, folder, slices))
 
 
 def with_parts(reviews: DataFrame) -> DataFrame:
     return reviews.select("*", tx.split_review(F.col("text_all")).alias("p")).select(*reviews.columns, "p.*")
 
 
-def whole_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """The same without the parts."""
+def whole_reviews(spark: SparkSession, folder: str, slices: int | None = None) -> DataFrame:
+    """The same without the parts; with ``slices``, dealt by review into so many partitions.
+
+    Texts are shuffled once for the labels and the slices: the join takes over the dealing, or, where it
+    wants more partitions, deals into these, which are then put together.
+    """
+    docs = labelled(spark, folder)
     marks = table(spark, folder, "labels").select(F.col("doc_id").alias("review_id"), "quality", "toxic")
     rating = F.coalesce(1 + 2 * F.col("quality") + F.col("toxic"), F.lit(5)).cast("int")
-    return (
-        labelled(spark, folder)
-        .join(marks, "review_id", "left")
-        .select("catalog", "product_id", "review_id", rating.alias("rating"), F.col("text").alias("text_all"))
+    if slices is not None:
+        docs, marks = docs.repartition(slices, "review_id"), marks.repartition(slices, "review_id")
+    rated = docs.join(marks, "review_id", "left").select(
+        "catalog", "product_id", "review_id", rating.alias("rating"), F.col("text").alias("text_all")
     )
+    return rated if slices is None else rated.coalesce(slices)
 
 
 def document_lines(spark: SparkSession, folder: str) -> DataFrame:
